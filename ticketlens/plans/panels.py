@@ -16,6 +16,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, DateType, DoubleType, IntegerType, LongType, StringType, \
+    StructField, StructType
 
 from ticketlens.functions.money import money_mean, percent_of
 from ticketlens.operators.aggregate import category_domain, domain_product
@@ -44,6 +46,18 @@ class PanelBase:
         return apply_filters(self.base, filters)
 
 
+def _guard(pb: PanelBase, needed: list[str], out_fields: list[tuple[str, DataType]]):
+    """a panel whose source column is missing is an empty frame of the panel's schema."""
+    if all(c in pb.base.columns for c in needed):
+        return None
+    schema = StructType([StructField(n, t) for n, t in out_fields])
+    return pb.base.sparkSession.createDataFrame([], schema)
+
+
+def _out_type(kind: str) -> DataType:
+    return LongType() if kind == COUNT else DoubleType()
+
+
 def _agg_expr(kind: str, value: str | None, out: str):
     if kind == COUNT:
         return F.count(F.lit(1)).alias(out)
@@ -59,6 +73,10 @@ def full_domain_group(pb: PanelBase, filters: PanelFilters | None, keys: list[st
     The filtered aggregate keeps its null-key group only to count the selection's rows; a full
     outer join onto the domain (both small) then yields every category, and a window over that
     small frame drops everything when the selection is empty."""
+    empty = _guard(pb, keys + ([value] if value else []),
+                   [(k, StringType()) for k in keys] + [(out, _out_type(kind))])
+    if empty is not None:
+        return empty
     f = pb.filtered(filters)
     agg = f.groupBy(*keys).agg(_agg_expr(kind, value, out), F.count(F.lit(1)).alias("_rows"))
     j = pb.domain(keys).join(agg, keys, "full")
@@ -79,6 +97,9 @@ def full_domain_group(pb: PanelBase, filters: PanelFilters | None, keys: list[st
 def observed_group(pb: PanelBase, filters: PanelFilters | None, key: str, kind: str,
                    value: str | None, out: str) -> DataFrame:
     """groupby on a non-categorical key: observed, non-null groups only."""
+    if key not in pb.base.columns or (value and value not in pb.base.columns):
+        kt = IntegerType() if key == "hour_of_day" else DateType()
+        return _guard(pb, [key] + ([value] if value else []), [(key, kt), (out, _out_type(kind))])
     f = pb.filtered(filters).where(F.col(key).isNotNull())
     r = f.groupBy(key).agg(_agg_expr(kind, value, out))
     if kind == SUM:
@@ -141,6 +162,9 @@ def panel_top5_stations(pb, filters=None):
 
 def panel_delay_reasons(pb, filters=None):
     """Counts of delay reasons other than 'No Delay' (plain column: observed only)."""
+    empty = _guard(pb, ["reason_for_delay"], [("reason", StringType()), ("count", LongType())])
+    if empty is not None:
+        return empty
     f = pb.filtered(filters).where(F.col("reason_for_delay") != "No Delay")
     return (f.groupBy(F.col("reason_for_delay").alias("reason"))
             .agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), "reason"))

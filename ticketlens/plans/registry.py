@@ -39,11 +39,17 @@ def _star(s, d):
     return star.StarA(rides(s, d))
 
 
-def _panel_base(s, d):
+def _star_base(s, d):
     st = star.StarA(rides(s, d))
     return panels.PanelBase(star.denormalise(st.fact, st.time, st.journey, st.location), st.location)
 
 
+def _panel_base(s, d):
+    r = rides(s, d)
+    stations = star.station_union_distinct(r)
+    return panels.PanelBase(star.flat_denormalised(r), stations)
+
+
 def _tickets(s, d):
     return ride_tickets(s, d)
 
@@ -144,7 +150,7 @@ _q("dim_time", lambda s, d: _star(s, d).time, with_ctes(["dim_time"], "SELECT *
 _q("dim_journey", lambda s, d: _star(s, d).journey,
    with_ctes(["dim_journey"], "SELECT * FROM dim_journey"))
 _q("fact_transactions", lambda s, d: _star(s, d).fact, with_ctes(["fact"], "SELECT * FROM fact"))
-_q("star_denormalised", lambda s, d: _panel_base(s, d).base,
+_q("star_denormalised", lambda s, d: _star_base(s, d).base,
    with_ctes(["denorm"], "SELECT * FROM denorm"))
 _q("dim_time_b", lambda s, d: star.dim_time_b(_tickets(s, d)),
    with_ctes(["dim_time_b"], "SELECT * FROM dim_time_b"))
@@ -491,3 +497,27 @@ for _name, _f in (("panel_top5_stations__station", PanelFilters(station="NATION_
                   ("panel_status__empty", PanelFilters(station="NO SUCH STATION"))):
     _base = _name.split("__")[0]
     _q(_name, _panel_query(_base, _f), _panel_sql(_base, _f))
+
+# ------------------------------------------------------------------ file sources / sinks
+
+
+def _csv_round_trip(s, d):
+    """S4 then S1: write the flat table as CSV (missing values as the text ``None``) into the shared
+    checkpoint folder and scan it back with the explicit schema."""
+    import uuid
+
+    from ticketlens.session import checkpoint_dir
+    from ticketlens.sources.files import scan_rides_csv
+
+    path = f"{checkpoint_dir(s).rstrip('/')}/rides-csv-{uuid.uuid4().hex}"
+    _rides(s, d).write.mode("overwrite").option("header", True).option("nullValue", "None").csv(path)
+    return scan_rides_csv(s, path)
+
+
+_q("scan_rides_csv", _csv_round_trip, with_ctes(["rides"], "SELECT * FROM rides"))
+_q("profile_schema_counts", lambda s, d: profile.schema_profile(_rides(s, d)).select(
+    "ordinal", "column_name", "non_null_count", "row_count", "column_count"),
+   with_ctes(["rides"], " UNION ALL ".join(
+       f"SELECT {i} AS ordinal, '{c}' AS column_name, count({c}) AS non_null_count, "
+       f"count(*) AS row_count, {len(RIDES_COLUMNS)} AS column_count FROM rides"
+       for i, c in enumerate(RIDES_COLUMNS))))
