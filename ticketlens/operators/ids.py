@@ -6,6 +6,13 @@ order key ends in a unique column), each partition is sorted locally, one tiny a
 rows per partition, and the per-partition offsets (one row per partition: a size bound we know) are
 broadcast back. ``monotonically_increasing_id`` is (partition << 33) + position inside the
 partition, so position = mid − (pid << 33) with no second shuffle.
+
+The tagged frame is materialised once with a reliable ``checkpoint()`` in the shared checkpoint
+folder before it feeds both the count branch and the id branch. Without it each branch would run
+its own range exchange (column pruning makes them differ, so no exchange reuse), sampling its own
+range bounds; after an upstream shuffle the sample — and so the partition of a row — can differ
+between the two, and ids would silently be wrong. The checkpoint also keeps a lost executor from
+recomputing partitions with different bounds.
 """
 
 from __future__ import annotations
@@ -13,6 +20,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ticketlens.session import checkpoint_dir
+
+
+def _materialise(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the session's shared checkpoint folder (set only when unset)."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
 
 def _cols(order_by) -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in order_by]
@@ -24,9 +39,9 @@ def with_contiguous_id(df: DataFrame, order_by: list, id_col: str,
     order = _cols(order_by)
     ranged = (df.repartitionByRange(num_partitions, *order) if num_partitions
               else df.repartitionByRange(*order))
-    tagged = (ranged.sortWithinPartitions(*order)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
+    tagged = _materialise(ranged.sortWithinPartitions(*order)
+                          .withColumn("_pid", F.spark_partition_id())
+                          .withColumn("_mid", F.monotonically_increasing_id()))
     per_part = tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = per_part.select(
         "_pid",
@@ -46,7 +61,7 @@ def with_running_total(df: DataFrame, order_by: list, weight: str, out_col: str)
     the partition id, so each range partition stays one task.
     """
     order = _cols(order_by)
-    tagged = df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id())
+    tagged = _materialise(df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()))
     w_in = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = tagged.withColumn("_local", F.coalesce(F.sum(weight).over(w_in), F.lit(0)))
     per_part = tagged.groupBy("_pid").agg(F.sum(weight).alias("_n"))
