@@ -50,6 +50,10 @@ def _panel_base(s, d):
     return panels.PanelBase(star.flat_denormalised(r), stations)
 
 
+def _fact_measures(s, d):
+    return star.fact_measures(rides(s, d))
+
+
 def _tickets(s, d):
     return ride_tickets(s, d)
 
@@ -231,11 +235,11 @@ _q("avg_price_by_ticket_type",
    with_ctes(["rides_clean"], "SELECT ticket_type, CAST(sum(price) AS DOUBLE) / CAST(count(price) AS DOUBLE) "
                               "AS avg_price FROM rides_clean WHERE ticket_type IS NOT NULL GROUP BY 1"))
 _q("revenue_by_status_refund",
-   lambda s, d: group_sum(_star(s, d).fact, ["journey_status", "refund_request"], "price", "revenue"),
+   lambda s, d: group_sum(_fact_measures(s, d), ["journey_status", "refund_request"], "price", "revenue"),
    with_ctes(["fact"], "SELECT journey_status, refund_request, CAST(sum(price) AS DOUBLE) AS revenue "
                        "FROM fact WHERE journey_status IS NOT NULL AND refund_request IS NOT NULL GROUP BY 1, 2"))
 _q("count_by_status_refund",
-   lambda s, d: group_count(_star(s, d).fact, ["journey_status", "refund_request"], "count"),
+   lambda s, d: group_count(_fact_measures(s, d), ["journey_status", "refund_request"], "count"),
    with_ctes(["fact"], "SELECT journey_status, refund_request, count(*) AS count FROM fact "
                        "WHERE journey_status IS NOT NULL AND refund_request IS NOT NULL GROUP BY 1, 2"))
 _q("pivot_revenue_purchase_ticket", lambda s, d: reports.pivot_revenue_purchase_ticket(_clean(s, d)),
@@ -244,13 +248,13 @@ _q("pivot_revenue_purchase_ticket", lambda s, d: reports.pivot_revenue_purchase_
              "CAST(sum(price) FILTER (WHERE ticket_type = 'Anytime') AS DOUBLE) AS anytime, "
              "CAST(sum(price) FILTER (WHERE ticket_type = 'Off-Peak') AS DOUBLE) AS off_peak "
              "FROM rides_clean WHERE purchase_type IS NOT NULL AND ticket_type IS NOT NULL GROUP BY 1"))
-_q("refund_revenue_matrix", lambda s, d: reports.refund_revenue_matrix(_star(s, d).fact),
+_q("refund_revenue_matrix", lambda s, d: reports.refund_revenue_matrix(_fact_measures(s, d)),
    with_ctes(["fact"], "SELECT journey_status, "
              "coalesce(CAST(sum(price) FILTER (WHERE refund_request = 'No') AS DOUBLE), 0.0) AS no, "
              "coalesce(CAST(sum(price) FILTER (WHERE refund_request = 'Yes') AS DOUBLE), 0.0) AS yes "
              "FROM fact WHERE journey_status IN ('Cancelled', 'Delayed') AND refund_request IS NOT NULL "
              "GROUP BY 1"))
-_q("refund_count_matrix", lambda s, d: reports.refund_count_matrix(s, _star(s, d).fact),
+_q("refund_count_matrix", lambda s, d: reports.refund_count_matrix(s, _fact_measures(s, d)),
    with_ctes(["fact"], "SELECT r.row_order, r.journey_status, c.no, c.yes FROM "
              "(VALUES (0, 'Cancelled'), (1, 'Delayed'), (2, 'On Time')) r(row_order, journey_status) "
              "LEFT JOIN (SELECT journey_status, count(*) FILTER (WHERE refund_request = 'No') AS no, "
@@ -259,7 +263,7 @@ _q("refund_count_matrix", lambda s, d: reports.refund_count_matrix(s, _star(s, d
 for _k in ("purchase_type", "payment_method", "journey_status", "refund_request"):
     _src = "fact" if _k == "refund_request" else "rides_clean"
     _q(f"share_{_k}", (lambda k, src: lambda s, d: reports.share_of_counts(
-        _star(s, d).fact if src == "fact" else _clean(s, d), k))(_k, _src),
+        _fact_measures(s, d) if src == "fact" else _clean(s, d), k))(_k, _src),
        with_ctes([_src], f"SELECT {_k}, count(*) AS count, {pct('count(*)', 'sum(count(*)) OVER ()')} "
                          f"AS share_pct FROM {_src} WHERE {_k} IS NOT NULL GROUP BY 1"))
 _q("share_ticket_class_revenue", lambda s, d: reports.share_of_revenue(_clean(s, d), "ticket_class"),
@@ -270,7 +274,7 @@ _q("top5_departure_stations", lambda s, d: reports.top5_departure_stations(_clea
    with_ctes(["rides_clean"], "SELECT departure_station, CAST(sum(price) AS DOUBLE) AS revenue "
                               "FROM rides_clean WHERE departure_station IS NOT NULL GROUP BY 1 "
                               "ORDER BY sum(price) DESC, departure_station LIMIT 5"))
-_q("category_domain_ticket_type", lambda s, d: category_domain(_star(s, d).fact, "ticket_type"),
+_q("category_domain_ticket_type", lambda s, d: category_domain(_fact_measures(s, d), "ticket_type"),
    with_ctes(["fact"], "SELECT DISTINCT ticket_type FROM fact WHERE ticket_type IS NOT NULL"))
 
 # ------------------------------------------------------------------ SQL script reports
