@@ -48,7 +48,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is unset — local runs and
     tests — a fresh folder is created and registered.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: the server owns spark.checkpoint.dir
+        return spark.conf.get("spark.checkpoint.dir", "")
     path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
         path = tempfile.mkdtemp(prefix="ticketlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))

@@ -27,10 +27,12 @@ def spread(df: DataFrame) -> DataFrame:
     parallelism, a round-robin repartition (deterministic under retries: Spark sorts before it)
     puts all cores to work. A large input arrives split into many partitions and is left as is.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the scan as is
+        return df
+    return df.repartition(target) if parts < target else df
 
 
 def orders(spark, sf_dir):
