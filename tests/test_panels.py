@@ -91,3 +91,22 @@ def test_filtered_panel_equals_panel_of_filtered_base(spark, small_base):
 def test_missing_column_gives_empty_frame_of_panel_schema(small_base):
     out = panels.panel_status(small_base)  # the small base has no journey_status column
     assert out.count() == 0 and out.columns == ["journey_status", "count", "share_pct"]
+
+
+def test_materialised_base_prunes_month_partitions(spark):
+    import os
+    import uuid
+
+    from ticketlens.plans import star
+    from ticketlens.session import checkpoint_dir
+    from ticketlens.sources.rides import rides
+    from tests.conftest import SF001
+
+    r = rides(spark, SF001)
+    live = panels.PanelBase(star.flat_denormalised(r), star.station_union_distinct(r))
+    stored = live.materialised(os.path.join(checkpoint_dir(spark), "base-" + uuid.uuid4().hex))
+    f = PanelFilters(month=3)
+    df = panels.panel_revenue_refund(stored, f)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan and "(month#" in plan
+    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, panels.panel_revenue_refund(live, f).collect()))

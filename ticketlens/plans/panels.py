@@ -45,6 +45,14 @@ class PanelBase:
     def filtered(self, filters: PanelFilters | None) -> DataFrame:
         return apply_filters(self.base, filters)
 
+    def materialised(self, path: str, partition_by: tuple[str, ...] = ("month",)) -> "PanelBase":
+        """Write the base once as Parquet partitioned by ``partition_by`` (S4) and serve panels
+        from the stored table: the month filter then prunes partitions instead of scanning all
+        rows, and every panel request reads only the columns it aggregates."""
+        self.base.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+        spark = self.base.sparkSession
+        return PanelBase(spark.read.parquet(path), self.location)
+
 
 def _guard(pb: PanelBase, needed: list[str], out_fields: list[tuple[str, DataType]]):
     """a panel whose source column is missing is an empty frame of the panel's schema."""

@@ -163,8 +163,7 @@ _q("dim_journey_b", lambda s, d: star.dim_journey_b(_tickets(s, d)),
 
 
 def _fact_b(s, d):
-    t = _tickets(s, d)
-    return star.fact_b(t, star.dim_time_b(t), star.dim_journey_b(t))
+    return star.StarB(_tickets(s, d)).fact
 
 
 _q("fact_b", _fact_b, with_ctes(["fact_b"], "SELECT * FROM fact_b"))

@@ -207,6 +207,22 @@ def fact_b(tickets: DataFrame, time_b: DataFrame, journey_b: DataFrame) -> DataF
                             "time_id", "journey_id")
 
 
+class StarB:
+    """The three tables of variant B over one materialised input. The input feeds both distinct
+    dims and the fact; a reliable checkpoint (shared folder) computes its upstream joins once
+    instead of three times."""
+
+    def __init__(self, tickets: DataFrame, materialise: bool = True):
+        if materialise:
+            from ticketlens.session import checkpoint_dir
+            checkpoint_dir(tickets.sparkSession)
+            tickets = tickets.checkpoint(eager=True)
+        self.tickets = tickets
+        self.time = dim_time_b(tickets)
+        self.journey = dim_journey_b(tickets)
+        self.fact = fact_b(tickets, self.time, self.journey)
+
+
 def fk_null_check(fact: DataFrame) -> DataFrame:
     """K3: null Time/Journey ids after the lookups (expected 0)."""
     return fact.agg(F.count_if(F.col("time_id").isNull()).alias("null_time_ids"),
