@@ -47,3 +47,8 @@ def test_epoch_dates(spark):
     df = spark.createDataFrame([("1704067200000",), ("x",)], "ms string")
     out = [r.d for r in files.with_epoch_dates(df, {"ms": "d"}).collect()]
     assert str(out[0]) == "2024-01-01" and out[1] is None
+
+
+def test_scan_table_all(spark):
+    spark.range(3).createOrReplaceTempView("t_scan_all")
+    assert files.scan_table_all(spark, "t_scan_all").count() == 3

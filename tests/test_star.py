@@ -71,3 +71,15 @@ def test_variant_b_null_safe_lookup(spark):
     assert star.fk_null_check(f).first().asDict() == {"null_time_ids": 0, "null_journey_ids": 0}
     ids = {(r.transaction_id, r.line_number): (r.time_id, r.journey_id) for r in f.collect()}
     assert ids[("T1", 1)] == ids[("T1", 2)]
+
+
+def test_fact_skeleton_and_string_keys(spark):
+    from ticketlens.operators.clean import notebook_clean
+    r = rides(spark, SF001)
+    sk = star.fact_skeleton(notebook_clean(r))
+    assert sk.where("time_id IS NOT NULL OR departure_station_id IS NOT NULL").count() == 0
+    s = star.StarA(r)
+    f = star.cast_keys_string(s.fact, ["time_id"])
+    t = star.cast_keys_string(s.time.select("time_id", "hour_of_day"), ["time_id"])
+    joined = f.join(t, "time_id", "left")
+    assert joined.count() == s.fact.count() and joined.where("hour_of_day IS NULL").count() == 0

@@ -90,6 +90,12 @@ _q("filter_month_name",
                         "WHERE strftime(date_of_purchase, '%B') = 'January' "
                         "ORDER BY date_of_purchase, time_of_purchase, transaction_id LIMIT 5"))
 
+_q("filter_invalid_dates",
+   lambda s, d: profile.head_n(_rides(s, d).where(
+       F.col("date_of_purchase").isNull() | F.col("date_of_journey").isNull()), ["transaction_id"], 5),
+   with_ctes(["rides"], "SELECT * FROM rides WHERE date_of_purchase IS NULL OR date_of_journey IS NULL "
+                        "ORDER BY transaction_id LIMIT 5"))
+
 # ------------------------------------------------------------------ derived columns
 
 _q("calendar_parts",
@@ -220,6 +226,12 @@ _q("hourly_transactions_events",
                             "number_of_transactions"),
    "SELECT CAST(hour(ts) AS INTEGER) AS hour, count(*) AS number_of_transactions FROM events "
    "WHERE ts IS NOT NULL GROUP BY 1")
+_q("hour_spine",
+   lambda s, d: reports.hourly_spine(s, _rides(s, d).select(hour_of_day("time_of_purchase").alias("hour"))),
+   with_ctes(["rides"], f"SELECT CAST(h.hour AS INTEGER) AS hour, CAST(coalesce(c.n, 0) AS BIGINT) "
+             "AS number_of_transactions FROM range(24) h(hour) LEFT JOIN (SELECT "
+             f"{secs('time_of_purchase')} // 3600 AS hour, count(*) AS n FROM rides GROUP BY 1) c "
+             "ON h.hour = c.hour"))
 _q("hour_spine_events",
    lambda s, d: reports.hourly_spine(s, tables.events(s, d).select(F.hour("ts").alias("hour"))),
    "SELECT CAST(h.hour AS INTEGER) AS hour, CAST(coalesce(c.n, 0) AS BIGINT) AS number_of_transactions "

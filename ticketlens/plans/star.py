@@ -89,6 +89,26 @@ def fact_transactions(ided: DataFrame, location: DataFrame) -> DataFrame:
                     "refund_request"))
 
 
+FK_COLUMNS = ["departure_station_id", "arrival_station_id", "time_id", "journey_id"]
+
+
+def fact_skeleton(cleaned: DataFrame) -> DataFrame:
+    """P2 + P3: the fact's measures under their fact names plus all-null foreign-key columns, the
+    notebook's intermediate state before the lookups fill them (:func:`fact_transactions` builds
+    the filled table directly)."""
+    out = cleaned.select(*FACT_MEASURES)
+    for c in FK_COLUMNS:
+        out = out.withColumn(c, F.lit(None).cast("long" if c in ("time_id", "journey_id") else "int"))
+    return out
+
+
+def cast_keys_string(df: DataFrame, cols: list[str]) -> DataFrame:
+    """P5: join keys as text on both sides of a join (the app reads ids as text)."""
+    for c in cols:
+        df = df.withColumn(c, F.col(c).cast("string"))
+    return df
+
+
 FACT_MEASURES = ["transaction_id", "purchase_type", "payment_method", "railcard", "ticket_class",
                  "ticket_type", "price", "journey_status", "refund_request"]
 
