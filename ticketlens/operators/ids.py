@@ -7,8 +7,7 @@ rows per partition, and the per-partition offsets (one row per partition: a size
 broadcast back. ``monotonically_increasing_id`` is (partition << 33) + position inside the
 partition, so position = mid − (pid << 33) with no second shuffle.
 
-The tagged frame is materialised once with a reliable ``checkpoint()`` in the shared checkpoint
-folder before it feeds both the count branch and the id branch. Without it each branch would run
+The tagged frame is materialised once as a written table in the shared checkpoint folder before it feeds both the count branch and the id branch. Without it each branch would run
 its own range exchange (column pruning makes them differ, so no exchange reuse), sampling its own
 range bounds; after an upstream shuffle the sample — and so the partition of a row — can differ
 between the two, and ids would silently be wrong. The checkpoint also keeps a lost executor from
@@ -20,13 +19,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ticketlens.session import checkpoint_dir
+from ticketlens.session import materialise
 
 
 def _materialise(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the session's shared checkpoint folder (set only when unset)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Written table in the session's shared checkpoint folder (see :func:`materialise`)."""
+    return materialise(df, "tagged")
 
 
 def _cols(order_by) -> list[Column]:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketlens.functions.money import round2
-from ticketlens.operators.ids import with_contiguous_id, with_running_total
+from ticketlens.operators.ids import _materialise, with_contiguous_id, with_running_total
 
 VALUE_TYPE = "decimal(38,6)"
 QUARTILES = (0.25, 0.5, 0.75)
@@ -78,36 +78,39 @@ def all_modes(df: DataFrame, cols: list[str]) -> DataFrame:
             .orderBy("column_name", "mode"))
 
 
-def _moments(df: DataFrame, cols: list[str]) -> DataFrame:
-    """One pass of mergeable aggregates per column, stacked to one row per column."""
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, c in enumerate(cols):
-        aggs += [F.count(c).alias(f"_cnt{i}"), F.sum(F.col(c).cast(VALUE_TYPE)).alias(f"_sum{i}"),
-                 F.min(F.col(c).cast(VALUE_TYPE)).alias(f"_min{i}"),
-                 F.max(F.col(c).cast(VALUE_TYPE)).alias(f"_max{i}"),
-                 F.stddev_samp(F.col(c).cast("double")).alias(f"_std{i}")]
-    one = df.agg(*aggs)
-    return one.select(F.inline(F.array(*[F.struct(
-        F.lit(i).alias("ordinal"), F.lit(c).alias("column_name"), F.col("_rows").alias("rows"),
-        F.col(f"_cnt{i}").alias("non_null"), F.col(f"_sum{i}").alias("total"),
-        F.col(f"_min{i}").alias("min"), F.col(f"_max{i}").alias("max"),
-        F.col(f"_std{i}").alias("std")) for i, c in enumerate(cols)])))
-
+def _numeric_tables(df: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(per-column stats, wide quartiles, lowest modes), all from one frequency table.
 
-def _quartile_columns(df: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame]:
-    freq = frequency_table(df, cols)
+    The source is scanned once: the (column, value) → count table (null values included) is
+    materialised in the shared checkpoint folder, and counts, totals, min/max, the two-pass sample
+    standard deviation, the exact quartiles and the modes are small aggregates over it."""
+    freq_all = _materialise(_stack(df, cols, VALUE_TYPE)
+                            .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt")))
+    freq = freq_all.where(F.col("value").isNotNull())
+    nn = F.when(F.col("value").isNotNull(), F.col("cnt"))
+    stats = freq_all.groupBy("column_name").agg(
+        F.sum("cnt").alias("rows"), F.coalesce(F.sum(nn), F.lit(0)).alias("non_null"),
+        F.sum(F.col("value") * F.col("cnt")).alias("total"),
+        F.min("value").alias("min"), F.max("value").alias("max"))
+    mean = F.try_divide(F.col("total").cast("double"), F.col("non_null").cast("double"))
+    stats = stats.withColumn("_mean", mean)
+    dev = freq.join(F.broadcast(stats.select("column_name", "_mean")), "column_name").groupBy(
+        "column_name").agg(F.sum(F.col("cnt") * F.pow(F.col("value").cast("double") - F.col("_mean"),
+                                                      2)).alias("_ss"))
+    stats = (stats.join(F.broadcast(dev), "column_name", "left")
+             .withColumn("std", F.when(F.col("non_null") > 1, F.sqrt(
+                 F.col("_ss") / (F.col("non_null") - 1).cast("double")))))
     quant = exact_quantiles(freq)
     wide = quant.groupBy("column_name").agg(*[
         F.max(F.when(F.col("p") == F.lit(p).cast("decimal(10,4)"), F.col("quantile"))).alias(n)
         for p, n in zip(QUARTILES, ("q1", "q2", "q3"))])
-    return wide, lowest_modes(freq)
+    return stats, wide, lowest_modes(freq)
 
 
 def describe(df: DataFrame, cols: list[str]) -> DataFrame:
     """pandas ``describe()`` of numeric columns, one row per column (Q1): count (non-null), mean,
     sample std, min, exact 25/50/75 % (linear), max — rounded to 2 decimals."""
-    m = _moments(df, cols)
-    wide, _ = _quartile_columns(df, cols)
+    m, wide, _ = _numeric_tables(df, cols)
     j = m.join(F.broadcast(wide), "column_name", "left")
     return j.select(
         "column_name", F.col("non_null").alias("count"),
@@ -121,8 +124,7 @@ def numeric_profile(df: DataFrame, cols: list[str], skip_quartiles_for=()) -> Da
     """analyze_column(numeric) for several columns (Q7): rows (incl. nulls), total, mean, median,
     lowest mode, Q1–Q3, IQR, sample std, min, max; 2-decimal rounding as printed upstream.
     ``skip_quartiles_for`` nulls the quartiles of date-like columns (the revised notebook)."""
-    m = _moments(df, cols)
-    wide, modes = _quartile_columns(df, cols)
+    m, wide, modes = _numeric_tables(df, cols)
     j = (m.join(F.broadcast(wide), "column_name", "left")
          .join(F.broadcast(modes), "column_name", "left"))
     skip = F.lower("column_name").isin([s.lower() for s in skip_quartiles_for]) \

@@ -229,14 +229,13 @@ def fact_b(tickets: DataFrame, time_b: DataFrame, journey_b: DataFrame) -> DataF
 
 class StarB:
     """The three tables of variant B over one materialised input. The input feeds both distinct
-    dims and the fact; a reliable checkpoint (shared folder) computes its upstream joins once
-    instead of three times."""
+    dims and the fact; writing it once to the shared checkpoint folder computes its upstream joins
+    once instead of three times."""
 
     def __init__(self, tickets: DataFrame, materialise: bool = True):
         if materialise:
-            from ticketlens.session import checkpoint_dir
-            checkpoint_dir(tickets.sparkSession)
-            tickets = tickets.checkpoint(eager=True)
+            from ticketlens.session import materialise as write_once
+            tickets = write_once(tickets, "tickets")
         self.tickets = tickets
         self.time = dim_time_b(tickets)
         self.journey = dim_journey_b(tickets)

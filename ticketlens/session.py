@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. AQE re-plans joins by measured size (broadcast only when the
 # runtime size is under spark.sql.autoBroadcastJoinThreshold, sort-merge otherwise), coalesces
@@ -57,3 +58,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
         path = tempfile.mkdtemp(prefix="ticketlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         sc.setCheckpointDir(path)
     return path
+
+
+def materialise(df: DataFrame, label: str = "t") -> DataFrame:
+    """Cut lineage by writing ``df`` once as a Parquet table in the shared checkpoint folder and
+    reading it back.
+
+    Unlike ``Dataset.checkpoint(eager=True)``, whose eager count and checkpoint write each compute
+    the plan, the upstream runs once; the stored copy is columnar and compressed, and a lost
+    executor re-reads it instead of recomputing (possibly differently partitioned) upstream rows.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{label}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
