@@ -10,11 +10,48 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_no_python_udfs_or_pair_joins(spark):
+def _nodes(node):
+    """Every physical node under ``node``, looking through adaptive-plan wrappers."""
+    stack = [node]
+    while stack:
+        n = stack.pop()
+        yield n
+        kind = n.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            stack.append(n.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            stack.append(n.plan())
+        seq = n.children()
+        for i in range(seq.size()):
+            stack.append(seq.apply(i))
+
+
+def _unpartitioned_windows_over_rows(jplan) -> int:
+    """Windows without PARTITION BY whose input is not an aggregate: such a window pulls every row
+    of its input into one task. Over an aggregate it sees one row per group (bounded)."""
+    bad = 0
+    for n in _nodes(jplan):
+        if n.getClass().getSimpleName() == "WindowExec" and n.partitionSpec().isEmpty():
+            below = {m.getClass().getSimpleName() for m in _nodes(n)}
+            if not any("Aggregate" in c or c == "LocalTableScanExec" for c in below):
+                bad += 1
+    return bad
+
+
+def test_no_python_udfs_pair_joins_or_row_level_global_windows(spark):
     for name, fn in entry.queries().items():
-        plan = _plan(fn(spark, SF001))
+        jplan = fn(spark, SF001)._jdf.queryExecution().executedPlan()
+        plan = jplan.toString()
         for op in FORBIDDEN:
             assert op not in plan, f"{name}: {op}"
+        assert _unpartitioned_windows_over_rows(jplan) == 0, name
+
+
+def test_window_check_catches_a_row_level_global_window(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+    df = spark.range(100).withColumn("n", F.row_number().over(Window.orderBy("id")))
+    assert _unpartitioned_windows_over_rows(df._jdf.queryExecution().executedPlan()) == 1
 
 
 def test_scans_are_column_pruned(spark):
