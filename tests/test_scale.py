@@ -97,3 +97,18 @@ def test_hot_category_panel_and_value_counts(spark):
     base = panels.PanelBase(df.select("ticket_type", "price"))
     out = {r.ticket_type: r.revenue for r in panels.panel_revenue_ticket(base).collect()}
     assert out == {k: float(v) for k, v in expect.items()}
+
+
+def test_drop_materialised_removes_only_this_apps_tables(spark):
+    import os
+
+    from ticketlens.session import _tables_root, checkpoint_dir, drop_materialised, materialise
+    other = os.path.join(checkpoint_dir(spark), "tables", "another-app")
+    os.makedirs(other, exist_ok=True)
+    t = materialise(spark.range(10), "probe")
+    assert t.count() == 10
+    root = _tables_root(spark)
+    assert os.path.isdir(root.replace("file:", ""))
+    assert drop_materialised(spark)
+    assert not os.path.exists(root.replace("file:", "")) and os.path.isdir(other)
+    assert not drop_materialised(spark)  # nothing left to drop

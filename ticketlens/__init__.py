@@ -8,6 +8,6 @@ Layers:
   streaming/  incremental panel aggregates over arriving ride files
 """
 
-from ticketlens.session import get_spark, checkpoint_dir
+from ticketlens.session import checkpoint_dir, drop_materialised, get_spark, materialise
 
-__all__ = ["get_spark", "checkpoint_dir"]
+__all__ = ["get_spark", "checkpoint_dir", "materialise", "drop_materialised"]

@@ -69,6 +69,29 @@ def materialise(df: DataFrame, label: str = "t") -> DataFrame:
     executor re-reads it instead of recomputing (possibly differently partitioned) upstream rows.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{label}-{uuid.uuid4().hex}"
+    path = f"{_tables_root(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def _tables_root(spark: SparkSession) -> str:
+    """This application's folder of written tables: one subfolder per application id, so that
+    :func:`drop_materialised` never touches another job's tables in the shared folder."""
+    app = spark.conf.get("spark.app.id", None) or "app"
+    return f"{checkpoint_dir(spark).rstrip('/')}/tables/{app}"
+
+
+def drop_materialised(spark: SparkSession) -> bool:
+    """Delete every table this application wrote with :func:`materialise`.
+
+    At scale these are full copies of fact-sized frames, so a batch job calls this once at its end,
+    after the last action. Frames that read the dropped tables can no longer be evaluated.
+    Returns False when there is nothing to drop or no JVM file system (a remote session)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - remote session: the server owns the folder
+        return False
+    path = jvm.org.apache.hadoop.fs.Path(_tables_root(spark))
+    fs = path.getFileSystem(conf)
+    return bool(fs.exists(path) and fs.delete(path, True))
