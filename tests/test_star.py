@@ -83,3 +83,18 @@ def test_fact_skeleton_and_string_keys(spark):
     t = star.cast_keys_string(s.time.select("time_id", "hour_of_day"), ["time_id"])
     joined = f.join(t, "time_id", "left")
     assert joined.count() == s.fact.count() and joined.where("hour_of_day IS NULL").count() == 0
+
+
+def test_dim_keys_are_unique_so_left_joins_keep_fact_rows(spark):
+    from ticketlens.sources.rides import ride_tickets
+    r = rides(spark, SF001)
+    a = star.StarA(r)
+    b = star.StarB(ride_tickets(spark, SF001))
+    for dim, keys in [(a.location, ["station_id"]), (a.location, ["station_name"]),
+                      (a.time, ["time_id"]), (a.journey, ["journey_id"]),
+                      (b.time, ["time_id"]), (b.time, star.TIME_B_COLS),
+                      (b.journey, ["journey_id"]), (b.journey, star.JOURNEY_B_COLS)]:
+        # groupBy treats null parts as equal, matching the <=> lookups
+        assert dim.groupBy(*keys).count().where("count > 1").count() == 0, keys
+    assert b.fact.count() == b.tickets.count()
+    assert star.fk_null_check(b.fact).first().asDict() == {"null_time_ids": 0, "null_journey_ids": 0}
