@@ -51,15 +51,25 @@ def with_contiguous_id(df: DataFrame, order_by: list, id_col: str,
             .drop("_pid", "_mid", "_off"))
 
 
-def with_running_total(df: DataFrame, order_by: list, weight: str, out_col: str) -> DataFrame:
+def range_tagged(df: DataFrame, order_by: list) -> DataFrame:
+    """``df`` range-partitioned on ``order_by`` with its partition id in ``_pid``, written once:
+    partition ids increase with the order (AQE only merges neighbouring ranges), and the stored
+    copy keeps every later reader on the same ids."""
+    return _materialise(df.repartitionByRange(*_cols(order_by))
+                        .withColumn("_pid", F.spark_partition_id()))
+
+
+def with_running_total(df: DataFrame, order_by: list, weight: str, out_col: str,
+                       tagged: bool = False) -> DataFrame:
     """Add ``out_col`` = sum of ``weight`` over all rows strictly before this one in ``order_by``.
 
     Meant for aggregated frames (e.g. value → count tables). Same range-partition + broadcast
     offsets scheme as :func:`with_contiguous_id`; the in-partition running sum is a window keyed by
-    the partition id, so each range partition stays one task.
+    the partition id, so each range partition stays one task. ``tagged=True`` means ``df`` already
+    comes from :func:`range_tagged` on the same order.
     """
     order = _cols(order_by)
-    tagged = _materialise(df.repartitionByRange(*order).withColumn("_pid", F.spark_partition_id()))
+    tagged = df if tagged else range_tagged(df, order)
     w_in = Window.partitionBy("_pid").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = tagged.withColumn("_local", F.coalesce(F.sum(weight).over(w_in), F.lit(0)))
     per_part = tagged.groupBy("_pid").agg(F.sum(weight).alias("_n"))

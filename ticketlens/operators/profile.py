@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ticketlens.functions.money import round2
-from ticketlens.operators.ids import _materialise, with_contiguous_id, with_running_total
+from ticketlens.operators.ids import range_tagged, with_contiguous_id, with_running_total
 
 VALUE_TYPE = "decimal(38,6)"
 QUARTILES = (0.25, 0.5, 0.75)
@@ -32,10 +32,16 @@ def frequency_table(df: DataFrame, cols: list[str], cast: str = VALUE_TYPE) -> D
             .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt")))
 
 
-def exact_quantiles(freq: DataFrame, probs=QUARTILES) -> DataFrame:
+FREQ_ORDER = ["column_name", "value"]
+
+
+def exact_quantiles(freq: DataFrame, probs=QUARTILES, tagged: bool = False) -> DataFrame:
     """(column_name, p, quantile) with linear interpolation between order statistics (pandas /
-    ``percentile`` semantics), in exact decimal arithmetic."""
-    cum = with_running_total(freq, ["column_name", "value"], "cnt", "_before")
+    ``percentile`` semantics), in exact decimal arithmetic. ``tagged=True``: ``freq`` comes from
+    :func:`range_tagged` on (column_name, value) and may hold null-value rows (they sort first in
+    their column and are dropped after the running total, so ranks count non-null values only)."""
+    cum = with_running_total(freq, FREQ_ORDER, "cnt", "_before", tagged=tagged)
+    cum = cum.where(F.col("value").isNotNull())
     starts = cum.groupBy("column_name").agg(F.min("_before").alias("_start"),
                                             F.sum("cnt").alias("_n"))
     targets = (starts
@@ -82,10 +88,12 @@ def _numeric_tables(df: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFram
     """(per-column stats, wide quartiles, lowest modes), all from one frequency table.
 
     The source is scanned once: the (column, value) → count table (null values included) is
-    materialised in the shared checkpoint folder, and counts, totals, min/max, the two-pass sample
-    standard deviation, the exact quartiles and the modes are small aggregates over it."""
-    freq_all = _materialise(_stack(df, cols, VALUE_TYPE)
-                            .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt")))
+    range-partitioned on (column, value) and written once to the shared checkpoint folder; counts,
+    totals, min/max, the two-pass sample standard deviation, the modes and — through the running
+    count over the same stored ranges — the exact quartiles are small aggregates over it."""
+    tagged = range_tagged(_stack(df, cols, VALUE_TYPE)
+                          .groupBy(*FREQ_ORDER).agg(F.count(F.lit(1)).alias("cnt")), FREQ_ORDER)
+    freq_all = tagged.drop("_pid")
     freq = freq_all.where(F.col("value").isNotNull())
     nn = F.when(F.col("value").isNotNull(), F.col("cnt"))
     stats = freq_all.groupBy("column_name").agg(
@@ -100,7 +108,7 @@ def _numeric_tables(df: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFram
     stats = (stats.join(F.broadcast(dev), "column_name", "left")
              .withColumn("std", F.when(F.col("non_null") > 1, F.sqrt(
                  F.col("_ss") / (F.col("non_null") - 1).cast("double")))))
-    quant = exact_quantiles(freq)
+    quant = exact_quantiles(tagged, tagged=True)
     wide = quant.groupBy("column_name").agg(*[
         F.max(F.when(F.col("p") == F.lit(p).cast("decimal(10,4)"), F.col("quantile"))).alias(n)
         for p, n in zip(QUARTILES, ("q1", "q2", "q3"))])
