@@ -27,13 +27,15 @@ def _nodes(node):
 
 
 def _unpartitioned_windows_over_rows(jplan) -> int:
-    """Windows without PARTITION BY whose input is not an aggregate: such a window pulls every row
-    of its input into one task. Over an aggregate it sees one row per group (bounded)."""
+    """Windows without PARTITION BY whose input is neither an aggregate nor a limit: such a window
+    pulls every row of its input into one task. Over an aggregate it sees one row per group, over
+    a top-k at most k rows (bounded)."""
     bad = 0
     for n in _nodes(jplan):
         if n.getClass().getSimpleName() == "WindowExec" and n.partitionSpec().isEmpty():
             below = {m.getClass().getSimpleName() for m in _nodes(n)}
-            if not any("Aggregate" in c or c == "LocalTableScanExec" for c in below):
+            if not any("Aggregate" in c or "Limit" in c or c in ("LocalTableScanExec",
+                       "TakeOrderedAndProjectExec") for c in below):
                 bad += 1
     return bad
 

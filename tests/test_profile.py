@@ -66,4 +66,10 @@ def test_row_at_position_and_head(spark):
     df = spark.createDataFrame([(i, f"r{i}") for i in range(1000)], "k int, v string").repartition(5)
     got = [(r.position, r.k) for r in profile.row_at_position(df, ["k"], [0, 1, 777]).collect()]
     assert got == [(0, 0), (1, 1), (777, 777)]
+    # positions past the top-k bound take the contiguous-id route, same rows
+    via_ids = profile.row_at_position(df, ["k"], [0, 1, 777], max_topk=100)
+    assert [(r.position, r.k) for r in via_ids.collect()] == got
+    def types(d):
+        return [(f.name, f.dataType) for f in d.schema]
+    assert types(via_ids) == types(profile.row_at_position(df, ["k"], [0, 1, 777]))
     assert [r.k for r in profile.head_n(df, ["k"], 3).collect()] == [0, 1, 2]

@@ -10,7 +10,7 @@ frame bounded by (#columns × #quantiles) that is broadcast into a range lookup.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ticketlens.functions.money import round2
@@ -218,11 +218,24 @@ def distinct_count_per_column(df: DataFrame, cols: list[str]) -> DataFrame:
         .orderBy("column_name")
 
 
-def row_at_position(df: DataFrame, order_by: list, positions: list[int]) -> DataFrame:
-    """Rows at 0-based positions of a stated order (Q10)."""
-    ided = with_contiguous_id(df, order_by, "_id")
-    return (ided.where(F.col("_id").isin([p + 1 for p in positions]))
-            .withColumn("position", F.col("_id") - 1).drop("_id").orderBy("position"))
+TOPK_POSITIONS = 100_000
+
+
+def row_at_position(df: DataFrame, order_by: list, positions: list[int],
+                    max_topk: int = TOPK_POSITIONS) -> DataFrame:
+    """Rows at 0-based positions of a stated order (Q10); ``order_by`` should make rows unique.
+
+    Positions below ``max_topk`` come from the first max+1 rows: each task keeps its own top rows
+    and one bounded merge ranks them (TakeOrderedAndProject), so the table is neither shuffled nor
+    written. Larger positions get contiguous ids (range shuffle, see :mod:`ids`)."""
+    wanted = [p + 1 for p in positions]
+    if max(wanted) <= max_topk:
+        top = df.orderBy(*order_by).limit(max(wanted))
+        ided = top.withColumn("_id", F.row_number().over(Window.orderBy(*order_by)))
+    else:
+        ided = with_contiguous_id(df, order_by, "_id")
+    return (ided.where(F.col("_id").isin(wanted))
+            .withColumn("position", (F.col("_id") - 1).cast("long")).drop("_id").orderBy("position"))
 
 
 def head_n(df: DataFrame, order_by: list, n: int = 5) -> DataFrame:
