@@ -517,14 +517,13 @@ for _name, _f in (("panel_top5_stations__station", PanelFilters(station="NATION_
 
 
 def _csv_round_trip(s, d):
-    """S4 then S1: write the flat table as CSV (missing values as the text ``None``) into the shared
-    checkpoint folder and scan it back with the explicit schema."""
-    import uuid
-
-    from ticketlens.session import checkpoint_dir
+    """S4 then S1: write the flat table as CSV (missing values as the text ``None``) into this
+    application's folder under the shared checkpoint folder and scan it back with the explicit
+    schema."""
+    from ticketlens.session import scratch_path
     from ticketlens.sources.files import scan_rides_csv
 
-    path = f"{checkpoint_dir(s).rstrip('/')}/rides-csv-{uuid.uuid4().hex}"
+    path = scratch_path(s, "rides-csv")
     _rides(s, d).write.mode("overwrite").option("header", True).option("nullValue", "None").csv(path)
     return scan_rides_csv(s, path)
 

@@ -69,11 +69,17 @@ def materialise(df: DataFrame, label: str = "t") -> DataFrame:
     executor re-reads it instead of recomputing (possibly differently partitioned) upstream rows.
     """
     spark = df.sparkSession
-    path = f"{_tables_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh folder for a table this application writes and reads back (removed by
+    :func:`drop_materialised`)."""
+    return f"{_tables_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
 def _tables_root(spark: SparkSession) -> str:
     """This application's folder of written tables: one subfolder per application id, so that
     :func:`drop_materialised` never touches another job's tables in the shared folder."""
