@@ -345,7 +345,13 @@ _q("profile_numeric_all_modes", lambda s, d: profile.all_modes(_numeric_frame(s,
 f AS (SELECT column_name, value, count(*) AS cnt FROM st WHERE value IS NOT NULL GROUP BY 1, 2)
 SELECT column_name, {r2('value')} AS mode, cnt AS mode_count FROM f
 WHERE cnt = (SELECT max(cnt) FROM f f2 WHERE f2.column_name = f.column_name)"""))
-_q("profile_schema", lambda s, d: profile.schema_profile(_rides(s, d)), None)
+# DuckDB's own type of each derived column, spelled as Spark names it (VARCHAR → string, ...).
+_SPARK_TYPE_NAME = "lower(replace(replace(min(typeof({c})), 'VARCHAR', 'string'), 'INTEGER', 'int'))"
+_q("profile_schema", lambda s, d: profile.schema_profile(_rides(s, d)),
+   with_ctes(["rides"], " UNION ALL ".join(
+       f"SELECT {i} AS ordinal, '{c}' AS column_name, {_SPARK_TYPE_NAME.format(c=c)} AS data_type, "
+       f"count({c}) AS non_null_count, count(*) AS row_count, {len(RIDES_COLUMNS)} AS column_count "
+       "FROM rides" for i, c in enumerate(RIDES_COLUMNS))))
 _q("profile_null_counts", lambda s, d: profile.null_counts(_rides(s, d)),
    with_ctes(["rides"], " UNION ALL ".join(
        f"SELECT {i} AS ordinal, '{c}' AS column_name, count(*) - count({c}) AS null_count FROM rides"
