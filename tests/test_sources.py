@@ -44,9 +44,18 @@ def test_trim_column_names(spark):
 
 
 def test_epoch_dates(spark):
-    df = spark.createDataFrame([("1704067200000",), ("x",)], "ms string")
-    out = [r.d for r in files.with_epoch_dates(df, {"ms": "d"}).collect()]
-    assert str(out[0]) == "2024-01-01" and out[1] is None
+    df = spark.createDataFrame([("1704067200000",), ("x",), ("1704067199999",), ("-1",),
+                                ("-86400000",), ("9223372036854775807",), ("-9223372036854775808",),
+                                ("12.5",)], "ms string")
+    out = [str(r.d) for r in files.with_epoch_dates(df, {"ms": "d"}).collect()]
+    assert out == ["2024-01-01", "None", "2023-12-31", "1969-12-31", "1969-12-31", "None", "None",
+                   "None"]
+    tz = spark.conf.get("spark.sql.session.timeZone")
+    try:  # day arithmetic: the session time zone does not move the date
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        assert str(files.with_epoch_dates(df.limit(1), {"ms": "d"}).first().d) == "2024-01-01"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", tz)
 
 
 def test_scan_table_all(spark):

@@ -46,7 +46,14 @@ def parse_date_strict(text) -> Column:
     return F.to_date(_c(text))
 
 
+MS_PER_DAY = 86_400_000
+# Spark's date range (0001-01-01 .. 9999-12-31) in days from 1970-01-01.
+MIN_UNIX_DAY, MAX_UNIX_DAY = -719_162, 2_932_896
+
+
 def epoch_millis_to_date(col) -> Column:
-    """Epoch milliseconds (number or numeric text) → date; bad values → null (S3)."""
+    """Epoch milliseconds (number or numeric text; UTC by definition) → date; bad or out-of-range
+    values → null (S3). Exact integer day arithmetic, so the session time zone plays no part."""
     ms = _c(col).try_cast("bigint")
-    return F.to_date(F.timestamp_millis(ms))
+    day = (F.try_subtract(ms, F.pmod(ms, F.lit(MS_PER_DAY))) / F.lit(MS_PER_DAY)).cast("bigint")
+    return F.when(day.between(MIN_UNIX_DAY, MAX_UNIX_DAY), F.date_from_unix_date(day.cast("int")))

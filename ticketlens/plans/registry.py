@@ -535,6 +535,59 @@ def _csv_round_trip(s, d):
 
 
 _q("scan_rides_csv", _csv_round_trip, with_ctes(["rides"], "SELECT * FROM rides"))
+
+
+def _star_csv_round_trip(s, d):
+    """S4 then S2 and J5: write the four star tables of variant A as CSV (header, no index) into
+    this application's scratch folder, scan them back with their schemas, and denormalise the
+    scanned tables — the dashboard's start-up path."""
+    from ticketlens.session import scratch_path
+    from ticketlens.sources.files import scan_star, write_star
+
+    a = star.StarA(_rides(s, d))
+    folder = scratch_path(s, "star-csv")
+    write_star({"fact_transactions": a.fact, "dim_time": a.time, "dim_journey": a.journey,
+                "dim_location": a.location}, folder, "csv")
+    t = scan_star(s, folder, "csv")
+    return star.denormalise(t["fact_transactions"], t["dim_time"], t["dim_journey"],
+                            t["dim_location"])
+
+
+_q("scan_star_denormalised", _star_csv_round_trip, with_ctes(["denorm"], "SELECT * FROM denorm"))
+
+
+def _epoch_dates(s, d):
+    """S3: purchase instants stored as epoch-millisecond text (the order date plus a time of day
+    from the order key), read back as dates."""
+    from ticketlens.functions.calendar import MS_PER_DAY
+    from ticketlens.sources.files import with_epoch_dates
+
+    o = tables.table(s, d, "orders", ["o_orderkey", "o_orderdate"])
+    ms = (F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint") * MS_PER_DAY
+          + (F.col("o_orderkey") * 7919) % MS_PER_DAY)
+    src = o.select("o_orderkey", ms.cast("string").alias("purchase_ms"))
+    return with_epoch_dates(src, {"purchase_ms": "purchase_date"})
+
+
+def _table_all(s, d):
+    """``SELECT *`` from a catalog view of the flat table (S6 trims its column names)."""
+    from ticketlens.sources.files import scan_table_all, trim_column_names
+
+    trim_column_names(_rides(s, d)).createOrReplaceTempView("ticketlens_rides")
+    return scan_table_all(s, "ticketlens_rides")
+
+
+_q("scan_table_all", _table_all, with_ctes(["rides"], "SELECT * FROM rides"))
+_q("scan_epoch_dates", _epoch_dates, """
+WITH src AS (SELECT o_orderkey, CAST(CAST(CAST(o_orderdate AS DATE) - DATE '1970-01-01' AS BIGINT)
+                    * 86400000 + (o_orderkey * 7919) % 86400000 AS VARCHAR) AS purchase_ms
+             FROM orders),
+t AS (SELECT *, TRY_CAST(purchase_ms AS BIGINT) AS ms FROM src),
+u AS (SELECT *, (ms - ((ms % 86400000) + 86400000) % 86400000) // 86400000 AS dd FROM t)
+SELECT o_orderkey, purchase_ms,
+  CASE WHEN dd BETWEEN -719162 AND 2932896 THEN DATE '1970-01-01' + CAST(dd AS INTEGER) END
+    AS purchase_date
+FROM u""")
 _q("profile_schema_counts", lambda s, d: profile.schema_profile(_rides(s, d)).select(
     "ordinal", "column_name", "non_null_count", "row_count", "column_count"),
    with_ctes(["rides"], " UNION ALL ".join(
