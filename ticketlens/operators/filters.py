@@ -41,6 +41,17 @@ def apply_filters(df: DataFrame, filters: PanelFilters | None) -> DataFrame:
     return df
 
 
+def filter_condition(df: DataFrame, filters: PanelFilters | None):
+    """The same AND of active filters as one boolean column (None when no filter applies), for
+    conditional aggregates over the unfiltered rows."""
+    cond = None
+    for col, v in (filters.predicates() if filters is not None else []):
+        if col in df.columns:
+            c = F.col(col) == F.lit(v)
+            cond = c if cond is None else cond & c
+    return cond
+
+
 def column_guard(spark: SparkSession, df: DataFrame, needed: list[str],
                  schema: StructType) -> DataFrame | None:
     """when a needed column is missing, the panel is an empty frame of its output schema;

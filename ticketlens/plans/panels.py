@@ -21,7 +21,7 @@ from pyspark.sql.types import DataType, DateType, DoubleType, IntegerType, LongT
 
 from ticketlens.functions.money import money_mean, percent_of
 from ticketlens.operators.aggregate import category_domain, domain_product
-from ticketlens.operators.filters import PanelFilters, apply_filters
+from ticketlens.operators.filters import PanelFilters, apply_filters, filter_condition
 
 SUM = "sum"
 COUNT = "count"
@@ -29,11 +29,19 @@ MEAN = "mean"
 
 
 class PanelBase:
-    """The denormalised base plus the category domains of its unfiltered rows."""
+    """The denormalised base plus the category domains of its unfiltered rows.
 
-    def __init__(self, base: DataFrame, location: DataFrame | None = None):
+    ``single_pass``: full-domain panels aggregate the unfiltered base once with the filters as
+    conditions inside the aggregates, so the domain comes from the same groups. For a base derived
+    from the source tables this avoids a second run of its joins (the separate domain pass prunes
+    other columns, so Spark cannot reuse the first one's exchanges). A stored base partitioned by
+    month turns this off: there the filter prunes partitions and the domain is a one-column scan."""
+
+    def __init__(self, base: DataFrame, location: DataFrame | None = None,
+                 single_pass: bool = True):
         self.base = base
         self.location = location
+        self.single_pass = single_pass
 
     def domain(self, keys: list[str]) -> DataFrame:
         if keys == ["departure_station_name"] and self.location is not None:
@@ -51,7 +59,7 @@ class PanelBase:
         rows, and every panel request reads only the columns it aggregates."""
         self.base.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
         spark = self.base.sparkSession
-        return PanelBase(spark.read.parquet(path), self.location)
+        return PanelBase(spark.read.parquet(path), self.location, single_pass=False)
 
 
 def _guard(pb: PanelBase, needed: list[str], out_fields: list[tuple[str, DataType]]):
@@ -78,18 +86,23 @@ def full_domain_group(pb: PanelBase, filters: PanelFilters | None, keys: list[st
                       value: str | None, out: str) -> DataFrame:
     """groupby(keys, observed=False) on the filtered base (A12) behind the empty-selection guard.
 
-    The filtered aggregate keeps its null-key group only to count the selection's rows; a full
-    outer join onto the domain (both small) then yields every category, and a window over that
-    small frame drops everything when the selection is empty."""
+    Single pass (live bases, see :class:`PanelBase`): one conditional aggregation of the
+    unfiltered base. Two passes (stored bases, and stations with a given location dim): the
+    filtered aggregate keeps its null-key group only to count the selection's rows, and a full outer
+    join onto the domain (both small) yields every category. Either way a window over the small
+    grouped frame drops everything when the selection is empty."""
     empty = _guard(pb, keys + ([value] if value else []),
                    [(k, StringType()) for k in keys] + [(out, _out_type(kind))])
     if empty is not None:
         return empty
-    f = pb.filtered(filters)
-    agg = f.groupBy(*keys).agg(_agg_expr(kind, value, out), F.count(F.lit(1)).alias("_rows"))
-    j = pb.domain(keys).join(agg, keys, "full")
-    total = F.sum(F.coalesce(F.col("_rows"), F.lit(0))).over(Window.partitionBy())
-    j = j.withColumn("_sel", total)
+    if pb.single_pass and not (keys == ["departure_station_name"] and pb.location is not None):
+        j = _single_pass_groups(pb, filters, keys, kind, value, out)
+    else:
+        f = pb.filtered(filters)
+        agg = f.groupBy(*keys).agg(_agg_expr(kind, value, out), F.count(F.lit(1)).alias("_rows"))
+        j = pb.domain(keys).join(agg, keys, "full")
+        total = F.sum(F.coalesce(F.col("_rows"), F.lit(0))).over(Window.partitionBy())
+        j = j.withColumn("_sel", total)
     key_ok = None
     for k in keys:
         c = F.col(k).isNotNull()
@@ -102,6 +115,42 @@ def full_domain_group(pb: PanelBase, filters: PanelFilters | None, keys: list[st
     return j.drop("_rows", "_sel")
 
 
+def _single_pass_groups(pb: PanelBase, filters: PanelFilters | None, keys: list[str], kind: str,
+                        value: str | None, out: str) -> DataFrame:
+    """One aggregation of the unfiltered base: each group's value over the selected rows only, and
+    ``_sel`` = selected rows in all groups (null keys included). Every non-null key of the base
+    has a group, which is the single-key domain; several keys take the product of the per-key
+    value sets, gathered from the (small) grouped frame."""
+    cond = filter_condition(pb.base, filters)
+
+    def picked(c):
+        return c if cond is None else F.when(cond, c)
+
+    if kind == COUNT:
+        a = F.count(picked(F.lit(1)))
+    elif kind == SUM:
+        a = F.sum(picked(F.col(value)))
+    else:
+        a = money_mean(picked(F.col(value)))
+    agg = pb.base.groupBy(*keys).agg(a.alias(out), F.count(picked(F.lit(1))).alias("_rows"))
+    if len(keys) == 1:
+        return agg.withColumn("_sel", F.sum("_rows").over(Window.partitionBy()))
+    # One row holding each key's value set and a (keys → value) map of the observed groups: the
+    # product is expanded from it and looked up in the map, so the grouped frame feeds one branch
+    # (a join back to it would prune differently and run the base's joins a second time).
+    all_keys = None
+    for k in keys:
+        c = F.col(k).isNotNull()
+        all_keys = c if all_keys is None else all_keys & c
+    entries = F.collect_list(F.when(all_keys, F.struct(F.struct(*keys).alias("k"),
+                                                       F.col(out).alias("v"))))
+    dom = agg.agg(*[F.array_sort(F.collect_set(k)).alias(k) for k in keys],
+                  F.sum("_rows").alias("_sel"), F.map_from_entries(entries).alias("_m"))
+    for k in keys:
+        dom = dom.withColumn(k, F.explode(k))
+    return dom.withColumn(out, F.try_element_at("_m", F.struct(*keys))).drop("_m")
+
+
 def observed_group(pb: PanelBase, filters: PanelFilters | None, key: str, kind: str,
                    value: str | None, out: str) -> DataFrame:
     """groupby on a non-categorical key: observed, non-null groups only."""
