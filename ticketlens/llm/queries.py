@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ticketlens.llm import quality_gam
+from ticketlens.llm import adaptive_rules, quality_gam, url_reputation
 from ticketlens.llm.cluster import ship_code
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,3 +37,79 @@ def op1_quality_gam(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_gam.score(docs, model).select(
         "doc_id", F.coalesce(crc_mod(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op4_adaptive_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base counts of every document and the verdict of its group's thresholds."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return adaptive_rules.judge(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        F.concat_ws(",", "broken").alias("broken"))
+
+
+URL_RULES = [("allow", "org/"), ("block", "example.org/es/"), ("block", "example.org/en/1"),
+             ("allow", "com/fr/"), ("block", "com/de/")]
+
+
+@query
+def op6_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict on every page. A page shows the document whose id its path names; it counts as bad
+    where that document is labelled of low quality or toxic."""
+    rules = spark.createDataFrame(URL_RULES, "verdict string, rule string")
+    labels = table(spark, sf_dir, "labels").where("doc_id is not null")
+    bad = labels.groupBy("doc_id").agg((F.max(F.coalesce(F.col("toxic"), F.lit(0))) == 1).alias("toxic"),
+                                       (F.max("quality") == 0).alias("poor"))
+    bad = bad.select(F.col("doc_id").alias("shown"), (F.col("toxic") | F.col("poor")).alias("bad"))
+    shown = F.regexp_extract(url_reputation.host_and_path(F.col("url"))[1], "^/[a-z]{2}/([0-9]{1,18})", 1)
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", shown.try_cast("bigint").alias("shown")).join(bad, "shown", "left")
+    return url_reputation.judge(pages, rules, F.col("bad")).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLES["op6_url_reputation"] = """
+WITH urls AS (
+  SELECT page_id, coalesce(CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END, '') AS rest
+  FROM pages),
+split AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM urls),
+marks AS (
+  SELECT doc_id, coalesce(max(toxic), 0) = 1 OR max(quality) = 0 AS bad
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+rows_ AS (
+  SELECT s.*, m.bad, last_label AS suffix,
+         list_aggregate(list_slice(string_split(host, '.'), -2, -1), 'string_agg', '.') AS domain
+  FROM (SELECT *, list_extract(string_split(host, '.'), -1) AS last_label FROM split) s
+  LEFT JOIN marks m ON m.doc_id = try_cast(nullif(regexp_extract(path, '^/[a-z]{2}/([0-9]{1,18})', 1), '') AS BIGINT)),
+hosts AS (
+  SELECT host, domain, suffix, count(bad) AS n, count(*) FILTER (bad) AS x FROM rows_ GROUP BY ALL),
+p0 AS (SELECT (sum(x) + 0.5) / (sum(n) + 1) AS p FROM hosts),
+s1 AS (SELECT suffix, sum(n) AS n, sum(x) AS x, any_value(p) AS m FROM hosts, p0 GROUP BY suffix),
+k1 AS (SELECT 1 / least(greatest(coalesce(sum((x - n*m)**2 - n*m*(1-m)) FILTER (n > 0)
+         / nullif(sum(n*m*(1-m)*(n-1)) FILTER (n > 0), 0), 0), 0.002), 0.5) - 1 AS k FROM s1),
+s2 AS (SELECT suffix, (x + k*m) / (n + k) AS p FROM s1, k1),
+d1 AS (SELECT domain, h.suffix, sum(n) AS n, sum(x) AS x, any_value(p) AS m
+       FROM hosts h JOIN s2 USING (suffix) GROUP BY domain, h.suffix),
+k2 AS (SELECT 1 / least(greatest(coalesce(sum((x - n*m)**2 - n*m*(1-m)) FILTER (n > 0)
+         / nullif(sum(n*m*(1-m)*(n-1)) FILTER (n > 0), 0), 0), 0.002), 0.5) - 1 AS k FROM d1),
+d2 AS (SELECT domain, (x + k*m) / (n + k) AS p FROM d1, k2),
+h1 AS (SELECT host, n, x, p AS m FROM hosts JOIN d2 USING (domain)),
+k3 AS (SELECT 1 / least(greatest(coalesce(sum((x - n*m)**2 - n*m*(1-m)) FILTER (n > 0)
+         / nullif(sum(n*m*(1-m)*(n-1)) FILTER (n > 0), 0), 0), 0.002), 0.5) - 1 AS k FROM h1),
+ab AS (SELECT host, x + k*m AS a, n - x + k*(1-m) AS b FROM h1, k3),
+low AS (SELECT host, a/(a+b) - 1.645 * sqrt(a*b / ((a+b)**2 * (a+b+1))) AS low FROM ab),
+rules(verdict, rule) AS (VALUES ('allow', 'org/'), ('block', 'example.org/es/'), ('block', 'example.org/en/1'),
+                         ('allow', 'com/fr/'), ('block', 'com/de/')),
+best AS (
+  SELECT page_id, host, path, max_by(rule, length(rule)) AS rule, max_by(r.verdict, length(rule)) AS verdict
+  FROM (SELECT DISTINCT page_id, host, path FROM split) JOIN rules r
+    ON (host = substr(rule, 1, instr(rule, '/') - 1) OR ends_with(host, '.' || substr(rule, 1, instr(rule, '/') - 1)))
+   AND starts_with(path, substr(rule, instr(rule, '/')))
+  GROUP BY ALL)
+SELECT r.page_id, r.host, r.path, b.rule,
+       coalesce(b.verdict, CASE WHEN low > 0.5 THEN 'block' ELSE 'allow' END) AS verdict
+FROM rows_ r JOIN low USING (host) LEFT JOIN best b
+  ON b.page_id IS NOT DISTINCT FROM r.page_id AND b.host = r.host AND b.path = r.path
+"""
