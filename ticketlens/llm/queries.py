@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ticketlens.llm import (
     adaptive_rules,
     chat_format,
+    chosen_path_join,
     fair_mix,
     license_templates,
     quality_gam,
@@ -165,6 +166,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op5_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document."""
+    found = chosen_path_join.join(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "n_copies")
+
+
 @query
 def op7_template_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item's template, one row per document and item."""

@@ -8,7 +8,7 @@ throughout the document's passage and the other way round. So a passage is found
 when its numbers, names or units were exchanged consistently.
 
 Scale: documents stay where they are. Their windows meet a Bloom filter of the benchmark's windows,
-of a fixed largest size (``MOST_BITS``, whatever the benchmark's size), in numpy, and only hits leave
+of a fixed largest size (``bloom.MOST_BITS``, whatever the benchmark's size), in numpy, and only hits leave
 as rows, which are then joined exactly. A passage copied into a third of all documents is a hot
 window hash; the benchmark side is broadcast where it is measured small, else adaptive execution
 splits the hot hash. An alignment has at most as many windows as its item.
@@ -28,13 +28,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ticketlens.llm import bloom as bl
 from ticketlens.llm import textutil as tu
 from ticketlens.session import materialise
 
 WINDOW = 8  # canonical words of a window
 LEAST_WORDS = 5  # of a shorter item, which is one window; also literal words that a window needs
 MATCHED = 13  # canonical words in one alignment that make a match, or the whole item
-MOST_BITS = 1 << 27
 
 #: Units that are placeholders when they follow a number.
 UNITS = ("mm cm m km in inch inches ft foot feet yd yard yards mile miles mg g kg t lb lbs oz pound pounds ton tons gram "
@@ -92,7 +92,7 @@ def _windows(word: np.ndarray, value: np.ndarray, of: np.ndarray, size: int) ->
     return at, tu.windows(word, size)[at] ^ _U(size) if len(at) else np.empty(0, _U)
 
 
-def _rows(column: pa.Array, sizes, bloom: np.ndarray | None) -> Iterator[tuple]:
+def _rows(column: pa.Array, sizes, bloom: bytes | None) -> Iterator[tuple]:
     """Slices of texts as (row range, text index, first word, n words, hash, slots) of their windows;
     with a filter only the windows that it may hold."""
     data, offsets = tu.text_buffer(column)
@@ -101,7 +101,7 @@ def _rows(column: pa.Array, sizes, bloom: np.ndarray | None) -> Iterator[tuple]:
         for size in sizes:
             at, h = _windows(word, value, of, size)
             if bloom is not None:
-                hit = np.flatnonzero(_may_hold(bloom, h))
+                hit = np.flatnonzero(bl.may_hold(bloom, h))
                 at, h = at[hit], h[hit]
             text = np.searchsorted(of, at, "right") - 1
             slots = [value[a:a + size].view(np.int64) for a in at]
@@ -126,7 +126,7 @@ def _window_table(texts: DataFrame, sizes, bloom=None) -> DataFrame:
     schema = T.StructType([texts.schema["key"], *_WINDOW_FIELDS])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None if bloom is None else np.frombuffer(bloom.value, _U)
+        bits = None if bloom is None else bloom.value
         for b in batches:
             for found in _rows(b["text"], sizes, bits):
                 if len(found[5]):
@@ -142,39 +142,6 @@ def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
     return materialise(rows.where((F.col("size") == WINDOW) | (F.col("size") == F.col("n_words"))), "items")
 
 
-def _bit_places(h: np.ndarray, bits: int) -> list[np.ndarray]:
-    return [tu.mix(h + _U(k)) & _U(bits - 1) for k in range(3)]
-
-
-def _may_hold(bloom: np.ndarray, h: np.ndarray) -> np.ndarray:
-    out = np.ones(len(h), bool)
-    for place in _bit_places(h, len(bloom) * 64):
-        out &= ((bloom[(place >> _U(6)).astype(np.int64)] >> (place & _U(63))) & _U(1)).astype(bool)
-    return out
-
-
-def _bloom(windows: DataFrame) -> bytes:
-    """A Bloom filter of the window hashes, at most ``MOST_BITS`` whatever their number: the parts'
-    bits are combined in Spark, so the driver gets each 64-bit word of the filter at most once."""
-    n = windows.agg(F.approx_count_distinct("hash")).first()[0]
-    bits = 1 << 12
-    while bits < min(16 * n, MOST_BITS):
-        bits *= 2
-
-    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            h = b["hash"].to_numpy().view(_U)
-            at = np.unique(np.concatenate(_bit_places(h, bits)))
-            yield pa.RecordBatch.from_arrays([pa.array((at >> _U(6)).astype(np.int64)),
-                                              pa.array((_U(1) << (at & _U(63))).view(np.int64))], ["word", "bit"])
-
-    words = windows.select("hash").mapInArrow(places, "word long, bit long")
-    words = words.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
-    out = np.zeros(bits // 64, np.int64)
-    out[words["word"].to_numpy(np.int64)] = words["bits"].to_numpy(np.int64)
-    return out.tobytes()
-
-
 def document_key(id_col: Column, text_col: Column) -> Column:
     """A document's id together with a hash of its text, for rows that share an id."""
     return F.struct(id_col.alias("id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("text_hash"))
@@ -187,7 +154,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     windows), ``n_slots`` and ``n_changed`` (slots of the item, and how many the document fills
     otherwise)."""
     items = item_windows(benchmark, item_col, item_text_col)
-    bloom = docs.sparkSession.sparkContext.broadcast(_bloom(items))
+    bloom = docs.sparkSession.sparkContext.broadcast(bl.build(items.select("hash")))
     sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # at most four sizes
     texts = docs.select(document_key(F.col(id_col), F.col(text_col)).alias("key"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
