@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ticketlens.llm import (
     adaptive_rules,
+    attention_lm,
     chat_format,
     chosen_path_join,
     fair_mix,
@@ -166,6 +167,14 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+@query
+def op3_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram base and model score of every document, learnt from those that aren't held out."""
+    held_out = F.coalesce(crc_mod(F.col("doc_id"), 7) == 2, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", held_out.alias("held_out"))
+    return attention_lm.score(docs, ~F.col("held_out"), tokenizer_path())
+
+
 @query
 def op5_chosen_path_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links of every document."""
