@@ -23,7 +23,8 @@ def price_text(price) -> Column:
 
 
 def clean_price(text) -> Column:
-    """``REPLACE(REPLACE(p,'£',''),',','')`` → DECIMAL(10,0) (half up) → INT."""
+    """Price text without currency sign and thousands separators, rounded half up to a whole number;
+    text that is no price → null (P7)."""
     digits = F.regexp_replace(_c(text), "[£,]", "")
     return digits.try_cast("decimal(10,0)").cast("int")
 
@@ -33,10 +34,6 @@ def money_sum(price) -> Column:
     return F.sum(_c(price)).cast("double")
 
 
-def money_sum_or_zero(price) -> Column:
-    return F.coalesce(money_sum(price), F.lit(0.0))
-
-
 def money_mean(price) -> Column:
     """double(exact sum) / non-null count; null for an empty group."""
     return F.try_divide(F.sum(_c(price)).cast("double"), F.count(_c(price)).cast("double"))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_HMS = r"^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$"
+_HMS = r"^([01]?[0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$"
 
 
 def _c(col) -> Column:
@@ -26,18 +26,29 @@ def hms(seconds) -> Column:
     return F.concat_ws(":", two(F.floor(s / 3600)), two(F.floor((s % 3600) / 60)), two(s % 60))
 
 
+def _parts(t: Column) -> list[Column]:
+    return [F.split_part(t, F.lit(":"), F.lit(i)).cast("int") for i in (1, 2, 3)]
+
+
 def seconds_of_day(text) -> Column:
-    """``HH:mm:ss`` → seconds of the day; malformed text → null (coercing parser, P14)."""
+    """``HH:mm:ss`` or ``H:mm:ss`` → seconds of the day; malformed text → null."""
+    t = _c(text)
+    ok = F.when(t.rlike(_HMS), t)
+    h, m, s = _parts(ok)
+    return h * 3600 + m * 60 + s
+
+
+def seconds_of_day_strict(text) -> Column:
+    """Like :func:`seconds_of_day`, but malformed text fails the query; null stays null."""
     t = _c(text)
-    secs = (F.substring(t, 1, 2).cast("int") * 3600 + F.substring(t, 4, 2).cast("int") * 60
-            + F.substring(t, 7, 2).cast("int"))
-    return F.when(t.rlike(_HMS), secs)
+    bad = F.raise_error(F.concat(F.lit("not a time of day: "), t)).cast("int")
+    return F.when(t.isNull() | t.rlike(_HMS), seconds_of_day(t)).otherwise(bad)
 
 
 def hour_of_day(text) -> Column:
-    """Hour (0..23) of an ``HH:mm:ss`` value."""
+    """Hour (0..23) of an ``HH:mm:ss`` or ``H:mm:ss`` value; malformed text → null."""
     t = _c(text)
-    return F.when(t.rlike(_HMS), F.substring(t, 1, 2).cast("int"))
+    return _parts(F.when(t.rlike(_HMS), t))[0]
 
 
 def minutes_between(start, end) -> Column:

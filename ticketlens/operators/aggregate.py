@@ -82,17 +82,6 @@ def domain_product(df: DataFrame, cols: list[str]) -> DataFrame:
     return out
 
 
-def fill_domain(agg: DataFrame, domain: DataFrame, keys: list[str],
-                zero: dict[str, object]) -> DataFrame:
-    """Left-join an aggregate onto its full key domain; missing groups get ``zero`` values
-    (0 for sums and counts; a mean stays null) (A12). Both sides are small."""
-    out = domain.join(agg, keys, "left")
-    for c, z in zero.items():
-        if z is not None:
-            out = out.withColumn(c, F.coalesce(F.col(c), F.lit(z)))
-    return out
-
-
 def pivot_sum(df: DataFrame, row_key: str, col_key: str, values: list[str], value: str,
               prefix: str = "") -> DataFrame:
     """pivot_table(values=value, index=row_key, columns=col_key, aggfunc='sum'); a missing cell is

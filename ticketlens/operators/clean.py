@@ -62,21 +62,20 @@ def sql_source_table(rides: DataFrame) -> DataFrame:
 
 
 def relabel_delay_on_time(df: DataFrame) -> DataFrame:
-    """UPDATE … SET reason = 'No delay' WHERE status = 'on time' AND reason = 'None' (P8).
-    The comparison is case-insensitive, as under MySQL's default collation."""
+    """A journey on time without a reason gets the reason 'No delay' (P8). The comparison is case-insensitive, as under MySQL's default collation."""
     cond = (F.lower("journey_status") == "on time") & (F.lower("reason_for_delay") == "none")
     return df.withColumn("reason_for_delay",
                          F.when(cond, F.lit(SQL_NO_DELAY)).otherwise(F.col("reason_for_delay")))
 
 
 def relabel_railcard(df: DataFrame) -> DataFrame:
-    """UPDATE … SET railcard = 'No Card' WHERE railcard = 'None' (P9)."""
+    """A missing railcard (the text 'None', in any case) is called 'No Card' (P9)."""
     return df.withColumn("railcard", F.when(F.lower("railcard") == "none", F.lit(SQL_NO_CARD))
                          .otherwise(F.col("railcard")))
 
 
 def add_price2(df: DataFrame) -> DataFrame:
-    """ADD COLUMN price2 INT = CAST(REPLACE(REPLACE(price,'£',''),',','') AS DECIMAL(10,0))."""
+    """Whole-number price next to the price text."""
     return df.withColumn("price2", clean_price("price"))
 
 

@@ -1,12 +1,11 @@
-"""Dashboard filters and guards."""
+"""Dashboard filters."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 
 @dataclass(frozen=True)
@@ -22,7 +21,9 @@ class PanelFilters:
     def predicates(self) -> list[tuple[str, object]]:
         out = []
         if self.month and self.month != "no-data":
-            out.append(("month", int(self.month)))
+            text = str(self.month).strip()
+            # a month that is no number matches nothing
+            out.append(("month", int(text) if text.isdigit() else None))
         for col, v in (("departure_station_name", self.station), ("ticket_type", self.ticket_type),
                        ("railcard", self.railcard), ("payment_method", self.payment)):
             if v:
@@ -39,28 +40,3 @@ def apply_filters(df: DataFrame, filters: PanelFilters | None) -> DataFrame:
         if col in df.columns:
             df = df.where(F.col(col) == F.lit(v))
     return df
-
-
-def filter_condition(df: DataFrame, filters: PanelFilters | None):
-    """The same AND of active filters as one boolean column (None when no filter applies), for
-    conditional aggregates over the unfiltered rows."""
-    cond = None
-    for col, v in (filters.predicates() if filters is not None else []):
-        if col in df.columns:
-            c = F.col(col) == F.lit(v)
-            cond = c if cond is None else cond & c
-    return cond
-
-
-def column_guard(spark: SparkSession, df: DataFrame, needed: list[str],
-                 schema: StructType) -> DataFrame | None:
-    """when a needed column is missing, the panel is an empty frame of its output schema;
-    returns None when all columns are present."""
-    if all(c in df.columns for c in needed):
-        return None
-    return spark.createDataFrame([], schema)
-
-
-def is_empty(df: DataFrame) -> bool:
-    """F12 at the caller: the upstream app shows "No Data Available" for an empty selection."""
-    return df.isEmpty()

@@ -12,6 +12,9 @@ its own range exchange (column pruning makes them differ, so no exchange reuse),
 range bounds; after an upstream shuffle the sample — and so the partition of a row — can differ
 between the two, and ids would silently be wrong. The checkpoint also keeps a lost executor from
 recomputing partitions with different bounds.
+
+``repartitionByRange`` samples its input before it shuffles it, so what lies above the last shuffle
+or scan runs once for the bounds and once for the rows; callers select the columns they need first.
 """
 
 from __future__ import annotations
@@ -52,11 +55,14 @@ def with_contiguous_id(df: DataFrame, order_by: list, id_col: str,
 
 
 def range_tagged(df: DataFrame, order_by: list) -> DataFrame:
-    """``df`` range-partitioned on ``order_by`` with its partition id in ``_pid``, written once:
-    partition ids increase with the order (AQE only merges neighbouring ranges), and the stored
-    copy keeps every later reader on the same ids."""
-    return _materialise(df.repartitionByRange(*_cols(order_by))
-                        .withColumn("_pid", F.spark_partition_id()))
+    """``df`` range-partitioned and sorted on ``order_by`` with its partition id in ``_pid`` and a
+    number that increases with the order in ``_pos``, written once: partition ids increase with the
+    order (AQE only merges neighbouring ranges), and the stored copy keeps every later reader on
+    the same numbers."""
+    order = _cols(order_by)
+    return _materialise(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                        .withColumn("_pid", F.spark_partition_id())
+                        .withColumn("_pos", F.monotonically_increasing_id()))
 
 
 def with_running_total(df: DataFrame, order_by: list, weight: str, out_col: str,
@@ -79,4 +85,4 @@ def with_running_total(df: DataFrame, order_by: list, weight: str, out_col: str,
             Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
     return (local.join(F.broadcast(offsets), "_pid")
             .withColumn(out_col, (F.col("_off") + F.col("_local")).cast("long"))
-            .drop("_pid", "_local", "_off"))
+            .drop("_pid", "_pos", "_local", "_off"))

@@ -10,78 +10,95 @@ frame bounded by (#columns × #quantiles) that is broadcast into a range lookup.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
 from ticketlens.functions.money import round2
 from ticketlens.operators.ids import range_tagged, with_contiguous_id, with_running_total
 
-VALUE_TYPE = "decimal(38,6)"
 QUARTILES = (0.25, 0.5, 0.75)
+FREQ_ORDER = ["column_name", "exact", "approx"]
 
 
-def _stack(df: DataFrame, cols: list[str], cast: str) -> DataFrame:
-    """(column_name, value) pairs for every row × column, as one generator step (no shuffle)."""
-    return df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast(cast).alias("value")) for c in cols])))
+def _stack(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column_name, exact, approx) for every row × numeric column, as one generator step (no
+    shuffle). Whole numbers and decimals go to ``exact`` with all their digits, floating-point
+    values to ``approx`` as they are, so no two different values become one."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    scale = max((t.scale for t in (types[c] for c in cols) if isinstance(t, DecimalType)), default=0)
+    exact_type, parts = f"decimal(38,{scale})", []
+    for c in cols:
+        floating = isinstance(types[c], (DoubleType, FloatType))
+        parts.append(F.struct(
+            F.lit(c).alias("column_name"),
+            (F.lit(None) if floating else F.col(c)).cast(exact_type).alias("exact"),
+            (F.col(c) if floating else F.lit(None)).cast("double").alias("approx")))
+    return df.select(F.inline(F.array(*parts)))
 
 
-def frequency_table(df: DataFrame, cols: list[str], cast: str = VALUE_TYPE) -> DataFrame:
-    """(column_name, value, cnt) for every distinct non-null value of every column."""
-    return (_stack(df, cols, cast).where(F.col("value").isNotNull())
-            .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt")))
+def frequency_table(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column_name, exact, approx, cnt) for every distinct value of every column, nulls included."""
+    return _stack(df, cols).groupBy(*FREQ_ORDER).agg(F.count(F.lit(1)).alias("cnt"))
 
 
-FREQ_ORDER = ["column_name", "value"]
+def _present():
+    return F.col("exact").isNotNull() | F.col("approx").isNotNull()
 
 
-def exact_quantiles(freq: DataFrame, probs=QUARTILES, tagged: bool = False) -> DataFrame:
+def _as_double(exact, approx):
+    return F.coalesce(exact.cast("double"), approx)
+
+
+def exact_quantiles(tagged: DataFrame, probs=QUARTILES) -> DataFrame:
     """(column_name, p, quantile) with linear interpolation between order statistics (pandas /
-    ``percentile`` semantics), in exact decimal arithmetic. ``tagged=True``: ``freq`` comes from
-    :func:`range_tagged` on (column_name, value) and may hold null-value rows (they sort first in
-    their column and are dropped after the running total, so ranks count non-null values only)."""
-    cum = with_running_total(freq, FREQ_ORDER, "cnt", "_before", tagged=tagged)
-    cum = cum.where(F.col("value").isNotNull())
+    ``percentile`` semantics), in decimal arithmetic for exact columns. ``tagged`` is a frequency
+    table from :func:`range_tagged` on its order; its null-value rows sort first in their column and
+    are dropped after the running total, so ranks count non-null values only."""
+    cum = with_running_total(tagged, FREQ_ORDER, "cnt", "_before", tagged=True).where(_present())
     starts = cum.groupBy("column_name").agg(F.min("_before").alias("_start"),
                                             F.sum("cnt").alias("_n"))
     targets = (starts
                .withColumn("p", F.explode(F.array(*[F.lit(p).cast("decimal(10,4)") for p in probs])))
-               .withColumn("_pos", F.col("p") * (F.col("_n") - 1))
-               .withColumn("_lo", F.floor("_pos").cast("long"))
-               .withColumn("_hi", F.ceil("_pos").cast("long"))
-               .withColumn("_frac", F.col("_pos") - F.col("_lo")))
+               .withColumn("_at", F.col("p") * (F.col("_n") - 1))
+               .withColumn("_lo", F.floor("_at").cast("long"))
+               .withColumn("_hi", F.ceil("_at").cast("long"))
+               .withColumn("_frac", F.col("_at") - F.col("_lo")))
     # Rank r (0-based) sits in the row with start+_before_in_col <= r < … + cnt.
     c = cum.alias("c")
-    t = F.broadcast(targets).alias("t")
+    t = F.broadcast(targets).alias("t")  # columns × quantiles rows
     first = F.col("c._before") - F.col("t._start")
     last = first + F.col("c.cnt")
     hit_lo = (first <= F.col("t._lo")) & (F.col("t._lo") < last)
     hit_hi = (first <= F.col("t._hi")) & (F.col("t._hi") < last)
     joined = c.join(t, (F.col("c.column_name") == F.col("t.column_name")) & (hit_lo | hit_hi))
-    picked = (joined.groupBy(F.col("t.column_name").alias("column_name"), F.col("t.p").alias("p"),
-                             F.col("t._frac").alias("_frac"))
-              .agg(F.max(F.when(hit_lo, F.col("c.value"))).alias("_lo_v"),
-                   F.max(F.when(hit_hi, F.col("c.value"))).alias("_hi_v")))
-    q = F.col("_lo_v") + (F.col("_hi_v") - F.col("_lo_v")) * F.col("_frac")
-    return picked.select("column_name", "p", q.cast(VALUE_TYPE).alias("quantile"))
+    picked = joined.groupBy(F.col("t.column_name").alias("column_name"), F.col("t.p").alias("p"),
+                            F.col("t._frac").alias("_frac")).agg(*[
+        F.max(F.when(hit, F.col(f"c.{kind}"))).alias(f"{side}_{kind}")
+        for side, hit in (("lo", hit_lo), ("hi", hit_hi)) for kind in ("exact", "approx")])
+    exact = F.col("lo_exact") + (F.col("hi_exact") - F.col("lo_exact")) * F.col("_frac")
+    approx = F.col("lo_approx") + (F.col("hi_approx") - F.col("lo_approx")) * F.col("_frac").cast("double")
+    return picked.select("column_name", "p", _as_double(exact, approx).alias("quantile"))
+
+
+def _at_top(freq: DataFrame) -> DataFrame:
+    """The frequency rows whose count is their column's largest (one broadcast row a column)."""
+    top = freq.groupBy("column_name").agg(F.max("cnt").alias("mode_count"))
+    return freq.join(F.broadcast(top), "column_name").where(F.col("cnt") == F.col("mode_count"))
 
 
 def lowest_modes(freq: DataFrame) -> DataFrame:
     """(column_name, mode, mode_count): most frequent value, the lowest one on ties."""
-    best = freq.groupBy("column_name").agg(
-        F.max(F.struct(F.col("cnt"), (-F.col("value")).alias("neg"))).alias("b"))
-    return best.select("column_name", (-F.col("b.neg")).alias("mode"),
-                       F.col("b.cnt").alias("mode_count"))
+    return _at_top(freq).groupBy("column_name", "mode_count").agg(
+        _as_double(F.min("exact"), F.min("approx")).alias("mode")).select("column_name", "mode", "mode_count")
 
 
 def all_modes(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Every tied mode, one row each (Q8): (column_name, mode, mode_count)."""
-    freq = frequency_table(df, cols)
-    top = freq.groupBy("column_name").agg(F.max("cnt").alias("mode_count"))
-    return (freq.join(F.broadcast(top), "column_name")
-            .where(F.col("cnt") == F.col("mode_count"))
-            .select("column_name", round2(F.col("value")).alias("mode"), "mode_count")
-            .orderBy("column_name", "mode"))
+    """Every tied mode, one row each (Q8): (column_name, mode, mode_count). Ties are told by the
+    whole values and shown with 2 decimals."""
+    freq = range_tagged(frequency_table(df, cols), FREQ_ORDER).where(_present())
+    return (_at_top(freq).select("column_name", round2(_as_double(F.col("exact"), F.col("approx"))).alias("mode"),
+                                 "mode_count").orderBy("column_name", "mode"))
 
 
 def _numeric_tables(df: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -91,46 +108,49 @@ def _numeric_tables(df: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFram
     range-partitioned on (column, value) and written once to the shared checkpoint folder; counts,
     totals, min/max, the two-pass sample standard deviation, the modes and — through the running
     count over the same stored ranges — the exact quartiles are small aggregates over it."""
-    tagged = range_tagged(_stack(df, cols, VALUE_TYPE)
-                          .groupBy(*FREQ_ORDER).agg(F.count(F.lit(1)).alias("cnt")), FREQ_ORDER)
-    freq_all = tagged.drop("_pid")
-    freq = freq_all.where(F.col("value").isNotNull())
-    nn = F.when(F.col("value").isNotNull(), F.col("cnt"))
+    tagged = range_tagged(frequency_table(df, cols), FREQ_ORDER)
+    freq_all = tagged.drop("_pid", "_pos")
+    freq = freq_all.where(_present())
+    nn = F.when(_present(), F.col("cnt"))
     stats = freq_all.groupBy("column_name").agg(
         F.sum("cnt").alias("rows"), F.coalesce(F.sum(nn), F.lit(0)).alias("non_null"),
-        F.sum(F.col("value") * F.col("cnt")).alias("total"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    mean = F.try_divide(F.col("total").cast("double"), F.col("non_null").cast("double"))
-    stats = stats.withColumn("_mean", mean)
-    dev = freq.join(F.broadcast(stats.select("column_name", "_mean")), "column_name").groupBy(
-        "column_name").agg(F.sum(F.col("cnt") * F.pow(F.col("value").cast("double") - F.col("_mean"),
-                                                      2)).alias("_ss"))
+        _as_double(F.sum(F.col("exact") * F.col("cnt")), F.sum(F.col("approx") * F.col("cnt"))).alias("total"),
+        _as_double(F.min("exact"), F.min("approx")).alias("min"),
+        _as_double(F.max("exact"), F.max("approx")).alias("max"))
+    stats = stats.withColumn("mean", F.try_divide(F.col("total"), F.col("non_null").cast("double")))
+    off = _as_double(F.col("exact"), F.col("approx")) - F.col("mean")
+    dev = freq.join(F.broadcast(stats.select("column_name", "mean")), "column_name").groupBy(
+        "column_name").agg(F.sum(F.col("cnt") * off * off).alias("_ss"))
     stats = (stats.join(F.broadcast(dev), "column_name", "left")
              .withColumn("std", F.when(F.col("non_null") > 1, F.sqrt(
                  F.col("_ss") / (F.col("non_null") - 1).cast("double")))))
-    quant = exact_quantiles(tagged, tagged=True)
+    quant = exact_quantiles(tagged)
     wide = quant.groupBy("column_name").agg(*[
         F.max(F.when(F.col("p") == F.lit(p).cast("decimal(10,4)"), F.col("quantile"))).alias(n)
         for p, n in zip(QUARTILES, ("q1", "q2", "q3"))])
     return stats, wide, lowest_modes(freq)
 
 
-def describe(df: DataFrame, cols: list[str]) -> DataFrame:
+def describe(df: DataFrame, cols: list[str], digits: int | None = 2) -> DataFrame:
     """pandas ``describe()`` of numeric columns, one row per column (Q1): count (non-null), mean,
-    sample std, min, exact 25/50/75 % (linear), max — rounded to 2 decimals."""
+    sample std, min, exact 25/50/75 % (linear), max — with ``digits`` decimals, or as they are."""
     m, wide, _ = _numeric_tables(df, cols)
     j = m.join(F.broadcast(wide), "column_name", "left")
+
+    def shown(c: str):
+        if digits is None:
+            return F.col(c)
+        return F.round(F.col(c).cast("decimal(38,12)"), digits).cast("double")
+
     return j.select(
-        "column_name", F.col("non_null").alias("count"),
-        round2(F.try_divide(F.col("total").cast("double"), F.col("non_null").cast("double"))).alias("mean"),
-        round2("std").alias("std"), round2("min").alias("min"), round2("q1").alias("p25"),
-        round2("q2").alias("p50"), round2("q3").alias("p75"), round2("max").alias("max"),
-    ).orderBy("column_name")
+        "column_name", F.col("non_null").alias("count"), shown("mean").alias("mean"), shown("std").alias("std"),
+        shown("min").alias("min"), shown("q1").alias("p25"), shown("q2").alias("p50"), shown("q3").alias("p75"),
+        shown("max").alias("max")).orderBy("column_name")
 
 
 def numeric_profile(df: DataFrame, cols: list[str], skip_quartiles_for=()) -> DataFrame:
-    """analyze_column(numeric) for several columns (Q7): rows (incl. nulls), total, mean, median,
-    lowest mode, Q1–Q3, IQR, sample std, min, max; 2-decimal rounding as printed upstream.
+    """Statistics of numeric columns (Q7): rows (incl. nulls), total, mean, median, lowest mode,
+    Q1–Q3, IQR, sample std, min, max; 2 decimals as printed upstream.
     ``skip_quartiles_for`` nulls the quartiles of date-like columns (the revised notebook)."""
     m, wide, modes = _numeric_tables(df, cols)
     j = (m.join(F.broadcast(wide), "column_name", "left")
@@ -142,8 +162,7 @@ def numeric_profile(df: DataFrame, cols: list[str], skip_quartiles_for=()) -> Da
         return F.when(~skip, round2(c))
 
     return j.select(
-        "column_name", F.col("rows").alias("count"), round2("total").alias("total"),
-        round2(F.try_divide(F.col("total").cast("double"), F.col("non_null").cast("double"))).alias("mean"),
+        "column_name", F.col("rows").alias("count"), round2("total").alias("total"), round2("mean").alias("mean"),
         round2("q2").alias("median"), round2("mode").alias("mode"),
         q(F.col("q1")).alias("q1"), q(F.col("q2")).alias("q2"), q(F.col("q3")).alias("q3"),
         q(F.col("q3") - F.col("q1")).alias("iqr"),
@@ -186,23 +205,29 @@ def duplicate_count(df: DataFrame) -> DataFrame:
 
 def categorical_summary(df: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame]:
     """(frequency table as text, per-column summary: total_count (all rows), unique_values,
-    most_common (highest count, lowest value on ties) and most_common_count)."""
-    freq_all = (_stack(df, cols, "string")
-                .groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt")))
-    freq = freq_all.where(F.col("value").isNotNull())
-    per_col = freq_all.groupBy("column_name").agg(
+    most_common (highest count, lowest value on ties) and most_common_count). A column without any
+    value has 0 unique values and no most common one.
+
+    Both come from one frequency table, written once in (column, value) order. The lowest of the most
+    common values is the one with the least place in that order: a minimum of numbers, where a
+    minimum of texts would sort all ties of a column of unique values."""
+    stacked = df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols])))
+    tagged = range_tagged(stacked.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt")),
+                          ["column_name", "value"]).drop("_pid")
+    freq = tagged.where(F.col("value").isNotNull())
+    per_col = tagged.groupBy("column_name").agg(
         F.sum("cnt").alias("total_count"),
         F.count("value").alias("unique_values"),
         F.max(F.when(F.col("value").isNotNull(), F.col("cnt"))).alias("most_common_count"))
-    winners = (freq.join(F.broadcast(per_col), "column_name")
-               .where(F.col("cnt") == F.col("most_common_count"))
-               .groupBy("column_name", "total_count", "unique_values", "most_common_count")
-               .agg(F.min("value").alias("most_common")))
-    return freq, winners
+    first = _at_top(freq).groupBy("column_name").agg(F.min("_pos").alias("_pos"))
+    common = freq.join(F.broadcast(first), ["column_name", "_pos"]).select(
+        "column_name", F.col("value").alias("most_common"))
+    return freq.drop("_pos"), per_col.join(F.broadcast(common), "column_name", "left")
 
 
 def categorical_profile(df: DataFrame, cols: list[str]) -> DataFrame:
-    """analyze_column(categorical) for several columns (Q9): every value's count with the column's
+    """Statistics of categorical columns (Q9): every value's count with the column's
     total rows, number of unique values and most common value."""
     freq, summary = categorical_summary(df, cols)
     return (freq.join(F.broadcast(summary), "column_name")
@@ -218,23 +243,12 @@ def distinct_count_per_column(df: DataFrame, cols: list[str]) -> DataFrame:
         .orderBy("column_name")
 
 
-TOPK_POSITIONS = 100_000
-
-
-def row_at_position(df: DataFrame, order_by: list, positions: list[int],
-                    max_topk: int = TOPK_POSITIONS) -> DataFrame:
+def row_at_position(df: DataFrame, order_by: list, positions: list[int]) -> DataFrame:
     """Rows at 0-based positions of a stated order (Q10); ``order_by`` should make rows unique.
-
-    Positions below ``max_topk`` come from the first max+1 rows: each task keeps its own top rows
-    and one bounded merge ranks them (TakeOrderedAndProject), so the table is neither shuffled nor
-    written. Larger positions get contiguous ids (range shuffle, see :mod:`ids`)."""
+    One way for all positions: rows get contiguous ids in the order (range shuffle, one written copy,
+    one offset per range; see :mod:`ids`), and those at the positions are picked."""
     wanted = [p + 1 for p in positions]
-    if max(wanted) <= max_topk:
-        top = df.orderBy(*order_by).limit(max(wanted))
-        ided = top.withColumn("_id", F.row_number().over(Window.orderBy(*order_by)))
-    else:
-        ided = with_contiguous_id(df, order_by, "_id")
-    return (ided.where(F.col("_id").isin(wanted))
+    return (with_contiguous_id(df, order_by, "_id").where(F.col("_id").isin(wanted))
             .withColumn("position", (F.col("_id") - 1).cast("long")).drop("_id").orderBy("position"))
 
 

@@ -14,9 +14,9 @@ def hms(s: str) -> str:
 
 
 def secs(t: str) -> str:
-    return (f"(CASE WHEN regexp_matches({t}, '^([01][0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$') THEN "
-            f"CAST(substr({t}, 1, 2) AS INTEGER) * 3600 + CAST(substr({t}, 4, 2) AS INTEGER) * 60 "
-            f"+ CAST(substr({t}, 7, 2) AS INTEGER) END)")
+    return (f"(CASE WHEN regexp_matches({t}, '^([01]?[0-9]|2[0-3]):[0-5][0-9]:[0-5][0-9]$') THEN "
+            f"CAST(split_part({t}, ':', 1) AS INTEGER) * 3600 + CAST(split_part({t}, ':', 2) AS INTEGER) * 60 "
+            f"+ CAST(split_part({t}, ':', 3) AS INTEGER) END)")
 
 
 def r2(x: str) -> str:
@@ -141,7 +141,7 @@ SELECT * REPLACE ('£' || format('{:,.2f}', CAST(price AS DOUBLE)) AS price,
                   coalesce(reason_for_delay, 'None') AS reason_for_delay)
 FROM rides""", ["rides"])
 
-cte("cleandata2", """
+cte("priced_rides", """
 SELECT * REPLACE (
     CASE WHEN lower(journey_status) = 'on time' AND lower(reason_for_delay) = 'none' THEN 'No delay'
          ELSE reason_for_delay END AS reason_for_delay,

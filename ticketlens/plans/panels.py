@@ -8,44 +8,61 @@ Semantics kept from the dashboard:
 * hour, dates and delay reason are plain columns: only observed groups;
 * an empty selection yields an empty panel (the app shows "No Data Available").
 
-Plan shape: the filtered base is aggregated with a map-side partial step; everything after the
-aggregation (domain fill, share, top-k) runs on frames with one row per category.
+Plan shape: the base is stored once, partitioned by month, and so are the category domains. A panel
+prunes the base by its filters (partitions by month, row groups by the others), aggregates what is
+left with a map-side partial step, and joins the few groups to the stored domain.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, DoubleType, IntegerType, LongType, StringType, \
     StructField, StructType
 
 from ticketlens.functions.money import money_mean, percent_of
 from ticketlens.operators.aggregate import category_domain, domain_product
-from ticketlens.operators.filters import PanelFilters, apply_filters, filter_condition
+from ticketlens.operators.filters import PanelFilters, apply_filters
 
 SUM = "sum"
 COUNT = "count"
 MEAN = "mean"
 
+#: Categorical columns of the base; their values, and the stations', are stored as domains.
+CATEGORIES = ["purchase_type", "payment_method", "railcard", "ticket_class", "ticket_type",
+              "journey_status", "refund_request"]
+STATION = "departure_station_name"
+ARRIVAL = "arrival_station_name"
 
-class PanelBase:
-    """The denormalised base plus the category domains of its unfiltered rows.
 
-    ``single_pass``: full-domain panels aggregate the unfiltered base once with the filters as
-    conditions inside the aggregates, so the domain comes from the same groups. For a base derived
-    from the source tables this avoids a second run of its joins (the separate domain pass prunes
-    other columns, so Spark cannot reuse the first one's exchanges). A stored base partitioned by
-    month turns this off: there the filter prunes partitions and the domain is a one-column scan."""
+def category_domains(base: DataFrame) -> DataFrame:
+    """(column_name, value): the distinct values of every categorical column, of the stations named
+    on either side, and of the month, from one scan of the base."""
+    pairs = [(c, c) for c in CATEGORIES + ["month"]] + [(STATION, STATION), (STATION, ARRIVAL)]
+    parts = [F.struct(F.lit(name).alias("column_name"), F.col(c).cast("string").alias("value"))
+             for name, c in pairs if c in base.columns]
+    return base.select(F.inline(F.array(*parts))).where(F.col("value").isNotNull()).distinct()
+
+
+class PanelBase:
+    """The denormalised base with the category domains of its unfiltered rows: stored ones
+    (:meth:`stored`), else the distinct values of the base and the given stations."""
 
     def __init__(self, base: DataFrame, location: DataFrame | None = None,
-                 single_pass: bool = True):
+                 domains: DataFrame | None = None):
         self.base = base
         self.location = location
-        self.single_pass = single_pass
+        self.domains = domains
 
     def domain(self, keys: list[str]) -> DataFrame:
-        if keys == ["departure_station_name"] and self.location is not None:
-            return self.location.select(F.col("station_name").alias("departure_station_name"))
+        if self.domains is not None:
+            mine = self.domains.where(F.col("column_name").isin(*keys))
+            if len(keys) == 1:
+                return mine.select(F.col("value").alias(keys[0]))
+            return domain_product(mine.select(*[
+                F.when(F.col("column_name") == k, F.col("value")).alias(k) for k in keys]), keys)
+        if keys == [STATION] and self.location is not None:
+            return self.location.select(F.col("station_name").alias(STATION))
         if len(keys) == 1:
             return category_domain(self.base, keys[0])
         return domain_product(self.base, keys)
@@ -53,13 +70,19 @@ class PanelBase:
     def filtered(self, filters: PanelFilters | None) -> DataFrame:
         return apply_filters(self.base, filters)
 
-    def materialised(self, path: str, partition_by: tuple[str, ...] = ("month",)) -> "PanelBase":
-        """Write the base once as Parquet partitioned by ``partition_by`` (S4) and serve panels
-        from the stored table: the month filter then prunes partitions instead of scanning all
-        rows, and every panel request reads only the columns it aggregates."""
-        self.base.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    def stored(self, path: str, partition_by: tuple[str, ...] = ("month",)) -> "PanelBase":
+        """Write the base once as Parquet partitioned by ``partition_by`` (S4), and its domains from
+        that copy, and serve panels from them: the month filter prunes partitions, the other filters
+        reach the scan, and every panel reads only the columns it aggregates."""
         spark = self.base.sparkSession
-        return PanelBase(spark.read.parquet(path), self.location, single_pass=False)
+        self.base.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/base")
+        base = spark.read.parquet(f"{path}/base")
+        return self.with_domains(base, f"{path}/domains")
+
+    @staticmethod
+    def with_domains(base: DataFrame, path: str) -> "PanelBase":
+        category_domains(base).coalesce(1).write.mode("overwrite").parquet(path)  # a row per category
+        return PanelBase(base, None, base.sparkSession.read.parquet(path))
 
 
 def _guard(pb: PanelBase, needed: list[str], out_fields: list[tuple[str, DataType]]):
@@ -84,71 +107,20 @@ def _agg_expr(kind: str, value: str | None, out: str):
 
 def full_domain_group(pb: PanelBase, filters: PanelFilters | None, keys: list[str], kind: str,
                       value: str | None, out: str) -> DataFrame:
-    """groupby(keys, observed=False) on the filtered base (A12) behind the empty-selection guard.
-
-    Single pass (live bases, see :class:`PanelBase`): one conditional aggregation of the
-    unfiltered base. Two passes (stored bases, and stations with a given location dim): the
-    filtered aggregate keeps its null-key group only to count the selection's rows, and a full outer
-    join onto the domain (both small) yields every category. Either way a window over the small
-    grouped frame drops everything when the selection is empty."""
+    """groupby(keys, observed=False) on the filtered base (A12): every category of the domain, with
+    what the selection has of it; no rows where the selection is empty."""
     empty = _guard(pb, keys + ([value] if value else []),
                    [(k, StringType()) for k in keys] + [(out, _out_type(kind))])
     if empty is not None:
         return empty
-    if pb.single_pass and not (keys == ["departure_station_name"] and pb.location is not None):
-        j = _single_pass_groups(pb, filters, keys, kind, value, out)
-    else:
-        f = pb.filtered(filters)
-        agg = f.groupBy(*keys).agg(_agg_expr(kind, value, out), F.count(F.lit(1)).alias("_rows"))
-        j = pb.domain(keys).join(agg, keys, "full")
-        total = F.sum(F.coalesce(F.col("_rows"), F.lit(0))).over(Window.partitionBy())
-        j = j.withColumn("_sel", total)
-    key_ok = None
-    for k in keys:
-        c = F.col(k).isNotNull()
-        key_ok = c if key_ok is None else key_ok & c
-    j = j.where(key_ok & (F.col("_sel") > 0))
+    f = pb.filtered(filters)
+    groups = f.groupBy(*keys).agg(_agg_expr(kind, value, out))
+    j = pb.domain(keys).join(groups, keys, "left").where(f.select(F.lit(1)).exists())
     if kind == SUM:  # stays an exact decimal until the panel's last step (see _money)
         j = j.withColumn(out, F.coalesce(F.col(out), F.lit(0).cast("decimal(28,2)")))
     elif kind == COUNT:
         j = j.withColumn(out, F.coalesce(F.col(out), F.lit(0)).cast("long"))
-    return j.drop("_rows", "_sel")
-
-
-def _single_pass_groups(pb: PanelBase, filters: PanelFilters | None, keys: list[str], kind: str,
-                        value: str | None, out: str) -> DataFrame:
-    """One aggregation of the unfiltered base: each group's value over the selected rows only, and
-    ``_sel`` = selected rows in all groups (null keys included). Every non-null key of the base
-    has a group, which is the single-key domain; several keys take the product of the per-key
-    value sets, gathered from the (small) grouped frame."""
-    cond = filter_condition(pb.base, filters)
-
-    def picked(c):
-        return c if cond is None else F.when(cond, c)
-
-    if kind == COUNT:
-        a = F.count(picked(F.lit(1)))
-    elif kind == SUM:
-        a = F.sum(picked(F.col(value)))
-    else:
-        a = money_mean(picked(F.col(value)))
-    agg = pb.base.groupBy(*keys).agg(a.alias(out), F.count(picked(F.lit(1))).alias("_rows"))
-    if len(keys) == 1:
-        return agg.withColumn("_sel", F.sum("_rows").over(Window.partitionBy()))
-    # One row holding each key's value set and a (keys → value) map of the observed groups: the
-    # product is expanded from it and looked up in the map, so the grouped frame feeds one branch
-    # (a join back to it would prune differently and run the base's joins a second time).
-    all_keys = None
-    for k in keys:
-        c = F.col(k).isNotNull()
-        all_keys = c if all_keys is None else all_keys & c
-    entries = F.collect_list(F.when(all_keys, F.struct(F.struct(*keys).alias("k"),
-                                                       F.col(out).alias("v"))))
-    dom = agg.agg(*[F.array_sort(F.collect_set(k)).alias(k) for k in keys],
-                  F.sum("_rows").alias("_sel"), F.map_from_entries(entries).alias("_m"))
-    for k in keys:
-        dom = dom.withColumn(k, F.explode(k))
-    return dom.withColumn(out, F.try_element_at("_m", F.struct(*keys))).drop("_m")
+    return j
 
 
 def observed_group(pb: PanelBase, filters: PanelFilters | None, key: str, kind: str,
@@ -174,10 +146,17 @@ def _money(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn(col, F.col(col).cast("double"))
 
 
+def hours_without_data(spark: SparkSession) -> DataFrame:
+    return spark.range(24).select(F.col("id").cast("int").alias("hour_of_day"),
+                                  F.lit(0).cast("long").alias("number_of_transactions"))
+
+
 # ------------------------------------------------------------------ panels
 
 def panel_hourly(pb, filters=None):
-    """Transactions by hour of purchase."""
+    """Transactions by hour of purchase; without an hour column all 24 hours with none."""
+    if "hour_of_day" not in pb.base.columns:
+        return hours_without_data(pb.base.sparkSession)
     return observed_group(pb, filters, "hour_of_day", COUNT, None, "number_of_transactions")
 
 

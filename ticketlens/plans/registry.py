@@ -1,15 +1,18 @@
 """Registers every implemented operator/report as a named query with its oracle SQL.
 
-Loaders build the needed tables lazily from the driver's Parquet files; nothing is collected.
+Loaders build the needed tables from the driver's Parquet files; nothing is collected. Panels read
+a stored base and stored domains, which the first of them writes.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ticketlens.functions.calendar import calendar_alias_columns, calendar_parts, month_name
+from ticketlens.functions.calendar import MS_PER_DAY, calendar_alias_columns, calendar_parts, \
+    month_name, parse_date_coerce, parse_date_strict
 from ticketlens.functions.money import clean_price, price_text
-from ticketlens.functions.timeofday import hour_of_day, minutes_between_wrapped, seconds_of_day
+from ticketlens.functions.timeofday import delay_minutes, hour_of_day, minutes_between_wrapped, \
+    seconds_of_day
 from ticketlens.operators import clean, profile
 from ticketlens.operators.aggregate import category_domain, group_count, group_mean, \
     group_sum, having_count, value_counts
@@ -17,7 +20,10 @@ from ticketlens.operators.filters import PanelFilters
 from ticketlens.plans import panels, reports, star
 from ticketlens.plans.catalog import register
 from ticketlens.plans.oracle import pct, r2, secs, with_ctes
+from ticketlens.session import materialise, scratch_path, store_key
 from ticketlens.sources import tables
+from ticketlens.sources.files import scan_rides_csv, scan_star, scan_table_all, trim_column_names, \
+    with_epoch_dates, write_star
 from ticketlens.sources.rides import RIDES_COLUMNS, ride_tickets, rides
 
 
@@ -31,7 +37,7 @@ def _clean(s, d):
     return clean.notebook_clean(rides(s, d))
 
 
-def _cleandata2(s, d):
+def _priced_rides(s, d):
     return clean.sql_cleandata(clean.sql_source_table(rides(s, d)))
 
 
@@ -39,15 +45,38 @@ def _star(s, d):
     return star.StarA(rides(s, d))
 
 
-def _star_base(s, d):
-    st = star.StarA(rides(s, d))
-    return panels.PanelBase(star.denormalise(st.fact, st.time, st.journey, st.location), st.location)
+_STORED: dict[tuple, object] = {}
+
+
+def _once(kind, s, d, build):
+    """Stored tables of an input are written by the first query that needs them, and read by all."""
+    key = (kind, d, *store_key(s))
+    if key not in _STORED:
+        _STORED[key] = build(scratch_path(s, kind))
+    return _STORED[key]
 
 
 def _panel_base(s, d):
-    r = rides(s, d)
-    stations = star.station_union_distinct(r)
-    return panels.PanelBase(star.flat_denormalised(r), stations)
+    return _once("panel-base", s, d, lambda path: panels.PanelBase(
+        star.flat_denormalised(rides(s, d))).stored(path))
+
+
+def _star_files(s, d):
+    """The four star tables as Parquet files, written once."""
+    def build(path):
+        a = star.StarA(rides(s, d))
+        a.location = materialise(a.location, "stations")
+        write_star({"fact_transactions": a.fact, "dim_time": a.time, "dim_journey": a.journey,
+                    "dim_location": a.location}, path)
+        return path
+    return _once("star-files", s, d, build)
+
+
+def _scanned_star_base(s, d):
+    """The dashboard's start: scan the stored star tables and denormalise them."""
+    t = scan_star(s, _star_files(s, d))
+    base = star.denormalise(t["fact_transactions"], t["dim_time"], t["dim_journey"], t["dim_location"])
+    return panels.PanelBase(base, t["dim_location"])
 
 
 def _fact_measures(s, d):
@@ -90,11 +119,53 @@ _q("filter_month_name",
                         "WHERE strftime(date_of_purchase, '%B') = 'January' "
                         "ORDER BY date_of_purchase, time_of_purchase, transaction_id LIMIT 5"))
 
+
+
+def _text_dates(s, d):
+    """Order dates as text, some of which are no dates."""
+    o, k = tables.table(s, d, "orders", ["o_orderkey", "o_orderdate"]), F.col("o_orderkey")
+    text = (F.when(k % 97 == 0, F.lit("unknown")).when(k % 101 == 0, F.lit("2024-02-30"))
+            .otherwise(F.col("o_orderdate").cast("date").cast("string")))
+    return o.select("o_orderkey", text.alias("purchase_text"))
+
+
+_TEXT_DATES = """WITH src AS (SELECT o_orderkey, CASE WHEN o_orderkey % 97 = 0 THEN 'unknown'
+  WHEN o_orderkey % 101 = 0 THEN '2024-02-30' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS purchase_text
+  FROM orders)
+"""
+_q("parse_date_coerce", lambda s, d: _text_dates(s, d).withColumn("purchase_date", parse_date_coerce("purchase_text")),
+   _TEXT_DATES + "SELECT *, TRY_CAST(purchase_text AS DATE) AS purchase_date FROM src")
+_q("parse_date_strict", lambda s, d: tables.table(s, d, "orders", ["o_orderkey", "o_orderdate"]).select(
+       "o_orderkey", parse_date_strict(F.col("o_orderdate").cast("date").cast("string")).alias("purchase_date")),
+   "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS purchase_date FROM orders")
 _q("filter_invalid_dates",
-   lambda s, d: profile.head_n(_rides(s, d).where(
-       F.col("date_of_purchase").isNull() | F.col("date_of_journey").isNull()), ["transaction_id"], 5),
-   with_ctes(["rides"], "SELECT * FROM rides WHERE date_of_purchase IS NULL OR date_of_journey IS NULL "
-                        "ORDER BY transaction_id LIMIT 5"))
+   lambda s, d: profile.head_n(
+       _text_dates(s, d).where(parse_date_coerce("purchase_text").isNull()), ["o_orderkey"], 5),
+   _TEXT_DATES + "SELECT * FROM src WHERE TRY_CAST(purchase_text AS DATE) IS NULL ORDER BY o_orderkey LIMIT 5")
+
+
+def _text_times(s, d):
+    """Times of purchase as people write them: some without a leading zero, some no times."""
+    o, k = tables.table(s, d, "orders", ["o_orderkey"]), F.col("o_orderkey")
+    hour, rest = (k % 24).cast("string"), F.lpad((k % 60).cast("string"), 2, "0")
+    padded = F.when(k % 3 == 0, hour).otherwise(F.lpad(hour, 2, "0"))
+    text = F.when(k % 89 == 0, F.lit("25:00:00")).otherwise(F.concat_ws(":", padded, rest, F.lit("00")))
+    return o.select("o_orderkey", text.alias("time_text"))
+
+
+_TEXT_TIMES = """WITH src AS (SELECT o_orderkey, CASE WHEN o_orderkey % 89 = 0 THEN '25:00:00'
+  ELSE CASE WHEN o_orderkey % 3 = 0 THEN CAST(o_orderkey % 24 AS VARCHAR)
+            ELSE lpad(CAST(o_orderkey % 24 AS VARCHAR), 2, '0') END
+       || ':' || lpad(CAST(o_orderkey % 60 AS VARCHAR), 2, '0') || ':00' END AS time_text FROM orders)
+"""
+_q("parse_time_text", lambda s, d: _text_times(s, d).select(
+       "o_orderkey", "time_text", seconds_of_day("time_text").alias("seconds")),
+   _TEXT_TIMES + "SELECT o_orderkey, time_text, CASE WHEN o_orderkey % 89 <> 0 THEN CAST(o_orderkey % 24 * 3600 "
+                 "+ o_orderkey % 60 * 60 AS INTEGER) END AS seconds FROM src")
+_q("hourly_transactions_text", lambda s, d: group_count(
+       _text_times(s, d).select(hour_of_day("time_text").alias("hour")), ["hour"], "number_of_transactions"),
+   _TEXT_TIMES + "SELECT CAST(o_orderkey % 24 AS INTEGER) AS hour, count(*) AS number_of_transactions FROM src "
+                 "WHERE o_orderkey % 89 <> 0 GROUP BY 1")
 
 # ------------------------------------------------------------------ derived columns
 
@@ -144,7 +215,7 @@ _q("clean_price",
    with_ctes(["rides"], """SELECT transaction_id, '£' || format('{:,.2f}', CAST(price AS DOUBLE)) AS price_text,
        CAST(TRY_CAST(replace(replace('£' || format('{:,.2f}', CAST(price AS DOUBLE)), '£', ''), ',', '')
             AS DECIMAL(10,0)) AS INTEGER) AS price2 FROM rides"""))
-_q("sql_cleandata2", _cleandata2, with_ctes(["cleandata2"], "SELECT * FROM cleandata2"))
+_q("sql_cleandata2", _priced_rides, with_ctes(["priced_rides"], "SELECT * FROM priced_rides"))
 
 # ------------------------------------------------------------------ star schema
 
@@ -154,13 +225,13 @@ _q("station_union_distinct", lambda s, d: star.station_union_distinct(_rides(s,
 _q("dim_location", lambda s, d: star.dim_location(_rides(s, d)),
    with_ctes(["dim_location"], "SELECT * FROM dim_location"))
 _q("surrogate_row_id",
-   lambda s, d: star.with_row_id(_clean(s, d)).select("transaction_id", "row_id"),
+   lambda s, d: star.row_ids(_rides(s, d)).select("transaction_id", "row_id"),
    with_ctes(["ided"], "SELECT transaction_id, row_id FROM ided"))
-_q("dim_time", lambda s, d: _star(s, d).time, with_ctes(["dim_time"], "SELECT * FROM dim_time"))
-_q("dim_journey", lambda s, d: _star(s, d).journey,
+_q("dim_time", lambda s, d: star.dim_time(star.row_ids(_rides(s, d), *star.TIME_SOURCE)), with_ctes(["dim_time"], "SELECT * FROM dim_time"))
+_q("dim_journey", lambda s, d: star.dim_journey(star.row_ids(_rides(s, d), *star.JOURNEY_SOURCE)),
    with_ctes(["dim_journey"], "SELECT * FROM dim_journey"))
 _q("fact_transactions", lambda s, d: _star(s, d).fact, with_ctes(["fact"], "SELECT * FROM fact"))
-_q("star_denormalised", lambda s, d: _star_base(s, d).base,
+_q("star_denormalised", lambda s, d: star.star_denormalised(_rides(s, d)),
    with_ctes(["denorm"], "SELECT * FROM denorm"))
 _q("dim_time_b", lambda s, d: star.dim_time_b(_tickets(s, d)),
    with_ctes(["dim_time_b"], "SELECT * FROM dim_time_b"))
@@ -172,6 +243,14 @@ def _fact_b(s, d):
     return star.StarB(_tickets(s, d)).fact
 
 
+_q("fact_skeleton", lambda s, d: star.fact_skeleton(_clean(s, d)),
+   with_ctes(["fact"], "SELECT transaction_id, purchase_type, payment_method, railcard, ticket_class, ticket_type, "
+             "price, journey_status, refund_request, CAST(NULL AS INTEGER) AS departure_station_id, "
+             "CAST(NULL AS INTEGER) AS arrival_station_id, CAST(NULL AS BIGINT) AS time_id, "
+             "CAST(NULL AS BIGINT) AS journey_id FROM fact"))
+_q("fact_string_keys", lambda s, d: star.cast_keys_string(_star(s, d).fact, star.FK_COLUMNS),
+   with_ctes(["fact"], "SELECT * REPLACE (" + ", ".join(
+       f"CAST({c} AS VARCHAR) AS {c}" for c in star.FK_COLUMNS) + ") FROM fact"))
 _q("fact_b", _fact_b, with_ctes(["fact_b"], "SELECT * FROM fact_b"))
 _q("fk_null_check", lambda s, d: star.fk_null_check(_fact_b(s, d)),
    with_ctes(["fact_b"], "SELECT count(*) - count(time_id) AS null_time_ids, "
@@ -290,9 +369,30 @@ _q("category_domain_ticket_type", lambda s, d: category_domain(_fact_measures(s,
 
 # ------------------------------------------------------------------ SQL script reports
 
-for _n, _sql in reports.SQL_REPORTS.items():
-    _q(_n, (lambda n: lambda s, d: reports.sql_report(s, _cleandata2(s, d), n))(_n),
-       with_ctes(["cleandata2"], _sql))
+
+def _groups_sql(keys: str, least: int = 2, top: int | None = None) -> str:
+    """Groups by size, written over a grouped subquery."""
+    sql = f"SELECT * FROM (SELECT {keys}, count(*) AS tickets FROM priced_rides GROUP BY ALL) g WHERE tickets >= {least}"
+    names = ", ".join(k.split(" AS ")[-1] + " NULLS FIRST" for k in keys.split(", "))
+    return sql + (f" ORDER BY tickets DESC, {names} LIMIT {top}" if top else "")
+
+
+_CLEANED_SQL = {
+    "sql_avg_price2": "SELECT sum(price2)::DOUBLE / count(price2) AS mean_price FROM priced_rides",
+    "sql_class_railcard": _groups_sql("ticket_class, railcard"),
+    "sql_group_count_payment_method": _groups_sql("payment_method"),
+    "sql_group_count_purchase_type": _groups_sql("purchase_type"),
+    "sql_group_count_railcard": _groups_sql("railcard"),
+    "sql_group_count_ticket_class": _groups_sql("ticket_class"),
+    "sql_group_count_ticket_type": _groups_sql("ticket_type"),
+    "sql_month_journeys": _groups_sql("CAST(month(date_of_journey) AS INTEGER) AS month", least=1),
+    "sql_month_purchases": _groups_sql("CAST(month(date_of_purchase) AS INTEGER) AS month", least=1),
+    "sql_status_reason": _groups_sql("journey_status, reason_for_delay"),
+    "sql_status_refund_top3": _groups_sql("journey_status, refund_request", top=3),
+}
+for _n, _report in reports.CLEANED_REPORTS.items():
+    _q(_n, (lambda report: lambda s, d: report(_priced_rides(s, d)))(_report),
+       with_ctes(["priced_rides"], _CLEANED_SQL[_n]))
 _q("sql_having_lineitem",
    lambda s, d: having_count(tables.lineitem_keys(s, d), ["l_orderkey", "l_linenumber"], "number_"),
    "SELECT l_orderkey, l_linenumber, count(*) AS number_ FROM lineitem "
@@ -339,6 +439,51 @@ SELECT m.column_name, count, {r2('total')} AS total,
   {r2('q1')} AS q1, {r2('q2')} AS q2, {r2('q3')} AS q3, {r2('q3 - q1')} AS iqr, {r2('std')} AS std,
   {r2('mn')} AS min, {r2('mx')} AS max
 FROM m LEFT JOIN modes USING (column_name)"""))
+# Column names whose quartiles the revised notebook leaves out.
+_DATE_LIKE = ["date", "day", "month", "year", "date of journey"]
+_DUR_COLS = ["price", "duration_time", "delay_period", "day"]
+
+
+def _durations(s, d):
+    c = _clean(s, d)
+    return c.select("price", minutes_between_wrapped("departure_time", "arrival_time").alias("duration_time"),
+                    delay_minutes("actual_arrival_time", "arrival_time").alias("delay_period"),
+                    F.dayofmonth("date_of_journey").alias("day"))
+
+
+_DUR_SRC = f"""SELECT CAST(price AS DOUBLE) AS price,
+  (CASE WHEN {secs('arrival_time')} < {secs('departure_time')} THEN 86400 ELSE 0 END
+   + {secs('arrival_time')} - {secs('departure_time')}) / 60.0::DOUBLE AS duration_time,
+  greatest(0.0::DOUBLE, ({secs('actual_arrival_time')} - {secs('arrival_time')}) / 60.0::DOUBLE) AS delay_period,
+  CAST(day(date_of_journey) AS DOUBLE) AS day FROM rides_clean"""
+_DUR_STACK = " UNION ALL ".join(f"SELECT '{c}' AS column_name, {c} AS value FROM src" for c in _DUR_COLS)
+_q("profile_numeric_date_like", lambda s, d: profile.numeric_profile(_numeric_frame(s, d), _NUM_COLS, _DATE_LIKE),
+   with_ctes(["rides_clean"], f"""
+, src AS ({_NUMERIC_SRC}), st AS ({_stacked_sql(_NUM_COLS)}),
+modes AS (SELECT column_name, min_by(value, (-cnt, value)) AS mode FROM (
+    SELECT column_name, value, count(*) AS cnt FROM st WHERE value IS NOT NULL GROUP BY 1, 2) x GROUP BY 1),
+m AS (SELECT column_name, count(*) AS count, sum(value) AS total, count(value) AS nn,
+    stddev_samp(CAST(value AS DOUBLE)) AS std, min(value) AS mn, max(value) AS mx,
+    quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS q2, quantile_cont(value, 0.75) AS q3
+  FROM st GROUP BY 1)
+SELECT m.column_name, count, {r2('total')} AS total,
+  {r2('CAST(total AS DOUBLE) / CAST(nn AS DOUBLE)')} AS mean, {r2('q2')} AS median, {r2('mode')} AS mode,
+  CASE WHEN column_name = 'price' THEN {r2('q1')} END AS q1, CASE WHEN column_name = 'price' THEN {r2('q2')} END AS q2,
+  CASE WHEN column_name = 'price' THEN {r2('q3')} END AS q3, CASE WHEN column_name = 'price' THEN {r2('q3 - q1')} END AS iqr,
+  {r2('std')} AS std, {r2('mn')} AS min, {r2('mx')} AS max
+FROM m JOIN modes USING (column_name)"""))
+
+
+def _r6(x: str) -> str:
+    return f"CAST(round(CAST({x} AS DECIMAL(38,12)), 6) AS DOUBLE)"
+
+
+_q("profile_describe_all", lambda s, d: profile.describe(_durations(s, d), _DUR_COLS, digits=6),
+   with_ctes(["rides_clean"], f"""
+, src AS ({_DUR_SRC}), st AS ({_DUR_STACK})
+SELECT column_name, count(value) AS count, {_r6('avg(value)')} AS mean, {_r6('stddev_samp(value)')} AS std,
+  {_r6('min(value)')} AS min, {_r6('quantile_cont(value, 0.25)')} AS p25, {_r6('quantile_cont(value, 0.5)')} AS p50,
+  {_r6('quantile_cont(value, 0.75)')} AS p75, {_r6('max(value)')} AS max FROM st GROUP BY 1"""))
 _q("profile_numeric_all_modes", lambda s, d: profile.all_modes(_numeric_frame(s, d), _NUM_COLS),
    with_ctes(["rides_clean"], f"""
 , src AS ({_NUMERIC_SRC}), st AS ({_stacked_sql(_NUM_COLS)}),
@@ -379,8 +524,8 @@ f AS (SELECT column_name, value, count(*) AS cnt FROM st GROUP BY 1, 2),
 pc AS (SELECT column_name, sum(cnt) AS total_count, count(value) AS unique_values,
        max(cnt) FILTER (WHERE value IS NOT NULL) AS most_common_count FROM f GROUP BY 1),
 w AS (SELECT pc.column_name, total_count, unique_values, most_common_count, min(value) AS most_common
-      FROM f JOIN pc ON f.column_name = pc.column_name AND f.cnt = pc.most_common_count
-      WHERE value IS NOT NULL GROUP BY 1, 2, 3, 4)"""
+      FROM pc LEFT JOIN f ON f.column_name = pc.column_name AND f.cnt = pc.most_common_count
+                          AND f.value IS NOT NULL GROUP BY 1, 2, 3, 4)"""
 _q("profile_categorical", lambda s, d: profile.categorical_profile(_clean(s, d), _CAT_COLS),
    with_ctes(["rides_clean"], "") + f""", {_CAT_SUMMARY}
 SELECT f.column_name, f.value, f.cnt AS count, total_count, unique_values, most_common, most_common_count
@@ -402,27 +547,23 @@ _q("head_n", lambda s, d: profile.head_n(_rides(s, d), [F.asc(c) for c in star.R
                         "transaction_id LIMIT 5"))
 
 
+_OPTIONS = {"month": "month", "departure_station_name": "station", "ticket_type": "ticket_type",
+            "railcard": "railcard", "payment_method": "payment"}
+
+
 def _filter_options(s, d):
-    b = _panel_base(s, d).base
-    months = (b.where(F.col("month").isNotNull()).select("month").distinct()
-              .select(F.lit("month").alias("option"), F.col("month").cast("string").alias("value"),
-                      F.date_format(F.make_date(F.lit(2000), F.col("month"), F.lit(1)), "MMMM")
-                      .alias("label")))
-    parts = [months]
-    for opt, col in (("station", "departure_station_name"), ("ticket_type", "ticket_type"),
-                     ("railcard", "railcard"), ("payment", "payment_method")):
-        parts.append(b.where(F.col(col).isNotNull()).select(col).distinct().select(
-            F.lit(opt).alias("option"), F.col(col).alias("value"), F.col(col).alias("label")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.orderBy("option", "value")
-
-
-_q("filter_options", _filter_options, with_ctes(["denorm"], """
+    """Q12: the values of the five filters, from the stored domains."""
+    option = F.create_map(*[F.lit(x) for pair in _OPTIONS.items() for x in pair])[F.col("column_name")]
+    month = F.when(F.col("column_name") == "month", F.col("value").cast("int"))
+    label = F.coalesce(F.date_format(F.make_date(F.lit(2000), month, F.lit(1)), "MMMM"), F.col("value"))
+    return (_panel_base(s, d).domains.where(F.col("column_name").isin(*_OPTIONS))
+            .select(option.alias("option"), "value", label.alias("label")).orderBy("option", "value"))
+
+
+_q("filter_options", _filter_options, with_ctes(["denorm", "dim_location"], """
 SELECT DISTINCT 'month' AS option, CAST(month AS VARCHAR) AS value,
   strftime(make_date(2000, month, 1), '%B') AS label FROM denorm WHERE month IS NOT NULL
-UNION SELECT DISTINCT 'station', departure_station_name, departure_station_name FROM denorm WHERE departure_station_name IS NOT NULL
+UNION SELECT 'station', station_name, station_name FROM dim_location
 UNION SELECT DISTINCT 'ticket_type', ticket_type, ticket_type FROM denorm WHERE ticket_type IS NOT NULL
 UNION SELECT DISTINCT 'railcard', railcard, railcard FROM denorm WHERE railcard IS NOT NULL
 UNION SELECT DISTINCT 'payment', payment_method, payment_method FROM denorm WHERE payment_method IS NOT NULL"""))
@@ -519,6 +660,32 @@ for _name, _f in (("panel_top5_stations__station", PanelFilters(station="NATION_
     _base = _name.split("__")[0]
     _q(_name, _panel_query(_base, _f), _panel_sql(_base, _f))
 
+for _name in ("panel_revenue_refund", "panel_top5_stations", "panel_hourly", "panel_status", "panel_daily_revenue"):
+    _f = PanelFilters(month=3) if _name != "panel_status" else PanelFilters(railcard="Senior", payment="Contactless")
+    _q(_name + "__star", (lambda n, f: lambda s, d: panels.panel(_scanned_star_base(s, d), n, f))(_name, _f),
+       _panel_sql(_name, _f))
+
+
+def _without(name: str, *columns: str):
+    """A panel over a base that lacks columns."""
+    def run(s, d):
+        stored = _panel_base(s, d)
+        return panels.panel(panels.PanelBase(stored.base.drop(*columns), None, stored.domains), name)
+    return run
+
+
+_q("panel_hourly__no_column", _without("panel_hourly", "hour_of_day"),
+   "SELECT CAST(h AS INTEGER) AS hour_of_day, CAST(0 AS BIGINT) AS number_of_transactions FROM range(24) r(h)")
+_q("panel_revenue_ticket__no_column", _without("panel_revenue_ticket", "price"),
+   "SELECT CAST(NULL AS VARCHAR) AS ticket_type, CAST(NULL AS DOUBLE) AS revenue WHERE false")
+_q("panel_daily_tx__no_column", _without("panel_daily_tx", "purchase_date"),
+   "SELECT CAST(NULL AS DATE) AS purchase_date, CAST(NULL AS BIGINT) AS number_of_transactions WHERE false")
+_q("panel_delay_reasons__no_column", _without("panel_delay_reasons", "reason_for_delay"),
+   "SELECT CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS BIGINT) AS count WHERE false")
+_q("panel_status__month_text", _panel_query("panel_status", PanelFilters(month="March")),
+   "SELECT CAST(NULL AS VARCHAR) AS journey_status, CAST(NULL AS BIGINT) AS count, "
+   "CAST(NULL AS DOUBLE) AS share_pct WHERE false")
+
 # ------------------------------------------------------------------ file sources / sinks
 
 
@@ -526,9 +693,6 @@ def _csv_round_trip(s, d):
     """S4 then S1: write the flat table as CSV (missing values as the text ``None``) into this
     application's folder under the shared checkpoint folder and scan it back with the explicit
     schema."""
-    from ticketlens.session import scratch_path
-    from ticketlens.sources.files import scan_rides_csv
-
     path = scratch_path(s, "rides-csv")
     _rides(s, d).write.mode("overwrite").option("header", True).option("nullValue", "None").csv(path)
     return scan_rides_csv(s, path)
@@ -541,10 +705,8 @@ def _star_csv_round_trip(s, d):
     """S4 then S2 and J5: write the four star tables of variant A as CSV (header, no index) into
     this application's scratch folder, scan them back with their schemas, and denormalise the
     scanned tables — the dashboard's start-up path."""
-    from ticketlens.session import scratch_path
-    from ticketlens.sources.files import scan_star, write_star
-
     a = star.StarA(_rides(s, d))
+    a.location = materialise(a.location, "stations")
     folder = scratch_path(s, "star-csv")
     write_star({"fact_transactions": a.fact, "dim_time": a.time, "dim_journey": a.journey,
                 "dim_location": a.location}, folder, "csv")
@@ -559,9 +721,6 @@ _q("scan_star_denormalised", _star_csv_round_trip, with_ctes(["denorm"], "SELECT
 def _epoch_dates(s, d):
     """S3: purchase instants stored as epoch-millisecond text (the order date plus a time of day
     from the order key), read back as dates."""
-    from ticketlens.functions.calendar import MS_PER_DAY
-    from ticketlens.sources.files import with_epoch_dates
-
     o = tables.table(s, d, "orders", ["o_orderkey", "o_orderdate"])
     ms = (F.unix_date(F.col("o_orderdate").cast("date")).cast("bigint") * MS_PER_DAY
           + (F.col("o_orderkey") * 7919) % MS_PER_DAY)
@@ -570,13 +729,30 @@ def _epoch_dates(s, d):
 
 
 def _table_all(s, d):
-    """``SELECT *`` from a catalog view of the flat table (S6 trims its column names)."""
-    from ticketlens.sources.files import scan_table_all, trim_column_names
-
-    trim_column_names(_rides(s, d)).createOrReplaceTempView("ticketlens_rides")
+    """S6, then S5: a catalog view of the flat table, whose column names came with blanks around
+    them, and ``SELECT *`` from it."""
+    r = _rides(s, d)
+    spaced = r.toDF(*[f" {c} " for c in r.columns])
+    trim_column_names(spaced).createOrReplaceTempView("ticketlens_rides")
     return scan_table_all(s, "ticketlens_rides")
 
 
+def _bad_epochs(s, d):
+    """S3 over epoch texts some of which are no numbers or out of range."""
+    o, k = tables.table(s, d, "orders", ["o_orderkey"]), F.col("o_orderkey")
+    ms = (F.when(k % 13 == 0, F.lit("n/a")).when(k % 17 == 0, F.lit("")).when(k % 19 == 0, F.lit("9" * 18))
+          .otherwise(((k % 20000) * MS_PER_DAY).cast("string")))
+    return with_epoch_dates(o.select("o_orderkey", ms.alias("ms")), {"ms": "purchase_date"})
+
+
+_q("scan_epoch_dates_bad", _bad_epochs, """
+SELECT o_orderkey, CASE WHEN o_orderkey % 13 = 0 THEN 'n/a' WHEN o_orderkey % 17 = 0 THEN ''
+    WHEN o_orderkey % 19 = 0 THEN repeat('9', 18)
+    ELSE CAST(o_orderkey % 20000 * 86400000 AS VARCHAR) END AS ms,
+  CASE WHEN o_orderkey % 13 <> 0 AND o_orderkey % 17 <> 0 AND o_orderkey % 19 <> 0
+    THEN DATE '1970-01-01' + CAST(o_orderkey % 20000 AS INTEGER) END AS purchase_date FROM orders""")
+
+
 _q("scan_table_all", _table_all, with_ctes(["rides"], "SELECT * FROM rides"))
 _q("scan_epoch_dates", _epoch_dates, """
 WITH src AS (SELECT o_orderkey, CAST(CAST(CAST(o_orderdate AS DATE) - DATE '1970-01-01' AS BIGINT)

@@ -1,4 +1,4 @@
-"""Notebook reports (A1–A15, A21–A22, T1) and the SQL script's reports.
+"""Notebook reports (A1–A15, A21–A22, T1) and the counts over relabelled rides.
 
 Each report is a function of DataFrames; all grouping goes through the operators in
 ``ticketlens.operators.aggregate`` (partial aggregation before every shuffle).
@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from ticketlens.functions.calendar import month_name
 from ticketlens.functions.money import money_mean, money_sum
 from ticketlens.functions.timeofday import hour_of_day
-from ticketlens.operators.aggregate import group_count, group_mean, group_sum, pivot_sum, \
-    top_k, value_counts, with_share
+from ticketlens.operators.aggregate import group_count, group_sum, having_count, pivot_sum, top_k, \
+    value_counts, with_share
 
 # The category labels the reports pivot on or order by (field dictionary).
 TICKET_TYPES = ["Advance", "Anytime", "Off-Peak"]
@@ -95,56 +95,35 @@ def top5_departure_stations(rides: DataFrame) -> DataFrame:
     return top_k(s, [F.desc("revenue"), F.asc("departure_station")], 5)
 
 
-# ------------------------------------------------------------------ SQL script
-
-SQL_REPORTS = {
-    "sql_group_count_purchase_type": """
-        SELECT purchase_type, COUNT(*) AS number_ FROM cleandata2
-        GROUP BY purchase_type HAVING COUNT(*) > 1 ORDER BY number_ DESC, purchase_type""",
-    "sql_group_count_payment_method": """
-        SELECT payment_method, COUNT(*) AS number_ FROM cleandata2
-        GROUP BY payment_method HAVING COUNT(*) > 1 ORDER BY number_ DESC, payment_method""",
-    "sql_group_count_ticket_class": """
-        SELECT ticket_class, COUNT(*) AS number_ FROM cleandata2
-        GROUP BY ticket_class HAVING COUNT(*) > 1 ORDER BY number_ DESC, ticket_class""",
-    "sql_group_count_railcard": """
-        SELECT railcard, COUNT(*) AS number_ FROM cleandata2
-        GROUP BY railcard HAVING COUNT(*) > 1 ORDER BY number_ DESC, railcard""",
-    "sql_class_railcard": """
-        SELECT ticket_class, railcard, COUNT(*) AS number_ FROM cleandata2
-        GROUP BY ticket_class, railcard HAVING COUNT(*) > 1
-        ORDER BY number_ DESC, ticket_class, railcard""",
-    "sql_group_count_ticket_type": """
-        SELECT ticket_type AS tk, COUNT(*) AS number_ FROM cleandata2
-        GROUP BY ticket_type HAVING COUNT(*) > 1 ORDER BY number_ DESC, tk""",
-    "sql_status_reason": """
-        SELECT journey_status, reason_for_delay, COUNT(*) AS number_ FROM cleandata2
-        GROUP BY journey_status, reason_for_delay HAVING COUNT(*) > 1
-        ORDER BY number_ DESC, journey_status, reason_for_delay""",
-    "sql_status_refund_top3": """
-        SELECT journey_status, refund_request, COUNT(*) AS number_ FROM cleandata2
-        GROUP BY journey_status, refund_request HAVING COUNT(*) > 1
-        ORDER BY number_ DESC, journey_status, refund_request LIMIT 3""",
-    "sql_avg_price2": """
-        SELECT AVG(price2) AS avg_price2 FROM cleandata2""",
-    "sql_month_journeys": """
-        SELECT CAST(MONTH(date_of_journey) AS INT) AS journey_month, COUNT(*) AS total_journeys
-        FROM cleandata2 GROUP BY MONTH(date_of_journey) ORDER BY total_journeys DESC, journey_month""",
-    "sql_month_purchases": """
-        SELECT CAST(MONTH(date_of_purchase) AS INT) AS journey_month, COUNT(*) AS total_journeys
-        FROM cleandata2 GROUP BY MONTH(date_of_purchase) ORDER BY total_journeys DESC, journey_month""",
-}
+# ------------------------------------------------------------------ counts over cleaned rides
+
+def repeated_groups(*keys: str, limit: int | None = None):
+    """Groups of more than one ticket, the largest first."""
+    return lambda rides: having_count(rides, list(keys), "tickets", limit=limit)
+
 
+def tickets_by_month(date_col: str):
+    """Tickets per calendar month of a date, the busiest month first."""
+    return lambda rides: having_count(rides.select(F.month(date_col).alias("month")), ["month"], "tickets",
+                                      min_count=0)
 
-def sql_report(spark: SparkSession, cleandata2: DataFrame, name: str) -> DataFrame:
-    """Run one of the SQL script's reports with ``spark.sql`` over the cleaned table."""
-    cleandata2.createOrReplaceTempView("cleandata2")
-    return spark.sql(SQL_REPORTS[name])
 
+def mean_whole_price(rides: DataFrame) -> DataFrame:
+    """A4: mean of the whole-number prices."""
+    return rides.agg(F.avg("price2").alias("mean_price"))
 
-__all__ = [
-    "month_name_counts", "price_totals", "hourly_transactions", "hourly_spine",
-    "pivot_revenue_purchase_ticket", "refund_revenue_matrix", "refund_count_matrix",
-    "share_of_counts", "share_of_revenue", "top5_departure_stations", "sql_report",
-    "SQL_REPORTS", "group_count", "group_sum", "group_mean", "value_counts",
-]
+
+#: Registered name → report over the relabelled rides with their whole-number price.
+CLEANED_REPORTS = {
+    "sql_avg_price2": mean_whole_price,
+    "sql_class_railcard": repeated_groups("ticket_class", "railcard"),
+    "sql_group_count_payment_method": repeated_groups("payment_method"),
+    "sql_group_count_purchase_type": repeated_groups("purchase_type"),
+    "sql_group_count_railcard": repeated_groups("railcard"),
+    "sql_group_count_ticket_class": repeated_groups("ticket_class"),
+    "sql_group_count_ticket_type": repeated_groups("ticket_type"),
+    "sql_month_journeys": tickets_by_month("date_of_journey"),
+    "sql_month_purchases": tickets_by_month("date_of_purchase"),
+    "sql_status_reason": repeated_groups("journey_status", "reason_for_delay"),
+    "sql_status_refund_top3": repeated_groups("journey_status", "refund_request", limit=3),
+}

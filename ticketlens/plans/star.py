@@ -17,6 +17,8 @@ join, and the dim side of a hot key is a single row.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,7 @@ from ticketlens.functions.timeofday import delay_minutes, hour_of_day, minutes_b
     minutes_between_wrapped
 from ticketlens.operators.clean import notebook_clean
 from ticketlens.operators.ids import with_contiguous_id
+from ticketlens.session import materialise
 
 ROW_ORDER = ["date_of_purchase", "time_of_purchase", "transaction_id"]
 
@@ -38,10 +41,9 @@ def with_row_id(cleaned: DataFrame) -> DataFrame:
 
 
 def station_union_distinct(rides: DataFrame) -> DataFrame:
-    """Every station named as departure or arrival, once."""
-    dep = rides.select(F.col("departure_station").alias("station_name"))
-    arr = rides.select(F.col("arrival_destination").alias("station_name"))
-    return dep.union(arr).where(F.col("station_name").isNotNull()).distinct()
+    """Every station named as departure or arrival, once; one scan of the rides."""
+    both = F.explode(F.array("departure_station", "arrival_destination"))
+    return rides.select(both.alias("station_name")).where(F.col("station_name").isNotNull()).distinct()
 
 
 def dim_location(rides: DataFrame) -> DataFrame:
@@ -119,16 +121,47 @@ def fact_measures(rides: DataFrame) -> DataFrame:
     return notebook_clean(rides).select(*FACT_MEASURES)
 
 
+TIME_SOURCE = ["date_of_purchase", "time_of_purchase"]
+JOURNEY_SOURCE = ["date_of_journey", "departure_time", "arrival_time", "actual_arrival_time",
+                  "reason_for_delay"]
+
+
+def row_ids(rides: DataFrame, *columns: str) -> DataFrame:
+    """Row ids next to ``columns`` of the cleaned rides; only these and the order key are written.
+    Ids follow the unique transaction id, so two calls give a ticket the same id."""
+    return with_row_id(notebook_clean(rides).select(*dict.fromkeys([*ROW_ORDER, *columns])))
+
+
 class StarA:
-    """The four tables of variant A, defined lazily over one cleaned, id-carrying frame."""
+    """The four tables of variant A. Each is built when it is first asked for; those that carry row
+    ids share one written frame with the columns that any of them reads."""
 
     def __init__(self, rides: DataFrame):
-        self.cleaned = notebook_clean(rides)
-        self.ided = with_row_id(self.cleaned)
-        self.location = dim_location(rides)
-        self.time = dim_time(self.ided)
-        self.journey = dim_journey(self.ided)
-        self.fact = fact_transactions(self.ided, self.location)
+        self.rides = rides
+
+    @cached_property
+    def cleaned(self) -> DataFrame:
+        return notebook_clean(self.rides)
+
+    @cached_property
+    def ided(self) -> DataFrame:
+        return with_row_id(self.cleaned)
+
+    @cached_property
+    def location(self) -> DataFrame:
+        return dim_location(self.rides)
+
+    @cached_property
+    def time(self) -> DataFrame:
+        return dim_time(self.ided)
+
+    @cached_property
+    def journey(self) -> DataFrame:
+        return dim_journey(self.ided)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return fact_transactions(self.ided, self.location)
 
 
 def denormalise(fact: DataFrame, time: DataFrame, journey: DataFrame,
@@ -148,7 +181,9 @@ def denormalise(fact: DataFrame, time: DataFrame, journey: DataFrame,
 
 
 def star_denormalised(rides: DataFrame) -> DataFrame:
+    """J1–J5 over star tables as a deployment has them: stored, each written once."""
     s = StarA(rides)
+    s.location = materialise(s.location, "stations")
     return denormalise(s.fact, s.time, s.journey, s.location)
 
 
@@ -227,19 +262,32 @@ def fact_b(tickets: DataFrame, time_b: DataFrame, journey_b: DataFrame) -> DataF
                             "time_id", "journey_id")
 
 
+TICKET_B_COLS = ["transaction_id", "line_number", "purchase_type", "payment_method", "railcard",
+                 "ticket_class", "ticket_type", "price", "journey_status", "date_of_purchase",
+                 "time_of_purchase", "date_of_journey", *JOURNEY_B_COLS[1:]]
+
+
 class StarB:
     """The three tables of variant B over one materialised input. The input feeds both distinct
-    dims and the fact; writing it once to the shared checkpoint folder computes its upstream joins
-    once instead of three times."""
-
-    def __init__(self, tickets: DataFrame, materialise: bool = True):
-        if materialise:
-            from ticketlens.session import materialise as write_once
-            tickets = write_once(tickets, "tickets")
-        self.tickets = tickets
-        self.time = dim_time_b(tickets)
-        self.journey = dim_journey_b(tickets)
-        self.fact = fact_b(tickets, self.time, self.journey)
+    dims and the fact; writing the columns they read once to the shared checkpoint folder computes
+    its upstream joins once instead of three times. Each dim is written once as well, since the fact
+    looks ids up in it."""
+
+    def __init__(self, tickets: DataFrame, materialise_input: bool = True):
+        tickets = tickets.select(*TICKET_B_COLS)
+        self.tickets = materialise(tickets, "tickets") if materialise_input else tickets
+
+    @cached_property
+    def time(self) -> DataFrame:
+        return dim_time_b(self.tickets)
+
+    @cached_property
+    def journey(self) -> DataFrame:
+        return dim_journey_b(self.tickets)
+
+    @cached_property
+    def fact(self) -> DataFrame:
+        return fact_b(self.tickets, self.time, self.journey)
 
 
 def fk_null_check(fact: DataFrame) -> DataFrame:

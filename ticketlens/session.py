@@ -46,14 +46,19 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for written tables and checkpoints.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster). Only when it is unset — local runs and
-    tests — a fresh folder is created and registered.
+    Read from ``spark.checkpoint.dir`` (set by the cluster). Unset, there is no folder that all
+    executors share, so this raises; only a session with a ``local`` master, whose driver and
+    executors are one process on one machine, gets a fresh folder of its own.
     """
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - remote session: the server owns spark.checkpoint.dir
-        return spark.conf.get("spark.checkpoint.dir", "")
-    path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+        path, one_machine = spark.conf.get("spark.checkpoint.dir", None), False
+    else:
+        path = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+        one_machine = sc.master == "local" or sc.master.startswith("local[")
+    if not path and not one_machine:
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
     if not path:
         path = tempfile.mkdtemp(prefix="ticketlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         sc.setCheckpointDir(path)
@@ -87,6 +92,15 @@ def _tables_root(spark: SparkSession) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/tables/{app}"
 
 
+_DROPS = 0
+
+
+def store_key(spark: SparkSession) -> tuple[str, int]:
+    """Names this application's written tables as long as they exist (it changes when they are
+    dropped), for callers that keep a stored table for later use."""
+    return _tables_root(spark), _DROPS
+
+
 def drop_materialised(spark: SparkSession) -> bool:
     """Delete every table this application wrote with :func:`materialise`.
 
@@ -98,6 +112,8 @@ def drop_materialised(spark: SparkSession) -> bool:
         conf = spark.sparkContext._jsc.hadoopConfiguration()
     except Exception:  # noqa: BLE001 - remote session: the server owns the folder
         return False
+    global _DROPS
+    _DROPS += 1
     path = jvm.org.apache.hadoop.fs.Path(_tables_root(spark))
     fs = path.getFileSystem(conf)
     return bool(fs.exists(path) and fs.delete(path, True))

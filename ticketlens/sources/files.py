@@ -67,17 +67,19 @@ def scan_rides_csv(spark: SparkSession, path: str, null_token: str = "None") ->
 
 
 def scan_star(spark: SparkSession, directory: str, fmt: str = "parquet") -> dict[str, DataFrame]:
-    """The four star tables; a missing table becomes an empty frame of its schema (the app's
-    load guard), so downstream panels return empty results instead of failing."""
+    """The four star tables. If one isn't there, all four are empty frames of their schemas (the
+    app's load guard), so downstream panels return empty results; any other failure is raised."""
     out = {}
     for name, schema in STAR_SCHEMAS.items():
         path = f"{directory.rstrip('/')}/{name}"
+        reader = spark.read.schema(schema)
         try:
-            reader = spark.read.schema(schema)
             df = reader.option("header", True).csv(path) if fmt == "csv" else reader.parquet(path)
-            out[name] = trim_column_names(df)
-        except AnalysisException:
-            out[name] = spark.createDataFrame([], schema)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {n: spark.createDataFrame([], s) for n, s in STAR_SCHEMAS.items()}
+        out[name] = trim_column_names(df)
     return out
 
 
