@@ -7,7 +7,7 @@ from ticketlens.functions.calendar import epoch_millis_to_date, parse_date_coerc
     parse_date_strict, calendar_alias_columns, month_name
 from ticketlens.functions.money import clean_price, round2
 from ticketlens.functions.timeofday import delay_minutes, hms, hour_of_day, minutes_between, \
-    minutes_between_wrapped, seconds_of_day
+    minutes_between_wrapped, seconds_of_day, seconds_of_day_strict
 
 
 def test_hms_and_seconds_round_trip(spark):
@@ -23,6 +23,15 @@ def test_bad_time_text_is_null(spark):
     assert [r[0] for r in df.select(hour_of_day("t")).collect()] == [None] * 4
 
 
+def test_one_digit_hours_and_the_strict_parser(spark):
+    df = spark.createDataFrame([("7:05:00",), ("07:05:00",), (None,)], "t string")
+    assert [tuple(r) for r in df.select(seconds_of_day("t"), hour_of_day("t"), seconds_of_day_strict("t")).collect()] == \
+        [(25500, 7, 25500), (25500, 7, 25500), (None, None, None)]
+    bad = spark.createDataFrame([("25:00:00",)], "t string")
+    with pytest.raises(Exception, match="not a time of day"):
+        bad.select(seconds_of_day_strict("t")).collect()
+
+
 def test_midnight_duration_and_delay(spark):
     # dep 23:50, arr 00:20 (next day), actual 00:10 / 00:40; arr 23:55, actual 00:05
     df = spark.createDataFrame([("23:50:00", "00:20:00", "00:10:00"),

@@ -104,9 +104,22 @@ def test_materialised_base_prunes_month_partitions(spark):
 
     r = rides(spark, SF001)
     live = panels.PanelBase(star.flat_denormalised(r), star.station_union_distinct(r))
-    stored = live.materialised(os.path.join(checkpoint_dir(spark), "base-" + uuid.uuid4().hex))
+    stored = live.stored(os.path.join(checkpoint_dir(spark), "base-" + uuid.uuid4().hex))
     f = PanelFilters(month=3)
     df = panels.panel_revenue_refund(stored, f)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(month" in plan and "(month#" in plan
-    assert sorted(map(tuple, df.collect())) == sorted(map(tuple, panels.panel_revenue_refund(live, f).collect()))
+    for name in panels.PANELS:
+        for g in (None, f, PanelFilters(railcard="Adult", payment="Credit Card")):
+            a, b = (sorted(map(str, panels.panel(x, name, g).collect())) for x in (stored, live))
+            assert a == b, name
+
+
+def test_hourly_panel_without_its_column_lists_24_empty_hours(small_base):
+    out = panels.panel_hourly(panels.PanelBase(small_base.base.drop("hour_of_day"))).collect()
+    assert sorted((r.hour_of_day, r.number_of_transactions) for r in out) == [(h, 0) for h in range(24)]
+
+
+def test_a_month_that_is_no_number_selects_nothing(small_base):
+    assert panels.panel_railcard(small_base, PanelFilters(month="March")).count() == 0
+    assert panels.panel_hourly(small_base, PanelFilters(month="March")).count() == 0

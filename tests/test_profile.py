@@ -66,10 +66,41 @@ def test_row_at_position_and_head(spark):
     df = spark.createDataFrame([(i, f"r{i}") for i in range(1000)], "k int, v string").repartition(5)
     got = [(r.position, r.k) for r in profile.row_at_position(df, ["k"], [0, 1, 777]).collect()]
     assert got == [(0, 0), (1, 1), (777, 777)]
-    # positions past the top-k bound take the contiguous-id route, same rows
-    via_ids = profile.row_at_position(df, ["k"], [0, 1, 777], max_topk=100)
-    assert [(r.position, r.k) for r in via_ids.collect()] == got
-    def types(d):
-        return [(f.name, f.dataType) for f in d.schema]
-    assert types(via_ids) == types(profile.row_at_position(df, ["k"], [0, 1, 777]))
     assert [r.k for r in profile.head_n(df, ["k"], 3).collect()] == [0, 1, 2]
+
+
+def test_same_plan_for_any_position(spark):
+    df = spark.range(2000).withColumnRenamed("id", "k")
+
+    def shape(position):
+        plan = profile.row_at_position(df, ["k"], [position])._jdf.queryExecution().optimizedPlan()
+        return [line.strip(" :+-").split(" ")[0] for line in plan.toString().split("\n")]
+
+    assert shape(0) == shape(10**6)
+
+
+def test_nearly_equal_doubles_are_different_values(spark):
+    df = spark.createDataFrame([(1.00000012,), (1.00000034,), (2.0,), (2.0,)], "x double")
+    assert [(r.mode, r.mode_count) for r in profile.all_modes(df, ["x"]).collect()] == [(2.0, 2)]
+    one = spark.createDataFrame([(1.00000012,), (1.00000034,), (2.0,)], "x double")
+    assert profile.all_modes(one, ["x"]).count() == 3  # all tie, none merged
+
+
+def test_unrounded_describe_of_mixed_types(spark):
+    df = spark.createDataFrame([(1, 0.5), (2, 0.25), (4, None)], "i int, x double")
+    d = {r.column_name: r for r in profile.describe(df, ["i", "x"], digits=None).collect()}
+    assert d["x"].mean == 0.375 and d["x"]["count"] == 2 and d["x"].p50 == 0.375
+    assert d["i"].mean == 7 / 3 and d["i"].std == pytest.approx(1.5275252316519468)
+
+
+def test_column_without_values_is_kept(spark):
+    df = spark.createDataFrame([(None, "a"), (None, "b"), (None, "b")], "x string, y string")
+    out = {r.column_name: (r.unique_values, r.most_common, r.most_common_count)
+           for r in profile.distinct_count_per_column(df, ["x", "y"]).collect()}
+    assert out == {"x": (0, None, None), "y": (2, "b", 2)}
+
+
+def test_summaries_scan_once_and_hash(spark):
+    df = spark.createDataFrame([("a", 1), ("b", 2)], "x string, y int")
+    for out in (profile.distinct_count_per_column(df, ["x"]), profile.numeric_profile(df, ["y"])):
+        assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()

@@ -48,9 +48,11 @@ def test_sql_script_reports_run_on_cleaned_table(spark):
     from ticketlens.sources.rides import rides
     from tests.conftest import SF001
     cd = clean.sql_cleandata(clean.sql_source_table(rides(spark, SF001)))
-    for name in reports.SQL_REPORTS:
-        out = reports.sql_report(spark, cd, name).collect()
-        assert len(out) > 0, name
-    assert len(reports.sql_report(spark, cd, "sql_status_refund_top3").collect()) == 3
-    rail = {r.railcard for r in reports.sql_report(spark, cd, "sql_group_count_railcard").collect()}
+    for report in reports.CLEANED_REPORTS.values():
+        assert report(cd).count() > 0
+    top = reports.CLEANED_REPORTS["sql_status_refund_top3"](cd).collect()
+    assert len(top) == 3 and [r.tickets for r in top] == sorted((r.tickets for r in top), reverse=True)
+    rail = {r.railcard for r in reports.CLEANED_REPORTS["sql_group_count_railcard"](cd).collect()}
     assert "No Card" in rail and "None" not in rail
+    months = reports.CLEANED_REPORTS["sql_month_journeys"](cd).collect()
+    assert sum(r.tickets for r in months) == cd.count()

@@ -27,6 +27,17 @@ def test_scan_star_missing_files_give_empty_frames(spark):
         assert df.count() == 0 and df.schema == files.STAR_SCHEMAS[name]
 
 
+def test_scan_star_is_empty_as_a_whole_and_raises_other_failures(spark):
+    import pytest
+    from ticketlens.plans.star import StarA
+    s = StarA(rides(spark, SF001))
+    d = _dir(spark)
+    files.write_star({"dim_location": s.location}, d)  # one of four tables
+    assert all(df.count() == 0 for df in files.scan_star(spark, d).values())
+    with pytest.raises(Exception):
+        files.scan_star(spark, "nosuchscheme://x/y")
+
+
 def test_write_and_scan_star(spark):
     from ticketlens.plans.star import StarA
     s = StarA(rides(spark, SF001))
