@@ -19,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ticketlens.llm.cluster import unused_prefix
 from ticketlens.session import materialise
 
 BLANKS = r"[\x20\x09-\x0D]"
@@ -82,14 +83,15 @@ def base_measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
                         (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"))
 
     all_words = F.filter(F.split(text, BLANKS + "+"), lambda x: x != "")
-    made = {"_w": _let(all_words, digest), "_l": _let(solid_lines, dups),
+    pre = unused_prefix(docs)
+    made = {pre + "w": _let(all_words, digest), pre + "l": _let(solid_lines, dups),
             "word_chars": (F.length(text) - F.regexp_count(text, F.lit(BLANKS))).cast("long"),
             "n_symbols": F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long")}
     names = {*made, "n_words", "n_repeat_words", "n_lines", "n_dup_lines", "base_failed"}
     rest = [c for c in kept if c.lower() not in names]
     out = docs.select(*rest, *(v.alias(k) for k, v in made.items()))
-    out = out.select(*rest, "_w.n_words", "word_chars", "n_symbols", "_l.n_lines", "_l.n_dup_lines",
-                     "_w.n_repeat_words")
+    out = out.select(*rest, f"{pre}w.n_words", "word_chars", "n_symbols", f"{pre}l.n_lines", f"{pre}l.n_dup_lines",
+                     f"{pre}w.n_repeat_words")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return out.withColumn("base_failed", failed)
 
@@ -135,17 +137,18 @@ def judge(docs: DataFrame, text_col: str = "text", groups: tuple[str, str] = ("l
     Where a group, its language and the whole corpus are all too small, only the base rules hold."""
     rows = materialise(_with_shares(base_measures(docs, text_col)), "measures")
     lang, source = groups
-    table = thresholds(rows, groups)
-    out = rows.join(table, F.col(lang).eqNullSafe(F.col("t_lang")) & F.col(source).eqNullSafe(F.col("t_source")),
-                    "left")
+    pre = unused_prefix(rows)
+    a, b, t = (pre + c for c in ("lang", "source", "t"))
+    table = thresholds(rows.select(*groups, "base_failed", *MEASURES), groups).toDF(a, b, t)
+    out = rows.join(table, F.col(lang).eqNullSafe(F.col(a)) & F.col(source).eqNullSafe(F.col(b)), "left")
     root = F.sqrt(F.greatest(F.col("n_words"), F.lit(1)))
     broken = []
     for m, (least, allowance) in MEASURES.items():
-        low, high = F.col("t")[m][0], F.col("t")[m][1]
+        low, high = F.col(t)[m][0], F.col(t)[m][1]
         reach = FENCE * F.greatest(high - low, F.lit(least)) + F.lit(allowance) / root
         bad = F.col(m) > high + reach
         if m in LOWER_TOO:
             bad = bad | (F.col(m) < low - reach)
         broken.append(F.when(F.coalesce(bad, F.lit(False)), F.lit(m)))
     out = out.withColumn("broken", F.array_compact(F.array(*broken)))
-    return out.withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0)).drop("t_lang", "t_source", "t")
+    return out.withColumn("kept", ~F.col("base_failed") & (F.size("broken") == 0)).drop(a, b, t)

@@ -37,6 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ticketlens.llm import textutil as tu
+from ticketlens.llm.cluster import unused_prefix
 from ticketlens.session import materialise
 
 CLASSES = 128
@@ -282,8 +283,8 @@ def score(docs: DataFrame, learns: Column, tokenizer_path: str, text_col: str =
     """``docs`` without its text but with ``n_tokens, n_known, train_tokens, base_score, score``, learnt
     from the rows for which ``learns`` is true."""
     spark = docs.sparkSession
-    text = F.coalesce(F.col(text_col), F.lit("")).alias("text")
-    raw = materialise(_learn_pass(docs.where(learns).select(text), tokenizer_path), "learn")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    raw = materialise(_learn_pass(docs.where(learns).select(text.alias("text")), tokenizer_path), "learn")
     counts = materialise(raw.where("kind <> 2").groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
     words = counts.where("kind = 0").select("key", "n")
     # words by the magnitude of their counts: at most 64 rows
@@ -328,10 +329,11 @@ def score(docs: DataFrame, learns: Column, tokenizer_path: str, text_col: str =
     shared = spark.sparkContext.broadcast((hot_keys, hot_counts, vocabulary, model.flat()))
     added = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
     kept = [c for c in docs.columns if c.lower() not in added and c.lower() != text_col.lower()]
-    fields = [*(docs.schema[c] for c in kept), T.StructField("_row", T.LongType()),
-              T.StructField("n_tokens", T.LongType()), T.StructField("_known", T.LongType()),
-              T.StructField("_sum", T.DoubleType()), T.StructField("score", T.DoubleType()),
-              T.StructField("_rare", T.ArrayType(T.LongType()))]
+    pre = unused_prefix(docs)
+    fields = [*(docs.schema[c] for c in kept), T.StructField(pre + "row", T.LongType()),
+              T.StructField("n_tokens", T.LongType()), T.StructField(pre + "known", T.LongType()),
+              T.StructField(pre + "sum", T.DoubleType()), T.StructField("score", T.DoubleType()),
+              T.StructField(pre + "rare", T.ArrayType(T.LongType()))]
     schema = T.StructType(fields)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -340,7 +342,7 @@ def score(docs: DataFrame, learns: Column, tokenizer_path: str, text_col: str =
         row = TaskContext.get().partitionId() << 33
         logs = np.log10(n_of + 1)
         for b in batches:
-            data, offsets = tu.text_buffer(b["text"])
+            data, offsets = tu.text_buffer(b[pre + "text"])
             for lo, hi in tu.slices(offsets):
                 h, _, of = tu.words(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], lower=True)
                 n = np.diff(of)
@@ -352,7 +354,7 @@ def score(docs: DataFrame, learns: Column, tokenizer_path: str, text_col: str =
                 is_hot = keys[place] == h if len(keys) else np.zeros(len(h), bool)
                 sums = np.bincount(text[is_hot], logs[place[is_hot]], hi - lo)
                 rare = np.concatenate(([0], np.cumsum(np.bincount(text[~is_hot], minlength=hi - lo)))).astype(np.int32)
-                ids, id_of = _ids(sub, b["text"].slice(lo, hi - lo).to_pylist(), sub.size)
+                ids, id_of = _ids(sub, b[pre + "text"].slice(lo, hi - lo).to_pylist(), sub.size)
                 columns = [np.arange(row, row + hi - lo), n + 1, np.bincount(text[is_hot], minlength=hi - lo), sums,
                            _score_slice(net, classes, ids, id_of)]
                 row += hi - lo
@@ -360,12 +362,15 @@ def score(docs: DataFrame, learns: Column, tokenizer_path: str, text_col: str =
                     [*(b[c].slice(lo, hi - lo) for c in kept), *(pa.array(c) for c in columns),
                      pa.ListArray.from_arrays(rare, h[~is_hot].view(np.int64))], schema.names)
 
-    rows = materialise(docs.select(*kept, text).mapInArrow(run, schema), "scores")
+    rows = docs.select(*kept, text.alias(pre + "text")).mapInArrow(run, schema)
+    rows = materialise(rows, "scores")
     others = words.where(F.col("n") < F.lit(2.0**least)) if held else words
-    rare = rows.select("_row", F.explode("_rare").alias("key")).join(others, "key").groupBy("_row").agg(
-        F.count(F.lit(1)).alias("_more_known"), F.sum(F.log10(F.col("n") + 1)).alias("_more"))
-    out = rows.drop("_rare").join(rare, "_row", "left")
-    base = (F.col("_sum") + F.coalesce("_more", F.lit(0.0))
+    rare = rows.select(F.col(pre + "row").alias("row"), F.explode(pre + "rare").alias("key")).join(others, "key")
+    rare = rare.groupBy("row").agg(F.count(F.lit(1)).alias(pre + "more_known"),
+                                   F.sum(F.log10(F.col("n") + 1)).alias(pre + "more"))
+    out = rows.drop(pre + "rare").join(rare.withColumnRenamed("row", pre + "row"), pre + "row", "left")
+    base = (F.col(pre + "sum") + F.coalesce(pre + "more", F.lit(0.0))
             - F.col("n_tokens") * F.lit(float(np.log10(total + distinct + 1))))
-    return out.select(*kept, "n_tokens", (F.col("_known") + F.coalesce("_more_known", F.lit(0))).alias("n_known"),
+    n_known = F.col(pre + "known") + F.coalesce(pre + "more_known", F.lit(0))
+    return out.select(*kept, "n_tokens", n_known.alias("n_known"),
                       F.lit(int(total)).cast("long").alias("train_tokens"), base.alias("base_score"), "score")

@@ -6,13 +6,21 @@ import os
 import tempfile
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 import ticketlens
 
 _SHIPPED: set[str] = set()
 
 
+def unused_prefix(df: DataFrame) -> str:
+    """A prefix that no column of ``df`` starts with, for columns an operator needs on the way."""
+    prefix = "__"
+    while any(c.lower().startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
 def ship_code(spark: SparkSession) -> None:
     """Let the executors' Python workers import this package: Spark distributes a zip of it once
     per application, so nothing has to be installed on the nodes."""

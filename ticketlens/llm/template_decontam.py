@@ -30,6 +30,7 @@ from pyspark.sql import types as T
 
 from ticketlens.llm import bloom as bl
 from ticketlens.llm import textutil as tu
+from ticketlens.llm.cluster import unused_prefix
 from ticketlens.session import materialise
 
 WINDOW = 8  # canonical words of a window
@@ -185,6 +186,7 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, all columns as they are, in which no item was found."""
     found = materialise(find(docs, benchmark, id_col, text_col).select("key").distinct(), "contaminated")
-    found = found.select(F.col("key.id").alias("_id"), F.col("key.text_hash").alias("_hash"))
+    a, b = (unused_prefix(docs) + c for c in ("id", "hash"))
+    found = found.select(F.col("key.id").alias(a), F.col("key.text_hash").alias(b))
     key = document_key(F.col(id_col), F.col(text_col))
-    return docs.join(found, key["id"].eqNullSafe(F.col("_id")) & (key["text_hash"] == F.col("_hash")), "left_anti")
+    return docs.join(found, key["id"].eqNullSafe(F.col(a)) & (key["text_hash"] == F.col(b)), "left_anti")

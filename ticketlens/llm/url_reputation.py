@@ -23,6 +23,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ticketlens.llm.cluster import unused_prefix
 from ticketlens.session import materialise
 
 #: Public suffixes of two labels (fixed values; a parameter where another list is wanted).
@@ -102,8 +103,10 @@ def judge(pages: DataFrame, rules: DataFrame, outcome: Column | None = None, url
     host, path = host_and_path(F.col(url_col))
     mark = F.lit(None).cast("boolean") if outcome is None else outcome
     kept = [c for c in pages.columns if c.lower() not in (*added, url_col.lower())]
-    rows = pages.select(*kept, host.alias("host"), path.alias("path"), mark.alias("_bad"))
-    hosts = rows.groupBy("host").agg(F.count("_bad").alias("n"), F.count(F.when(F.col("_bad"), 1)).alias("bad"))
+    pre = unused_prefix(pages)
+    rows = pages.select(*kept, host.alias("host"), path.alias("path"), mark.alias(pre + "bad"))
+    hosts = rows.groupBy("host").agg(F.count(pre + "bad").alias("n"),
+                                     F.count(F.when(F.col(pre + "bad"), 1)).alias("bad"))
     known = reputation(hosts)
 
     parts = F.split("host", r"\.")
@@ -117,12 +120,12 @@ def judge(pages: DataFrame, rules: DataFrame, outcome: Column | None = None, url
                .groupBy("host").agg(F.collect_list(F.struct(
                    (-F.length("rule")).alias("order"), "rule", "rule_path", "rule_verdict")).alias("rules")))
     known = known.join(fitting, "host", "left").select(
-        F.col("host").alias("_host"), F.col("rules").alias("_rules"), F.col("bad_rate").alias("_rate"),
-        F.col("bad_rate_low").alias("_low"))
-    out = rows.join(known, F.col("host") == F.col("_host"), "left")
-    fits = F.filter("_rules", lambda r: F.col("path").startswith(r["rule_path"]))
-    out = out.withColumn("_rule", F.array_min(fits))  # the longest, as `order` is minus the length
-    blocked = F.col("_low") > block_rate
-    verdict = F.coalesce(F.col("_rule.rule_verdict"), F.when(blocked, "block").otherwise("allow"))
-    return out.select(*kept, "host", "path", F.col("_rule.rule").alias("rule"), verdict.alias("verdict"),
-                      F.col("_rate").alias("bad_rate"), F.col("_low").alias("bad_rate_low"))
+        F.col("host").alias(pre + "host"), F.col("rules").alias(pre + "rules"), F.col("bad_rate").alias(pre + "rate"),
+        F.col("bad_rate_low").alias(pre + "low"))
+    out = rows.join(known, F.col("host") == F.col(pre + "host"), "left")
+    fits = F.filter(pre + "rules", lambda r: F.col("path").startswith(r["rule_path"]))
+    out = out.withColumn(pre + "rule", F.array_min(fits))  # the longest, as `order` is minus the length
+    blocked = F.col(pre + "low") > block_rate
+    verdict = F.coalesce(F.col(pre + "rule")["rule_verdict"], F.when(blocked, "block").otherwise("allow"))
+    return out.select(*kept, "host", "path", F.col(pre + "rule")["rule"].alias("rule"), verdict.alias("verdict"),
+                      F.col(pre + "rate").alias("bad_rate"), F.col(pre + "low").alias("bad_rate_low"))
