@@ -352,7 +352,7 @@ def score(docs: DataFrame, learns: Column, tokenizer_path: str, text_col: str =
                 text = np.repeat(np.arange(hi - lo), n + 1)
                 place = np.minimum(np.searchsorted(keys, h), max(len(keys) - 1, 0))
                 is_hot = keys[place] == h if len(keys) else np.zeros(len(h), bool)
-                sums = np.bincount(text[is_hot], logs[place[is_hot]], hi - lo)
+                sums = np.bincount(text[is_hot], logs[place[is_hot]], hi - lo).astype(np.float64)
                 rare = np.concatenate(([0], np.cumsum(np.bincount(text[~is_hot], minlength=hi - lo)))).astype(np.int32)
                 ids, id_of = _ids(sub, b[pre + "text"].slice(lo, hi - lo).to_pylist(), sub.size)
                 columns = [np.arange(row, row + hi - lo), n + 1, np.bincount(text[is_hot], minlength=hi - lo), sums,
