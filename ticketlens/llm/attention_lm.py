@@ -48,6 +48,8 @@ HOT_WORDS = 1 << 19
 ROUNDS = 3
 PRIOR = 20.0  # weight of an id's overall frequency against that after one class
 BATCH = 64  # windows of a training step
+AT_ONCE = 128  # windows scored together: their logits stay in a core's cache
+FLUSH = 1 << 22  # words or pairs of ids counted together in a task
 END_WORD = 1  # the key of a text's end among word hashes
 _U = np.uint64
 _CAUSAL = np.tril(np.ones((SPAN, SPAN), bool))
@@ -81,11 +83,12 @@ class Vocabulary:
     def fit(of: np.ndarray, counts: np.ndarray, after: np.ndarray, ids: np.ndarray, n: np.ndarray) -> Vocabulary:
         """``n`` counts how often ``ids`` follow an id of class ``after``."""
         share = (counts + 0.5) / np.bincount(of, counts + 0.5, CLASSES)[of]
-        inside = np.tile(PRIOR * share, (CLASSES, 1))
-        np.add.at(inside, (after, ids), n)
-        total = np.zeros((CLASSES, CLASSES))
-        np.add.at(total, (after, of[ids]), n)
-        return Vocabulary(of, np.log10(inside / (total + PRIOR)[:, of]).astype(np.float32))
+        inside = np.empty((CLASSES, len(of)), np.float32)
+        for c in range(CLASSES):
+            mine = after == c
+            seen = np.bincount(ids[mine], n[mine], len(of))
+            inside[c] = np.log10((seen + PRIOR * share) / (np.bincount(of, seen, CLASSES) + PRIOR)[of])
+        return Vocabulary(of, inside)
 
 
 @dataclass
@@ -200,6 +203,10 @@ def _learn_pass(texts: DataFrame, tokenizer_path: str) -> DataFrame:
             data, offsets = tu.text_buffer(b["text"])
             hashes, windows, pairs = [np.full(len(b), END_WORD, _U)], [], []
             for lo, hi in tu.slices(offsets):
+                if sum(map(len, hashes)) > FLUSH:
+                    yield counted(0, hashes)
+                if sum(map(len, pairs)) > FLUSH:
+                    yield counted(3, pairs)
                 hashes.append(tu.words(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], lower=True)[0])
                 ids, of = _ids(vocabulary, b["text"].slice(lo, hi - lo).to_pylist(), vocabulary.size)
                 ids_seen += np.bincount(ids, minlength=len(ids_seen))
@@ -209,15 +216,17 @@ def _learn_pass(texts: DataFrame, tokenizer_path: str) -> DataFrame:
                     part = ids[a:z].astype("<u4").tobytes()
                     at = 4 * (zlib.crc32(part) % max(z - a - SPAN, 1))
                     windows.append(part[at:at + 4 * (SPAN + 1)])
-            keys, n = np.unique(np.concatenate(hashes), return_counts=True)
-            yield rows(0, keys.view(np.int64), n)
-            if pairs:
-                keys, n = np.unique(np.concatenate(pairs), return_counts=True)
-                yield rows(3, keys, n)
+            yield counted(0, hashes)
+            yield counted(3, pairs)
             yield rows(2, np.zeros(len(windows), np.int64), np.zeros(len(windows), np.int64), windows)
         seen = np.flatnonzero(ids_seen)
         yield rows(1, seen, ids_seen[seen])
 
+    def counted(kind: int, parts: list[np.ndarray]) -> pa.RecordBatch:
+        keys, n = np.unique(np.concatenate([np.empty(0, np.int64 if kind else _U), *parts]), return_counts=True)
+        parts.clear()
+        return rows(kind, keys.view(np.int64), n)
+
     def rows(kind: int, keys: np.ndarray, n: np.ndarray, windows: list[bytes] | None = None) -> pa.RecordBatch:
         last = pa.nulls(len(keys), pa.binary()) if windows is None else pa.array(windows, pa.binary())
         return pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), kind, np.int8)), pa.array(keys), pa.array(n), last],
@@ -267,8 +276,8 @@ def _score_slice(model: Model, vocabulary: Vocabulary, ids: np.ndarray, of: np.n
     groups = ((np.arange(len(n)), np.zeros(len(n), np.int64), 0),
               (np.repeat(np.arange(len(n)), later), nth * STRIDE, SPAN - STRIDE))
     for texts, begins, skip in groups:
-        for lo in range(0, len(texts), 512):
-            text, begin = texts[lo:lo + 512], begins[lo:lo + 512]
+        for lo in range(0, len(texts), AT_ONCE):
+            text, begin = texts[lo:lo + AT_ONCE], begins[lo:lo + AT_ONCE]
             place = begin[:, None] + np.arange(SPAN)
             real = (place < n[text][:, None])[:, skip:]
             at = of[:-1][text][:, None] + np.minimum(place, n[text][:, None] - 1)

@@ -12,7 +12,7 @@ document ids in ascending order, so an id's global place is its shard's offset (
 plus its place in the shard.
 
 Scale: one range shuffle of the texts, sorted within tasks (Spark spills); ids are made and coded
-in slices of about a megabyte of text and written at once. A repeated id is also ranged by its text.
+in slices of about a quarter megabyte of text and written at once. A repeated id is also ranged by its text.
 
 Defined cases: a null or empty text has only the end id; null ids sort first; repeated rows are kept
 each, those of one id in an order given by their texts; an empty table gives an empty data set.
