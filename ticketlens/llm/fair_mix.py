@@ -24,12 +24,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ticketlens.llm.cluster import unused_prefix
 from ticketlens.session import materialise
 
 WEIGHTS = (5, 2, 1)
 BUDGET = 1.5
 MOST_ROUNDS = 2
-BUCKET_ROWS = 50_000  # documents of a bucket or range, about
+BUCKET_ROWS = 2_000  # documents of a bucket, about
 
 
 def words_in(text: Column) -> Column:
@@ -41,12 +42,19 @@ def _place(id_col: Column, turn: int, seed: int) -> Column:
     return F.struct(F.lit(turn).alias("turn"), F.xxhash64(id_col, F.lit(turn), F.lit(seed)).alias("u"))
 
 
+def _bucket(place: Column, buckets: Column) -> Column:
+    """The part of its source's queue that a document is in: a split by the shuffle hash."""
+    return F.pmod(F.shiftrightunsigned(place, 24), buckets)
+
+
 def targets(rows: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float = BUDGET,
             most: float = MOST_ROUNDS) -> DataFrame:
-    """Per source its size and target words. Targets share ``budget`` times all words by weight, none
+    """Per source its size and target words, and the buckets its queue is cut into. Targets share ``budget`` times all words by weight, none
     above ``most`` times its source: sources in order of the level at which they are full, the level
     reached by all others."""
-    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    sizes = rows.groupBy("source").agg(F.sum("size").alias("source_size"),
+                                       F.floor(F.count(F.lit(1)) / BUCKET_ROWS).alias("buckets") + 1)
+    sizes = sizes.toDF("source", "source_size", "buckets")
     rank = F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1
     weight = F.get(F.array(*(F.lit(float(w)) for w in weights)), (rank % len(weights)).cast("int"))
     out = sizes.withColumn("weight", weight).withColumn("full", most * F.col("source_size"))
@@ -60,7 +68,7 @@ def targets(rows: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float =
     # levels after the first one that isn't full are lower
     reached = F.max(F.when(F.col("level") <= F.col("fills"), F.col("level"))).over(everything)
     share = F.coalesce(reached * F.col("weight"), F.col("full"))
-    return out.select("source", "source_size", F.least("full", share).alias("target"))
+    return out.select("source", "source_size", F.least("full", share).alias("target"), "buckets")
 
 
 def cuts(rows: DataFrame, seed: int = 17, weights: Sequence[float] = WEIGHTS, budget: float = BUDGET,
@@ -71,14 +79,12 @@ def cuts(rows: DataFrame, seed: int = 17, weights: Sequence[float] = WEIGHTS, bu
     wanted = materialise(targets(rows, weights, budget, most), "targets")
     n = rows.count()
     total = budget * (rows.agg(F.sum("size")).first()[0] or 0)
-    buckets = n // BUCKET_ROWS + 1
-    known = wanted.select(F.col("source").alias("s"), "source_size", "target")
+    known = wanted.select(F.col("source").alias("s"), "source_size", "target", "buckets")
     queue = rows.join(known, F.col("source").eqNullSafe(F.col("s"))).where("target > 0 and size > 0")
     rounds = F.array(*(_place(F.col("doc_id"), k, seed) for k in range(most)))
-    queue = queue.select("source", "source_size", "target", "size", F.explode(rounds).alias("place"))
+    queue = queue.select("source", "source_size", "target", "size", "buckets", F.explode(rounds).alias("place"))
     queue = queue.where(F.col("place.turn") * F.col("source_size") < F.col("target"))
-    bucket = F.pmod(F.shiftrightunsigned("place.u", 24), F.lit(buckets))
-    queue = queue.withColumn("bucket", bucket)
+    queue = queue.withColumn("bucket", _bucket(F.col("place.u"), F.col("buckets"))).drop("buckets")
     keys = ["source", "place.turn", "bucket"]
     sums = queue.groupBy("source", F.col("place.turn").alias("turn"), "bucket").agg(F.sum("size").alias("n"))
     earlier = Window.partitionBy("source").orderBy("turn", "bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -90,7 +96,7 @@ def cuts(rows: DataFrame, seed: int = 17, weights: Sequence[float] = WEIGHTS, bu
     within = Window.partitionBy(*keys).orderBy("place.u").rangeBetween(Window.unboundedPreceding, Window.currentRow)
     finish = (F.col("before") + F.sum("size").over(within)) / F.col("target")
     queue = queue.select("source", "place", "size", "bucket", finish.alias("finish"))
-    ranges = 256 * buckets
+    ranges = n // (8 * BUCKET_ROWS) + 1024
     queue = queue.withColumn("range", F.least(F.floor(F.col("finish") * ranges), F.lit(4 * ranges)).cast("long"))
     queue = materialise(queue, "queue")
     per_range = queue.groupBy("range").agg(F.sum("size").alias("n"))
@@ -108,7 +114,7 @@ def cuts(rows: DataFrame, seed: int = 17, weights: Sequence[float] = WEIGHTS, bu
     cut = taken.groupBy("source").agg(F.max(ordered).alias("cut"))
     cut = cut.select(F.col("source").alias("s"), "cut")
     out = wanted.join(cut, F.col("source").eqNullSafe(F.col("s")), "left").drop("s")
-    return materialise(out.withColumn("buckets", F.lit(buckets)), "cuts")
+    return materialise(out, "cuts")
 
 
 def copies(docs: DataFrame, cut: DataFrame, seed: int = 17, most: int = MOST_ROUNDS, id_col: str = "doc_id",
@@ -116,15 +122,15 @@ def copies(docs: DataFrame, cut: DataFrame, seed: int = 17, most: int = MOST_ROU
     """``docs`` with ``source_size``, ``target`` and ``copies``, how often the mix takes each row."""
     added = ("source_size", "target", "copies")
     kept = [c for c in docs.columns if c.lower() not in added]
-    known = cut.select(F.col("source").alias("_source"), *(F.col(c).alias(f"_{c}") for c in
-                                                         ("source_size", "target", "cut", "buckets")))
-    out = docs.select(*kept).join(known, F.col(source_col).eqNullSafe(F.col("_source")), "left")
+    pre = unused_prefix(docs)
+    known = cut.select(*(F.col(c).alias(pre + c) for c in ("source", "source_size", "target", "cut", "buckets")))
+    out = docs.select(*kept).join(known, F.col(source_col).eqNullSafe(F.col(pre + "source")), "left")
     times = F.lit(0)
     for k in range(most):
         place = _place(F.col(id_col), k, seed)
-        at = F.struct(place["turn"], F.pmod(F.shiftrightunsigned(place["u"], 24), F.col("_buckets")), place["u"])
-        times = times + F.when(at <= F.col("_cut"), 1).otherwise(0)
-    return out.select(*kept, F.col("_source_size").alias("source_size"), F.col("_target").alias("target"),
+        at = F.struct(place["turn"], _bucket(place["u"], F.col(pre + "buckets")), place["u"])
+        times = times + F.when(at <= F.col(pre + "cut"), 1).otherwise(0)
+    return out.select(*kept, F.col(pre + "source_size").alias("source_size"), F.col(pre + "target").alias("target"),
                       times.alias("copies"))
 
 
@@ -134,7 +140,11 @@ def mix(docs: DataFrame, seed: int = 17, id_col: str = "doc_id", source_col: str
     sizes = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
                         words_in(F.col(text_col)).alias("size"))
     sizes = materialise(sizes, "sizes")  # words are counted once
-    out = copies(docs, cuts(sizes, seed, weights, budget), seed, id_col=id_col, source_col=source_col)
-    again = F.explode(F.sequence(F.lit(1), F.col("copies")))
-    out = out.where("copies > 0").withColumn("_again", again)
-    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
+    cut = cuts(sizes, seed, weights, budget)
+    added = ("source_size", "target", "copies")  # replaced by copies(): the columns that go by the names
+    own = {c: unused_prefix(docs) + c for c in docs.columns if c.lower() in added}
+    out = copies(docs.withColumnsRenamed(own), cut, seed, id_col=own.get(id_col, id_col),
+                 source_col=own.get(source_col, source_col))
+    pre = unused_prefix(out)
+    out = out.where("copies > 0").withColumn(pre + "again", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    return out.select(*(F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns))
