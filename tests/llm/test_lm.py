@@ -50,7 +50,7 @@ def test_causal_and_every_id_scored_once(model):
     of = a.Vocabulary.classes(counts, np.arange(1000) % 2 == 0)
     after, ids = rng.integers(0, a.CLASSES, 500), rng.integers(0, 1000, 500)
     voc = a.Vocabulary.fit(of, counts, after, ids, np.ones(500))
-    assert np.allclose([(10.0 ** voc.inside[3][of == c]).sum()
+    assert np.allclose([(10.0 ** voc.inside[3][voc.place[of == c]]).sum()
                         for c in np.unique(of)], 1, atol=1e-4)
     lengths = [0, 1, 5, a.SPAN - 1, a.SPAN, a.SPAN + 1, 100, 77]
     texts = [np.concatenate(([999], rng.integers(0, 999, n), [999])) for n in lengths]
@@ -64,7 +64,7 @@ def test_causal_and_every_id_scored_once(model):
             window = np.zeros((1, a.SPAN), np.int64)
             window[0, :len(context)] = of[context]  # what follows is zero: it must not matter
             y = np.full((1, a.SPAN), of[t[place + 1]])
-            want += model.log10_next(window, y, 0)[0, len(context) - 1] + voc.inside[of[t[place]], t[place + 1]]
+            want += model.log10_next(window, y, 0)[0, len(context) - 1] + voc.inside[of[t[place]], voc.place[t[place + 1]]]
         assert score == pytest.approx(want, rel=1e-4)
 
 

@@ -43,7 +43,7 @@ from ticketlens.session import materialise
 CLASSES = 128
 SHARED = 16  # classes of the rarer ids
 WIDTH = 16
-SPAN, STRIDE = 32, 24
+SPAN, STRIDE = 32, 28
 HOT_WORDS = 1 << 19
 ROUNDS = 3
 PRIOR = 20.0  # weight of an id's overall frequency against that after one class
@@ -58,9 +58,11 @@ _BACK = np.clip(np.arange(SPAN)[:, None] - np.arange(SPAN)[None, :], 0, None)
 
 @dataclass
 class Vocabulary:
-    """Class of each id, and log10 probability of each id within its class after each class."""
+    """Class of each id, the place of each id among those that were seen (unseen ids share one place
+    per class), and log10 probability of a place's ids within their class after each class."""
 
     of: np.ndarray
+    place: np.ndarray
     inside: np.ndarray
 
     @staticmethod
@@ -82,13 +84,20 @@ class Vocabulary:
     @staticmethod
     def fit(of: np.ndarray, counts: np.ndarray, after: np.ndarray, ids: np.ndarray, n: np.ndarray) -> Vocabulary:
         """``n`` counts how often ``ids`` follow an id of class ``after``."""
+        known = np.union1d(np.flatnonzero(counts), ids)
+        place = len(known) + of  # behind the seen ids, one place per class
+        place[known] = np.arange(len(known))
         share = (counts + 0.5) / np.bincount(of, counts + 0.5, CLASSES)[of]
-        inside = np.empty((CLASSES, len(of)), np.float32)
+        classes = np.concatenate((of[known], np.arange(CLASSES)))
+        unseen = np.ones(CLASSES)  # classes without unseen ids: never looked up
+        unseen[of[place >= len(known)]] = share[place >= len(known)]
+        shares = np.concatenate((share[known], unseen))
+        inside = np.empty((CLASSES, len(classes)), np.float32)
         for c in range(CLASSES):
             mine = after == c
-            seen = np.bincount(ids[mine], n[mine], len(of))
-            inside[c] = np.log10((seen + PRIOR * share) / (np.bincount(of, seen, CLASSES) + PRIOR)[of])
-        return Vocabulary(of, inside)
+            seen = np.bincount(place[ids[mine]], n[mine], len(classes))
+            inside[c] = np.log10((seen + PRIOR * shares) / (np.bincount(classes, seen, CLASSES) + PRIOR)[classes])
+        return Vocabulary(of, place, inside)
 
 
 @dataclass
@@ -268,23 +277,28 @@ def _average_round(windows: DataFrame, model: Model, of: np.ndarray, rate: float
 def _score_slice(model: Model, vocabulary: Vocabulary, ids: np.ndarray, of: np.ndarray) -> np.ndarray:
     """log10 probability of each text's ids and end. Each id is scored in one window: the first window
     of a text scores all its places, the others all but the ``SPAN - STRIDE`` that are context."""
-    classes = vocabulary.of[ids]
+    classes, places = vocabulary.of[ids], vocabulary.place[ids]
     n = np.diff(of) - 1  # targets: all but the leading end id
     out = np.zeros(len(n))
     later = np.maximum(0, -(-(n - SPAN) // STRIDE))
     nth = np.arange(int(later.sum())) - np.repeat(np.cumsum(later) - later, later) + 1
     groups = ((np.arange(len(n)), np.zeros(len(n), np.int64), 0),
               (np.repeat(np.arange(len(n)), later), nth * STRIDE, SPAN - STRIDE))
+    # a window may reach over its text's end: nothing scored looks there, and what is there isn't scored
+    tail = np.zeros(SPAN + 1, np.int64)
+    now, then, which = (np.lib.stride_tricks.sliding_window_view(np.concatenate((x, tail)), SPAN)
+                        for x in (classes, classes[1:], places[1:]))
     for texts, begins, skip in groups:
         for lo in range(0, len(texts), AT_ONCE):
             text, begin = texts[lo:lo + AT_ONCE], begins[lo:lo + AT_ONCE]
-            place = begin[:, None] + np.arange(SPAN)
-            real = (place < n[text][:, None])[:, skip:]
-            at = of[:-1][text][:, None] + np.minimum(place, n[text][:, None] - 1)
-            logs = model.log10_next(classes[at], classes[at + 1], skip)
-            at = at[:, skip:]
-            logs += vocabulary.inside[classes[at], ids[at + 1]]
-            out += np.bincount(text, (logs * real).sum(1, dtype=np.float64), len(n))
+            at = of[text] + begin
+            c = now[at]
+            logs = model.log10_next(c, then[at], skip)
+            logs += vocabulary.inside[c[:, skip:], which[at, skip:]]
+            left = n[text] - begin
+            if (left < SPAN).any():
+                logs *= np.arange(skip, SPAN) < left[:, None]
+            out += np.bincount(text, logs.sum(1, dtype=np.float64), len(n))
     return out
 
 
