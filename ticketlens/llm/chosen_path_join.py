@@ -13,8 +13,8 @@ whole shingle sets, in blocks, which yields the number of links of each node and
 directly or through others) without a row per pair.
 
 Scale: the only pass over all texts makes 64 numbers a document. Paths are pairs of 64-bit numbers;
-copies are one node beforehand; buckets that don't shrink (very large groups of near copies) are cut
-into chunks of ``LIMIT`` that share two members, so no task gets more than a chunk, and their pairs
+copies are one node beforehand; buckets that keep most of their parent when they are split (very large
+groups of near copies, as similar on average as a link) are cut into chunks of ``LIMIT`` that share two members, so no task gets more than a chunk, and their pairs
 are verified block by block like all others. Whole shingle sets are made only for nodes in a group:
 a Bloom filter of bounded size picks their documents, and a join makes that exact. Iterations write
 tables in the shared folder.
@@ -38,6 +38,7 @@ from pyspark.sql import types as T
 
 from ticketlens.llm import bloom as bl
 from ticketlens.llm import textutil as tu
+from ticketlens.llm.cluster import unused_prefix
 from ticketlens.session import materialise
 
 SHINGLE = 5
@@ -46,6 +47,7 @@ RECALL = 0.999
 WIDTH = 64
 LIMIT = 64
 DEEPEST = 6
+ALIKE = 0.95 * THRESHOLD  # part of its parent that a bucket keeps when its members are near copies
 BLOCK = 128
 _U = np.uint64
 _FACTORS = np.random.default_rng(5).integers(1, 2**63, WIDTH, dtype=np.uint64) * _U(2) + _U(1)
@@ -205,24 +207,22 @@ def _buckets(nodes: DataFrame, recall: float) -> DataFrame:
         upto = math.ceil(math.log(1 - recall) / math.log(1 - _kept_together(deepest)))
         runs = F.explode(F.sequence(F.lit(done), F.lit(upto - 1)))
         level = nodes.select(runs.alias("run"), "fp", "sig").select(
-            _children(F.xxhash64("run"), F.col("sig")).alias("p"), "fp")
+            _children(F.xxhash64("run"), F.col("sig")).alias("p"), "fp", F.lit(None).cast("long").alias("above"))
         for depth in range(1, DEEPEST + 1):
             sizes = level.groupBy("p").agg(F.count(F.lit(1)).alias("size"), F.min("fp").alias("lo"),
-                                           F.max("fp").alias("hi")).where("size > 1")
-            level = materialise(level.join(sizes, "p"), "level")
+                                           F.max("fp").alias("hi"), F.max("above").alias("above")).where("size > 1")
+            level = materialise(level.drop("above").join(sizes, "p"), "level")
             small = level.where(F.col("size") <= LIMIT).select(F.col("p").alias("bucket"), "fp")
             out = small if out is None else out.unionByName(small)
             large = level.where(F.col("size") > LIMIT)
             if large.isEmpty():
                 break
-            deepest = max(deepest, depth)
-            if depth == DEEPEST:
-                out = out.unionByName(_chunks(large))
-            else:
-                deepest = max(deepest, depth + 1)
-                sigs = nodes.select("fp", "sig")
-                level = large.select("p", "fp").join(sigs, "fp").select(
-                    _children(F.col("p"), F.col("sig")).alias("p"), "fp")
+            # a bucket that keeps most of its parent is as similar throughout as a link: no more splits
+            alike = F.coalesce(F.col("size") >= ALIKE * F.col("above"), F.lit(False)) | F.lit(depth == DEEPEST)
+            out = out.unionByName(_chunks(large.where(alike)))
+            deepest = max(deepest, min(depth + 1, DEEPEST))
+            level = large.where(~alike).select("p", "fp", F.col("size").alias("above")).join(
+                nodes.select("fp", "sig"), "fp").select(_children(F.col("p"), F.col("sig")).alias("p"), "fp", "above")
         done = upto
         wanted = math.ceil(math.log(1 - recall) / math.log(1 - _kept_together(deepest)))
     return out
@@ -231,7 +231,7 @@ def _buckets(nodes: DataFrame, recall: float) -> DataFrame:
 def _chunks(large: DataFrame) -> DataFrame:
     """Buckets that didn't shrink, cut into chunks that all hold the bucket's least and greatest node."""
     n = F.ceil(F.col("size") / LIMIT).cast("int")
-    own = large.select(F.xxhash64("p", F.pmod(F.xxhash64("fp"), n).cast("int")).alias("bucket"), "fp")
+    own = large.select(F.xxhash64("p", F.pmod(F.xxhash64("p", "fp"), n).cast("int")).alias("bucket"), "fp")
     ends = large.groupBy("p").agg(F.max("size").alias("size"), F.max("lo").alias("lo"), F.max("hi").alias("hi"))
     ends = ends.select("p", F.explode(F.sequence(F.lit(0), n - 1)).alias("chunk"), "lo", "hi")
     ends = ends.select(F.xxhash64("p", "chunk").alias("bucket"), F.explode(F.array("lo", "hi")).alias("fp"))
@@ -368,11 +368,12 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", th
     found = materialise(join(docs, id_col, text_col, threshold), "classes")
     n = found.where("n_shingles > 0").groupBy("doc_id", "text_hash").agg(
         F.count(F.lit(1)).alias("n"), F.max("stays").alias("stays"))
-    leave = n.where("not stays or n > 1").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
-    id_, hash_ = F.col(id_col), F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    out = docs.join(leave, id_.eqNullSafe(F.col("_id")) & (hash_ == F.col("_hash")), "left_anti")
-    again = n.where("stays and n > 1").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    a, b = (unused_prefix(docs) + c for c in ("id", "hash"))
+    leave = n.where("not stays or n > 1").select(F.col("doc_id").alias(a), F.col("text_hash").alias(b))
+    same = F.col(id_col).eqNullSafe(F.col(a)) & (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col(b))
+    out = docs.join(leave, same, "left_anti")
+    again = n.where("stays and n > 1").select(F.col("doc_id").alias(a), F.col("text_hash").alias(b))
     if again.isEmpty():
         return out
-    once = docs.join(again, id_.eqNullSafe(F.col("_id")) & (hash_ == F.col("_hash")), "left_semi")
+    once = docs.join(again, same, "left_semi")
     return out.unionByName(once.dropDuplicates([id_col, text_col]))
