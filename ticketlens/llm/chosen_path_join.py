@@ -12,7 +12,7 @@ What leaves the buckets is not their pairs but, per bucket, stars that connect w
 whole shingle sets, in blocks, which yields the number of links of each node and the classes (linked
 directly or through others) without a row per pair.
 
-Scale: the only pass over all texts makes 64 numbers a document. Paths are pairs of 64-bit numbers;
+Scale: the only pass over all texts makes 128 numbers a document. Paths are pairs of 64-bit numbers;
 copies are one node beforehand; buckets that keep most of their parent when they are split (very large
 groups of near copies, as similar on average as a link) are cut into chunks of ``LIMIT`` that share two members, so no task gets more than a chunk, and their pairs
 are verified block by block like all others. Whole shingle sets are made only for nodes in a group:
@@ -44,7 +44,7 @@ from ticketlens.session import materialise
 SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.999
-WIDTH = 64
+WIDTH = 128
 LIMIT = 64
 DEEPEST = 6
 ALIKE = 0.95 * THRESHOLD  # part of its parent that a bucket keeps when its members are near copies
