@@ -125,6 +125,19 @@ def test_templates_find_exchanged_values(spark, benchmark):
     assert (5, 1) not in got or got[(5, 1)].n_words < 25  # one value for two names is no instance
 
 
+def test_templates_find_colliding_values(spark, benchmark):
+    other = ITEM.replace("120", "85").replace(" 9 ", " 7 ").replace("300", "410").replace("Anna", "Carla")
+    item = "Yesterday the careful farmer sold 3 bags of red apples and 3 baskets of fresh pears at the market"
+    docs = [(0, ITEM.replace("2 tickets", "3 tickets")), (1, ITEM.replace("Ben", "Anna")),  # one value changed to another's
+            (2, other.replace("3 large", "4 large").replace("2 tickets", "4 tickets")),  # two quantities, one new value
+            (3, item.replace("3 bags", "4 bags").replace("3 baskets", "5 baskets")),  # one value of two quantities
+            (4, other.replace("Anna", "Dave").replace("Carla", "Dave").replace("Ben", "Dave"))]
+    items = benchmark.unionByName(spark.createDataFrame([(5, item)], "item_id long, text string"))
+    found = {(r.key.id, r.item_id): r for r in td.find(spark.createDataFrame(docs, "doc_id long, text string"), items).collect()}
+    assert set(found) == {(0, 1), (1, 1), (2, 1), (3, 5)}  # Anna and Ben can't both be Dave
+    assert (found[(0, 1)].n_changed, found[(1, 1)].n_changed, found[(3, 5)].n_changed) == (1, 1, 2)
+
+
 def test_query_equals_windows_of_words(spark):
     got = {(r.doc_id, r.item_id) for r in QUERIES["op7_template_decontam"](spark, SF001).collect()}
     docs = pd.read_parquet(f"{SF001}/documents.parquet")

@@ -3,9 +3,11 @@
 Texts become streams of canonical words: numbers, names (capitalised inside a sentence) and units
 after a number turn into typed placeholders, everything else is lower-cased. Windows of the stream
 are hash-joined with the windows of the benchmark items; hits that lie on one alignment of a document
-and an item are put together, and the alignment counts only if every slot of the item has one value
-throughout the document's passage and the other way round. So a passage is found verbatim, and also
-when its numbers, names or units were exchanged consistently.
+and an item are put together. The alignment counts if its windows without a changed slot hold enough
+words, whatever the others say, or if every slot of the item has one value throughout the document's
+passage. Names must differ where the item's do; numbers and units may get the same value, and one
+number before different words is a slot for each. So a passage is found verbatim, also with single
+values changed, and when its numbers, names or units were exchanged consistently.
 
 Scale: documents stay where they are. Their windows meet a Bloom filter of the benchmark's windows,
 of a fixed largest size (``bloom.MOST_BITS``, whatever the benchmark's size), in numpy, and only hits leave
@@ -45,6 +47,8 @@ UNITS = ("mm cm m km in inch inches ft foot feet yd yard yards mile miles mg g k
          "kilometers centimeter centimeters").split()
 _U = np.uint64
 NUMBER, NAME, UNIT = (_U(x) for x in (0x4E554D, 0x4E414D, 0x554E54))
+KINDS = 3  # the bits of a slot's value that tell its kind
+OF_NUMBER, OF_UNIT, OF_NAME = 1, 2, 3
 _DIGIT = np.zeros(256, np.int32)
 _DIGIT[48:58] = 1
 _ENDS = np.zeros(256, np.int32)
@@ -80,11 +84,21 @@ def canonical(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     with np.errstate(over="ignore"):
         order = np.arange(len(h)) - np.repeat(keep, np.diff(keep, append=len(h)))
         value = np.add.reduceat(h * (_U(2) * order.astype(_U) + _U(1)), keep)
-    value = np.where(slot[keep], tu.mix(value) | _U(1), _U(0))
+    kind = np.select([number[keep], unit[keep], name[keep]], [_U(OF_NUMBER), _U(OF_UNIT), _U(OF_NAME)], _U(0))
+    value = np.where(kind > 0, tu.mix(value) & ~_U(KINDS) | kind, _U(0))
     kept_of = np.searchsorted(keep, of)
     return word[keep], value, start[keep], kept_of
 
 
+def quantities(word: np.ndarray, value: np.ndarray, of: np.ndarray) -> np.ndarray:
+    """What each slot stands for (0 for literals): its value, for numbers together with the next word."""
+    follows = np.append(word[1:], _U(0))
+    follows[of[1:][of[1:] > 0] - 1] = 0
+    with np.errstate(over="ignore"):
+        both = tu.mix(value + tu.mix(follows)) & ~_U(KINDS) | _U(OF_NUMBER)
+    return np.where((value & _U(KINDS)) == _U(OF_NUMBER), both, value)
+
+
 def _windows(word: np.ndarray, value: np.ndarray, of: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """(first word, hash) of the windows with enough literal words."""
     at = tu.window_starts(of, size)
@@ -94,33 +108,34 @@ def _windows(word: np.ndarray, value: np.ndarray, of: np.ndarray, size: int) ->
 
 
 def _rows(column: pa.Array, sizes, bloom: bytes | None) -> Iterator[tuple]:
-    """Slices of texts as (row range, text index, first word, n words, hash, slots) of their windows;
-    with a filter only the windows that it may hold."""
+    """Slices of texts as (first row, text index, first word, n words, size, hash, slots, what the slots
+    stand for) of their windows; with a filter only the windows that it may hold."""
     data, offsets = tu.text_buffer(column)
     for lo, hi in tu.slices(offsets):
         word, value, _, of = canonical(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
+        stands = quantities(word, value, of)
         for size in sizes:
             at, h = _windows(word, value, of, size)
             if bloom is not None:
                 hit = np.flatnonzero(bl.may_hold(bloom, h))
                 at, h = at[hit], h[hit]
             text = np.searchsorted(of, at, "right") - 1
-            slots = [value[a:a + size].view(np.int64) for a in at]
-            yield lo, text, at - of[text], (of[1:] - of[:-1])[text], size, h, slots
+            inside = at[:, None] + np.arange(size)
+            yield lo, text, at - of[text], (of[1:] - of[:-1])[text], size, h, value[inside], stands[inside]
 
 
 _WINDOW_FIELDS = [T.StructField("hash", T.LongType()), T.StructField("size", T.IntegerType()),
                   T.StructField("at", T.LongType()), T.StructField("n_words", T.LongType()),
-                  T.StructField("slots", T.ArrayType(T.LongType()))]
+                  T.StructField("slots", T.ArrayType(T.LongType())), T.StructField("stands", T.ArrayType(T.LongType()))]
 
 
 def _window_batch(key: pa.Array, found: tuple, names: list[str]) -> pa.RecordBatch:
-    lo, text, at, n, size, h, slots = found
-    flat = np.concatenate(slots) if slots else np.empty(0, np.int64)
-    lists = pa.ListArray.from_arrays(np.arange(len(slots) + 1, dtype=np.int32) * size, flat)
+    lo, text, at, n, size, h, *slots = found
+    ends = np.arange(len(h) + 1, dtype=np.int32) * size
+    lists = [pa.ListArray.from_arrays(ends, x.ravel().view(np.int64)) for x in slots]
     return pa.RecordBatch.from_arrays(
         [key.take(pa.array(text + lo)), pa.array(h.view(np.int64)), pa.array(np.full(len(h), size, np.int32)),
-         pa.array(at.astype(np.int64)), pa.array(n.astype(np.int64)), lists], names)
+         pa.array(at.astype(np.int64)), pa.array(n.astype(np.int64)), *lists], names)
 
 
 def _window_table(texts: DataFrame, sizes, bloom=None) -> DataFrame:
@@ -148,12 +163,27 @@ def document_key(id_col: Column, text_col: Column) -> Column:
     return F.struct(id_col.alias("id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("text_hash"))
 
 
+def _covered(windows: Column) -> Column:
+    """Words inside windows (sorted by their start), and those of the longest unbroken passage."""
+    zero = F.lit(0).cast("long")
+    state = F.struct(zero.alias("n"), zero.alias("upto"), zero.alias("begin"), zero.alias("longest"))
+
+    def add(a: Column, w: Column) -> Column:
+        end = (w["item_at"] + w["size"]).cast("long")  # no window ends before the one before it
+        begin = F.when(w["item_at"] > a["upto"], w["item_at"]).otherwise(a["begin"])
+        return F.struct((a["n"] + end - F.greatest(a["upto"], w["item_at"])).alias("n"), end.alias("upto"),
+                        begin.alias("begin"), F.greatest(a["longest"], end - begin).alias("longest"))
+
+    return F.aggregate(windows, state, add)
+
+
 def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
          item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per document, item and alignment that match: ``key``, ``item_id``, ``first_word`` (the
     passage's place among the document's canonical words), ``n_words`` (canonical words inside matched
-    windows), ``n_slots`` and ``n_changed`` (slots of the item, and how many the document fills
-    otherwise)."""
+    windows; where the slots contradict each other, the longest unbroken passage without a changed one),
+    ``n_slots`` and ``n_changed`` (pairs of an item's slot and what the document fills it with, and
+    how many of them differ)."""
     items = item_windows(benchmark, item_col, item_text_col)
     bloom = docs.sparkSession.sparkContext.broadcast(bl.build(items.select("hash")))
     sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # at most four sizes
@@ -161,26 +191,30 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     hits = _window_table(texts, sizes, bloom)
     known = items.select(F.col("key").alias("item_id"), "hash", "size", F.col("at").alias("item_at"),
-                         F.col("n_words").alias("item_words"), F.col("slots").alias("item_slots"))
+                         F.col("n_words").alias("item_words"), F.col("slots").alias("item_slots"), "stands")
     pairs = hits.select("key", "hash", "size", "at", "slots").join(known, ["hash", "size"])
-    slots = F.filter(F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc")),
-                     lambda s: (s["item"] != 0) | (s["doc"] != 0))
-    pairs = pairs.withColumns({"filled": slots, "shift": F.col("at") - F.col("item_at")})
+    zipped = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"), F.col("stands").alias("stands"))
+    pairs = pairs.withColumns({"filled": F.filter(zipped, lambda s: (s["item"] != 0) | (s["doc"] != 0)),
+                               "same": F.col("item_slots") == F.col("slots"), "shift": F.col("at") - F.col("item_at")})
+    window = F.struct("item_at", "size")
     one = pairs.groupBy("key", "item_id", "shift").agg(
-        F.array_sort(F.collect_set(F.struct("item_at", "size"))).alias("windows"), F.max("item_words").alias("item_words"),
+        F.array_sort(F.collect_set(window)).alias("windows"),
+        F.array_sort(F.collect_set(F.when(F.col("same"), window))).alias("unchanged"), F.max("item_words").alias("item_words"),
         F.min("at").alias("first_word"), F.array_distinct(F.flatten(F.collect_set("filled"))).alias("filled"))
-    # words inside the windows: each window adds what the one before it hasn't reached
-    covered = F.aggregate("windows", F.struct(F.lit(0).cast("long").alias("n"), F.lit(0).cast("long").alias("upto")),
-                          lambda a, w: F.struct(
-                              (a["n"] + w["item_at"] + w["size"] - F.greatest(a["upto"], w["item_at"])).alias("n"),
-                              (w["item_at"] + w["size"]).cast("long").alias("upto")), lambda a: a["n"])
-    n = F.size("filled")  # pairs of values; a slot filled in two ways shows as a value less
-    one_to_one = ((F.size(F.array_distinct(F.col("filled.item"))) == n)
-                  & (F.size(F.array_distinct(F.col("filled.doc"))) == n))
-    one = one.withColumn("n_words", covered).where(one_to_one)
-    one = one.where(F.col("n_words") >= F.least(F.lit(MATCHED), F.col("item_words")))
-    changed = F.size(F.filter("filled", lambda s: s["item"] != s["doc"]))
-    return one.select("key", "item_id", "first_word", "n_words", n.alias("n_slots"), changed.alias("n_changed"))
+    one = one.withColumns({"windows": _covered(F.col("windows")), "unchanged": _covered(F.col("unchanged"))})
+    names = F.array_distinct(F.transform(F.filter("filled", lambda s: s["item"].bitwiseAND(KINDS) == OF_NAME),
+                                         lambda s: F.struct(s["item"], s["doc"])))
+    one_value = F.size(F.array_distinct(F.transform("filled", lambda s: s["stands"]))) == F.size(
+        F.array_distinct(F.transform("filled", lambda s: F.struct(s["stands"], s["doc"]))))
+    own_names = F.size(F.array_distinct(F.transform(names, lambda s: s["doc"]))) == F.size(names)
+    least = F.least(F.lit(MATCHED), F.col("item_words"))
+    one = one.withColumn("consistent", one_value & own_names).where(
+        (F.col("consistent") & (F.col("windows.n") >= least)) | (F.col("unchanged.n") >= least))
+    filled = F.array_distinct(F.transform("filled", lambda s: F.struct(s["item"].alias("item"), s["doc"].alias("doc"))))
+    return one.withColumn("filled", filled).select(
+        "key", "item_id", "first_word",
+        F.when(F.col("consistent"), F.col("windows.n")).otherwise(F.col("unchanged.longest")).alias("n_words"),
+        F.size("filled").alias("n_slots"), F.size(F.filter("filled", lambda s: s["item"] != s["doc"])).alias("n_changed"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
