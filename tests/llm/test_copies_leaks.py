@@ -138,6 +138,19 @@ def test_templates_find_colliding_values(spark, benchmark):
     assert (found[(0, 1)].n_changed, found[(1, 1)].n_changed, found[(3, 5)].n_changed) == (1, 1, 2)
 
 
+def test_short_and_number_heavy_items_are_found(spark):
+    items = ["What is 12 plus 15 times 3?", "Convert 5 km to miles and 3 kg to pounds", "Prime numbers under 9", "Serendipity",
+             "Ada asks Bob, Cy, 3 4, Dee: who of them has 7 of the 9 keys?", "Lakes of Finland by depth, 1 2 and 3 m or so"]
+    docs = ["He wrote What is 12 plus 15 times 3? on it", "now convert 5 KM to miles and 3 kg to pounds please",
+            "all prime numbers under 9 are", "by serendipity only", "Then ADA ASKS BOB, CY, 3 4, DEE: WHO OF THEM HAS 7 OF THE 9 KEYS?",
+            "a list of lakes of Finland by depth, 1 2 and 3 m or so", "Convert 8 miles to miles and 2 lb to pounds",
+            "What is 12 plus 15 times", "prime numbers under 11", "serendipitous", "lakes of Finland by depth, 1 2 and 3 m or"]
+    frames = [spark.createDataFrame(list(enumerate(x)), f"{c} long, text string") for c, x in (("item_id", items), ("doc_id", docs))]
+    found = {(r.key.id, r.item_id): r for r in td.find(frames[1], frames[0]).collect()}
+    assert set(found) == {(i, i) for i in range(6)} | {(6, 1)}
+    assert found[(6, 1)].n_changed == 4 and all(found[(i, i)].n_changed == 0 for i in range(6))
+
+
 def test_query_equals_windows_of_words(spark):
     got = {(r.doc_id, r.item_id) for r in QUERIES["op7_template_decontam"](spark, SF001).collect()}
     docs = pd.read_parquet(f"{SF001}/documents.parquet")

@@ -9,14 +9,18 @@ passage. Names must differ where the item's do; numbers and units may get the sa
 number before different words is a slot for each. So a passage is found verbatim, also with single
 values changed, and when its numbers, names or units were exchanged consistently.
 
+Next to the templates, the lower-cased words as they stand are looked up the same way, whatever their
+slots and capitals, so that verbatim copies are found also of short items and of those full of numbers.
+
 Scale: documents stay where they are. Their windows meet a Bloom filter of the benchmark's windows,
 of a fixed largest size (``bloom.MOST_BITS``, whatever the benchmark's size), in numpy, and only hits leave
 as rows, which are then joined exactly. A passage copied into a third of all documents is a hot
 window hash; the benchmark side is broadcast where it is measured small, else adaptive execution
 splits the hot hash. An alignment has at most as many windows as its item.
 
-Defined cases: null or empty texts have no windows and are clean; items of fewer than ``LEAST_WORDS``
-canonical words can't be looked for; repeated rows are found each, alike; a null id is an id;
+Defined cases: null or empty texts have no windows and are clean; items of fewer than ``MATCHED`` words
+must be there whole, down to one word; an item that is short of ``LEAST_WORDS`` literal words in each
+window is looked for as it stands only; repeated rows are found each, alike; a null id is an id;
 empty tables give an empty result.
 """
 
@@ -35,9 +39,9 @@ from ticketlens.llm import textutil as tu
 from ticketlens.llm.cluster import unused_prefix
 from ticketlens.session import materialise
 
-WINDOW = 8  # canonical words of a window
-LEAST_WORDS = 5  # of a shorter item, which is one window; also literal words that a window needs
-MATCHED = 13  # canonical words in one alignment that make a match, or the whole item
+WINDOW = 8  # words of a window
+LEAST_WORDS = 5  # literal words that a template's window needs
+MATCHED = 13  # words in one alignment that make a match, or the whole item
 
 #: Units that are placeholders when they follow a number.
 UNITS = ("mm cm m km in inch inches ft foot feet yd yard yards mile miles mg g kg t lb lbs oz pound pounds ton tons gram "
@@ -47,6 +51,7 @@ UNITS = ("mm cm m km in inch inches ft foot feet yd yard yards mile miles mg g k
          "kilometers centimeter centimeters").split()
 _U = np.uint64
 NUMBER, NAME, UNIT = (_U(x) for x in (0x4E554D, 0x4E414D, 0x554E54))
+PLAIN = _U(0x504C41494E)  # tells hashes of plain windows from those of templates
 KINDS = 3  # the bits of a slot's value that tell its kind
 OF_NUMBER, OF_UNIT, OF_NAME = 1, 2, 3
 _DIGIT = np.zeros(256, np.int32)
@@ -56,10 +61,10 @@ _ENDS[list(b".!?:\n\"")] = 1
 _UNIT_HASHES = np.sort(np.array([tu.word_hash(u) for u in UNITS], _U))
 
 
-def canonical(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(canonical word, slot value or 0, byte place, first canonical word of each text plus the end).
-    Neighbouring numbers, and neighbouring names, are one slot."""
-    h, start, of = tu.words(buf, offsets, tu.NOT_ALNUM, lower=True)
+def canonical(buf: np.ndarray, h: np.ndarray, start: np.ndarray,
+              of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(canonical word, slot value or 0, its first word, first canonical word of each text plus the end)
+    of lower-cased words. Neighbouring numbers, and neighbouring names, are one slot."""
     if not len(h):
         return h, h, start, of
     digits = np.concatenate(([0], np.cumsum(_DIGIT[buf])))
@@ -87,7 +92,7 @@ def canonical(buf: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     kind = np.select([number[keep], unit[keep], name[keep]], [_U(OF_NUMBER), _U(OF_UNIT), _U(OF_NAME)], _U(0))
     value = np.where(kind > 0, tu.mix(value) & ~_U(KINDS) | kind, _U(0))
     kept_of = np.searchsorted(keep, of)
-    return word[keep], value, start[keep], kept_of
+    return word[keep], value, keep, kept_of
 
 
 def quantities(word: np.ndarray, value: np.ndarray, of: np.ndarray) -> np.ndarray:
@@ -99,43 +104,48 @@ def quantities(word: np.ndarray, value: np.ndarray, of: np.ndarray) -> np.ndarra
     return np.where((value & _U(KINDS)) == _U(OF_NUMBER), both, value)
 
 
-def _windows(word: np.ndarray, value: np.ndarray, of: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(first word, hash) of the windows with enough literal words."""
-    at = tu.window_starts(of, size)
-    literal = np.concatenate(([0], np.cumsum(value == 0)))
-    at = at[literal[at + size] - literal[at] >= min(LEAST_WORDS, size)]
-    return at, tu.windows(word, size)[at] ^ _U(size) if len(at) else np.empty(0, _U)
-
-
 def _rows(column: pa.Array, sizes, bloom: bytes | None) -> Iterator[tuple]:
-    """Slices of texts as (first row, text index, first word, n words, size, hash, slots, what the slots
-    stand for) of their windows; with a filter only the windows that it may hold."""
+    """Slices of texts as (first row, text index, plain, first word, its place among the canonical words,
+    n words, size, hash, slots, what the slots stand for) of their windows of the ``sizes`` (plain, size);
+    with a filter only the windows that it may hold."""
     data, offsets = tu.text_buffer(column)
     for lo, hi in tu.slices(offsets):
-        word, value, _, of = canonical(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo])
-        stands = quantities(word, value, of)
-        for size in sizes:
-            at, h = _windows(word, value, of, size)
+        buf = data[offsets[lo]:offsets[hi]]
+        h, start, of = tu.words(buf, offsets[lo:hi + 1] - offsets[lo], tu.NOT_ALNUM, lower=True)
+        word, value, keep, kept_of = canonical(buf, h, start, of)
+        literal = np.concatenate(([0], np.cumsum(value == 0)))
+        stands = quantities(word, value, kept_of)
+        for plain, size in sizes:
+            words, ends = (h, of) if plain else (word, kept_of)
+            at = tu.window_starts(ends, size)
+            if not plain:
+                at = at[literal[at + size] - literal[at] >= min(LEAST_WORDS, size)]
+            hashes = tu.windows(words, size)[at] ^ _U(size) if len(at) else np.empty(0, _U)
+            if plain:
+                hashes ^= PLAIN
             if bloom is not None:
-                hit = np.flatnonzero(bl.may_hold(bloom, h))
-                at, h = at[hit], h[hit]
-            text = np.searchsorted(of, at, "right") - 1
+                hit = np.flatnonzero(bl.may_hold(bloom, hashes))
+                at, hashes = at[hit], hashes[hit]
+            text = np.searchsorted(ends, at, "right") - 1
             inside = at[:, None] + np.arange(size)
-            yield lo, text, at - of[text], (of[1:] - of[:-1])[text], size, h, value[inside], stands[inside]
+            slots = (np.zeros(inside.shape, _U),) * 2 if plain else (value[inside], stands[inside])
+            first = np.searchsorted(keep, at, "right") - 1 if plain else at
+            yield lo, text, plain, at - ends[text], first - kept_of[text], (ends[1:] - ends[:-1])[text], size, hashes, *slots
 
 
-_WINDOW_FIELDS = [T.StructField("hash", T.LongType()), T.StructField("size", T.IntegerType()),
-                  T.StructField("at", T.LongType()), T.StructField("n_words", T.LongType()),
+_WINDOW_FIELDS = [T.StructField("hash", T.LongType()), T.StructField("plain", T.BooleanType()),
+                  T.StructField("size", T.IntegerType()), T.StructField("at", T.LongType()),
+                  T.StructField("first", T.LongType()), T.StructField("n_words", T.LongType()),
                   T.StructField("slots", T.ArrayType(T.LongType())), T.StructField("stands", T.ArrayType(T.LongType()))]
 
 
 def _window_batch(key: pa.Array, found: tuple, names: list[str]) -> pa.RecordBatch:
-    lo, text, at, n, size, h, *slots = found
+    lo, text, plain, at, first, n, size, h, *slots = found
     ends = np.arange(len(h) + 1, dtype=np.int32) * size
     lists = [pa.ListArray.from_arrays(ends, x.ravel().view(np.int64)) for x in slots]
     return pa.RecordBatch.from_arrays(
-        [key.take(pa.array(text + lo)), pa.array(h.view(np.int64)), pa.array(np.full(len(h), size, np.int32)),
-         pa.array(at.astype(np.int64)), pa.array(n.astype(np.int64)), *lists], names)
+        [key.take(pa.array(text + lo)), pa.array(h.view(np.int64)), pa.array(np.full(len(h), plain, bool)),
+         pa.array(np.full(len(h), size, np.int32)), *(pa.array(x.astype(np.int64)) for x in (at, first, n)), *lists], names)
 
 
 def _window_table(texts: DataFrame, sizes, bloom=None) -> DataFrame:
@@ -145,17 +155,20 @@ def _window_table(texts: DataFrame, sizes, bloom=None) -> DataFrame:
         bits = None if bloom is None else bloom.value
         for b in batches:
             for found in _rows(b["text"], sizes, bits):
-                if len(found[5]):
+                if len(found[7]):
                     yield _window_batch(b["key"], found, schema.names)
 
     return texts.select("key", "text").mapInArrow(run, schema)
 
 
 def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """Windows of the benchmark items; an item shorter than a window is one window of its length."""
+    """Windows of the benchmark items, plain and as templates. An item shorter than a window is one plain
+    window of its length, and one shorter than ``MATCHED``, which must be found whole, one template."""
     texts = benchmark.select(F.col(id_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    rows = _window_table(texts, range(LEAST_WORDS, WINDOW + 1))
-    return materialise(rows.where((F.col("size") == WINDOW) | (F.col("size") == F.col("n_words"))), "items")
+    sizes = [(True, k) for k in range(1, WINDOW + 1)] + [(False, k) for k in range(LEAST_WORDS, MATCHED)]
+    long_item = F.col("n_words") >= F.when(F.col("plain"), WINDOW).otherwise(MATCHED)
+    rows = _window_table(texts, sizes)
+    return materialise(rows.where((F.col("size") == F.col("n_words")) | (long_item & (F.col("size") == WINDOW))), "items")
 
 
 def document_key(id_col: Column, text_col: Column) -> Column:
@@ -181,26 +194,28 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
          item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per document, item and alignment that match: ``key``, ``item_id``, ``first_word`` (the
     passage's place among the document's canonical words), ``n_words`` (canonical words inside matched
-    windows; where the slots contradict each other, the longest unbroken passage without a changed one),
+    windows; where the slots contradict each other or only plain windows match, the longest unbroken
+    passage without a change),
     ``n_slots`` and ``n_changed`` (pairs of an item's slot and what the document fills it with, and
     how many of them differ)."""
     items = item_windows(benchmark, item_col, item_text_col)
     bloom = docs.sparkSession.sparkContext.broadcast(bl.build(items.select("hash")))
-    sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # at most four sizes
+    sizes = sorted(map(tuple, items.select("plain", "size").distinct().collect()))  # at most sixteen
     texts = docs.select(document_key(F.col(id_col), F.col(text_col)).alias("key"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     hits = _window_table(texts, sizes, bloom)
-    known = items.select(F.col("key").alias("item_id"), "hash", "size", F.col("at").alias("item_at"),
-                         F.col("n_words").alias("item_words"), F.col("slots").alias("item_slots"), "stands")
-    pairs = hits.select("key", "hash", "size", "at", "slots").join(known, ["hash", "size"])
+    known = items.select(F.col("key").alias("item_id"), "hash", "plain", "size", F.col("at").alias("item_at"),
+                         F.col("first").alias("item_first"), F.col("n_words").alias("item_words"), F.col("slots").alias("item_slots"), "stands")
+    pairs = hits.select("key", "hash", "plain", "size", "at", "first", "slots").join(known, ["hash", "plain", "size"])
     zipped = F.arrays_zip(F.col("item_slots").alias("item"), F.col("slots").alias("doc"), F.col("stands").alias("stands"))
     pairs = pairs.withColumns({"filled": F.filter(zipped, lambda s: (s["item"] != 0) | (s["doc"] != 0)),
                                "same": F.col("item_slots") == F.col("slots"), "shift": F.col("at") - F.col("item_at")})
     window = F.struct("item_at", "size")
-    one = pairs.groupBy("key", "item_id", "shift").agg(
+    one = pairs.groupBy("key", "item_id", "plain", "shift").agg(
         F.array_sort(F.collect_set(window)).alias("windows"),
         F.array_sort(F.collect_set(F.when(F.col("same"), window))).alias("unchanged"), F.max("item_words").alias("item_words"),
-        F.min("at").alias("first_word"), F.array_distinct(F.flatten(F.collect_set("filled"))).alias("filled"))
+        F.min("first").alias("first_word"), F.min("item_first").alias("item_first"),
+        F.array_distinct(F.flatten(F.collect_set("filled"))).alias("filled"))
     one = one.withColumns({"windows": _covered(F.col("windows")), "unchanged": _covered(F.col("unchanged"))})
     names = F.array_distinct(F.transform(F.filter("filled", lambda s: s["item"].bitwiseAND(KINDS) == OF_NAME),
                                          lambda s: F.struct(s["item"], s["doc"])))
@@ -211,10 +226,14 @@ def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
     one = one.withColumn("consistent", one_value & own_names).where(
         (F.col("consistent") & (F.col("windows.n") >= least)) | (F.col("unchanged.n") >= least))
     filled = F.array_distinct(F.transform("filled", lambda s: F.struct(s["item"].alias("item"), s["doc"].alias("doc"))))
-    return one.withColumn("filled", filled).select(
-        "key", "item_id", "first_word",
-        F.when(F.col("consistent"), F.col("windows.n")).otherwise(F.col("unchanged.longest")).alias("n_words"),
-        F.size("filled").alias("n_slots"), F.size(F.filter("filled", lambda s: s["item"] != s["doc"])).alias("n_changed"))
+    n_words = F.when(F.col("consistent") & ~F.col("plain"), F.col("windows.n")).otherwise(F.col("unchanged.longest"))
+    one = one.withColumn("filled", filled).select(
+        "key", "item_id", (F.col("first_word") - F.col("item_first")).alias("shift"),
+        F.struct((~F.col("plain")).alias("template"), "first_word", n_words.alias("n_words"), F.size("filled").alias("n_slots"),
+                 F.size(F.filter("filled", lambda s: s["item"] != s["doc"])).alias("n_changed")).alias("found"))
+    # a passage that was found both ways shows as its template
+    one = one.groupBy("key", "item_id", "shift").agg(F.max("found").alias("found"))
+    return one.select("key", "item_id", *(f"found.{c}" for c in ("first_word", "n_words", "n_slots", "n_changed")))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -108,7 +108,7 @@ def windows(h: np.ndarray, size: int) -> np.ndarray:
     out = np.zeros(n, _U)
     with np.errstate(over="ignore"):
         for j in range(size):
-            out = mix(out ^ (h[j:j + n] * _PLACE[j])) if j % 4 == 3 else out + h[j:j + n] * _PLACE[j % 8]
+            out = mix(out ^ (h[j:j + n] * _PLACE[j % 8])) if j % 4 == 3 else out + h[j:j + n] * _PLACE[j % 8]
     return mix(out)
 
 
