@@ -60,6 +60,24 @@ def test_verdicts_follow_each_groups_quartiles(spark):
     assert t[("xx", "tiny")].word_length == pytest.approx([low, high], abs=0.02)  # too small: its language's
 
 
+def test_each_measure_alone_rejects(spark):
+    rnd = random.Random(3)
+
+    def words(n, size=5):
+        return ["".join(rnd.choices("abcdefgh", k=max(1, size + rnd.randrange(-2, 3)))) for _ in range(n)]
+    rows = [(i, "\n".join(" ".join(words(3)) for _ in range(40)), "en", "s") for i in range(200)]
+    lines = [" ".join(words(3)) for _ in range(18)]
+    odd = {"word_length": " ".join(words(120, 12)), "symbol_share": " ".join(w + "%" * (i % 2) for i, w in enumerate(words(120))),
+           # nearly half of the lines are copies of a short one; 12 % of the words lie in a passage that comes twice
+           "dup_line_share": "\n".join(f"{x}\nab cd" if i % 2 else f"{x} {' '.join(words(2))}\nab cd" for i, x in enumerate(lines)),
+           "repeat_share": " ".join((p := words(7)) + words(53) + p + words(53))}
+    rows += [(1000 + k, t, "en", "s") for k, t in enumerate(odd.values())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    out = {r.doc_id: r for r in ar.judge(docs).collect()}
+    assert not any(r.base_failed for r in out.values()) and {i for i, r in out.items() if not r.kept} == {*range(1000, 1004)}
+    assert [out[1000 + k].broken for k in range(4)] == [[m] for m in odd]
+
+
 def test_rules_on_odd_input(spark, odd_docs, no_docs):
     out = ar.judge(odd_docs).collect()
     assert len(out) == 10 and sum(r.kept for r in out) == 3

@@ -28,9 +28,10 @@ SKETCH_K = 1024  # rank error of about 0.1 %
 LEAST_ROWS = 100  # documents that a threshold has to rest on
 FENCE = 3.0  # distances of the quartiles beyond which a measure is an outlier
 #: Measure -> least distance of the quartiles that counts, and the allowance for short texts
-#: (divided by the root of the word count, as the spread of a mean is).
-MEASURES = {"word_length": (0.5, 8.0), "symbol_share": (0.05, 0.3), "dup_line_share": (0.2, 0.0),
-            "repeat_share": (0.07, 0.0)}
+#: (divided by the root of the word count, as the spread of a mean is). The least distances are small,
+#: so that a measure can reject what the base rules pass, also in a group that is clean throughout.
+MEASURES = {"word_length": (0.5, 8.0), "symbol_share": (0.05, 0.3), "dup_line_share": (0.05, 0.0),
+            "repeat_share": (0.02, 0.0)}
 LOWER_TOO = ("word_length",)
 
 
