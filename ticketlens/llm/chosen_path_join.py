@@ -13,9 +13,10 @@ whole shingle sets, in blocks, which yields the number of links of each node and
 directly or through others) without a row per pair.
 
 Scale: the only pass over all texts makes 128 numbers a document. Paths are pairs of 64-bit numbers;
-copies are one node beforehand; buckets that keep most of their parent when they are split (very large
-groups of near copies, as similar on average as a link) are cut into chunks of ``LIMIT`` that share two members, so no task gets more than a chunk, and their pairs
-are verified block by block like all others. Whole shingle sets are made only for nodes in a group:
+copies are one node beforehand; buckets that keep most of their parent when they are split, and all of
+whose members look similar to one of them (very large groups of near copies), are joined to that one, and
+their pairs are verified block by block like all others. Other large buckets are split on, and compared
+block against block at the deepest level, so no task gets more than two blocks. Whole shingle sets are made only for nodes in a group:
 a Bloom filter of bounded size picks their documents, and a join makes that exact. Iterations write
 tables in the shared folder.
 
@@ -47,7 +48,7 @@ RECALL = 0.999
 WIDTH = 128
 LIMIT = 64
 DEEPEST = 6
-ALIKE = 0.95 * THRESHOLD  # part of its parent that a bucket keeps when its members are near copies
+ALIKE = 0.95 * THRESHOLD  # part of its parent that a bucket keeps when its members may be near copies
 BLOCK = 128
 _U = np.uint64
 _FACTORS = np.random.default_rng(5).integers(1, 2**63, WIDTH, dtype=np.uint64) * _U(2) + _U(1)
@@ -199,9 +200,11 @@ def _kept_together(depth: int) -> float:
     return q
 
 
-def _buckets(nodes: DataFrame, recall: float) -> DataFrame:
-    """(bucket, fp) of all runs, every bucket small."""
+def _buckets(nodes: DataFrame, recall: float, similar: float) -> tuple[DataFrame, DataFrame]:
+    """(bucket, fp) of all runs, every bucket small, and the edges (a, b) of large buckets whose members
+    all look similar to their least node."""
     out: DataFrame | None = None
+    edges = nodes.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
     done, wanted, deepest = 0, 1, 1
     while done < wanted:
         upto = math.ceil(math.log(1 - recall) / math.log(1 - _kept_together(deepest)))
@@ -210,32 +213,45 @@ def _buckets(nodes: DataFrame, recall: float) -> DataFrame:
             _children(F.xxhash64("run"), F.col("sig")).alias("p"), "fp", F.lit(None).cast("long").alias("above"))
         for depth in range(1, DEEPEST + 1):
             sizes = level.groupBy("p").agg(F.count(F.lit(1)).alias("size"), F.min("fp").alias("lo"),
-                                           F.max("fp").alias("hi"), F.max("above").alias("above")).where("size > 1")
+                                           F.max("above").alias("above")).where("size > 1")
             level = materialise(level.drop("above").join(sizes, "p"), "level")
             small = level.where(F.col("size") <= LIMIT).select(F.col("p").alias("bucket"), "fp")
             out = small if out is None else out.unionByName(small)
             large = level.where(F.col("size") > LIMIT)
             if large.isEmpty():
                 break
-            # a bucket that keeps most of its parent is as similar throughout as a link: no more splits
-            alike = F.coalesce(F.col("size") >= ALIKE * F.col("above"), F.lit(False)) | F.lit(depth == DEEPEST)
-            out = out.unionByName(_chunks(large.where(alike)))
-            deepest = max(deepest, min(depth + 1, DEEPEST))
-            level = large.where(~alike).select("p", "fp", F.col("size").alias("above")).join(
+            # a bucket that keeps most of its parent may be one of near copies
+            kept = F.coalesce(F.col("size") >= ALIKE * F.col("above"), F.lit(False)) | F.lit(depth == DEEPEST)
+            whole = _near_hubs(large.where(kept), nodes, similar)
+            hubs = large.join(whole, "p", "left_semi")
+            edges = edges.unionByName(hubs.where("fp <> lo").select(F.col("fp").alias("a"), F.col("lo").alias("b")))
+            rest = large.join(whole, "p", "left_anti")
+            if depth == DEEPEST:
+                out = out.unionByName(_blocks(rest))
+                break
+            deepest = max(deepest, depth + 1)
+            level = rest.select("p", "fp", F.col("size").alias("above")).join(
                 nodes.select("fp", "sig"), "fp").select(_children(F.col("p"), F.col("sig")).alias("p"), "fp", "above")
         done = upto
         wanted = math.ceil(math.log(1 - recall) / math.log(1 - _kept_together(deepest)))
-    return out
+    return out, edges
+
+
+def _near_hubs(large: DataFrame, nodes: DataFrame, similar: float) -> DataFrame:
+    """Buckets (p) all of whose members have tokens similar to those of the bucket's least node."""
+    sigs = nodes.select("fp", "sig")
+    hubs = large.where("fp = lo").select("p", "fp").join(sigs, "fp").select("p", F.col("sig").alias("hub"))
+    same = F.size(F.filter(F.zip_with("sig", "hub", lambda x, y: x == y), lambda x: x))
+    near = large.select("p", "fp").join(sigs, "fp").join(hubs, "p").groupBy("p").agg(F.min(same).alias("least"))
+    return materialise(near.where(F.col("least") >= similar * WIDTH).select("p"), "hubs")
 
 
-def _chunks(large: DataFrame) -> DataFrame:
-    """Buckets that didn't shrink, cut into chunks that all hold the bucket's least and greatest node."""
-    n = F.ceil(F.col("size") / LIMIT).cast("int")
-    own = large.select(F.xxhash64("p", F.pmod(F.xxhash64("p", "fp"), n).cast("int")).alias("bucket"), "fp")
-    ends = large.groupBy("p").agg(F.max("size").alias("size"), F.max("lo").alias("lo"), F.max("hi").alias("hi"))
-    ends = ends.select("p", F.explode(F.sequence(F.lit(0), n - 1)).alias("chunk"), "lo", "hi")
-    ends = ends.select(F.xxhash64("p", "chunk").alias("bucket"), F.explode(F.array("lo", "hi")).alias("fp"))
-    return own.unionByName(ends).distinct()
+def _blocks(large: DataFrame) -> DataFrame:
+    """Large buckets cut into blocks, each block with itself and each other one as a bucket."""
+    n = F.ceil(F.col("size") / BLOCK).cast("int")
+    own = large.select("p", "fp", n.alias("n"), F.pmod(F.xxhash64("p", "fp"), n).cast("int").alias("block"))
+    pairs = own.select("p", "fp", "block", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("meets"))
+    return pairs.select(F.xxhash64("p", F.least("block", "meets"), F.greatest("block", "meets")).alias("bucket"), "fp")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -318,8 +334,9 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
         F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies"), F.first("sig").alias("sig"))
     nodes = materialise(nodes, "nodes")
     margin = 4 * math.sqrt(threshold * (1 - threshold) / WIDTH)
-    bucketed = _buckets(nodes, recall).join(nodes.select("fp", "sig"), "fp").select("bucket", "fp", "sig")
-    edges = _by_group(bucketed, ["bucket"], _stars(threshold - margin), "a long, b long")
+    buckets, near = _buckets(nodes, recall, threshold - margin)
+    bucketed = buckets.join(nodes.select("fp", "sig"), "fp").select("bucket", "fp", "sig")
+    edges = _by_group(bucketed, ["bucket"], _stars(threshold - margin), "a long, b long").unionByName(near)
     group = components(edges.distinct())
 
     members = nodes.select("fp", "first_id").join(group.select(F.col("node").alias("fp"), F.col("root").alias("g")), "fp")
