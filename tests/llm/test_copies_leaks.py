@@ -3,6 +3,7 @@ import re
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from ticketlens.llm import chosen_path_join as cp
 from ticketlens.llm import template_decontam as td
@@ -72,18 +73,20 @@ def test_join_finds_every_link_class_and_copy(spark):
     assert {r.doc_id for r in found if r.stays} == {c for c, _, _ in _classes(docs).values()}
 
 
-def test_pairs_in_a_large_group_that_shares_half_its_text(spark, monkeypatch):
+def test_pairs_in_large_buckets_of_documents_unlike_each_other(spark, monkeypatch):
     monkeypatch.setattr(cp, "LIMIT", 16)
-    monkeypatch.setattr(cp, "DEEPEST", 2)  # many large buckets reach the deepest level
+    monkeypatch.setattr(cp, "DEEPEST", 1)
+    signatures = cp.signatures  # tokens of two bits: a quarter of all nodes share each one
+    monkeypatch.setattr(cp, "signatures", lambda *x: signatures(*x).withColumn(
+        "sig", F.transform("sig", lambda t: t.bitwiseAND(3))))
     rnd = random.Random(9)
     words = [f"w{i}" for i in range(3000)]
-    passage = rnd.choices(words, k=70)
-    docs = [passage + rnd.choices(words, k=60) for _ in range(400)]
-    docs += [[*d[:-1 - k % 5], *rnd.choices(words, k=1 + k % 5)] for k, d in enumerate(docs[:20])]
+    docs = [rnd.choices(words, k=60) for _ in range(800)]
+    docs += [[*d[:-3], "x", "y", "z"] for d in docs[:20]]
     docs = [(i, " ".join(d)) for i, d in enumerate(docs)]
     rows = {r.doc_id: r for r in cp.join(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
-    assert {i: (r.class_id, r.n_links, r.n_copies) for i, r in rows.items()} == _classes(docs)
-    assert sum(r.n_links for r in rows.values()) == 40
+    assert {i for i, r in rows.items() if r.n_links} == {*range(20), *range(800, 820)}
+    assert all(rows[i].class_id == rows[i + 800].class_id == i for i in range(20))
 
 
 def test_similar_pairs_of_sets():
