@@ -68,6 +68,17 @@ def test_causal_and_every_id_scored_once(model):
         assert score == pytest.approx(want, rel=1e-4)
 
 
+def test_every_id_of_long_texts_is_learnt(spark):
+    sub = a.tu.subwords(tokenizer_path())
+    texts = ["", "one", "the river ran past the old mill " * 300, "over the stones where children used to play " * 7]
+    ids, of = a._ids(sub, texts, sub.size)
+    rows = a._learn_pass(spark.createDataFrame([(t,) for t in texts], "text string"), tokenizer_path()).where("kind = 2")
+    got = [np.frombuffer(r.window, "<u4") for r in rows.collect()]
+    assert all(len(w) <= a.SPAN + 1 for w in got)
+    learnt = Counter(np.concatenate([w[1:] for w in got]).tolist())
+    assert learnt == Counter(np.delete(ids, of[:-1]).tolist())
+
+
 def test_query_against_brute_force(spark):
     got = QUERIES["op3_attention_lm"](spark, SF001).toPandas().set_index("doc_id")
     texts = pd.read_parquet(f"{SF001}/documents.parquet").set_index("doc_id").text

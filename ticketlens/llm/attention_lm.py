@@ -9,8 +9,8 @@ windows of a batch masked and multiplied together.
 
 Word counts of the corpus come along as a base score: add-one unigram log-probabilities.
 
-Scale: one pass counts words and ids of all learning texts and keeps from each one training window,
-at a place given by a hash, so what the model learns from grows with the corpus. Training is local:
+Scale: one pass counts words and ids of all learning texts and cuts each whole text into training
+windows, so that every id is predicted once a round, however long its text is. Training is local:
 every partition of windows trains its own copy of some thousand weights, copies are averaged, and
 that repeats. A second pass scores all texts. Texts are never shuffled. A word's count reaches the
 documents in one of two exact ways: the most frequent words (at most ``HOT_WORDS``, found from a
@@ -25,7 +25,6 @@ an empty result. Words are told by 64-bit hashes. Added columns replace columns
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -201,16 +200,25 @@ def _ids(vocabulary: tu.Subwords, texts: list[str], end: int) -> tuple[np.ndarra
             np.concatenate(([0], np.cumsum([len(x) // 4 for x in raw]))))
 
 
+def _training_windows(ids: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first id, end) of windows of at most SPAN + 1 ids, one every SPAN ids of each text: together they
+    hold each id but a text's first once as the next one."""
+    n = np.maximum(-(-(np.diff(of) - 1) // SPAN), 1)
+    nth = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    begin = np.repeat(of[:-1], n) + nth * SPAN
+    return begin, np.minimum(begin + SPAN + 1, np.repeat(of[1:], n))
+
+
 def _learn_pass(texts: DataFrame, tokenizer_path: str) -> DataFrame:
-    """Counts of words (kind 0), ids (kind 1) and neighbouring ids (kind 3), and a window of ids of each
-    text (kind 2)."""
+    """Counts of words (kind 0), ids (kind 1) and neighbouring ids (kind 3), and all training
+    windows of ids (kind 2)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = tu.subwords(tokenizer_path)
         ids_seen = np.zeros(vocabulary.size + 1, np.int64)
         for b in batches:
             data, offsets = tu.text_buffer(b["text"])
-            hashes, windows, pairs = [np.full(len(b), END_WORD, _U)], [], []
+            hashes, pairs = [np.full(len(b), END_WORD, _U)], []
             for lo, hi in tu.slices(offsets):
                 if sum(map(len, hashes)) > FLUSH:
                     yield counted(0, hashes)
@@ -221,13 +229,13 @@ def _learn_pass(texts: DataFrame, tokenizer_path: str) -> DataFrame:
                 ids_seen += np.bincount(ids, minlength=len(ids_seen))
                 pair = ids[:-1] * len(ids_seen) + ids[1:]
                 pairs.append(np.delete(pair, of[1:-1] - 1))  # not from one text to the next
-                for a, z in zip(of[:-1].tolist(), of[1:].tolist()):
-                    part = ids[a:z].astype("<u4").tobytes()
-                    at = 4 * (zlib.crc32(part) % max(z - a - SPAN, 1))
-                    windows.append(part[at:at + 4 * (SPAN + 1)])
+                raw, (begin, end) = ids.astype("<u4").tobytes(), _training_windows(ids, of)
+                cuts = [raw[4 * a:4 * z] for a, z in zip(begin.tolist(), end.tolist())]
+                for at in range(0, len(cuts), 1 << 14):
+                    parts = cuts[at:at + (1 << 14)]
+                    yield rows(2, np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64), parts)
             yield counted(0, hashes)
             yield counted(3, pairs)
-            yield rows(2, np.zeros(len(windows), np.int64), np.zeros(len(windows), np.int64), windows)
         seen = np.flatnonzero(ids_seen)
         yield rows(1, seen, ids_seen[seen])
 
