@@ -8,7 +8,7 @@ from tests.conftest import SF001
 def test_every_query_is_registered():
     names = entry.queries()
     assert "pipeline" in names and set(QUERIES) <= set(names)
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_stages_one_by_one(spark):

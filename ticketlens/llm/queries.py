@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from ticketlens.llm import (
     adaptive_rules,
     attention_lm,
+    bucket_digest,
+    centroid_cluster,
     chat_format,
     chosen_path_join,
     fair_mix,
+    importance_resample,
     license_templates,
     quality_gam,
     simple8b,
@@ -212,3 +215,95 @@ def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = materialise(docs.select("doc_id", "source", fair_mix.words_in(F.col("text")).alias("size")), "sizes")
     out = fair_mix.copies(rows, fair_mix.cuts(rows))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+@query
+def op11_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weights of every document towards the benchmark, and the tenth that is drawn."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return importance_resample.resample(docs, table(spark, sf_dir, "benchmark"))
+
+
+# CRC-32 a bit at a time, least bit of each byte first: (c >> 1) ^ (0xEDB88320 if (c ^ bit) & 1).
+ORACLES["op11_importance_resample"] = r"""
+WITH words_ AS (
+  SELECT n, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM (SELECT row_number() OVER () AS n, doc_id, text FROM documents)),
+wanted AS (
+  SELECT unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w
+  FROM benchmark),
+places AS (SELECT n, unnest(w) AS w FROM words_),
+hashed AS (
+  SELECT w, hex(encode(w)) AS x,
+         xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(0, 4 * length(x)), lambda i:
+           ((instr('123456789ABCDEF', substr(x, 2 * (i // 8) + 1, 1)) * 16
+             + instr('123456789ABCDEF', substr(x, 2 * (i // 8) + 2, 1))) >> (i % 8)::INT) & 1)),
+           lambda c, b: xor(c >> 1, (xor(c, b) & 1) * 3988292384))) % 10000 AS bucket
+  FROM (SELECT w FROM places UNION SELECT w FROM wanted)),
+s AS (SELECT bucket, count(*) AS s FROM places JOIN hashed USING (w) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS t FROM wanted JOIN hashed USING (w) GROUP BY bucket),
+sums AS (SELECT (SELECT coalesce(sum(s), 0) FROM s)::DOUBLE AS all_s, (SELECT coalesce(sum(t), 0) FROM t)::DOUBLE AS all_t),
+gain AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * (all_s + 10000) / ((s + 1)::DOUBLE * (all_t + 10000))))::BIGINT AS g
+  FROM s LEFT JOIN t USING (bucket), sums),
+weights AS (
+  SELECT n, floor(sum(g) / count(*))::BIGINT AS weight, count(*) AS k
+  FROM places JOIN hashed USING (w) JOIN gain USING (bucket) GROUP BY n),
+scored AS (
+  SELECT doc_id, coalesce(k, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT
+           + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM words_ LEFT JOIN weights USING (n)),
+ranked AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS total
+  FROM scored WHERE n_features >= 20)
+SELECT s.doc_id, n_features, weight, score, r AS rank
+FROM scored s LEFT JOIN (SELECT * FROM ranked WHERE r <= total * 10 // 100) k ON k.doc_id = s.doc_id
+"""
+
+
+@query
+def op12_centroid_cluster(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cluster of every usable vector after five rounds from forty first centroids."""
+    return centroid_cluster.cluster(table(spark, sf_dir, "embeddings"))
+
+
+def _rounds() -> str:
+    """The rounds of op12 in SQL: an assignment and a step of the centroids each."""
+    return "".join(f"""
+a{r} AS MATERIALIZED (
+  SELECT n, min_by(k, (d, k)) AS k, min(d) AS d
+  FROM (SELECT n, k, list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+        FROM v CROSS JOIN c{r} c) GROUP BY n),
+c{r + 1} AS MATERIALIZED (
+  SELECT k, coalesce(m.x, c.x) AS x
+  FROM c{r} c LEFT JOIN (
+    SELECT k, list(f ORDER BY i) AS x
+    FROM (SELECT k, i, floor(sum(e) / count(*))::BIGINT AS f
+          FROM (SELECT k, unnest(x) AS e, unnest(range(64)) AS i FROM a{r} JOIN v USING (n)) GROUP BY k, i)
+    GROUP BY k) m USING (k)),""" for r in range(6))
+
+
+ORACLES["op12_centroid_cluster"] = f"""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER () AS n, vec_id, list_transform(embedding, lambda e: floor(256 * e::DOUBLE)::BIGINT) AS x
+  FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id::VARCHAR)) - 1 AS k, x
+  FROM v ORDER BY sha256('2:' || vec_id::VARCHAR) LIMIT 40),{_rounds()}
+done AS (
+  SELECT vec_id, k, d, c.x AS x, sum(d) OVER (PARTITION BY k)::BIGINT AS ci, sum(d) OVER ()::BIGINT AS i
+  FROM a5 JOIN v USING (n) JOIN c5 c USING (k))
+SELECT vec_id, k::INTEGER AS cluster, d AS distance, ci AS cluster_inertia, i AS inertia,
+       sha256(array_to_string(x, ',')) AS centroid_sha256
+FROM done
+"""
+
+
+@query
+def op13_bucket_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and how like they are."""
+    return bucket_digest.compare_edits(table(spark, sf_dir, "documents"))
