@@ -11,8 +11,8 @@ A data set is a folder of Parquet files; a row is a segment of whole documents:
 document ids in ascending order, so an id's global place is its shard's offset (one number a shard)
 plus its place in the shard.
 
-Scale: one range shuffle of the texts, sorted within tasks (Spark spills); ids are made and coded
-in slices of about a quarter megabyte of text and written at once. A repeated id is also ranged by its text.
+Scale: one range shuffle of the texts, sorted within tasks (Spark spills); ids are made in slices of
+about 8 megabytes of text, coded in slices of a quarter megabyte, and written at once. A repeated id is also ranged by its text.
 
 Defined cases: a null or empty text has only the end id; null ids sort first; repeated rows are kept
 each, those of one id in an order given by their texts; an empty table gives an empty data set.
@@ -33,6 +33,7 @@ from pyspark.sql import types as T
 from ticketlens.llm import textutil as tu
 
 BLOCK = 256
+ENCODED_BYTES = 1 << 23  # texts whose ids are made at once
 #: Selector -> ids in a word, bits of each.
 COUNTS = np.array([60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1, 1])
 BITS = np.array([1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60, 64])
@@ -143,25 +144,26 @@ def write_documents(docs: DataFrame, folder: str, tokenizer_path: str, end_id: i
     ``id_col`` to ``folder``."""
     rows = docs.select(F.col(id_col).alias("key"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     schema = _file_schema(rows.schema["key"].dataType)
-    end = np.array([end_id], "<u4").tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = tu.subwords(tokenizer_path)
         shard, start = TaskContext.get().partitionId(), 0
         for b in batches:
             _, offsets = tu.text_buffer(b["text"])
-            for lo, hi in tu.slices(offsets):
-                parts = [x + end for x in vocabulary.encode(b["text"].slice(lo, hi - lo).to_pylist())]
-                lengths = pa.array([len(x) // 4 for x in parts], pa.int64())
-                ids = np.frombuffer(b"".join(parts), "<u4")
-                words, block_words, escapes = pack(ids)
-                one = np.array([0, hi - lo], np.int32)
-                columns = [pa.array([shard], pa.int32()), pa.array([start]), pa.array([len(ids)]),
-                           pa.ListArray.from_arrays(one, b["key"].slice(lo, hi - lo)),
-                           pa.ListArray.from_arrays(one, lengths),
-                           *(pa.array([x.tobytes()], pa.binary()) for x in (words, block_words, escapes))]
-                yield pa.RecordBatch.from_arrays(columns, schema.names)
-                start += len(ids)
+            for first, last in tu.slices(offsets, ENCODED_BYTES):  # distinct chunks of each are encoded once
+                found, size = vocabulary.encode_column(b["text"].slice(first, last - first))
+                ends = np.append(0, np.cumsum(size))
+                for lo, hi in tu.slices(offsets[first:last + 1] - offsets[first]):
+                    n = hi - lo
+                    ids = np.insert(found[ends[lo]:ends[hi]], ends[lo + 1:hi + 1] - ends[lo], end_id)
+                    words, block_words, escapes = pack(ids)
+                    one = np.array([0, n], np.int32)
+                    columns = [pa.array([shard], pa.int32()), pa.array([start]), pa.array([len(ids)]),
+                               pa.ListArray.from_arrays(one, b["key"].slice(first + lo, n)),
+                               pa.ListArray.from_arrays(one, pa.array(size[lo:hi] + 1)),
+                               *(pa.array([x.tobytes()], pa.binary()) for x in (words, block_words, escapes))]
+                    yield pa.RecordBatch.from_arrays(columns, schema.names)
+                    start += len(ids)
 
     rows = rows.withColumn("tie", F.xxhash64("text"))
     rows = rows.repartitionByRange("key", "tie").sortWithinPartitions("key", "tie")

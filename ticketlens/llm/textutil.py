@@ -120,21 +120,24 @@ def window_starts(of_text: np.ndarray, size: int) -> np.ndarray:
     return np.arange(total) - np.repeat(skip, n) + np.repeat(of_text[:-1], n)
 
 
-#: White space other than the single blanks and newlines that chunks are cut at. (One search for each
-#: is much faster than a pattern: most can't occur in a text's internal form.)
-_ODD_SPACE = [c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n"]
-_ODD_SPACE += ["  ", "\n\n", " \n", "\n "]
+#: White space other than the single blanks and newlines that chunks are cut at, as a pattern, and
+#: blanks and newlines at an end or next to each other.
+_ODD_SPACE = "[" + "".join(f"\\x{{{i:X}}}" for i in range(0x3001) if chr(i).isspace() and chr(i) not in " \n") + "]"
+_ODD_SPACE += "|^[ \n]|[ \n][ \n]|[ \n]$"
 _CACHE_ENTRIES = 400_000
+_TAIL = ".,;:!?)"  # marks that are a token of their own at a chunk's end
 
 
 class Subwords:
     """Ids of a public byte-level BPE vocabulary, as `tokenizers` gives them.
 
     A byte-level BPE never merges across the start of a single white space that follows a
-    non-space, so a text is the concatenation of its blank- or newline-led chunks. Each distinct
-    chunk is encoded once per worker and kept (at most ``_CACHE_ENTRIES``; the rest is encoded
-    again, with the same result). Texts with other white space, or with runs of it, are encoded
-    whole."""
+    non-space, so a text is the concatenation of its blank- or newline-led chunks; nor does it merge
+    the marks at a chunk's end with a letter before them. A column's chunks are dictionary-encoded by
+    Arrow, so Python sees each distinct one once, and ids are dealt back by numpy. What has been
+    encoded is kept for later columns in two generations (``_CACHE_ENTRIES`` each; entries met again
+    move to the newer one, the older is dropped when that is full). Texts with other white space, or
+    with runs of it, are encoded whole."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -147,52 +150,96 @@ class Subwords:
         self.size = size
         names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         self.leads = {c: np.array([x[:1] == c for x in names]) for c in ("Ġ", "Ċ")}
-        self.cache: dict[str, bytes] = {}
+        self.recent: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, chunks: list[str], lead: str) -> None:
+        """Encode new chunks, all of which start with the same white space."""
         for lo in range(0, len(chunks), 500):
             part = chunks[lo:lo + 500]
-            text = " " + " ".join(part) if lead == "Ġ" else "".join(part)
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+            ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
             cut = np.flatnonzero(self.leads[lead][ids])
             if len(cut) != len(part):  # not a vocabulary of the expected kind: one by one
-                led = [" " + x for x in part] if lead == "Ġ" else part
-                self.cache.update(zip(part, self._whole(led)))
+                self.recent.update(zip(part, self._whole(part)))
                 continue
             raw, ends = ids.tobytes(), (cut * 4).tolist()
-            self.cache.update((c, raw[a:b]) for c, a, b in zip(part, ends, [*ends[1:], len(raw)]))
+            self.recent.update((c, raw[a:b]) for c, a, b in zip(part, ends, [*ends[1:], len(raw)]))
+
+    def _known(self, chunks: set[str]) -> None:
+        """See to it that every chunk is in ``recent``."""
+        if len(self.recent) > _CACHE_ENTRIES:
+            self.recent, self.older = {}, self.recent
+        missing = [c for c in chunks if c not in self.recent]
+        older = self.older
+        self.recent.update((c, older[c]) for c in missing if c in older)
+        missing = [c for c in missing if c not in older]
+        self._learn([c for c in missing if c[0] == " "], "Ġ")
+        self._learn([c for c in missing if c[0] == "\n"], "Ċ")
+        plain = [c for c in missing if c[0] not in " \n"]
+        self.recent.update(zip(plain, self._whole(plain)))
+
+    def _chunk_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of distinct chunks one after the other, how many ids each has)."""
+        bodies, tails = [], []
+        for c in chunks:
+            if c[-1:] in _TAIL:
+                body = c.rstrip(_TAIL)
+                if body[-1:].isalpha():  # else the marks belong to a longer run
+                    bodies.append(body)
+                    tails.append(c[len(body):])
+                    continue
+            bodies.append(c)
+            tails.append("")
+        self._known({*bodies, *tails} - {""})
+        get = self.recent.get
+        parts = [get(b, b"") + get(t, b"") if t else get(b, b"") for b, t in zip(bodies, tails)]
+        return np.frombuffer(b"".join(parts), "<u4"), np.array([len(x) // 4 for x in parts], np.int64)
+
+    def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts one after the other, how many ids each has); a null is an empty text."""
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        odd = pc.match_substring_regex(texts, _ODD_SPACE)
+        plain = pc.if_else(odd, "", texts)
+        # the first chunk has no white space before it: a carriage return, which plain texts lack, marks it
+        marked = pc.binary_join_element_wise(pa.scalar("\r", pa.large_string()), plain, pa.scalar("", pa.large_string()))
+        lists = pc.split_pattern(pc.replace_substring(marked, "\n", " \n"), " ")
+        coded = pc.dictionary_encode(pc.list_flatten(lists))
+        names = [x[1:] if x[0] == "\r" else x if x[0] == "\n" else " " + x for x in coded.dictionary.to_pylist()]
+        pool, size = self._chunk_ids(names)
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        ids, _ = _dealt(pool, size, at)
+        ends = np.append(0, np.cumsum(size[at]))[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        lengths = np.diff(ends)
+        whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        if not len(whole):
+            return ids, lengths
+        raw = self._whole(texts.take(pa.array(whole)).to_pylist())
+        pool = np.concatenate([ids, np.frombuffer(b"".join(raw), "<u4")])
+        starts, sizes = ends[:-1].copy(), lengths.copy()
+        sizes[whole] = [len(x) // 4 for x in raw]
+        starts[whole] = len(ids) + np.cumsum(sizes[whole]) - sizes[whole]
+        return pool[_ragged(starts, sizes)], sizes
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        if len(self.cache) > _CACHE_ENTRIES:
-            self.cache.clear()
-        get, out, kept, missing = self.cache.get, [b""] * len(texts), [], set()
-        odd, firsts = [], []
-        for i, text in enumerate(texts):
-            if not text:
-                continue
-            if text[0] in " \n" or text[-1] in " \n" or any(x in text for x in _ODD_SPACE):
-                odd.append(i)
-                continue
-            chunks = text.replace("\n", " \n").split(" ")
-            firsts.append(chunks.pop(0))
-            values = list(map(get, chunks))
-            if None in values:
-                missing.update(c for c, v in zip(chunks, values) if v is None)
-                values = None
-            kept.append((i, chunks, values))
-        if missing:
-            self._learn([c for c in missing if c[0] != "\n"], "Ġ")
-            self._learn([c for c in missing if c[0] == "\n"], "Ċ")
-        for (i, chunks, values), head in zip(kept, self._whole(firsts)):
-            out[i] = head + b"".join(map(get, chunks) if values is None else values)
-        for i, ids in zip(odd, self._whole([texts[i] for i in odd])):
-            out[i] = ids
-        return out
+        ids, lengths = self.encode_column(pa.array(texts, pa.string()))
+        raw, ends = ids.tobytes(), np.cumsum(lengths * 4).tolist()
+        return [raw[e - n:e] for e, n in zip(ends, (lengths * 4).tolist())]
+
+
+def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places of stretches of ``sizes`` from ``starts`` on, one after the other."""
+    return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
+
+
+def _dealt(pool: np.ndarray, size: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Stretches ``at`` of a pool of stretches of the given sizes, one after the other."""
+    starts, sizes = (np.cumsum(size) - size)[at], size[at]
+    return pool[_ragged(starts, sizes)], sizes
 
 
 _LOADED: dict[str, Subwords] = {}
