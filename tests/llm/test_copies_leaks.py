@@ -89,6 +89,39 @@ def test_pairs_in_large_buckets_of_documents_unlike_each_other(spark, monkeypatc
     assert all(rows[i].class_id == rows[i + 800].class_id == i for i in range(20))
 
 
+def _groups_around_a_passage(n):
+    """n documents: near copies with up to a quarter of their words changed, and others that share half their text."""
+    rnd = random.Random(n)
+    words = [f"w{i}" for i in range(5000)]
+    base = rnd.choices(words, k=120)
+    docs = []
+    for k in range(n):
+        if k % 2:
+            t = list(base)
+            for _ in range(rnd.randrange(8)):
+                t[rnd.randrange(len(t))] = rnd.choice(words)
+        else:
+            t = base[:80] + rnd.choices(words, k=30)
+        docs.append((k, " ".join(t)))
+    return docs
+
+
+def test_edges_grow_with_the_documents_not_their_square(spark):
+    for n in (700, 2100):  # one large bucket, compared whole, and one that is split on
+        rows = cp.signatures(spark.createDataFrame(_groups_around_a_passage(n), "doc_id long, text string").repartition(4))
+        nodes = cp.materialise(rows.groupBy("fp").agg(F.first("sig").alias("sig"), F.first("low").alias("low")), "nodes")
+        edges = cp.materialise(cp.candidates(nodes), "edges")
+        assert edges.count() < 8 * n  # a bucket a run, and somewhat more where it is split
+        assert edges.where("a = b").isEmpty()
+
+
+def test_links_of_near_copies_among_documents_with_their_passage(spark, monkeypatch):
+    monkeypatch.setattr(cp, "LIMIT", 200)
+    docs = _groups_around_a_passage(500)
+    found = cp.join(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: (r.class_id, r.n_links, r.n_copies) for r in found} == _classes(docs)
+
+
 def test_similar_pairs_of_sets():
     import numpy as np
     rng = np.random.default_rng(0)

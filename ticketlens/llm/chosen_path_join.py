@@ -5,20 +5,26 @@ Two documents are linked when the Jaccard similarity of their sets of five-word
 nodes recursively: at every tree node one or two (on average 1 / threshold) of the tokens' places are
 drawn by a hash of the path, and the nodes that hold the same token there go down together. Buckets of
 at most ``LIMIT`` nodes are compared by brute force; runs are repeated until a pair at the threshold is
-missed by all of them with a probability below ``1 - recall`` at the depth that was reached.
+missed by all of them with a probability below ``1 - recall`` at the depth that its buckets reached:
+nodes whose buckets were all small stop after the runs that the first level asks for.
 
 What leaves the buckets is not their pairs but, per bucket, stars that connect what looks similar
 (well below the threshold). The groups so connected are then verified exactly: all pairs of a group's
 whole shingle sets, in blocks, which yields the number of links of each node and the classes (linked
 directly or through others) without a row per pair.
 
+A large bucket at least half of whose members look like one of them (a group of near copies) is one
+group at once: an edge from each member to that one, and the exact verification does the rest. Other
+large buckets are split on, as deep as the logarithm of the largest one asks; the few that are still
+large there, neither near copies nor parted, are compared block against block.
+
 Scale: the only pass over all texts makes 128 numbers a document. Paths are pairs of 64-bit numbers;
-copies are one node beforehand; buckets that keep most of their parent when they are split, and all of
-whose members look similar to one of them (very large groups of near copies), are joined to that one, and
-their pairs are verified block by block like all others. Other large buckets are split on, and compared
-block against block at the deepest level, so no task gets more than two blocks. Whole shingle sets are made only for nodes in a group:
-a Bloom filter of bounded size picks their documents, and a join makes that exact. Iterations write
-tables in the shared folder.
+copies are one node beforehand. Edges a node: one for each bucket it is in, and so its runs times a
+constant, however large its group. A path with very many nodes is met by its size in a join of two
+written tables, which Spark can split. Whole shingle sets are made only for nodes in a group: a Bloom
+filter of bounded size picks their documents, and a join makes that exact. A set is sent once for each
+block of its group (``BLOCK`` sets or ``BLOCK_SHINGLES`` shingles): that, and the comparisons, is the
+price of exact numbers of links. Iterations write tables in the shared folder.
 
 Defined cases: a text of one to four words is one shingle; null texts and texts without words have no
 shingles, and each is a class of its own without links; equal sets are told by 64-bit sums of hashed
@@ -46,10 +52,12 @@ SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.999
 WIDTH = 128
-LIMIT = 64
-DEEPEST = 6
-ALIKE = 0.95 * THRESHOLD  # part of its parent that a bucket keeps when its members may be near copies
-BLOCK = 128
+LIMIT = 1024
+DEEPEST: int | None = None  # levels; None: by the logarithm of the largest bucket
+HUBS = 4  # members that a large bucket's others are held against
+MOSTLY = 0.5  # part of a large bucket that looks like one of these, if it is a group
+BLOCK = 512
+BLOCK_SHINGLES = 1 << 20
 _U = np.uint64
 _FACTORS = np.random.default_rng(5).integers(1, 2**63, WIDTH, dtype=np.uint64) * _U(2) + _U(1)
 _TERMS = np.random.default_rng(6).integers(1, 2**63, WIDTH, dtype=np.uint64)
@@ -85,12 +93,18 @@ def minhashes(shingles: np.ndarray) -> np.ndarray:
     return (least >> _U(32)).astype(np.uint32).view(np.int32)
 
 
+def _low_bytes(sig: np.ndarray) -> list[bytes]:
+    raw = sig.astype(np.uint8).tobytes()
+    return [raw[i:i + WIDTH] for i in range(0, len(raw), WIDTH)]
+
+
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document its set's size, fingerprint and minhash tokens."""
+    """Per document its set's size, fingerprint, minhash tokens (``sig``) and their low bytes (``low``)."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"),
                        F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"))
     schema = T.StructType([rows.schema["doc_id"], rows.schema["text_hash"], T.StructField("n", T.IntegerType()),
-                           T.StructField("fp", T.LongType()), T.StructField("sig", T.ArrayType(T.IntegerType()))])
+                           T.StructField("fp", T.LongType()), T.StructField("sig", T.ArrayType(T.IntegerType())),
+                           T.StructField("low", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -100,7 +114,7 @@ def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
                 lists = pa.ListArray.from_arrays(np.arange(k + 1, dtype=np.int32) * WIDTH, sig)
                 yield pa.RecordBatch.from_arrays(
                     [b["doc_id"].slice(lo, k), b["text_hash"].slice(lo, k), pa.array([len(s) for s in sets], pa.int32()),
-                     pa.array([fingerprint(s) for s in sets]), lists], schema.names)
+                     pa.array([fingerprint(s) for s in sets]), lists, pa.array(_low_bytes(sig), pa.binary())], schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -160,95 +174,127 @@ def _roots(near: np.ndarray) -> np.ndarray:
         root = least
 
 
+def _alike(low: np.ndarray) -> np.ndarray:
+    """Numbers of equal places of all pairs, for a matrix (groups, g, WIDTH)."""
+    same = np.zeros((len(low), low.shape[1], low.shape[1]), np.uint8)
+    for column in np.moveaxis(low, 2, 0):
+        same += column[:, :, None] == column[:, None, :]
+    return same
+
+
 def _stars(similar: float):
     """Per bucket, edges from each node to the least one it is connected to by similar tokens."""
 
     def run(b: pa.RecordBatch, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
         fp = b["fp"].to_numpy()
-        sig = b["sig"].flatten().to_numpy().reshape(-1, WIDTH)
+        low = np.frombuffer(b"".join(x.as_py() for x in b["low"]), np.uint8).reshape(-1, WIDTH)
         size = np.diff(bounds)
         for g in np.unique(size[size > 1]).tolist():
             first = bounds[:-1][size == g]
-            step = max(1, (1 << 24) // (g * g * WIDTH))
+            step = max(1, (1 << 18) // (g * g))
             for lo in range(0, len(first), step):
                 at = first[lo:lo + step, None] + np.arange(g)
-                s = sig[at]
-                near = (s[:, :, None, :] == s[:, None, :, :]).mean(3, dtype=np.float32) >= similar
+                near = _alike(np.ascontiguousarray(low[at])) >= similar * WIDTH
                 root = np.take_along_axis(at, _roots(near), 1)
                 far = root != at
-                yield pa.RecordBatch.from_arrays([pa.array(fp[at[far]]), pa.array(fp[root[far]])], ["a", "b"])
+                if far.any():
+                    yield pa.RecordBatch.from_arrays([pa.array(fp[at[far]]), pa.array(fp[root[far]])], ["a", "b"])
 
     return run
 
 
-def _children(path: Column, sig: Column) -> Column:
-    """The tree nodes below ``path`` that a set goes to: one or two places, drawn by the path."""
-    first = F.pmod(F.xxhash64(path, F.lit(1)), F.lit(WIDTH)).cast("int")
-    other = F.pmod(first + 1 + F.pmod(F.xxhash64(path, F.lit(2)), F.lit(WIDTH - 1)), F.lit(WIDTH)).cast("int")
+def _children(path: Column, sig: Column, threshold: float) -> Column:
+    """The tree nodes below ``path`` that a set goes to: one or more places, 1 / threshold on average, drawn
+    by the path."""
+    places = [F.pmod(F.xxhash64(path, F.lit(k)), F.lit(WIDTH)).cast("int") for k in range(math.ceil(1 / threshold))]
     parts = 1 << 20
-    two = F.pmod(F.xxhash64(path, F.lit(3)), F.lit(parts)) < int(parts * (1 / THRESHOLD - 1))
-    down = [F.xxhash64(path, i, F.get(sig, i)) for i in (first, other)]
-    return F.explode(F.when(two, F.array(*down)).otherwise(F.array(down[0])))
+    more = F.pmod(F.xxhash64(path, F.lit(-1)), F.lit(parts)) < int(parts * (1 / threshold - math.floor(1 / threshold)))
+    down = F.array_distinct(F.array(*(F.xxhash64(path, i, F.get(sig, i)) for i in places)))
+    if len(places) == math.floor(1 / threshold):
+        return F.explode(down)
+    return F.explode(F.when(more, down).otherwise(F.slice(down, 1, len(places) - 1)))
 
 
-def _kept_together(depth: int) -> float:
+def _kept_together(depth: int, threshold: float) -> float:
     """Chance that one run brings a pair at the threshold to a common bucket ``depth`` levels down."""
-    q, two = 1.0, 1 / THRESHOLD - 1
+    q, fewest = 1.0, math.floor(1 / threshold)
+    more = 1 / threshold - fewest
     for _ in range(depth):
-        x = THRESHOLD * q
-        q = (1 - two) * x + two * (1 - (1 - x) ** 2)
+        x = threshold * q
+        q = (1 - more) * (1 - (1 - x) ** fewest) + more * (1 - (1 - x) ** (fewest + 1))
     return q
 
 
-def _buckets(nodes: DataFrame, recall: float, similar: float) -> tuple[DataFrame, DataFrame]:
-    """(bucket, fp) of all runs, every bucket small, and the edges (a, b) of large buckets whose members
-    all look similar to their least node."""
-    out: DataFrame | None = None
+def _runs(depth: int, recall: float, threshold: float) -> int:
+    """Runs until a pair at the threshold has met with the chance ``recall``."""
+    miss = 1 - _kept_together(depth, threshold)
+    return 1 if miss <= 0 else math.ceil(math.log(1 - recall) / math.log(miss))
+
+
+def _buckets(nodes: DataFrame, recall: float, similar: float, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """(bucket, fp) of all runs, every bucket small, and the edges (a, b) of large buckets that are one group."""
+    out = nodes.select(F.col("fp").alias("bucket"), "fp").limit(0)
     edges = nodes.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
-    done, wanted, deepest = 0, 1, 1
-    while done < wanted:
-        upto = math.ceil(math.log(1 - recall) / math.log(1 - _kept_together(deepest)))
+    active, done, counted = nodes, 0, 1  # runs are counted for buckets down to the level ``counted``
+    while True:
+        upto = _runs(counted, recall, threshold)
+        if upto <= done:
+            return out, edges
         runs = F.explode(F.sequence(F.lit(done), F.lit(upto - 1)))
-        level = nodes.select(runs.alias("run"), "fp", "sig").select(
-            _children(F.xxhash64("run"), F.col("sig")).alias("p"), "fp", F.lit(None).cast("long").alias("above"))
-        for depth in range(1, DEEPEST + 1):
-            sizes = level.groupBy("p").agg(F.count(F.lit(1)).alias("size"), F.min("fp").alias("lo"),
-                                           F.max("above").alias("above")).where("size > 1")
-            level = materialise(level.drop("above").join(sizes, "p"), "level")
-            small = level.where(F.col("size") <= LIMIT).select(F.col("p").alias("bucket"), "fp")
-            out = small if out is None else out.unionByName(small)
-            large = level.where(F.col("size") > LIMIT)
-            if large.isEmpty():
+        level = active.select(runs.alias("run"), "fp", "sig").select(
+            _children(F.xxhash64("run"), F.col("sig"), threshold).alias("p"), "fp")
+        depth, deepest, deeper = 1, None, None
+        while True:
+            sizes = materialise(level.groupBy("p").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
+            largest = sizes.agg(F.max("size")).first()[0] or 0
+            level = materialise(level.join(sizes, "p"), "level")
+            out = out.unionByName(level.where(F.col("size") <= LIMIT).select(F.col("p").alias("bucket"), "fp"))
+            if largest <= LIMIT:
                 break
-            # a bucket that keeps most of its parent may be one of near copies
-            kept = F.coalesce(F.col("size") >= ALIKE * F.col("above"), F.lit(False)) | F.lit(depth == DEEPEST)
-            whole = _near_hubs(large.where(kept), nodes, similar)
-            hubs = large.join(whole, "p", "left_semi")
-            edges = edges.unionByName(hubs.where("fp <> lo").select(F.col("fp").alias("a"), F.col("lo").alias("b")))
-            rest = large.join(whole, "p", "left_anti")
-            if depth == DEEPEST:
+            deepest = deepest or DEEPEST or 2 + math.ceil(2 * math.log2(largest / LIMIT))
+            large = level.where(F.col("size") > LIMIT)
+            groups = _groups(large, nodes, similar)
+            edges = edges.unionByName(large.join(groups, "p").where("fp <> hub").select(F.col("fp").alias("a"), F.col("hub").alias("b")))
+            rest = large.join(groups, "p", "left_anti")
+            if depth >= deepest:
                 out = out.unionByName(_blocks(rest))
                 break
-            deepest = max(deepest, depth + 1)
-            level = rest.select("p", "fp", F.col("size").alias("above")).join(
-                nodes.select("fp", "sig"), "fp").select(_children(F.col("p"), F.col("sig")).alias("p"), "fp", "above")
-        done = upto
-        wanted = math.ceil(math.log(1 - recall) / math.log(1 - _kept_together(deepest)))
-    return out, edges
+            rest = materialise(rest.select("p", "fp"), "rest")
+            if rest.isEmpty():
+                break
+            if depth == counted:  # what is met below this level needs more runs
+                deeper = rest.select("fp").distinct()
+            level = rest.join(nodes.select("fp", "sig"), "fp").select(_children(F.col("p"), F.col("sig"), threshold).alias("p"), "fp")
+            depth += 1
+        if deeper is None:
+            return out, edges
+        active = materialise(nodes.join(deeper, "fp", "left_semi"), "active")
+        done, counted = upto, depth
+
+
+def _groups(large: DataFrame, nodes: DataFrame, similar: float) -> DataFrame:
+    """(p, hub) of the large buckets most of whose members have tokens similar to those of one, the hub."""
+    sigs = nodes.select("fp", "sig")
+    drawn = [F.min_by("fp", F.xxhash64("p", "fp", F.lit(k))).alias(f"h{k}") for k in range(HUBS)]
+    hubs = large.groupBy("p").agg(*drawn)
+    for k in range(HUBS):
+        hubs = hubs.join(sigs.select(F.col("fp").alias(f"h{k}"), F.col("sig").alias(f"s{k}")), f"h{k}")
+    hubs = materialise(hubs, "hubs")  # a row a large bucket
 
+    def looks(k: int) -> Column:
+        same = F.size(F.filter(F.zip_with("sig", f"s{k}", lambda x, y: x == y), lambda x: x))
+        return F.count_if(same >= similar * WIDTH).alias(f"n{k}")
 
-def _near_hubs(large: DataFrame, nodes: DataFrame, similar: float) -> DataFrame:
-    """Buckets (p) all of whose members have tokens similar to those of the bucket's least node."""
-    sigs = nodes.select("fp", "sig")
-    hubs = large.where("fp = lo").select("p", "fp").join(sigs, "fp").select("p", F.col("sig").alias("hub"))
-    same = F.size(F.filter(F.zip_with("sig", "hub", lambda x, y: x == y), lambda x: x))
-    near = large.select("p", "fp").join(sigs, "fp").join(hubs, "p").groupBy("p").agg(F.min(same).alias("least"))
-    return materialise(near.where(F.col("least") >= similar * WIDTH).select("p"), "hubs")
+    held = large.select("p", "fp").join(sigs, "fp").join(hubs.drop(*(f"h{k}" for k in range(HUBS))), "p")
+    held = held.groupBy("p").agg(F.count(F.lit(1)).alias("size"), *(looks(k) for k in range(HUBS)))
+    best = F.greatest(*(F.struct(F.col(f"n{k}").alias("n"), F.col(f"h{k}").alias("h")) for k in range(HUBS)))
+    found = held.join(hubs.select("p", *(f"h{k}" for k in range(HUBS))), "p").select("p", "size", best.alias("best"))
+    return materialise(found.where(F.col("best.n") >= MOSTLY * F.col("size")).select("p", F.col("best.h").alias("hub")), "groups")
 
 
 def _blocks(large: DataFrame) -> DataFrame:
     """Large buckets cut into blocks, each block with itself and each other one as a bucket."""
-    n = F.ceil(F.col("size") / BLOCK).cast("int")
+    n = F.ceil(F.col("size") / (LIMIT // 2)).cast("int")
     own = large.select("p", "fp", n.alias("n"), F.pmod(F.xxhash64("p", "fp"), n).cast("int").alias("block"))
     pairs = own.select("p", "fp", "block", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("meets"))
     return pairs.select(F.xxhash64("p", F.least("block", "meets"), F.greatest("block", "meets")).alias("bucket"), "fp")
@@ -324,6 +370,14 @@ def similar(sets: list[np.ndarray], threshold: float = THRESHOLD) -> np.ndarray:
     return near
 
 
+def candidates(nodes: DataFrame, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """Edges (a, b) between nodes (fp, sig, low) that connect all pairs at the threshold, and more."""
+    similar = threshold - 4 * math.sqrt(threshold * (1 - threshold) / WIDTH)
+    buckets, near = _buckets(nodes, recall, similar, threshold)
+    bucketed = buckets.join(nodes.select("fp", "low"), "fp").select("bucket", "fp", "low")
+    return _by_group(bucketed, ["bucket"], _stars(similar), "a long, b long").unionByName(near)
+
+
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD,
          recall: float = RECALL) -> DataFrame:
     """One row per document: ``doc_id, text_hash, n_shingles, fp, class_id`` (the least id of its class),
@@ -331,17 +385,15 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     and ``stays`` (whether it is its class's document with the least id)."""
     rows = materialise(signatures(docs, id_col, text_col), "signatures")
     nodes = rows.where("n > 0").groupBy("fp").agg(
-        F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies"), F.first("sig").alias("sig"))
+        F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("n_copies"), F.first("n").alias("n"),
+        F.first("sig").alias("sig"), F.first("low").alias("low"))
     nodes = materialise(nodes, "nodes")
-    margin = 4 * math.sqrt(threshold * (1 - threshold) / WIDTH)
-    buckets, near = _buckets(nodes, recall, threshold - margin)
-    bucketed = buckets.join(nodes.select("fp", "sig"), "fp").select("bucket", "fp", "sig")
-    edges = _by_group(bucketed, ["bucket"], _stars(threshold - margin), "a long, b long").unionByName(near)
-    group = components(edges.distinct())
-
-    members = nodes.select("fp", "first_id").join(group.select(F.col("node").alias("fp"), F.col("root").alias("g")), "fp")
-    sizes = group.groupBy(F.col("root").alias("g")).agg(F.count(F.lit(1)).alias("size"))
-    members = materialise(members.join(sizes, "g"), "members")
+    group = components(candidates(nodes, threshold, recall).distinct())
+
+    members = nodes.select("fp", "first_id", "n").join(group.select(F.col("node").alias("fp"), F.col("root").alias("g")), "fp")
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    sizes = materialise(members.groupBy("g").agg(blocks.alias("blocks")), "sizes")
+    members = materialise(members.drop("n").join(sizes, "g"), "members")
     chosen = docs.sparkSession.sparkContext.broadcast(bl.build(members.select(F.xxhash64("first_id").alias("h"))))
 
     def sets_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,9 +405,8 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
 
     texts = docs.select(F.xxhash64(F.col(id_col)).alias("h"), F.col(text_col).alias("text"))
     whole = texts.mapInArrow(sets_of, "fp long, shingles binary").join(members, "fp").dropDuplicates(["fp"])
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    whole = whole.select("fp", "shingles", "g", F.pmod(F.xxhash64("fp"), blocks).cast("int").alias("block"),
-                         F.explode(F.sequence(F.lit(0), blocks - 1)).alias("meets"))
+    whole = whole.select("fp", "shingles", "g", F.pmod(F.xxhash64("fp"), "blocks").cast("int").alias("block"),
+                         F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("meets"))
     whole = whole.select("fp", "shingles", "g", "block", F.least("block", "meets").alias("lo"),
                          F.greatest("block", "meets").alias("hi"))
     linked = materialise(_by_group(whole, ["g", "lo", "hi"], _linked(threshold), "fp long, links long, root long"), "links")
