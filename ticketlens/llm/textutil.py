@@ -125,7 +125,9 @@ def window_starts(of_text: np.ndarray, size: int) -> np.ndarray:
 _ODD_SPACE = "[" + "".join(f"\\x{{{i:X}}}" for i in range(0x3001) if chr(i).isspace() and chr(i) not in " \n") + "]"
 _ODD_SPACE += "|^[ \n]|[ \n][ \n]|[ \n]$"
 _CACHE_ENTRIES = 400_000
-_TAIL = ".,;:!?)"  # marks that are a token of their own at a chunk's end
+_TAIL = ".,;:!?)"  # marks that are tokens of their own behind a letter, at a chunk's end
+_LETTER = "[A-Za-zÀ-ÖØ-öø-ɏ]$"
+_LARGE = pa.large_string()
 
 
 class Subwords:
@@ -157,62 +159,67 @@ class Subwords:
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, chunks: list[str], lead: str) -> None:
+    def _learn(self, keys: list[str], chunks: list[str], lead: str) -> None:
         """Encode new chunks, all of which start with the same white space."""
         for lo in range(0, len(chunks), 500):
-            part = chunks[lo:lo + 500]
+            part, named = chunks[lo:lo + 500], keys[lo:lo + 500]
             ids = np.array(self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids, "<u4")
             cut = np.flatnonzero(self.leads[lead][ids])
             if len(cut) != len(part):  # not a vocabulary of the expected kind: one by one
-                self.recent.update(zip(part, self._whole(part)))
+                self.recent.update(zip(named, self._whole(part)))
                 continue
             raw, ends = ids.tobytes(), (cut * 4).tolist()
-            self.recent.update((c, raw[a:b]) for c, a, b in zip(part, ends, [*ends[1:], len(raw)]))
+            self.recent.update((c, raw[a:b]) for c, a, b in zip(named, ends, [*ends[1:], len(raw)]))
 
-    def _known(self, chunks: set[str]) -> None:
-        """See to it that every chunk is in ``recent``."""
+    def _known(self, keys: list[str]) -> None:
+        """See to it that ``recent`` has the ids of every key: a chunk with its newline, a chunk with
+        a carriage return for no white space before it, or a chunk without its blank."""
         if len(self.recent) > _CACHE_ENTRIES:
             self.recent, self.older = {}, self.recent
-        missing = [c for c in chunks if c not in self.recent]
-        older = self.older
-        self.recent.update((c, older[c]) for c in missing if c in older)
+        older, recent = self.older, self.recent
+        missing = [c for c in keys if c not in recent]
+        recent.update((c, older[c]) for c in missing if c in older)
         missing = [c for c in missing if c not in older]
-        self._learn([c for c in missing if c[0] == " "], "Ġ")
-        self._learn([c for c in missing if c[0] == "\n"], "Ċ")
-        plain = [c for c in missing if c[0] not in " \n"]
-        self.recent.update(zip(plain, self._whole(plain)))
+        bare, lines = [c for c in missing if c[0] == "\r"], [c for c in missing if c[0] == "\n"]
+        recent.update(zip(bare, self._whole([c[1:] for c in bare])))
+        self._learn(lines, lines, "Ċ")
+        led = [c for c in missing if c[0] not in "\r\n"]
+        self._learn(led, [" " + c for c in led], "Ġ")
 
-    def _chunk_ids(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _chunk_ids(self, names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of distinct chunks one after the other, how many ids each has)."""
-        bodies, tails = [], []
-        for c in chunks:
-            if c[-1:] in _TAIL:
-                body = c.rstrip(_TAIL)
-                if body[-1:].isalpha():  # else the marks belong to a longer run
-                    bodies.append(body)
-                    tails.append(c[len(body):])
-                    continue
-            bodies.append(c)
-            tails.append("")
-        self._known({*bodies, *tails} - {""})
-        get = self.recent.get
-        parts = [get(b, b"") + get(t, b"") if t else get(b, b"") for b, t in zip(bodies, tails)]
-        return np.frombuffer(b"".join(parts), "<u4"), np.array([len(x) // 4 for x in parts], np.int64)
+        bodies = pc.utf8_rtrim(names, characters=_TAIL)
+        bodies = pc.if_else(pc.match_substring_regex(bodies, _LETTER), bodies, names)
+        marks = pc.subtract(pc.binary_length(names), pc.binary_length(bodies)).to_numpy(zero_copy_only=False)
+        coded = pc.dictionary_encode(bodies)
+        keys = _strings(coded.dictionary)
+        marked = np.flatnonzero(marks)
+        tails = ["\r" + x[-n:] for x, n in zip(_strings(names.take(pa.array(marked))), marks[marked].tolist())]
+        kinds = {x: len(keys) + i for i, x in enumerate(dict.fromkeys(tails))}
+        keys += kinds
+        self._known(keys)
+        parts = list(map(self.recent.__getitem__, keys))
+        pool, size = np.frombuffer(b"".join(parts), "<u4"), np.array(list(map(len, parts)), np.int64) // 4
+        # each chunk is its body and, if it has marks, their stretch
+        at = np.insert(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), marked + 1, [kinds[x] for x in tails])
+        ids, sizes = _dealt(pool, size, at)
+        total = size[coded.indices.to_numpy(zero_copy_only=False)]
+        total[marked] += size[[kinds[x] for x in tails]] if len(marked) else 0
+        return ids, total
 
     def encode_column(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after the other, how many ids each has); a null is an empty text."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        texts = pc.fill_null(texts.cast(_LARGE), "")
         odd = pc.match_substring_regex(texts, _ODD_SPACE)
         plain = pc.if_else(odd, "", texts)
         # the first chunk has no white space before it: a carriage return, which plain texts lack, marks it
-        marked = pc.binary_join_element_wise(pa.scalar("\r", pa.large_string()), plain, pa.scalar("", pa.large_string()))
+        marked = pc.binary_join_element_wise(pa.scalar("\r", _LARGE), plain, pa.scalar("", _LARGE))
         lists = pc.split_pattern(pc.replace_substring(marked, "\n", " \n"), " ")
         coded = pc.dictionary_encode(pc.list_flatten(lists))
-        names = [x[1:] if x[0] == "\r" else x if x[0] == "\n" else " " + x for x in coded.dictionary.to_pylist()]
-        pool, size = self._chunk_ids(names)
+        pool, size = self._chunk_ids(coded.dictionary)
         at = coded.indices.to_numpy(zero_copy_only=False)
-        ids, _ = _dealt(pool, size, at)
-        ends = np.append(0, np.cumsum(size[at]))[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
+        ids, sizes = _dealt(pool, size, at)
+        ends = np.append(0, np.cumsum(sizes))[lists.offsets.to_numpy() - lists.offsets[0].as_py()]
         lengths = np.diff(ends)
         whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
         if not len(whole):
@@ -231,6 +238,13 @@ class Subwords:
         return [raw[e - n:e] for e, n in zip(ends, (lengths * 4).tolist())]
 
 
+def _strings(column: pa.Array) -> list[str]:
+    """The texts of a column without blanks in them, by one decoding of all."""
+    ended = pc.binary_join_element_wise(column, pa.scalar("", _LARGE), pa.scalar(" ", _LARGE))
+    data, _ = text_buffer(ended)
+    return data.tobytes().decode().split(" ")[:-1]
+
+
 def _ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The places of stretches of ``sizes`` from ``starts`` on, one after the other."""
     return np.arange(int(sizes.sum())) + np.repeat(starts - (np.cumsum(sizes) - sizes), sizes)
