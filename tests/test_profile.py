@@ -1,3 +1,7 @@
+import random
+import re
+from collections import Counter
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -100,7 +104,53 @@ def test_column_without_values_is_kept(spark):
     assert out == {"x": (0, None, None), "y": (2, "b", 2)}
 
 
+def _sorting_aggregates(df):
+    """Aggregates that sort their input: those of Spark's SortAggregate that have grouping keys (one without
+    keys reads its rows as they come)."""
+    return re.findall(r"SortAggregate\(key=\[[^\]]", df._jdf.queryExecution().executedPlan().toString())
+
+
 def test_summaries_scan_once_and_hash(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2)], "x string, y int")
     for out in (profile.distinct_count_per_column(df, ["x"]), profile.numeric_profile(df, ["y"])):
-        assert "SortAggregate" not in out._jdf.queryExecution().executedPlan().toString()
+        assert not _sorting_aggregates(out)
+
+
+def _summaries(values):
+    """(unique values, lowest most common value, its count) by plain Python."""
+    c = Counter(str(v) for v in values if v is not None)
+    top = max(c.values(), default=None)
+    return len(c), min((v for v, n in c.items() if n == top), default=None), top
+
+
+def test_heavy_hitters_are_exact_whatever_the_summary_holds(spark):
+    rnd = random.Random(5)
+    n = 4000
+    columns = {
+        "unique": [f"id{i:05d}" for i in range(n)],  # every value once: counted whole
+        "ties": [f"t{i % 500:03d}" for i in range(n)],  # all values tied, more than the summary keeps
+        "few": [rnd.choice("abc") for _ in range(n)],
+        "skewed": ["hot" if i % 3 else f"s{i}" for i in range(n)],  # two thirds are one value
+        "hidden": ["x" if i % 40 == 0 else f"h{i}" for i in range(n)],  # the best one is below what is left
+        "nothing": [None] * n,
+        "holes": [None if i % 2 else rnd.choice(["p", "q"]) for i in range(n)],
+    }
+    rows = list(zip(*columns.values()))
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns)).repartition(5)
+    want = {c: _summaries(v) for c, v in columns.items()}
+    freq, summary = profile.categorical_summary(df, list(columns), keep=8, tracked=32)
+    got = {r.column_name: (r.unique_values, r.most_common, r.most_common_count) for r in summary.collect()}
+    assert got == want and all(r.total_count == n for r in summary.collect())
+    counts = {(r.column_name, r.value): r.cnt for r in freq.collect()}
+    assert counts == {(c, v): k for c, vs in columns.items() for v, k in Counter(x for x in vs if x is not None).items()}
+    common = {r.column_name: (r.most_common, r.most_common_count)
+              for r in profile.most_common_values(df, list(columns), keep=8, tracked=32).collect()}
+    assert common == {c: w[1:] for c, w in want.items()}
+
+
+def test_settled_columns_are_not_counted_value_by_value(spark):
+    df = spark.range(3000).select(F.col("id").cast("string").alias("id"), (F.col("id") % 3).cast("string").alias("k"))
+    heavy = profile.heavy_hitters(df, ["id", "k"])
+    held = {r.column_name: r.n for r in profile.recount(df, heavy, ["id", "k"]).groupBy("column_name").agg(F.sum("cnt").alias("n")).collect()}
+    assert held["k"] == 3000 and held.get("id", 0) < 3000
+    assert not _sorting_aggregates(profile.distinct_count_per_column(df, ["id", "k"]))

@@ -16,8 +16,11 @@ from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
 from ticketlens.functions.money import round2
 from ticketlens.operators.ids import range_tagged, with_contiguous_id, with_running_total
+from ticketlens.session import materialise
 
 QUARTILES = (0.25, 0.5, 0.75)
+HEAVY = 256  # values a column that a summary of heavy hitters proposes
+TRACKED = 1024  # counters a column in a summary
 FREQ_ORDER = ["column_name", "exact", "approx"]
 
 
@@ -203,27 +206,70 @@ def duplicate_count(df: DataFrame) -> DataFrame:
     return g.agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("long").alias("duplicate_rows"))
 
 
-def categorical_summary(df: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame]:
+def _stack_text(df: DataFrame, cols: list[str]) -> DataFrame:
+    """(column_name, value) for every row and column, values as text."""
+    return df.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("value")) for c in cols])))
+
+
+def heavy_hitters(df: DataFrame, cols: list[str], keep: int = HEAVY, tracked: int = TRACKED) -> DataFrame:
+    """One row a column: ``column_name, rows, non_null`` and ``candidates``, at most ``keep`` values that
+    may be its most common ones. One scan; a task sends one mergeable summary of ``tracked`` counters a
+    column, whatever the number of values."""
+    found = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count(F.col(f"`{c}`")).alias(f"n{i}") for i, c in enumerate(cols)], *[
+        F.expr(f"approx_top_k(cast(`{c}` as string), {keep}, {tracked})").alias(f"t{i}") for i, c in enumerate(cols)])
+    per_column = [F.struct(F.lit(c).alias("column_name"), F.col("rows"), F.col(f"n{i}").alias("non_null"),
+                           F.transform(f"t{i}", lambda x: x["item"]).alias("candidates")) for i, c in enumerate(cols)]
+    return materialise(found.select(F.inline(F.array(*per_column))), "heavy")
+
+
+def recount(df: DataFrame, heavy: DataFrame, cols: list[str]) -> DataFrame:
+    """(column_name, value, cnt): exact counts of the candidates. They are at most ``keep`` a column, so
+    they are broadcast, and a task sends one row a candidate."""
+    wanted = heavy.select("column_name", F.explode("candidates").alias("value")).where("value is not null")
+    found = _stack_text(df, cols).join(F.broadcast(wanted), ["column_name", "value"])
+    return materialise(found.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt")), "recount")
+
+
+def categorical_summary(df: DataFrame, cols: list[str], keep: int = HEAVY,
+                        tracked: int = TRACKED) -> tuple[DataFrame, DataFrame]:
     """(frequency table as text, per-column summary: total_count (all rows), unique_values,
     most_common (highest count, lowest value on ties) and most_common_count). A column without any
     value has 0 unique values and no most common one.
 
-    Both come from one frequency table, written once in (column, value) order. The lowest of the most
-    common values is the one with the least place in that order: a minimum of numbers, where a
-    minimum of texts would sort all ties of a column of unique values."""
-    stacked = df.select(F.inline(F.array(*[
-        F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in cols])))
-    tagged = range_tagged(stacked.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt")),
-                          ["column_name", "value"]).drop("_pid")
-    freq = tagged.where(F.col("value").isNotNull())
-    per_col = tagged.groupBy("column_name").agg(
-        F.sum("cnt").alias("total_count"),
-        F.count("value").alias("unique_values"),
-        F.max(F.when(F.col("value").isNotNull(), F.col("cnt"))).alias("most_common_count"))
-    first = _at_top(freq).groupBy("column_name").agg(F.min("_pos").alias("_pos"))
-    common = freq.join(F.broadcast(first), ["column_name", "_pos"]).select(
-        "column_name", F.col("value").alias("most_common"))
-    return freq.drop("_pos"), per_col.join(F.broadcast(common), "column_name", "left")
+    A summary of heavy hitters proposes values and an exact recount settles them: candidates that
+    hold all non-null rows are all the values there are. A column they don't settle is counted whole, in a
+    hash aggregate of such columns only, so its many values never crowd the others out of the tasks'
+    hash maps. Nothing is sorted or written value by value: the lowest of the most common values is an
+    aggregate without keys, one row a task."""
+    heavy = heavy_hitters(df, cols, keep, tracked)
+    counted = recount(df, heavy, cols)
+    held = counted.groupBy("column_name").agg(F.sum("cnt").alias("held"))
+    sums = heavy.select("column_name", "rows", "non_null").join(F.broadcast(held), "column_name", "left").collect()  # a row a column
+    whole = sorted((r.column_name for r in sums if r.non_null > (r.held or 0)), key=cols.index)
+    rows = {r.column_name: r.rows for r in sums}
+
+    freq = counted.where(~F.col("column_name").isin(whole)) if whole else counted
+    settled = [c for c in cols if c not in whole]
+    parts = [_least_of_most(freq, settled, rows)] if settled else []
+    if whole:
+        rest = _stack_text(df, whole).where("value is not null").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
+        parts.append(_least_of_most(rest, whole, rows))
+        freq = freq.unionByName(rest)
+    return freq, parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
+def _least_of_most(freq: DataFrame, cols: list[str], rows: dict[str, int]) -> DataFrame:
+    """The summary of :func:`categorical_summary` from exact counts. One aggregate without grouping keys:
+    Spark keeps the texts in one buffer a task, where a grouped one would sort its input."""
+    mine = [F.col("column_name") == F.lit(c) for c in cols]
+    order = F.struct(-F.col("cnt"), F.col("value"))
+    one = freq.agg(*[F.count_if(m).alias(f"u{i}") for i, m in enumerate(mine)],
+                   *[F.min(F.when(m, order)).alias(f"b{i}") for i, m in enumerate(mine)])
+    return one.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.lit(rows[c]).alias("total_count"), F.col(f"u{i}").alias("unique_values"),
+        (-F.col(f"b{i}")["col1"]).alias("most_common_count"), F.col(f"b{i}")["value"].alias("most_common"))
+        for i, c in enumerate(cols)])))
 
 
 def categorical_profile(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -243,6 +289,27 @@ def distinct_count_per_column(df: DataFrame, cols: list[str]) -> DataFrame:
         .orderBy("column_name")
 
 
+def most_common_values(df: DataFrame, cols: list[str], keep: int = HEAVY, tracked: int = TRACKED) -> DataFrame:
+    """``column_name, most_common, most_common_count`` alone, lowest value on ties. A column is settled
+    by the recount where its best candidate has more rows than all that is no candidate's: no other
+    value can reach it. Only the columns left open are counted value by value."""
+    heavy = heavy_hitters(df, cols, keep, tracked)
+    counted = recount(df, heavy, cols)
+    held = counted.groupBy("column_name").agg(F.sum("cnt").alias("held"), F.max("cnt").alias("best"))
+    sums = heavy.select("column_name", "rows", "non_null").join(F.broadcast(held), "column_name", "left").collect()  # a row a column
+    left = {r.column_name: r.non_null - (r.held or 0) for r in sums}
+    best = {r.column_name: r.best or 0 for r in sums}
+    rows = {r.column_name: r.rows for r in sums}
+    whole = [c for c in cols if left[c] and best[c] <= left[c]]
+    settled = [c for c in cols if c not in whole]
+    out = _least_of_most(counted, settled, rows) if settled else None
+    if whole:
+        rest = _stack_text(df, whole).where("value is not null").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
+        rest = _least_of_most(rest, whole, rows)
+        out = rest if out is None else out.unionByName(rest)
+    return out.select("column_name", "most_common", "most_common_count").orderBy("column_name")
+
+
 def row_at_position(df: DataFrame, order_by: list, positions: list[int]) -> DataFrame:
     """Rows at 0-based positions of a stated order (Q10); ``order_by`` should make rows unique.
     One way for all positions: rows get contiguous ids in the order (range shuffle, one written copy,

@@ -15,7 +15,7 @@ left with a map-side partial step, and joins the few groups to the stored domain
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, DoubleType, IntegerType, LongType, StringType, \
     StructField, StructType
@@ -67,9 +67,17 @@ class PanelBase:
             return category_domain(self.base, keys[0])
         return domain_product(self.base, keys)
 
-    def filtered(self, filters: PanelFilters | None) -> DataFrame:
+    def has(self, columns: list[str]) -> bool:
+        return all(c in self.base.columns for c in columns)
+
+    def selected(self, filters: PanelFilters | None, keys: list[str]) -> DataFrame:
+        """What a panel over ``keys`` aggregates."""
         return apply_filters(self.base, filters)
 
+    def state(self, kind: str, value: str | None, out: str) -> Column:
+        """The aggregate over :meth:`selected` rows that a panel shows."""
+        return _agg_expr(kind, value, out)
+
     def stored(self, path: str, partition_by: tuple[str, ...] = ("month",)) -> "PanelBase":
         """Write the base once as Parquet partitioned by ``partition_by`` (S4), and its domains from
         that copy, and serve panels from them: the month filter prunes partitions, the other filters
@@ -87,7 +95,7 @@ class PanelBase:
 
 def _guard(pb: PanelBase, needed: list[str], out_fields: list[tuple[str, DataType]]):
     """a panel whose source column is missing is an empty frame of the panel's schema."""
-    if all(c in pb.base.columns for c in needed):
+    if pb.has(needed):
         return None
     schema = StructType([StructField(n, t) for n, t in out_fields])
     return pb.base.sparkSession.createDataFrame([], schema)
@@ -113,8 +121,8 @@ def full_domain_group(pb: PanelBase, filters: PanelFilters | None, keys: list[st
                    [(k, StringType()) for k in keys] + [(out, _out_type(kind))])
     if empty is not None:
         return empty
-    f = pb.filtered(filters)
-    groups = f.groupBy(*keys).agg(_agg_expr(kind, value, out))
+    f = pb.selected(filters, keys)
+    groups = f.groupBy(*keys).agg(pb.state(kind, value, out))
     j = pb.domain(keys).join(groups, keys, "left").where(f.select(F.lit(1)).exists())
     if kind == SUM:  # stays an exact decimal until the panel's last step (see _money)
         j = j.withColumn(out, F.coalesce(F.col(out), F.lit(0).cast("decimal(28,2)")))
@@ -126,11 +134,11 @@ def full_domain_group(pb: PanelBase, filters: PanelFilters | None, keys: list[st
 def observed_group(pb: PanelBase, filters: PanelFilters | None, key: str, kind: str,
                    value: str | None, out: str) -> DataFrame:
     """groupby on a non-categorical key: observed, non-null groups only."""
-    if key not in pb.base.columns or (value and value not in pb.base.columns):
+    if not pb.has([key, *([value] if value else [])]):
         kt = IntegerType() if key == "hour_of_day" else DateType()
         return _guard(pb, [key] + ([value] if value else []), [(key, kt), (out, _out_type(kind))])
-    f = pb.filtered(filters).where(F.col(key).isNotNull())
-    r = f.groupBy(key).agg(_agg_expr(kind, value, out))
+    f = pb.selected(filters, [key]).where(F.col(key).isNotNull())
+    r = f.groupBy(key).agg(pb.state(kind, value, out))
     if kind == SUM:
         r = r.withColumn(out, F.col(out).cast("double"))
     return r.orderBy(key)
@@ -155,7 +163,7 @@ def hours_without_data(spark: SparkSession) -> DataFrame:
 
 def panel_hourly(pb, filters=None):
     """Transactions by hour of purchase; without an hour column all 24 hours with none."""
-    if "hour_of_day" not in pb.base.columns:
+    if not pb.has(["hour_of_day"]):
         return hours_without_data(pb.base.sparkSession)
     return observed_group(pb, filters, "hour_of_day", COUNT, None, "number_of_transactions")
 
@@ -201,9 +209,9 @@ def panel_delay_reasons(pb, filters=None):
     empty = _guard(pb, ["reason_for_delay"], [("reason", StringType()), ("count", LongType())])
     if empty is not None:
         return empty
-    f = pb.filtered(filters).where(F.col("reason_for_delay") != "No Delay")
+    f = pb.selected(filters, ["reason_for_delay"]).where(F.col("reason_for_delay") != "No Delay")
     return (f.groupBy(F.col("reason_for_delay").alias("reason"))
-            .agg(F.count(F.lit(1)).alias("count")).orderBy(F.desc("count"), "reason"))
+            .agg(pb.state(COUNT, None, "count")).orderBy(F.desc("count"), "reason"))
 
 
 def panel_railcard(pb, filters=None):

@@ -17,14 +17,15 @@ from ticketlens.operators import clean, profile
 from ticketlens.operators.aggregate import category_domain, group_count, group_mean, \
     group_sum, having_count, value_counts
 from ticketlens.operators.filters import PanelFilters
-from ticketlens.plans import panels, reports, star
+from ticketlens.plans import cube, panels, reports, star
 from ticketlens.plans.catalog import register
 from ticketlens.plans.oracle import pct, r2, secs, with_ctes
 from ticketlens.session import materialise, scratch_path, store_key
 from ticketlens.sources import tables
 from ticketlens.sources.files import scan_rides_csv, scan_star, scan_table_all, trim_column_names, \
     with_epoch_dates, write_star
-from ticketlens.sources.rides import RIDES_COLUMNS, ride_tickets, rides
+from ticketlens.sources.publish import input_version
+from ticketlens.sources.rides import RIDES_COLUMNS, RIDE_TABLES, ride_tickets, rides
 
 
 # ------------------------------------------------------------------ loaders
@@ -49,8 +50,9 @@ _STORED: dict[tuple, object] = {}
 
 
 def _once(kind, s, d, build):
-    """Stored tables of an input are written by the first query that needs them, and read by all."""
-    key = (kind, d, *store_key(s))
+    """Stored tables of an input are written by the first query that needs them, and read by all, until
+    the input's files change."""
+    key = (kind, d, input_version(s, [f"{d.rstrip('/')}/{t}.parquet" for t in RIDE_TABLES]), *store_key(s))
     if key not in _STORED:
         _STORED[key] = build(scratch_path(s, kind))
     return _STORED[key]
@@ -61,6 +63,16 @@ def _panel_base(s, d):
         star.flat_denormalised(rides(s, d))).stored(path))
 
 
+def build_panel_cube(s, d, path):
+    """Publish the cube of an input's rides under ``path``."""
+    cube.build(star.flat_denormalised(rides(s, d)), path)
+    return path
+
+
+def _panel_cube(s, d):
+    return cube.load(s, _once("panel-cube", s, d, lambda path: build_panel_cube(s, d, path)))
+
+
 def _star_files(s, d):
     """The four star tables as Parquet files, written once."""
     def build(path):
@@ -536,6 +548,9 @@ _q("distinct_count_per_column",
    lambda s, d: profile.distinct_count_per_column(_rides(s, d), RIDES_COLUMNS),
    with_ctes(["rides"], "") + ", " + _CAT_SUMMARY.replace(_CAT_STACK, _RAW_STACK)
    + "\nSELECT column_name, unique_values, most_common, most_common_count FROM w")
+_q("most_common_values", lambda s, d: profile.most_common_values(_rides(s, d), RIDES_COLUMNS),
+   with_ctes(["rides"], "") + ", " + _CAT_SUMMARY.replace(_CAT_STACK, _RAW_STACK)
+   + "\nSELECT column_name, most_common, most_common_count FROM w")
 _q("row_at_position",
    lambda s, d: profile.row_at_position(_rides(s, d), [F.asc_nulls_first(c) for c in star.ROW_ORDER],
                                         [0, 1, 777]),
@@ -641,7 +656,7 @@ def _panel_sql(name: str, f: PanelFilters | None) -> str:
 
 
 def _panel_query(name: str, f: PanelFilters | None):
-    return lambda s, d: panels.panel(_panel_base(s, d), name, f)
+    return lambda s, d: panels.panel(_panel_cube(s, d), name, f)
 
 
 _VARIANTS = {
