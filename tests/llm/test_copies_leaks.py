@@ -75,6 +75,7 @@ def test_join_finds_every_link_class_and_copy(spark):
 
 def test_pairs_in_large_buckets_of_documents_unlike_each_other(spark, monkeypatch):
     monkeypatch.setattr(cp, "LIMIT", 16)
+    monkeypatch.setattr(cp, "WHOLE", 32)
     monkeypatch.setattr(cp, "DEEPEST", 1)
     signatures = cp.signatures  # tokens of two bits: a quarter of all nodes share each one
     monkeypatch.setattr(cp, "signatures", lambda *x: signatures(*x).withColumn(
@@ -106,17 +107,22 @@ def _groups_around_a_passage(n):
     return docs
 
 
-def test_edges_grow_with_the_documents_not_their_square(spark):
-    for n in (700, 2100):  # one large bucket, compared whole, and one that is split on
-        rows = cp.signatures(spark.createDataFrame(_groups_around_a_passage(n), "doc_id long, text string").repartition(4))
-        nodes = cp.materialise(rows.groupBy("fp").agg(F.first("sig").alias("sig"), F.first("low").alias("low")), "nodes")
-        edges = cp.materialise(cp.candidates(nodes), "edges")
-        assert edges.count() < 8 * n  # a bucket a run, and somewhat more where it is split
-        assert edges.where("a = b").isEmpty()
+@pytest.mark.parametrize("limit,whole,n", [(1024, 1024, 700), (256, 4096, 2100), (512, 512, 2100)])
+def test_edges_grow_with_the_documents_not_their_square(spark, monkeypatch, limit, whole, n):
+    """Compared whole, block by block, and split on."""
+    monkeypatch.setattr(cp, "LIMIT", limit)
+    monkeypatch.setattr(cp, "WHOLE", whole)
+    rows = cp.signatures(spark.createDataFrame(_groups_around_a_passage(n), "doc_id long, text string").repartition(4))
+    nodes = cp.materialise(rows.groupBy("fp").agg(F.first("sig").alias("sig"), F.first("low").alias("low")), "nodes")
+    edges = cp.materialise(cp.candidates(nodes), "edges")
+    assert edges.count() < 12 * n  # a bucket a run, and somewhat more where it is split
+    assert edges.where("a = b").isEmpty()
 
 
-def test_links_of_near_copies_among_documents_with_their_passage(spark, monkeypatch):
-    monkeypatch.setattr(cp, "LIMIT", 200)
+@pytest.mark.parametrize("limit,whole", [(100, 4000), (150, 150)])
+def test_links_of_near_copies_among_documents_with_their_passage(spark, monkeypatch, limit, whole):
+    monkeypatch.setattr(cp, "LIMIT", limit)
+    monkeypatch.setattr(cp, "WHOLE", whole)
     docs = _groups_around_a_passage(500)
     found = cp.join(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()
     assert {r.doc_id: (r.class_id, r.n_links, r.n_copies) for r in found} == _classes(docs)

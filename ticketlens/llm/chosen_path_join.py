@@ -13,10 +13,12 @@ What leaves the buckets is not their pairs but, per bucket, stars that connect w
 whole shingle sets, in blocks, which yields the number of links of each node and the classes (linked
 directly or through others) without a row per pair.
 
-A large bucket at least half of whose members look like one of them (a group of near copies) is one
-group at once: an edge from each member to that one, and the exact verification does the rest. Other
-large buckets are split on, as deep as the logarithm of the largest one asks; the few that are still
-large there, neither near copies nor parted, are compared block against block.
+A larger bucket of up to ``WHOLE`` nodes is compared block against block. One beyond that, at least half
+of whose members look like one of them (a group of near copies), is one group at once: an edge from each member to
+that one, and the exact verification does the rest. Others are split on, as deep as the logarithm of
+the largest one asks; the few that are still large there, neither near copies nor parted, are compared
+block against block as well. A block's own bucket connects its members, and two blocks give one edge for
+each pair of what they have connected, so edges don't multiply with the blocks.
 
 Scale: the only pass over all texts makes 128 numbers a document. Paths are pairs of 64-bit numbers;
 copies are one node beforehand. Edges a node: one for each bucket it is in, and so its runs times a
@@ -52,7 +54,8 @@ SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.999
 WIDTH = 128
-LIMIT = 1024
+LIMIT = 2048
+WHOLE = 4 * LIMIT  # buckets up to this are compared whole, block by block; larger ones are split on
 DEEPEST: int | None = None  # levels; None: by the logarithm of the largest bucket
 HUBS = 4  # members that a large bucket's others are held against
 MOSTLY = 0.5  # part of a large bucket that looks like one of these, if it is a group
@@ -165,9 +168,9 @@ def _roots(near: np.ndarray) -> np.ndarray:
     """For matrices (groups, g, g) of neighbours, the least index that each index is connected to."""
     g = near.shape[-1]
     near = near | np.eye(g, dtype=bool)
-    root = np.broadcast_to(np.arange(g), near.shape[:2]).copy()
+    root = np.broadcast_to(np.arange(g, dtype=np.int32), near.shape[:2]).copy()
     while True:
-        least = np.where(near, root[:, None, :], g).min(2)
+        least = np.where(near, root[:, None, :], np.int32(g)).min(2)
         least = np.take_along_axis(least, least, 1)
         if (least == root).all():
             return root
@@ -183,10 +186,12 @@ def _alike(low: np.ndarray) -> np.ndarray:
 
 
 def _stars(similar: float):
-    """Per bucket, edges from each node to the least one it is connected to by similar tokens."""
+    """Per bucket, edges from each node to the least one it is connected to by similar tokens. Of a bucket
+    of two blocks (``part``), whose members are connected by their blocks' own buckets, only edges
+    between what is connected there."""
 
     def run(b: pa.RecordBatch, bounds: np.ndarray) -> Iterator[pa.RecordBatch]:
-        fp = b["fp"].to_numpy()
+        fp, part = b["fp"].to_numpy(), b["part"].to_numpy()
         low = np.frombuffer(b"".join(x.as_py() for x in b["low"]), np.uint8).reshape(-1, WIDTH)
         size = np.diff(bounds)
         for g in np.unique(size[size > 1]).tolist():
@@ -195,8 +200,13 @@ def _stars(similar: float):
             for lo in range(0, len(first), step):
                 at = first[lo:lo + step, None] + np.arange(g)
                 near = _alike(np.ascontiguousarray(low[at])) >= similar * WIDTH
-                root = np.take_along_axis(at, _roots(near), 1)
+                local = _roots(near)
+                root = np.take_along_axis(at, local, 1)
                 far = root != at
+                own = part[at]
+                if (own != own[:, :1]).any():  # two blocks: one edge for what each has connected
+                    inside = _roots(near & (own[:, :, None] == own[:, None, :]))
+                    far &= (inside == np.arange(g)) | (own == own[:, :1]).all(1)[:, None]
                 if far.any():
                     yield pa.RecordBatch.from_arrays([pa.array(fp[at[far]]), pa.array(fp[root[far]])], ["a", "b"])
 
@@ -232,8 +242,9 @@ def _runs(depth: int, recall: float, threshold: float) -> int:
 
 
 def _buckets(nodes: DataFrame, recall: float, similar: float, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """(bucket, fp) of all runs, every bucket small, and the edges (a, b) of large buckets that are one group."""
-    out = nodes.select(F.col("fp").alias("bucket"), "fp").limit(0)
+    """(bucket, fp, part) of all runs, every bucket small or two blocks of a larger one, and the edges (a, b)
+    of very large buckets that are one group."""
+    out = nodes.select(F.col("fp").alias("bucket"), "fp", F.lit(0).alias("part")).limit(0)
     edges = nodes.select(F.col("fp").alias("a"), F.col("fp").alias("b")).limit(0)
     active, done, counted = nodes, 0, 1  # runs are counted for buckets down to the level ``counted``
     while True:
@@ -248,11 +259,13 @@ def _buckets(nodes: DataFrame, recall: float, similar: float, threshold: float)
             sizes = materialise(level.groupBy("p").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "sizes")
             largest = sizes.agg(F.max("size")).first()[0] or 0
             level = materialise(level.join(sizes, "p"), "level")
-            out = out.unionByName(level.where(F.col("size") <= LIMIT).select(F.col("p").alias("bucket"), "fp"))
-            if largest <= LIMIT:
+            out = out.unionByName(level.where(F.col("size") <= LIMIT).select(F.col("p").alias("bucket"), "fp", F.lit(0).alias("part")))
+            if largest > LIMIT:
+                out = out.unionByName(_blocks(level.where((F.col("size") > LIMIT) & (F.col("size") <= WHOLE))))
+            if largest <= WHOLE:
                 break
-            deepest = deepest or DEEPEST or 2 + math.ceil(2 * math.log2(largest / LIMIT))
-            large = level.where(F.col("size") > LIMIT)
+            deepest = deepest or DEEPEST or 2 + math.ceil(2 * math.log2(largest / WHOLE))
+            large = level.where(F.col("size") > WHOLE)
             groups = _groups(large, nodes, similar)
             edges = edges.unionByName(large.join(groups, "p").where("fp <> hub").select(F.col("fp").alias("a"), F.col("hub").alias("b")))
             rest = large.join(groups, "p", "left_anti")
@@ -297,7 +310,8 @@ def _blocks(large: DataFrame) -> DataFrame:
     n = F.ceil(F.col("size") / (LIMIT // 2)).cast("int")
     own = large.select("p", "fp", n.alias("n"), F.pmod(F.xxhash64("p", "fp"), n).cast("int").alias("block"))
     pairs = own.select("p", "fp", "block", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("meets"))
-    return pairs.select(F.xxhash64("p", F.least("block", "meets"), F.greatest("block", "meets")).alias("bucket"), "fp")
+    return pairs.select(F.xxhash64("p", F.least("block", "meets"), F.greatest("block", "meets")).alias("bucket"), "fp",
+                        F.col("block").alias("part"))
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -374,7 +388,7 @@ def candidates(nodes: DataFrame, threshold: float = THRESHOLD, recall: float = R
     """Edges (a, b) between nodes (fp, sig, low) that connect all pairs at the threshold, and more."""
     similar = threshold - 4 * math.sqrt(threshold * (1 - threshold) / WIDTH)
     buckets, near = _buckets(nodes, recall, similar, threshold)
-    bucketed = buckets.join(nodes.select("fp", "low"), "fp").select("bucket", "fp", "low")
+    bucketed = buckets.join(nodes.select("fp", "low"), "fp").select("bucket", "fp", "part", "low")
     return _by_group(bucketed, ["bucket"], _stars(similar), "a long, b long").unionByName(near)
 
 
