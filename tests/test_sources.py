@@ -1,6 +1,8 @@
 import os
 import uuid
 
+from pyspark.sql import functions as F
+
 from ticketlens.session import checkpoint_dir
 from ticketlens.sources import files
 from ticketlens.sources.rides import RIDES_COLUMNS, rides
@@ -72,3 +74,41 @@ def test_epoch_dates(spark):
 def test_scan_table_all(spark):
     spark.range(3).createOrReplaceTempView("t_scan_all")
     assert files.scan_table_all(spark, "t_scan_all").count() == 3
+
+
+def test_every_row_of_a_file_is_in_the_table_or_among_the_rejects(spark):
+    r = rides(spark, SF001)
+    good = r.select([F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in RIDES_COLUMNS]).limit(4).collect()
+    at = {c: RIDES_COLUMNS.index(c) for c in RIDES_COLUMNS}
+    lines = [",".join(RIDES_COLUMNS)]
+    for k, row in enumerate(good):
+        row = list(row)
+        row[0] = f"ok{k}"
+        row[at["price"]] = ['"£1,234.50"', "0.5", "1234567.10", '" £12 "'][k]
+        lines.append(",".join(row))
+    base = list(good[0])
+    faults = {"price": ["1e3", '"1,23"', "12.345", "£", "n/a", "--5"], "date_of_journey": ["2024-13-45", "2023-02-29", "01/02/2024", "soon"]}
+    for c, texts in faults.items():
+        for t in texts:
+            row = list(base)
+            row[0], row[at[c]] = f"bad {c}", t
+            lines.append(",".join(row))
+    lines += ["short,2024-01-01", ",".join(base) + ",one more", ",".join(["nulls"] + ["None"] * 17), ",".join(["blank"] + [""] * 17)]
+    path = _dir(spark)
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(path)
+    table, rejects = files.scan_rides_checked(spark, path)
+    kept = {x.transaction_id: x for x in table.collect()}
+    assert set(kept) == {"ok0", "ok1", "ok2", "ok3", "nulls", "blank"} and table.dtypes == files.scan_rides_csv(spark, path).dtypes
+    assert [str(kept[f"ok{k}"].price) for k in range(4)] == ["1234.50", "0.50", "1234567.10", "12.00"]
+    assert kept["nulls"].price is None and kept["blank"].date_of_journey is None
+    out = [(x.transaction_id, tuple(x.reasons)) for x in rejects.collect()]
+    assert sorted(x for x in out if x[0].startswith("bad")) == sorted((f"bad {c}", (c,)) for c, ts in faults.items() for _ in ts)
+    cut = [x for x in rejects.collect() if x.reasons[0] == files.MALFORMED]
+    assert len(cut) == 2 and any(x.record == "short,2024-01-01" for x in cut)
+    assert len(kept) + len(out) == len(lines) - 1
+    from ticketlens.sources.publish import published
+    folder = _dir(spark)
+    files.ingest_rides(spark, path, folder)
+    t = published(spark, folder)
+    assert {x.outcome: x.n for x in t["counts"].collect()} == {"accepted": 6, "rejected": 12, "price": 6, "date_of_journey": 4, "malformed": 2}
+    assert t["rides"].count() == 6 and t["rejects"].count() == 12

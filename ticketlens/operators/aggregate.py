@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from ticketlens.functions.money import money_mean, money_sum, percent_of
 
+#: The most columns a pivot may have.
+PIVOT_LABELS = 100
+
 
 def value_counts(df: DataFrame, col: str, count_col: str = "count",
                  value_col: str | None = None) -> DataFrame:
@@ -82,14 +85,39 @@ def domain_product(df: DataFrame, cols: list[str]) -> DataFrame:
     return out
 
 
+def pivot_labels(df: DataFrame, col: str, known: list[str] | None = None, most: int = PIVOT_LABELS) -> list[str]:
+    """The labels a pivot on ``col`` has columns for: the known ones first, then all others that occur, in
+    order. One distinct with a map-side step, of which the driver gets at most ``most`` + 1 rows; a
+    column with more labels raises, as it is no category."""
+    known = list(known or [])
+    found = df.where(F.col(col).isNotNull() & ~F.col(col).isin(known)).select(F.col(col).cast("string").alias(col)).distinct()
+    labels = [r[0] for r in found.limit(most + 1).collect()]
+    if len(known) + len(labels) > most:
+        raise ValueError(f"{col} has more than {most} labels: too many for the columns of a pivot")
+    return known + sorted(labels)
+
+
+def label_columns(labels: list[str], taken: list[str]) -> dict[str, str]:
+    """A column name for each label, none twice: ``off_peak``, and ``off_peak_2`` for another label of that form."""
+    names, used = {}, {t.lower() for t in taken}
+    for label in labels:
+        name, k = snake(label) or "blank", 1
+        while name in used:
+            k += 1
+            name = f"{snake(label) or 'blank'}_{k}"
+        used.add(name)
+        names[label] = name
+    return names
+
+
 def pivot_sum(df: DataFrame, row_key: str, col_key: str, values: list[str], value: str,
               prefix: str = "") -> DataFrame:
     """pivot_table(values=value, index=row_key, columns=col_key, aggfunc='sum'); a missing cell is
-    null (A13). Listing the pivot values skips Spark's extra distinct pass and fixes the columns."""
-    p = (df.na.drop(subset=[row_key, col_key]).groupBy(row_key).pivot(col_key, values)
-         .agg(F.sum(value).cast("double")))
-    return p.select(row_key, *[F.col(f"`{v}`").alias(prefix + snake(v)) for v in values]
-                    ).orderBy(row_key)
+    null (A13). ``values`` are the labels of :func:`pivot_labels`."""
+    named = label_columns(values, [row_key])
+    groups = df.na.drop(subset=[row_key, col_key]).groupBy(row_key)
+    p = groups.pivot(col_key, values).agg(F.sum(value).cast("double")) if values else groups.agg(F.lit(1).alias("_")).drop("_")
+    return p.select(row_key, *[F.col(f"`{v}`").alias(prefix + named[v]) for v in values]).orderBy(row_key)
 
 
 def snake(label: str) -> str:

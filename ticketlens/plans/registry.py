@@ -22,7 +22,7 @@ from ticketlens.plans.catalog import register
 from ticketlens.plans.oracle import pct, r2, secs, with_ctes
 from ticketlens.session import materialise, scratch_path, store_key
 from ticketlens.sources import tables
-from ticketlens.sources.files import scan_rides_csv, scan_star, scan_table_all, trim_column_names, \
+from ticketlens.sources.files import reject_counts, scan_rides_checked, scan_rides_csv, scan_star, scan_table_all, trim_column_names, \
     with_epoch_dates, write_star
 from ticketlens.sources.publish import input_version
 from ticketlens.sources.rides import RIDES_COLUMNS, RIDE_TABLES, ride_tickets, rides
@@ -716,6 +716,23 @@ def _csv_round_trip(s, d):
 _q("scan_rides_csv", _csv_round_trip, with_ctes(["rides"], "SELECT * FROM rides"))
 
 
+def _faulty_rides(s, d):
+    """S1 with rejects: the flat table as lines of a file some of which are faulty: dates that are none, prices
+    that are no numbers, lines cut short; others hold prices with a pound sign and separators."""
+    def build(path):
+        k = F.substring("transaction_id", 2, 10).cast("long")
+        text = {c: F.coalesce(F.col(c).cast("string"), F.lit("None")) for c in RIDES_COLUMNS}
+        text["date_of_purchase"] = F.when(k % 11 == 0, F.lit("2024-13-45")).otherwise(text["date_of_purchase"])
+        text["price"] = (F.when(k % 13 == 0, F.lit("about 12"))
+                         .when(k % 7 == 0, F.concat(F.lit('"£'), F.format_number("price", 2), F.lit('"')))
+                         .otherwise(text["price"]))
+        fields = [text[c] for c in RIDES_COLUMNS]
+        line = F.when(k % 17 == 0, F.concat_ws(",", *fields[:5])).otherwise(F.concat_ws(",", *fields))
+        rides(s, d).select(line.alias("line")).write.text(path)
+        return path
+    return scan_rides_checked(s, _once("faulty-rides", s, d, build), header=False)
+
+
 def _star_csv_round_trip(s, d):
     """S4 then S2 and J5: write the four star tables of variant A as CSV (header, no index) into
     this application's scratch folder, scan them back with their schemas, and denormalise the
@@ -730,6 +747,23 @@ def _star_csv_round_trip(s, d):
                             t["dim_location"])
 
 
+_FAULTY = with_ctes(["rides"], "") + """, marked AS (
+SELECT *, CAST(substr(transaction_id, 2) AS BIGINT) % 17 = 0 AS cut, CAST(substr(transaction_id, 2) AS BIGINT) % 11 = 0 AS day,
+  CAST(substr(transaction_id, 2) AS BIGINT) % 13 = 0 AS cost FROM rides),
+faults AS (SELECT *, concat_ws(',', CASE WHEN cut THEN 'malformed' END, CASE WHEN day THEN 'date_of_purchase' END,
+  CASE WHEN cost AND NOT cut THEN 'price' END) AS reasons FROM marked)
+"""
+_q("scan_rides_accepted", lambda s, d: _faulty_rides(s, d)[0],
+   _FAULTY + "SELECT " + ", ".join(RIDES_COLUMNS) + " FROM faults WHERE reasons = ''")
+_q("scan_rides_rejects",
+   lambda s, d: _faulty_rides(s, d)[1].select("transaction_id", F.concat_ws(",", "reasons").alias("reasons"),
+                                              F.col("fields.price").alias("price_text"), F.col("record").isNotNull().alias("has_record")),
+   _FAULTY + "SELECT transaction_id, reasons, CASE WHEN cut THEN NULL WHEN cost THEN 'about 12' "
+             "WHEN CAST(substr(transaction_id, 2) AS BIGINT) % 7 = 0 THEN '£' || printf('%,.2f', CAST(price AS DOUBLE)) "
+             "ELSE CAST(price AS VARCHAR) END AS price_text, cut AS has_record FROM faults WHERE reasons <> ''")
+_q("scan_rides_counts", lambda s, d: reject_counts(*_faulty_rides(s, d)),
+   _FAULTY + "SELECT CASE WHEN reasons = '' THEN 'accepted' ELSE 'rejected' END AS outcome, count(*) AS n FROM faults GROUP BY 1 "
+             "UNION ALL SELECT unnest(string_split(reasons, ',')) AS outcome, count(*) AS n FROM faults WHERE reasons <> '' GROUP BY 1")
 _q("scan_star_denormalised", _star_csv_round_trip, with_ctes(["denorm"], "SELECT * FROM denorm"))
 
 

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from ticketlens.functions.calendar import month_name
 from ticketlens.functions.money import money_mean, money_sum
 from ticketlens.functions.timeofday import hour_of_day
-from ticketlens.operators.aggregate import group_count, group_sum, having_count, pivot_sum, top_k, \
-    value_counts, with_share
+from ticketlens.operators.aggregate import group_count, group_sum, having_count, label_columns, \
+    pivot_labels, pivot_sum, top_k, value_counts, with_share
 
-# The category labels the reports pivot on or order by (field dictionary).
+# The category labels that reports always show, in their order (field dictionary). Pivots
+# have a column for each other label that occurs as well.
 TICKET_TYPES = ["Advance", "Anytime", "Off-Peak"]
 REFUND_VALUES = ["No", "Yes"]
 STATUS_ROW_ORDER = ["Cancelled", "Delayed", "On Time"]
@@ -54,27 +55,30 @@ def hourly_spine(spark: SparkSession, hours: DataFrame) -> DataFrame:
 
 def pivot_revenue_purchase_ticket(rides: DataFrame) -> DataFrame:
     """Revenue, purchase type × ticket type; a missing cell is null."""
-    return pivot_sum(rides, "purchase_type", "ticket_type", TICKET_TYPES, "price")
+    labels = pivot_labels(rides.na.drop(subset=["purchase_type"]), "ticket_type", TICKET_TYPES)
+    return pivot_sum(rides, "purchase_type", "ticket_type", labels, "price")
 
 
 def refund_revenue_matrix(fact: DataFrame) -> DataFrame:
-    """Status ∈ {Cancelled, Delayed} × refund {No, Yes} revenue, missing cells 0."""
+    """Status ∈ {Cancelled, Delayed} × refund request revenue, missing cells 0; No and Yes always
+    have a column."""
     f = fact.where(F.col("journey_status").isin(REFUND_STATUSES))
-    p = pivot_sum(f, "journey_status", "refund_request", REFUND_VALUES, "price")
-    return p.na.fill(0.0, subset=["no", "yes"])
+    p = pivot_sum(f, "journey_status", "refund_request", pivot_labels(f, "refund_request", REFUND_VALUES), "price")
+    return p.na.fill(0.0, subset=p.columns[1:])
 
 
 def refund_count_matrix(spark: SparkSession, fact: DataFrame) -> DataFrame:
     """Status × refund counts, missing cells 0, rows forced to Cancelled, Delayed, On Time
     (a status with no rows gives a null row, as a pandas reindex does)."""
-    counts = (fact.na.drop(subset=["journey_status", "refund_request"])
-              .groupBy("journey_status").pivot("refund_request", REFUND_VALUES)
-              .agg(F.count(F.lit(1))).na.fill(0, subset=REFUND_VALUES))
+    known = fact.na.drop(subset=["journey_status", "refund_request"])
+    labels = pivot_labels(known, "refund_request", REFUND_VALUES)
+    named = label_columns(labels, ["row_order", "journey_status"])
+    counts = known.groupBy("journey_status").pivot("refund_request", labels).agg(F.count(F.lit(1)))
+    counts = counts.select("journey_status", *[F.coalesce(F.col(f"`{v}`"), F.lit(0)).alias(n) for v, n in named.items()])
     rows = spark.createDataFrame([(i, s) for i, s in enumerate(STATUS_ROW_ORDER)],
                                  "row_order int, journey_status string")
     return (rows.join(counts, "journey_status", "left")
-            .select("row_order", "journey_status", F.col("No").alias("no"), F.col("Yes").alias("yes"))
-            .orderBy("row_order"))
+            .select("row_order", "journey_status", *named.values()).orderBy("row_order"))
 
 
 def share_of_counts(df: DataFrame, key: str) -> DataFrame:

@@ -8,12 +8,14 @@ upstream hand-off format (header row, no index column).
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType, DecimalType, DoubleType, IntegerType, LongType, \
     StringType, StructField, StructType
 
 from ticketlens.functions.calendar import epoch_millis_to_date
+from ticketlens.session import materialise
+from ticketlens.sources.publish import publish
 
 S = StringType()
 
@@ -61,11 +63,72 @@ def trim_column_names(df: DataFrame) -> DataFrame:
 
 def scan_rides_csv(spark: SparkSession, path: str, null_token: str = "None") -> DataFrame:
     """The flat ticket file (header row). ``null_token`` text reads as null (the file writes a
-    missing railcard / reason as ``None``); an empty field is null as well."""
+    missing railcard / reason as ``None``); an empty field is null as well, and so is one that can't be
+    read: :func:`scan_rides_checked` tells which and keeps such rows apart."""
     return (spark.read.schema(RIDES_SCHEMA).option("header", True)
             .option("nullValue", null_token).option("mode", "PERMISSIVE").csv(path))
 
 
+#: Why a row is no row of the table: its fields don't fit the header, or the named field can't be read.
+MALFORMED = "malformed"
+
+
+def price_of(text: Column) -> Column:
+    """A price as files hold it (``12.5``, ``£1,234.50``) with its pence; anything else → null."""
+    digits = F.regexp_replace(F.trim(text), "^£|(?<=[0-9]),(?=[0-9]{3})", "")
+    return F.when(digits.rlike("^-?[0-9]{1,16}([.][0-9]{1,2}0*)?$"), digits.try_cast("decimal(18,2)"))
+
+
+def checked_rides(raw: DataFrame) -> DataFrame:
+    """The columns of a ride from texts of the same names, with ``reasons``: the fields that hold a text
+    which can't be read. ``raw`` may have ``record``, the whole line of a row that doesn't fit the header."""
+    read, reasons = [], []
+    if "record" in raw.columns:
+        reasons.append(F.when(F.col("record").isNotNull(), F.lit(MALFORMED)))
+    for f in RIDES_SCHEMA.fields:
+        text = F.col(f.name)
+        value = text if f.dataType == S else price_of(text) if f.name == "price" else F.to_date(
+            F.try_to_timestamp(F.trim(text), F.lit("yyyy-MM-dd")))
+        read.append(value.alias(f.name))
+        if f.dataType != S:
+            reasons.append(F.when(text.isNotNull() & value.isNull(), F.lit(f.name)))
+    kept = [F.col("record")] if "record" in raw.columns else []
+    raws = F.struct(*[F.col(f.name) for f in RIDES_SCHEMA.fields]).alias("fields")
+    return raw.select(*read, F.array_compact(F.array(*reasons)).alias("reasons"), raws, *kept)
+
+
+def scan_rides_checked(spark: SparkSession, path: str, null_token: str = "None", header: bool = True) -> tuple[DataFrame, DataFrame]:
+    """S1 with a reject channel: (table, rejects). Every row of the file is in one of them. A row of the
+    table fits the header, and all its dates and prices could be read (prices also with a pound sign
+    and thousands separators). A reject has ``reasons``, its ``fields`` as texts, and its ``record``
+    where the line doesn't fit the header.
+
+    The file is parsed once, all fields as texts, and written once with its reasons; table and rejects
+    are scans of that copy."""
+    schema = StructType([*(StructField(f.name, S) for f in RIDES_SCHEMA.fields), StructField("record", S)])
+    raw = (spark.read.schema(schema).option("header", header).option("nullValue", null_token).option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", "record").csv(path))
+    checked = materialise(checked_rides(raw), "checked")
+    good = F.size("reasons") == 0
+    return (checked.where(good).select(*RIDES_SCHEMA.names),
+            checked.where(~good).select("transaction_id", "reasons", "fields", "record"))
+
+
+def reject_counts(table: DataFrame, rejects: DataFrame) -> DataFrame:
+    """(outcome, n): accepted rows, rejected rows, and the rejected rows of each reason."""
+    accepted = table.agg(F.lit("accepted").alias("outcome"), F.count(F.lit(1)).alias("n"))
+    rejected = rejects.agg(F.lit("rejected").alias("outcome"), F.count(F.lit(1)).alias("n"))
+    by = rejects.select(F.explode("reasons").alias("outcome")).groupBy("outcome").agg(F.count(F.lit(1)).alias("n"))
+    return accepted.unionByName(rejected).unionByName(by)
+
+
+def ingest_rides(spark: SparkSession, path: str, out: str, null_token: str = "None") -> str:
+    """Publish a file's rides, its rejects beside them, and their counts as a version under ``out``."""
+    table, rejects = scan_rides_checked(spark, path, null_token)
+    counts = reject_counts(table, rejects)
+    return publish({"rides": (table, []), "rejects": (rejects, []), "counts": (counts, [])}, out, spark)
+
+
 def scan_star(spark: SparkSession, directory: str, fmt: str = "parquet") -> dict[str, DataFrame]:
     """The four star tables. If one isn't there, all four are empty frames of their schemas (the
     app's load guard), so downstream panels return empty results; any other failure is raised."""
