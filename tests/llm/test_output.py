@@ -3,10 +3,13 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pyspark.sql import functions as F
+
 from ticketlens.llm import fair_mix as fm
 from ticketlens.llm import license_templates as lt
 from ticketlens.llm import simple8b as s8
@@ -97,6 +100,30 @@ def test_license_texts_and_near_misses(spark):
     assert got[0].spans[0].label == "text-mit" and got[0].spans[0].first_word == 2
 
 
+def test_cut_or_altered_license_texts_are_not_accepted(spark):
+    whole = {label: re.sub(r"<<opt>>|<<end>>", " ", re.sub(r"<<var:\d+>>", " 1 ", text)) for label, text in lt.TEMPLATES if label.startswith("text")}
+    docs = [(f"{k} whole", t) for k, t in whole.items()] + [(f"{k} cut", " ".join(t.split()[:-1])) for k, t in whole.items()]
+    docs += [(f"{k} altered", " ".join(t.split()[:-6] + ["never"] + t.split()[-5:])) for k, t in whole.items()]
+    for r in lt.scan(spark.createDataFrame(docs, "doc_id string, text string")).collect():
+        assert (r.doc_id.split(" ")[0] in r.labels) == r.doc_id.endswith("whole"), r.doc_id
+
+
+def test_a_long_text_of_lead_words_costs_its_length():
+    import time
+    took = []
+    for n in (500, 4000):
+        column = pa.array([" licensed under the" * n])
+        a = [lt.compile_template(label, text) for label, text in lt.TEMPLATES]
+        data, offsets = tu.text_buffer(column)
+        h, _, of = tu.words(data, offsets, tu.NOT_ALNUM, lower=True)
+        began = time.perf_counter()
+        for x in a:
+            for at in lt._places(h, of, x.lead)[0].tolist():
+                x.run(h[at:min(len(h), at + x.longest)].tolist(), 0)
+        took.append(time.perf_counter() - began)
+    assert took[1] < 24 * took[0]  # eight times the places; 64 times if each copied the rest of the text
+
+
 def test_licenses_of_odd_input(spark, odd_docs, no_docs):
     out = lt.scan(odd_docs)
     assert [c.lower() for c in out.columns].count("labels") == 1 and out.count() == 10
@@ -141,6 +168,7 @@ def test_taken_documents_are_those_of_a_merged_queue(spark, monkeypatch):
     rng = np.random.default_rng(3)
     rows = [(i, "hot" if i % 3 else f"s{i % 5}", int(rng.integers(1, 90))) for i in range(200)]
     df = spark.createDataFrame(rows, "doc_id long, source string, size long")
+    df = fm.keyed(df)
     cut = fm.cuts(df)
     got = {r.doc_id: r.copies for r in fm.copies(df, cut).collect()}
     # per source, what is taken is a prefix of its queue; the sources' last virtual times are alike
@@ -149,9 +177,61 @@ def test_taken_documents_are_those_of_a_merged_queue(spark, monkeypatch):
     assert sum(taken.values()) <= 1.5 * sum(n for _, _, n in rows)
     ends = [taken[s] / target[s] for s in target]
     assert max(ends) - min(ends) < 2 * 90 / min(target.values())
-    mixed = fm.mix(spark.createDataFrame([(i, s, "w " * n) for i, s, n in rows], "doc_id long, source string, text string"))
-    counts = {r.doc_id: r["count"] for r in mixed.groupBy("doc_id").count().collect()}
-    assert counts == {i: n for i, n in got.items() if n}
+    texts = spark.createDataFrame([(i, s, "w " * n) for i, s, n in rows], "doc_id long, source string, text string")
+    keys = fm.keyed(texts.withColumn("size", fm.words_in(F.col("text"))), tie=F.xxhash64("text"))
+    want = {r.doc_id: r.copies for r in fm.copies(keys, fm.cuts(keys)).collect()}
+    counts = {r.doc_id: r["count"] for r in fm.mix(texts).groupBy("doc_id").count().collect()}
+    assert counts == {i: n for i, n in want.items() if n}
+
+
+def _queue(rows, seed=17):
+    """(taken words, cut places) of (key, source, size) rows by one merged queue in plain Python."""
+    sizes = {}
+    for _, s, n in rows:
+        sizes[s] = sizes.get(s, 0) + n
+    target = _water(sizes, {s: (5, 2, 1)[i % 3] for i, s in enumerate(sorted(sizes))}, 1.5 * sum(sizes.values()))
+    return target
+
+
+@pytest.mark.parametrize("same_text", [True, False])
+def test_rows_of_one_id_are_taken_each_for_itself(spark, same_text):
+    rows = [(None if i % 2 else 7, "hot", "w " * 100 if same_text else f"v{i} " + "w " * 99) for i in range(300)]
+    rows += [(1000 + i, "cold", "w " * 100) for i in range(50)]
+    df = spark.createDataFrame(rows, "doc_id long, source string, text string").repartition(6)
+    mixed = fm.mix(df).groupBy("source").count().collect()
+    taken = {r.source: 100 * r["count"] for r in mixed}
+    target = _queue([(i, s, 100) for i, s, _ in rows])
+    assert sum(taken.values()) <= 1.5 * 35_000
+    assert all(abs(taken[s] - target[s]) <= 200 for s in target), (taken, target)
+
+
+def test_the_queue_replayed_in_plain_python(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, f"s{i % 3}", int(rng.integers(0, 60))) for i in range(150)]
+    df = fm.keyed(spark.createDataFrame(rows, "doc_id long, source string, size long"))
+    got = {r.doc_id: r.copies for r in fm.copies(df, fm.cuts(df)).collect()}
+    target = _queue(rows)
+    places = df.select("doc_id", *(F.xxhash64("key", F.lit(k), F.lit(17)).alias(f"u{k}") for k in range(2))).collect()
+    u = {r.doc_id: (r.u0, r.u1) for r in places}
+    buckets = {r.source: r.buckets for r in fm.targets(df).collect()}
+    events = []
+    for s in target:
+        done, size_of = 0, sum(n for _, t, n in rows if t == s)
+        for turn in (0, 1):
+            if turn * size_of >= target[s]:
+                continue
+            for i, n in sorted(((i, n) for i, t, n in rows if t == s and n),
+                               key=lambda r: (((u[r[0]][turn] & (2**64 - 1)) >> 24) % buckets[s], u[r[0]][turn])):
+                done += n
+                events.append((done / target[s], turn, i, n))
+    events.sort()
+    budget, want = 1.5 * sum(n for _, _, n in rows), {i: 0 for i, _, _ in rows}
+    for _, _, i, n in events:
+        if budget < n:
+            break
+        budget -= n
+        want[i] += 1
+    assert {i: got[i] for i, _, n in rows if n} == {i: want[i] for i, _, n in rows if n}
 
 
 def test_mix_of_odd_input(spark, odd_docs, no_docs):

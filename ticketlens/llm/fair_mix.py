@@ -1,6 +1,6 @@
 """Mixing sources to target weights by weighted fair queueing.
 
-Every source queues its documents in a shuffled order (a hash of the id; a second, newly shuffled
+Every source queues its documents in a shuffled order (a hash of id and text; a second, newly shuffled
 round where the target is above the source's size). A document's virtual finish time is its source's
 cumulative words divided by the source's target, and the mix is all queues merged by virtual time,
 cut where the total budget is used up. Within a source the documents taken are therefore a prefix of
@@ -13,8 +13,10 @@ shuffled: documents meet the one row per source of the cuts. What grows in one t
 source, per range, or per bucket of a source.
 
 Defined cases: a null or empty text has size 0 and takes nothing; a null source is a source, the last
-in order; repeated rows share a hash and are taken together; all-empty or no input gives targets of
-0; columns that the operator adds replace columns of the same name.
+in order; a very long text is one document as any other; rows of one id (or none) have places of their
+own by their texts, and rows that repeat id and text by their place in the table, so each is taken or
+left for itself and targets hold; all-empty or no input gives targets of 0; columns that the operator
+adds replace columns of the same name.
 """
 
 from __future__ import annotations
@@ -37,9 +39,26 @@ def words_in(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")).cast("long")
 
 
-def _place(id_col: Column, turn: int, seed: int) -> Column:
+def keyed(rows: DataFrame, id_col: str = "doc_id", tie: Column | None = None, key_col: str = "key") -> DataFrame:
+    """``rows`` with a key of their own: a hash of id and ``tie`` (of the text, say), and of their place in the
+    table where these repeat."""
+    known = F.xxhash64(F.col(id_col)) if tie is None else F.xxhash64(F.col(id_col), tie)
+    rows = rows.withColumn(key_col, known)
+    again = rows.groupBy(key_col).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key_col)
+    again = materialise(again, "repeats")
+    if again.isEmpty():
+        return rows
+    pre = unused_prefix(rows)
+    # written once, so that a row has the same place for all who read it
+    numbered = materialise(rows.withColumn(pre + "nth", F.monotonically_increasing_id()), "numbered")
+    found = numbered.join(again.select(F.col(key_col).alias(pre + "key")), F.col(key_col) == F.col(pre + "key"), "left")
+    own = F.when(F.col(pre + "key").isNotNull(), F.xxhash64(F.col(key_col), F.col(pre + "nth"))).otherwise(F.col(key_col))
+    return found.withColumn(key_col, own).drop(pre + "nth", pre + "key")
+
+
+def _place(key: Column, turn: int, seed: int) -> Column:
     """A document's place in its source's queue in round ``turn``."""
-    return F.struct(F.lit(turn).alias("turn"), F.xxhash64(id_col, F.lit(turn), F.lit(seed)).alias("u"))
+    return F.struct(F.lit(turn).alias("turn"), F.xxhash64(key, F.lit(turn), F.lit(seed)).alias("u"))
 
 
 def _bucket(place: Column, buckets: Column) -> Column:
@@ -74,14 +93,14 @@ def targets(rows: DataFrame, weights: Sequence[float] = WEIGHTS, budget: float =
 def cuts(rows: DataFrame, seed: int = 17, weights: Sequence[float] = WEIGHTS, budget: float = BUDGET,
          most: int = MOST_ROUNDS) -> DataFrame:
     """Per source: ``source_size``, ``target`` and ``cut``, the last place taken from its queue.
-    ``rows`` has (doc_id, source, size) and is read several times."""
-    rows = rows.select("doc_id", "source", "size")
+    ``rows`` has (key, source, size), see :func:`keyed`, and is read several times."""
+    rows = rows.select("key", "source", "size")
     wanted = materialise(targets(rows, weights, budget, most), "targets")
     n = rows.count()
     total = budget * (rows.agg(F.sum("size")).first()[0] or 0)
     known = wanted.select(F.col("source").alias("s"), "source_size", "target", "buckets")
     queue = rows.join(known, F.col("source").eqNullSafe(F.col("s"))).where("target > 0 and size > 0")
-    rounds = F.array(*(_place(F.col("doc_id"), k, seed) for k in range(most)))
+    rounds = F.array(*(_place(F.col("key"), k, seed) for k in range(most)))
     queue = queue.select("source", "source_size", "target", "size", "buckets", F.explode(rounds).alias("place"))
     queue = queue.where(F.col("place.turn") * F.col("source_size") < F.col("target"))
     queue = queue.withColumn("bucket", _bucket(F.col("place.u"), F.col("buckets"))).drop("buckets")
@@ -117,7 +136,7 @@ def cuts(rows: DataFrame, seed: int = 17, weights: Sequence[float] = WEIGHTS, bu
     return materialise(out, "cuts")
 
 
-def copies(docs: DataFrame, cut: DataFrame, seed: int = 17, most: int = MOST_ROUNDS, id_col: str = "doc_id",
+def copies(docs: DataFrame, cut: DataFrame, seed: int = 17, most: int = MOST_ROUNDS, key_col: str = "key",
            source_col: str = "source") -> DataFrame:
     """``docs`` with ``source_size``, ``target`` and ``copies``, how often the mix takes each row."""
     added = ("source_size", "target", "copies")
@@ -127,7 +146,7 @@ def copies(docs: DataFrame, cut: DataFrame, seed: int = 17, most: int = MOST_ROU
     out = docs.select(*kept).join(known, F.col(source_col).eqNullSafe(F.col(pre + "source")), "left")
     times = F.lit(0)
     for k in range(most):
-        place = _place(F.col(id_col), k, seed)
+        place = _place(F.col(key_col), k, seed)
         at = F.struct(place["turn"], _bucket(place["u"], F.col(pre + "buckets")), place["u"])
         times = times + F.when(at <= F.col(pre + "cut"), 1).otherwise(0)
     return out.select(*kept, F.col(pre + "source_size").alias("source_size"), F.col(pre + "target").alias("target"),
@@ -137,14 +156,18 @@ def copies(docs: DataFrame, cut: DataFrame, seed: int = 17, most: int = MOST_ROU
 def mix(docs: DataFrame, seed: int = 17, id_col: str = "doc_id", source_col: str = "source",
         text_col: str = "text", weights: Sequence[float] = WEIGHTS, budget: float = BUDGET) -> DataFrame:
     """The mixed documents: rows of ``docs`` as often as they are taken."""
-    sizes = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                        words_in(F.col(text_col)).alias("size"))
-    sizes = materialise(sizes, "sizes")  # words are counted once
-    cut = cuts(sizes, seed, weights, budget)
     added = ("source_size", "target", "copies")  # replaced by copies(): the columns that go by the names
-    own = {c: unused_prefix(docs) + c for c in docs.columns if c.lower() in added}
-    out = copies(docs.withColumnsRenamed(own), cut, seed, id_col=own.get(id_col, id_col),
-                 source_col=own.get(source_col, source_col))
-    pre = unused_prefix(out)
-    out = out.where("copies > 0").withColumn(pre + "again", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    pre = unused_prefix(docs)
+    own = {c: pre + c for c in docs.columns if c.lower() in added}
+    key, again = pre + "key", pre + "again"
+    known = F.xxhash64(F.col(id_col), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    wanted = [F.col(key).alias("key"), F.col(source_col).alias("source"), words_in(F.col(text_col)).alias("size")]
+    rows = docs.withColumn(key, known)
+    sizes = materialise(rows.select(*wanted), "sizes")  # words are counted once
+    if not sizes.groupBy("key").count().where("count > 1").isEmpty():  # id and text repeat
+        rows = keyed(docs, id_col, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))), key)
+        sizes = materialise(rows.select(*wanted), "sizes")
+    cut = cuts(sizes, seed, weights, budget)
+    out = copies(rows.withColumnsRenamed(own), cut, seed, key_col=key, source_col=own.get(source_col, source_col))
+    out = out.where("copies > 0").withColumn(again, F.explode(F.sequence(F.lit(1), F.col("copies"))))
     return out.select(*(F.col(f"`{own.get(c, c)}`").alias(c) for c in docs.columns))

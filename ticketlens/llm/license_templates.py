@@ -10,7 +10,8 @@ Scale: one pass over the texts, nothing is shuffled or gathered. Words are hashe
 run in Python, but only from places where a template's first words stand.
 
 Defined cases: a null or empty text has no words, no places, empty labels and score 0; repeated rows
-are scanned each; an empty table gives an empty result. Columns that the operator adds replace
+are scanned each; a very long text is scanned in one go, and each place where a template may begin costs
+at most the template's length; of stretches from one place the longest counts (ties of templates: all); an empty table gives an empty result. Columns that the operator adds replace
 columns of the same name.
 """
 
@@ -51,26 +52,42 @@ TEMPLATES = (
      limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the Software
      and to permit persons to whom the Software is furnished to do so subject to the following conditions
      The above copyright notice and this permission notice <<opt>>including the next paragraph <<end>>shall be included
-     in all copies or substantial portions of the Software <<opt>>THE SOFTWARE IS PROVIDED AS IS WITHOUT WARRANTY OF ANY
+     in all copies or substantial portions of the Software THE SOFTWARE IS PROVIDED AS IS WITHOUT WARRANTY OF ANY
      KIND EXPRESS OR IMPLIED INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY FITNESS FOR A PARTICULAR
      PURPOSE AND NONINFRINGEMENT IN NO EVENT SHALL THE <<var:8>> BE LIABLE FOR ANY CLAIM DAMAGES OR OTHER LIABILITY
      WHETHER IN AN ACTION OF CONTRACT TORT OR OTHERWISE ARISING FROM OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE
-     OR OTHER DEALINGS IN THE SOFTWARE<<end>>"""),
+     OR OTHER DEALINGS IN THE SOFTWARE"""),
     ("text-isc", """Permission to use copy modify and <<opt>>or <<end>>distribute this software for any purpose with or
      without fee is hereby granted provided that the above copyright notice and this permission notice appear in all
-     copies"""),
+     copies THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING
+     ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL DIRECT
+     INDIRECT OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE DATA OR PROFITS WHETHER IN AN
+     ACTION OF CONTRACT NEGLIGENCE OR OTHER TORTIOUS ACTION ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF
+     THIS SOFTWARE"""),
     ("text-bsd", """Redistribution and use in source and binary forms with or without modification are permitted provided
      that the following conditions are met <<var:1>> Redistributions of source code must retain the above copyright
      notice this list of conditions and the following disclaimer <<var:1>> Redistributions in binary form must reproduce
      the above copyright notice this list of conditions and the following disclaimer in the documentation and or other
      materials provided with the distribution <<opt>><<var:1>> Neither the name of <<var:10>> nor the names of its
      contributors may be used to endorse or promote products derived from this software without specific prior written
-     permission<<end>>"""),
+     permission <<end>>THIS SOFTWARE IS PROVIDED BY THE <<var:8>> AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES INCLUDING BUT
+     NOT LIMITED TO THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED IN NO
+     EVENT SHALL THE <<var:8>> BE LIABLE FOR ANY DIRECT INDIRECT INCIDENTAL SPECIAL EXEMPLARY OR CONSEQUENTIAL DAMAGES
+     INCLUDING BUT NOT LIMITED TO PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES LOSS OF USE DATA OR PROFITS OR BUSINESS
+     INTERRUPTION HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY WHETHER IN CONTRACT STRICT LIABILITY OR TORT INCLUDING
+     NEGLIGENCE OR OTHERWISE ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE EVEN IF ADVISED OF THE POSSIBILITY OF SUCH
+     DAMAGE"""),
     ("text-zlib", """This software is provided as is without any express or implied warranty In no event will the authors
-     be held liable for any damages arising from the use of this software"""),
-    ("text-unlicense", """This is free and unencumbered software released into the public domain <<opt>>Anyone is free to
+     be held liable for any damages arising from the use of this software Permission is granted to anyone to use this
+     software for any purpose including commercial applications and to alter it and redistribute it freely subject to the
+     following restrictions <<var:1>> The origin of this software must not be misrepresented you must not claim that you
+     wrote the original software If you use this software in a product an acknowledgment in the product documentation
+     would be appreciated but is not required <<var:1>> Altered source versions must be plainly marked as such and must not
+     be misrepresented as being the original software <<var:1>> This notice may not be removed or altered from any source
+     distribution"""),
+    ("text-unlicense", """This is free and unencumbered software released into the public domain Anyone is free to
      copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary
-     for any purpose commercial or non commercial and by any means<<end>>"""),
+     for any purpose commercial or non commercial and by any means"""),
     ("notice-gpl", """This program is free software you can redistribute it and or modify it under the terms of the GNU
      General Public License as published by the Free Software Foundation either version <<var:2>> of the License or at
      your option any later version"""),
@@ -89,6 +106,11 @@ class Automaton:
     free: list[set[int]] = field(default_factory=list)
     lead: list[int] = field(default_factory=list)
 
+    @property
+    def longest(self) -> int:
+        """No match has more words than there are states."""
+        return len(self.free)
+
     def _state(self) -> int:
         for table, kind in ((self.on_word, dict), (self.on_any, set), (self.free, set)):
             table.append(kind())
@@ -191,7 +213,7 @@ def scan(docs: DataFrame, text_col: str = "text", phrases=PHRASES, templates=TEM
                 hits.setdefault(text, []).append((at - int(of[text]), label, len(phrase)))
         for a in automata:
             for at, text in zip(*(x.tolist() for x in _places(h, of, a.lead))):
-                end = a.run(h[at:of[text + 1]].tolist(), 0)
+                end = a.run(h[at:min(int(of[text + 1]), at + a.longest)].tolist(), 0)
                 if end > 0:
                     spans.setdefault(text, []).append((at - int(of[text]), a.label, end))
         out: dict[str, list] = {k: [] for k in ADDED}

@@ -216,9 +216,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     keep = min(parts, int(parts * max_train / max(n, 1)))
     marks = marks.where(F.pmod(F.xxhash64("id"), F.lit(parts)) < keep)
     # bounded by max_train rows of two numbers, whatever the size of the labels
-    rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-            .join(F.broadcast(marks), "id").select("text", "y")
-            .mapInArrow(_feature_rows, "y int, x array<double>").toArrow())
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(marks), "id")
+    rows = rows.withColumn("h", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    schema = T.StructType([rows.schema["id"], *T._parse_datatype_string("h long, y int, x array<double>").fields])
+    # a label is learnt from one text, the one of least hash, however many rows have its id
+    found = rows.select("id", "h", "text", "y").mapInArrow(_feature_rows, schema)
+    rows = found.groupBy("id").agg(F.first("y").alias("y"), F.min_by("x", "h").alias("x")).select("y", "x").toArrow()
     x = np.array(rows["x"].combine_chunks().flatten()).reshape(-1, len(FEATURES))
     y = rows["y"].to_numpy().astype(float)
     order = np.lexsort([*x.T, y])  # rows arrive in any order: a fixed one gives the same model
@@ -229,7 +232,7 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for b in batches:
         x = features(b["text"])
         rows = pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], x.ravel())
-        yield pa.RecordBatch.from_arrays([b["y"], rows], ["y", "x"])
+        yield pa.RecordBatch.from_arrays([b["id"], b["h"], b["y"], rows], ["id", "h", "y", "x"])
 
 
 def score(docs: DataFrame, model: Gam, text_col: str = "text", out_col: str = "score") -> DataFrame:

@@ -212,7 +212,9 @@ def op9_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_fair_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the mix takes of every document."""
     docs = table(spark, sf_dir, "documents")
-    rows = materialise(docs.select("doc_id", "source", fair_mix.words_in(F.col("text")).alias("size")), "sizes")
+    tie = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    rows = docs.select("doc_id", "source", fair_mix.words_in(F.col("text")).alias("size"), tie.alias("tie"))
+    rows = materialise(fair_mix.keyed(materialise(rows, "sizes"), tie=F.col("tie")), "keys")
     out = fair_mix.copies(rows, fair_mix.cuts(rows))
     return out.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
