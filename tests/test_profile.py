@@ -154,3 +154,16 @@ def test_settled_columns_are_not_counted_value_by_value(spark):
     held = {r.column_name: r.n for r in profile.recount(df, heavy, ["id", "k"]).groupBy("column_name").agg(F.sum("cnt").alias("n")).collect()}
     assert held["k"] == 3000 and held.get("id", 0) < 3000
     assert not _sorting_aggregates(profile.distinct_count_per_column(df, ["id", "k"]))
+
+
+def test_position_index_holds_keys_only(spark):
+    rows = [(None if i == 3 else i % 40, i, f"payload {i}") for i in range(900)]
+    df = spark.createDataFrame(rows, "a int, b long, c string").repartition(6)
+    index = profile.position_index(df, ["a", "b"])
+    assert sorted(index.columns) == ["_pid", "_place", "a", "b"] and index.count() == 900
+    order = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))
+    got = {r.position: (r.a, r.b) for r in profile.keys_at(index, [0, 450, 899, 900, 10**9]).collect()}
+    assert got == {p: order[p][:2] for p in (0, 450, 899)}
+    out = profile.row_at_position(df, ["a", "b"], [899, 0, 777])
+    assert [(r.position, r.a, r.b, r.c) for r in out.collect()] == [(p, *order[p]) for p in (0, 777, 899)]
+    assert profile.row_at_position(df.limit(0), ["a", "b"], [0]).count() == 0

@@ -10,12 +10,14 @@ frame bounded by (#columns × #quantiles) that is broadcast into a range lookup.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import functools
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, FloatType
 
 from ticketlens.functions.money import round2
-from ticketlens.operators.ids import range_tagged, with_contiguous_id, with_running_total
+from ticketlens.operators.ids import range_tagged, with_running_total
 from ticketlens.session import materialise
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -310,13 +312,35 @@ def most_common_values(df: DataFrame, cols: list[str], keep: int = HEAVY, tracke
     return out.select("column_name", "most_common", "most_common_count").orderBy("column_name")
 
 
-def row_at_position(df: DataFrame, order_by: list, positions: list[int]) -> DataFrame:
-    """Rows at 0-based positions of a stated order (Q10); ``order_by`` should make rows unique.
-    One way for all positions: rows get contiguous ids in the order (range shuffle, one written copy,
-    one offset per range; see :mod:`ids`), and those at the positions are picked."""
-    wanted = [p + 1 for p in positions]
-    return (with_contiguous_id(df, order_by, "_id").where(F.col("_id").isin(wanted))
-            .withColumn("position", (F.col("_id") - 1).cast("long")).drop("_id").orderBy("position"))
+def position_index(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The order's key columns alone, in order (nulls first), with their range (``_pid``) and place in it
+    (``_place``), written once: what finds a row by its position. ``keys`` should make rows unique."""
+    tagged = range_tagged(df.select(*keys), [F.asc_nulls_first(k) for k in keys])
+    return tagged.withColumn("_place", F.col("_pos") - F.shiftleft(F.col("_pid").cast("long"), 33)).drop("_pos")
+
+
+def keys_at(index: DataFrame, positions: list[int]) -> DataFrame:
+    """(position, keys) at 0-based positions. The ranges' offsets (one row a range) tell which ranges hold
+    them; only those are read."""
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = index.groupBy("_pid").agg(F.count(F.lit(1)).alias("n"))
+    offsets = offsets.select("_pid", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("off"))
+    at = F.explode(F.array(*[F.lit(p).cast("long") for p in positions])).alias("position")
+    wanted = offsets.select("_pid", "off", "n", at).where("position >= off and position < off + n").collect()  # a row a position
+    place = {f"{r['_pid']} {r.position - r.off}": r.position for r in wanted} or {"": -1}
+    found = index.where(F.col("_pid").isin([int(x.split(" ")[0] or -1) for x in place]))
+    position = F.create_map(*[F.lit(x) for pair in place.items() for x in pair])[F.concat_ws(" ", "_pid", "_place")]
+    return found.withColumn("position", position).where("position is not null").drop("_pid", "_place")
+
+
+def row_at_position(df: DataFrame, keys: list[str], positions: list[int]) -> DataFrame:
+    """Rows at 0-based positions of the order by ``keys``, nulls first (Q10), which should make rows unique.
+    Only the key columns are shuffled and written (:func:`position_index`); the few keys found are
+    broadcast to the rows, which are read where they are. One way for all positions."""
+    at = keys_at(position_index(df, keys), positions)
+    named = at.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = functools.reduce(lambda x, y: x & y, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    return df.join(F.broadcast(named), same).drop(*(f"_key_{k}" for k in keys)).orderBy("position")
 
 
 def head_n(df: DataFrame, order_by: list, n: int = 5) -> DataFrame:

@@ -552,8 +552,7 @@ _q("most_common_values", lambda s, d: profile.most_common_values(_rides(s, d), R
    with_ctes(["rides"], "") + ", " + _CAT_SUMMARY.replace(_CAT_STACK, _RAW_STACK)
    + "\nSELECT column_name, most_common, most_common_count FROM w")
 _q("row_at_position",
-   lambda s, d: profile.row_at_position(_rides(s, d), [F.asc_nulls_first(c) for c in star.ROW_ORDER],
-                                        [0, 1, 777]),
+   lambda s, d: profile.row_at_position(_rides(s, d), star.ROW_ORDER, [0, 1, 777]),
    with_ctes(["rides"], "SELECT * EXCLUDE (rn), rn - 1 AS position FROM (SELECT *, row_number() OVER "
                         "(ORDER BY date_of_purchase NULLS FIRST, time_of_purchase NULLS FIRST, "
                         "transaction_id NULLS FIRST) AS rn FROM rides) x WHERE rn IN (1, 2, 778)"))
