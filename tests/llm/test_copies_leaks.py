@@ -207,6 +207,15 @@ def test_short_and_number_heavy_items_are_found(spark):
     assert found[(6, 1)].n_changed == 4 and all(found[(i, i)].n_changed == 0 for i in range(6))
 
 
+def test_short_items_are_found_with_other_numbers(spark):
+    items = ["What is 12 plus 15 times 3?", "How many km are 7 miles?", "12 + 7 = 19", "Is 9 prime"]
+    docs = ["first: what is 9 plus 4 times 2? think", "what is 9 plus 4 minus 2", "what is nine plus 4 times 2", "what was 9 plus 4 times 2",
+            "what is 9 plus 4 times", "how many km are 30 miles", "13 + 8 = 21", "is 11 prime", "how many miles are 30 km"]
+    frames = [spark.createDataFrame(list(enumerate(x)), f"{c} long, text string") for c, x in (("item_id", items), ("doc_id", docs))]
+    found = {(r.key.id, r.item_id): r.n_changed for r in td.find(frames[1], frames[0]).collect()}
+    assert found == {(0, 0): 3, (5, 1): 1}
+
+
 def test_query_equals_windows_of_words(spark):
     got = {(r.doc_id, r.item_id) for r in QUERIES["op7_template_decontam"](spark, SF001).collect()}
     docs = pd.read_parquet(f"{SF001}/documents.parquet")

@@ -19,8 +19,10 @@ window hash; the benchmark side is broadcast where it is measured small, else ad
 splits the hot hash. An alignment has at most as many windows as its item.
 
 Defined cases: null or empty texts have no windows and are clean; items of fewer than ``MATCHED`` words
-must be there whole, down to one word; an item that is short of ``LEAST_WORDS`` literal words in each
-window is looked for as it stands only; repeated rows are found each, alike; a null id is an id;
+must be there whole, down to one word, and are templates from ``LEAST_WORDS`` words on, ``LEAST_WHOLE`` of them
+literal, whatever slots the others are; a longer item that is short of ``LEAST_WORDS`` literal words in each
+window is looked for as it stands only; a very long text is cut into windows as any other; columns of any
+name may come along; repeated rows are found each, alike; a null id is an id;
 empty tables give an empty result.
 """
 
@@ -40,7 +42,8 @@ from ticketlens.llm.cluster import unused_prefix
 from ticketlens.session import materialise
 
 WINDOW = 8  # words of a window
-LEAST_WORDS = 5  # literal words that a template's window needs
+LEAST_WORDS = 5  # literal words that a template's window needs, and words of the shortest template
+LEAST_WHOLE = 3  # literal words that a whole short item needs as a template: its slots' kinds and order tell the rest
 MATCHED = 13  # words in one alignment that make a match, or the whole item
 
 #: Units that are placeholders when they follow a number.
@@ -119,7 +122,7 @@ def _rows(column: pa.Array, sizes, bloom: bytes | None) -> Iterator[tuple]:
             words, ends = (h, of) if plain else (word, kept_of)
             at = tu.window_starts(ends, size)
             if not plain:
-                at = at[literal[at + size] - literal[at] >= min(LEAST_WORDS, size)]
+                at = at[literal[at + size] - literal[at] >= LEAST_WHOLE]
             hashes = tu.windows(words, size)[at] ^ _U(size) if len(at) else np.empty(0, _U)
             if plain:
                 hashes ^= PLAIN
@@ -168,7 +171,9 @@ def item_windows(benchmark: DataFrame, id_col: str = "item_id", text_col: str =
     sizes = [(True, k) for k in range(1, WINDOW + 1)] + [(False, k) for k in range(LEAST_WORDS, MATCHED)]
     long_item = F.col("n_words") >= F.when(F.col("plain"), WINDOW).otherwise(MATCHED)
     rows = _window_table(texts, sizes)
-    return materialise(rows.where((F.col("size") == F.col("n_words")) | (long_item & (F.col("size") == WINDOW))), "items")
+    literals = F.size(F.filter("slots", lambda x: x == 0))
+    enough = F.col("plain") | (literals >= F.when(F.col("size") == F.col("n_words"), LEAST_WHOLE).otherwise(LEAST_WORDS))
+    return materialise(rows.where(((F.col("size") == F.col("n_words")) | (long_item & (F.col("size") == WINDOW))) & enough), "items")
 
 
 def document_key(id_col: Column, text_col: Column) -> Column:
