@@ -167,3 +167,28 @@ def test_position_index_holds_keys_only(spark):
     out = profile.row_at_position(df, ["a", "b"], [899, 0, 777])
     assert [(r.position, r.a, r.b, r.c) for r in out.collect()] == [(p, *order[p]) for p in (0, 777, 899)]
     assert profile.row_at_position(df.limit(0), ["a", "b"], [0]).count() == 0
+
+
+def test_bracketed_quantiles_equal_sorted_ones(spark):
+    rnd = random.Random(11)
+    columns = {
+        "spread": [rnd.gauss(0, 1000) for _ in range(5000)],
+        "hot": [7.0 if rnd.random() < 0.6 else rnd.uniform(0, 20) for _ in range(5000)],  # all quartiles in one value's run
+        "steps": [float(rnd.randrange(3)) for _ in range(5000)],
+        "holes": [None if rnd.random() < 0.7 else rnd.expovariate(1) for _ in range(5000)],
+        "none": [None] * 5000,
+    }
+    df = spark.createDataFrame(list(zip(*columns.values())), ", ".join(f"{c} double" for c in columns)).repartition(7)
+    df = df.withColumn("money", (F.col("spread") * 100).cast("decimal(18,2)"))
+    cols = [*columns, "money"]
+    freq = profile.materialise(profile.frequency_table(df, cols), "f")
+    want = {(c, p): np.quantile([v for v in vs if v is not None], p) for c, vs in columns.items() if c != "none" for p in profile.QUARTILES}
+    money = [float(r.money) for r in df.select("money").collect()]
+    want |= {("money", p): np.quantile(money, p) for p in profile.QUARTILES}
+    honest = profile.quantile_brackets(df, cols)
+    wrong = honest.withColumn("lo", F.col("lo") + 10_000).withColumn("hi", F.col("hi") + 10_000)  # holds no rank: opened
+    for brackets in (honest, wrong, honest.withColumn("lo", F.lit(None).cast("double"))):
+        got = {(r.column_name, float(r.p)): r.quantile for r in profile.exact_quantiles(freq, brackets).collect()}
+        assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 * max(1, abs(want[k])) for k in want)
+    b = honest.where("column_name = 'spread' and p = 0.5").first()
+    assert 0 < df.where(F.col("spread").between(b.lo, b.hi)).count() < 200  # of 5000

@@ -3,9 +3,9 @@
 Quantiles and modes are exact and computed from a *frequency table* — one row per distinct
 (column, value) with its count, built by a partially aggregated group-by — instead of Spark's
 ``percentile``/``mode`` aggregates, whose value→count maps are merged in a single task for a global
-aggregate. Cumulative counts over the frequency table use range partitioning
-(:func:`ticketlens.operators.ids.with_running_total`), and the few target ranks per column are a
-frame bounded by (#columns × #quantiles) that is broadcast into a range lookup.
+aggregate. Nothing sorts that table: quantile sketches bracket the ranks, exact counts check the brackets,
+and only the values inside them are range-sorted (:func:`ticketlens.operators.ids.with_running_total`).
+Most common values are proposed by heavy-hitter summaries and settled by an exact recount.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from ticketlens.session import materialise
 QUARTILES = (0.25, 0.5, 0.75)
 HEAVY = 256  # values a column that a summary of heavy hitters proposes
 TRACKED = 1024  # counters a column in a summary
+SKETCH_K = 2048  # size of a quantile sketch: a rank error of some 0.1 %
+BRACKET = 0.005  # how far above and below a rank its bracket reaches
 FREQ_ORDER = ["column_name", "exact", "approx"]
 
 
@@ -55,31 +57,59 @@ def _as_double(exact, approx):
     return F.coalesce(exact.cast("double"), approx)
 
 
-def exact_quantiles(tagged: DataFrame, probs=QUARTILES) -> DataFrame:
+def quantile_brackets(df: DataFrame, cols: list[str], probs=QUARTILES, margin: float = BRACKET) -> DataFrame:
+    """(column_name, p, lo, hi): values that the quantiles very probably lie between, one row a column and
+    probability. One scan of the rows; a task sends one mergeable sketch a column. A column without
+    values has no bounds."""
+    value = [F.nullif(F.col(f"`{c}`").cast("double"), F.lit(float("nan"))) for c in cols]
+    found = df.agg(*[F.kll_sketch_agg_double(v, F.lit(SKETCH_K)).alias(f"s{i}") for i, v in enumerate(value)],
+                   *[F.count(v).alias(f"n{i}") for i, v in enumerate(value)])
+    found = materialise(found, "sketches")
+
+    def bound(i: int, rank: float):
+        return F.when(F.col(f"n{i}") > 0, F.kll_sketch_get_quantile_double(f"s{i}", F.lit(min(max(rank, 0.0), 1.0))))
+
+    return found.select(F.inline(F.array(*[F.struct(
+        F.lit(c).alias("column_name"), F.lit(p).cast("decimal(10,4)").alias("p"),
+        bound(i, p - margin).alias("lo"), bound(i, p + margin).alias("hi")) for i, c in enumerate(cols) for p in probs])))
+
+
+def exact_quantiles(freq: DataFrame, brackets: DataFrame) -> DataFrame:
     """(column_name, p, quantile) with linear interpolation between order statistics (pandas /
-    ``percentile`` semantics), in decimal arithmetic for exact columns. ``tagged`` is a frequency
-    table from :func:`range_tagged` on its order; its null-value rows sort first in their column and
-    are dropped after the running total, so ranks count non-null values only."""
-    cum = with_running_total(tagged, FREQ_ORDER, "cnt", "_before", tagged=True).where(_present())
-    starts = cum.groupBy("column_name").agg(F.min("_before").alias("_start"),
-                                            F.sum("cnt").alias("_n"))
-    targets = (starts
-               .withColumn("p", F.explode(F.array(*[F.lit(p).cast("decimal(10,4)") for p in probs])))
-               .withColumn("_at", F.col("p") * (F.col("_n") - 1))
-               .withColumn("_lo", F.floor("_at").cast("long"))
-               .withColumn("_hi", F.ceil("_at").cast("long"))
-               .withColumn("_frac", F.col("_at") - F.col("_lo")))
-    # Rank r (0-based) sits in the row with start+_before_in_col <= r < … + cnt.
-    c = cum.alias("c")
-    t = F.broadcast(targets).alias("t")  # columns × quantiles rows
-    first = F.col("c._before") - F.col("t._start")
-    last = first + F.col("c.cnt")
-    hit_lo = (first <= F.col("t._lo")) & (F.col("t._lo") < last)
-    hit_hi = (first <= F.col("t._hi")) & (F.col("t._hi") < last)
-    joined = c.join(t, (F.col("c.column_name") == F.col("t.column_name")) & (hit_lo | hit_hi))
-    picked = joined.groupBy(F.col("t.column_name").alias("column_name"), F.col("t.p").alias("p"),
-                            F.col("t._frac").alias("_frac")).agg(*[
-        F.max(F.when(hit, F.col(f"c.{kind}"))).alias(f"{side}_{kind}")
+    ``percentile`` semantics), in decimal arithmetic for exact columns. ``freq`` is a written frequency table in
+    any order, read a few times; nulls don't count.
+
+    Selection by bracketing: the values below and inside each bracket are counted exactly; a bracket that
+    doesn't hold its ranks is opened to all values; and only the values inside brackets are sorted."""
+    present = freq.where(_present()).withColumn("_d", _as_double(F.col("exact"), F.col("approx")))
+    # no bounds, or bounds that don't hold the ranks: all values (NaN is above infinity)
+    lo, hi = F.coalesce("lo", F.lit(float("-inf"))), F.coalesce("hi", F.lit(float("nan")))
+    wide = F.broadcast(brackets.withColumns({"lo": lo, "hi": hi}))  # columns × probabilities rows
+    counts = present.join(wide, "column_name").groupBy("column_name", "p", "lo", "hi").agg(
+        F.sum("cnt").alias("_n"), F.sum(F.when(F.col("_d") < F.col("lo"), F.col("cnt")).otherwise(0)).alias("_below"),
+        F.sum(F.when(F.col("_d").between(F.col("lo"), F.col("hi")), F.col("cnt")).otherwise(0)).alias("_inside"))
+    counts = (counts.withColumn("_at", F.col("p") * (F.col("_n") - 1))
+              .withColumn("_lo", F.floor("_at").cast("long")).withColumn("_hi", F.ceil("_at").cast("long"))
+              .withColumn("_frac", F.col("_at") - F.col("_lo"))
+              .withColumn("_held", (F.col("_below") <= F.col("_lo")) & (F.col("_hi") < F.col("_below") + F.col("_inside"))))
+    targets = materialise(counts.select(
+        "column_name", "p", "_lo", "_hi", "_frac", "_held", F.when(F.col("_held"), F.col("_below")).otherwise(0).alias("_below"),
+        F.when(F.col("_held"), F.col("lo")).otherwise(float("-inf")).alias("lo"),
+        F.when(F.col("_held"), F.col("hi")).otherwise(float("nan")).alias("hi")), "targets")
+    keys = ["column_name", "p", "exact", "approx"]
+    inside = present.join(F.broadcast(targets.select("column_name", "p", "lo", "hi")), "column_name").where(
+        F.col("_d").between(F.col("lo"), F.col("hi"))).select(*keys, "cnt")
+    cum = with_running_total(range_tagged(inside, keys), keys, "cnt", "_before", tagged=True)
+    starts = cum.groupBy("column_name", "p").agg(F.min("_before").alias("_start"))  # a row a target
+    known = F.broadcast(targets.join(F.broadcast(starts), ["column_name", "p"]))
+    joined = cum.join(known, ["column_name", "p"])
+    # rank r (0-based) sits in the row that _below + _before - _start … + cnt holds
+    first = F.col("_below") + F.col("_before") - F.col("_start")
+    last = first + F.col("cnt")
+    hit_lo = (first <= F.col("_lo")) & (F.col("_lo") < last)
+    hit_hi = (first <= F.col("_hi")) & (F.col("_hi") < last)
+    picked = joined.where(hit_lo | hit_hi).groupBy("column_name", "p", "_frac").agg(*[
+        F.max(F.when(hit, F.col(kind))).alias(f"{side}_{kind}")
         for side, hit in (("lo", hit_lo), ("hi", hit_hi)) for kind in ("exact", "approx")])
     exact = F.col("lo_exact") + (F.col("hi_exact") - F.col("lo_exact")) * F.col("_frac")
     approx = F.col("lo_approx") + (F.col("hi_approx") - F.col("lo_approx")) * F.col("_frac").cast("double")
@@ -101,7 +131,7 @@ def lowest_modes(freq: DataFrame) -> DataFrame:
 def all_modes(df: DataFrame, cols: list[str]) -> DataFrame:
     """Every tied mode, one row each (Q8): (column_name, mode, mode_count). Ties are told by the
     whole values and shown with 2 decimals."""
-    freq = range_tagged(frequency_table(df, cols), FREQ_ORDER).where(_present())
+    freq = materialise(frequency_table(df, cols), "frequencies").where(_present())
     return (_at_top(freq).select("column_name", round2(_as_double(F.col("exact"), F.col("approx"))).alias("mode"),
                                  "mode_count").orderBy("column_name", "mode"))
 
@@ -109,12 +139,11 @@ def all_modes(df: DataFrame, cols: list[str]) -> DataFrame:
 def _numeric_tables(df: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(per-column stats, wide quartiles, lowest modes), all from one frequency table.
 
-    The source is scanned once: the (column, value) → count table (null values included) is
-    range-partitioned on (column, value) and written once to the shared checkpoint folder; counts,
-    totals, min/max, the two-pass sample standard deviation, the modes and — through the running
-    count over the same stored ranges — the exact quartiles are small aggregates over it."""
-    tagged = range_tagged(frequency_table(df, cols), FREQ_ORDER)
-    freq_all = tagged.drop("_pid", "_pos")
+    The source is scanned twice: for the sketches that bracket the quartiles, and for the (column, value) →
+    count table (null values included), a hash aggregate that is written once in no order. Counts, totals,
+    min/max, the two-pass sample standard deviation, the modes and the exact quartiles are aggregates over it."""
+    brackets = quantile_brackets(df, cols)
+    freq_all = materialise(frequency_table(df, cols), "frequencies")
     freq = freq_all.where(_present())
     nn = F.when(_present(), F.col("cnt"))
     stats = freq_all.groupBy("column_name").agg(
@@ -129,7 +158,7 @@ def _numeric_tables(df: DataFrame, cols: list[str]) -> tuple[DataFrame, DataFram
     stats = (stats.join(F.broadcast(dev), "column_name", "left")
              .withColumn("std", F.when(F.col("non_null") > 1, F.sqrt(
                  F.col("_ss") / (F.col("non_null") - 1).cast("double")))))
-    quant = exact_quantiles(tagged)
+    quant = exact_quantiles(freq_all, brackets)
     wide = quant.groupBy("column_name").agg(*[
         F.max(F.when(F.col("p") == F.lit(p).cast("decimal(10,4)"), F.col("quantile"))).alias(n)
         for p, n in zip(QUARTILES, ("q1", "q2", "q3"))])
