@@ -32,3 +32,16 @@ def test_stages_one_by_one(spark):
     assert sorted(ids[5]) == sorted(ids[4])
     whole = p.run(spark, SF001).collect()
     assert sorted(map(tuple, whole)) == sorted(map(tuple, kept[5].collect()))
+
+
+def test_stages_on_odd_and_empty_tables(spark, odd_docs, no_docs):
+    for docs, least in ((odd_docs, 1), (no_docs, 0)):
+        kept = docs
+        for name, stage in p.STAGES:
+            out = stage(spark, kept, SF001)
+            if name != p.STAGES[-1][0]:
+                assert out.columns == docs.columns, name
+            path = p.scratch_path(spark, name)
+            out.write.parquet(path)
+            kept = spark.read.parquet(path)
+        assert kept.count() >= least and (least or kept.count() == 0)

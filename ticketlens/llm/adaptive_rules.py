@@ -10,8 +10,8 @@ side, so a source with a third of all rows sends one sketch per task. Thresholds
 (language, source), joined back to the measures; adaptive execution splits a hot source.
 
 Defined cases: a null or empty text has no words, which fails the base rules; null language or
-source form groups of their own; repeated rows are judged each, alike; an empty table gives an empty
-result. Columns that the operator adds replace columns of the same name.
+source form groups of their own; repeated rows are judged each, alike; a very long text is measured
+whole like any other; a measure that ties with its threshold passes; an empty table gives an empty result. Columns that the operator adds replace columns of the same name.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ partitions in constant memory.
 
 Defined cases: null texts are empty, null roles empty strings; null conversations form one
 conversation; null sequence numbers come first; events that tie on the sequence are taken in order
-of kind, role and text; a message whose events were all withdrawn is gone; empty input, empty output.
+of kind, role and text; a very long text is one message's string as any other; other columns may come along under any
+name; a message whose events were all withdrawn is gone; empty input, empty output.
 """
 
 from __future__ import annotations

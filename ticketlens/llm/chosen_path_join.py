@@ -28,7 +28,7 @@ filter of bounded size picks their documents, and a join makes that exact. A set
 block of its group (``BLOCK`` sets or ``BLOCK_SHINGLES`` shingles): that, and the comparisons, is the
 price of exact numbers of links. Iterations write tables in the shared folder.
 
-Defined cases: a text of one to four words is one shingle; null texts and texts without words have no
+Defined cases: a text of one to four words is one shingle; a very long text is one set as any other; null texts and texts without words have no
 shingles, and each is a class of its own without links; equal sets are told by 64-bit sums of hashed
 shingles; repeated rows are copies; a null id comes last in a class; empty tables give an empty
 result. Extra columns are not looked at.

@@ -10,7 +10,8 @@ driver from those few numbers a row, and a second pass scores every document in
 shuffled, and a model is some kilobytes.
 
 Defined cases: a null text counts as an empty one, which has all-zero features and is scored like
-any other; repeated documents are scored each; several labels of one id become the larger one; a
+any other; a very long text is one set of features as any; repeated documents are scored each, and of rows
+with one labelled id the text of least hash is learnt from; several labels of one id become the larger one; a
 null label or id is no label; without labels of both classes the score is the smoothed share of
 good labels; an empty table gives an empty result. Added columns replace columns of the same name.
 """

@@ -11,7 +11,7 @@ by one join, where adaptive execution splits a host with a third of all pages. T
 numbers.
 
 Defined cases: a null url, or one without ``://``, has an empty host and path; so has a host of no
-characters; these are judged like the other hosts. Repeated rows are judged each. Without outcomes
+characters; these are judged like the other hosts. A very long url is judged whole, its host being one key as any. Repeated rows are judged each. Without outcomes
 every rate is the prior's and nothing but the rules blocks. Rules that are as long are taken in
 code point order. Columns that the operator adds replace columns of the same name.
 """
