@@ -2,6 +2,12 @@
 
 Every stage gets all rows its predecessor kept, written as Parquet and read again; all but the last
 return the columns of `documents`, whatever further columns there are.
+
+Defined cases: null, empty and blank texts are documents like others for every stage (the classifier
+scores them, they are no near copies of each other, they hold no benchmark item, the mix never takes
+them); very long texts pass whole; of rows that repeat id and text one stays after the second stage; null ids
+and sources are values; an empty table gives an empty result; columns of any name come along up to
+the last stage.
 """
 
 from __future__ import annotations

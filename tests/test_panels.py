@@ -123,3 +123,27 @@ def test_hourly_panel_without_its_column_lists_24_empty_hours(small_base):
 def test_a_month_that_is_no_number_selects_nothing(small_base):
     assert panels.panel_railcard(small_base, PanelFilters(month="March")).count() == 0
     assert panels.panel_hourly(small_base, PanelFilters(month="March")).count() == 0
+    assert panels.panel_railcard(small_base, PanelFilters(month="3")).count() == 0  # a text is no month
+
+
+NEEDS = {"panel_hourly": "hour_of_day", "panel_revenue_ticket": "price", "panel_daily_tx": "purchase_date", "panel_status": "journey_status",
+         "panel_daily_revenue": "journey_date", "panel_class_revenue": "ticket_class", "panel_top5_stations": "price",
+         "panel_delay_reasons": "reason_for_delay", "panel_railcard": "railcard", "panel_avg_price": "ticket_type",
+         "panel_purchase_type": "purchase_type", "panel_revenue_refund": "refund_request", "panel_refund_share": "refund_request",
+         "panel_refund_count": "journey_status", "panel_payment": "payment_method"}
+
+
+def test_guards_of_all_panels_depend_on_the_columns_only(spark):
+    from tests.conftest import SF001
+    from ticketlens.plans import star
+    from ticketlens.sources.rides import rides
+    base = star.flat_denormalised(rides(spark, SF001)).cache()
+    stations = star.station_union_distinct(rides(spark, SF001))
+    for name, column in NEEDS.items():
+        whole, without = (panels.panel(panels.PanelBase(b, stations), name) for b in (base, base.drop(column)))
+        rows = without.collect()
+        assert without.dtypes == whole.dtypes and whole.count() > 0, name
+        if name == "panel_hourly":
+            assert [r.number_of_transactions for r in rows] == [0] * 24
+        else:
+            assert not rows, name

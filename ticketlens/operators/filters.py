@@ -21,9 +21,8 @@ class PanelFilters:
     def predicates(self) -> list[tuple[str, object]]:
         out = []
         if self.month and self.month != "no-data":
-            text = str(self.month).strip()
-            # a month that is no number matches nothing
-            out.append(("month", int(text) if text.isdigit() else None))
+            # months are compared as they are: a text, also of digits, matches no month
+            out.append(("month", self.month if isinstance(self.month, int) else None))
         for col, v in (("departure_station_name", self.station), ("ticket_type", self.ticket_type),
                        ("railcard", self.railcard), ("payment_method", self.payment)):
             if v:

@@ -688,6 +688,15 @@ def _without(name: str, *columns: str):
     return run
 
 
+def _guarded(s, d, name, column):
+    """F13 on data: the rides as they are without a column, and the panel that is empty for lack of it."""
+    lean = _panel_base(s, d).base.drop(column)
+    empty = panels.panel(panels.PanelBase(lean), name)
+    none = [F.lit(None).cast(t).alias(c) for c, t in empty.dtypes]
+    total = lean.agg(F.count(F.lit(1)).alias("rides_without")).select(*none, "rides_without")
+    return total.unionByName(empty.withColumn("rides_without", F.lit(None).cast("long")))
+
+
 _q("panel_hourly__no_column", _without("panel_hourly", "hour_of_day"),
    "SELECT CAST(h AS INTEGER) AS hour_of_day, CAST(0 AS BIGINT) AS number_of_transactions FROM range(24) r(h)")
 _q("panel_revenue_ticket__no_column", _without("panel_revenue_ticket", "price"),
@@ -696,6 +705,12 @@ _q("panel_daily_tx__no_column", _without("panel_daily_tx", "purchase_date"),
    "SELECT CAST(NULL AS DATE) AS purchase_date, CAST(NULL AS BIGINT) AS number_of_transactions WHERE false")
 _q("panel_delay_reasons__no_column", _without("panel_delay_reasons", "reason_for_delay"),
    "SELECT CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS BIGINT) AS count WHERE false")
+# the guards on the rides: the panel without its column, next to the number of rides it was left out of
+for _name, _column, _fields in (
+        ("panel_status", "journey_status", "CAST(NULL AS VARCHAR) AS journey_status, CAST(NULL AS BIGINT) AS count, CAST(NULL AS DOUBLE) AS share_pct"),
+        ("panel_payment", "payment_method", "CAST(NULL AS VARCHAR) AS payment_method, CAST(NULL AS BIGINT) AS count, CAST(NULL AS DOUBLE) AS share_pct")):
+    _q(_name + "__guarded", (lambda n, c: lambda s, d: _guarded(s, d, n, c))(_name, _column),
+       with_ctes(["denorm"], f"SELECT {_fields}, count(*) AS rides_without FROM denorm"))
 _q("panel_status__month_text", _panel_query("panel_status", PanelFilters(month="March")),
    "SELECT CAST(NULL AS VARCHAR) AS journey_status, CAST(NULL AS BIGINT) AS count, "
    "CAST(NULL AS DOUBLE) AS share_pct WHERE false")
