@@ -19,7 +19,7 @@ def test_stream_totals_equal_batch_totals(spark):
     q = live_panels.start_status_refund_panel(spark, src + "/*", name, available_now=True)
     q.awaitTermination(120)
     got = {(x.journey_status, x.refund_request): (x["count"], x.revenue)
-           for x in spark.read.parquet(live_panels.panel_table_path(spark, name)).collect()}
+           for x in live_panels.panel_table(spark, name).collect()}
     exp = {(x.journey_status, x.refund_request): (x.n, float(x.rev)) for x in
            live_panels.notebook_clean(r).groupBy("journey_status", "refund_request")
            .agg(F.count(F.lit(1)).alias("n"), F.sum("price").alias("rev")).collect()}

@@ -17,7 +17,7 @@ from ticketlens.operators import clean, profile
 from ticketlens.operators.aggregate import category_domain, group_count, group_mean, \
     group_sum, having_count, value_counts
 from ticketlens.operators.filters import PanelFilters
-from ticketlens.plans import cube, panels, reports, star
+from ticketlens.plans import cube, increments, panels, reports, star
 from ticketlens.plans.catalog import register
 from ticketlens.plans.oracle import pct, r2, secs, with_ctes
 from ticketlens.session import materialise, scratch_path, store_key
@@ -264,6 +264,39 @@ _q("fact_string_keys", lambda s, d: star.cast_keys_string(_star(s, d).fact, star
    with_ctes(["fact"], "SELECT * REPLACE (" + ", ".join(
        f"CAST({c} AS VARCHAR) AS {c}" for c in star.FK_COLUMNS) + ") FROM fact"))
 _q("fact_b", _fact_b, with_ctes(["fact_b"], "SELECT * FROM fact_b"))
+
+
+def _ids_of(dim, id_col, name):
+    return dim.agg(F.lit(name).alias("dimension"), F.count(F.lit(1)).alias("n"), F.countDistinct(id_col).alias("ids"),
+                   F.min(id_col).alias("least"), F.max(id_col).alias("most"))
+
+
+def _batches(s, d):
+    """The tickets in three batches by the month of purchase, as they would arrive, one of them twice."""
+    def build(path):
+        t = _tickets(s, d)
+        month = F.month("date_of_purchase")
+        for name, part in (("a", month <= 4), ("b", month.between(5, 8)), ("a", month <= 4), ("c", month.isNull() | (month > 8))):
+            increments.load_batch(s, t.where(part), path, name)
+        return path
+    return increments.tables(s, _once("batches", s, d, build))
+
+
+def _fact_of_batches(s, d):
+    t = _batches(s, d)
+    return (t["fact"].join(t["dim_time"].select("time_id", "purchase_date", "time_of_purchase"), "time_id", "left")
+            .join(t["dim_journey"].select("journey_id", *star.JOURNEY_B_COLS), "journey_id", "left").drop("time_id", "journey_id"))
+
+
+_q("fact_b_batches", _fact_of_batches,
+   with_ctes(["fact_b", "dim_time_b", "dim_journey_b"], "SELECT f.* EXCLUDE (time_id, journey_id), t.purchase_date, t.time_of_purchase, "
+             + ", ".join(f"j.{c}" for c in star.JOURNEY_B_COLS)
+             + " FROM fact_b f LEFT JOIN dim_time_b t USING (time_id) LEFT JOIN dim_journey_b j USING (journey_id)"))
+_q("dim_ids_batches", lambda s, d: _ids_of(_batches(s, d)["dim_time"], "time_id", "dim_time").unionByName(
+    _ids_of(_batches(s, d)["dim_journey"], "journey_id", "dim_journey")),
+   with_ctes(["dim_time_b", "dim_journey_b"], "SELECT 'dim_time' AS dimension, count(*) AS n, count(*) AS ids, min(time_id) AS least, "
+             "max(time_id) AS most FROM dim_time_b UNION ALL SELECT 'dim_journey', count(*), count(*), min(journey_id), max(journey_id) "
+             "FROM dim_journey_b"))
 _q("fk_null_check", lambda s, d: star.fk_null_check(_fact_b(s, d)),
    with_ctes(["fact_b"], "SELECT count(*) - count(time_id) AS null_time_ids, "
                          "count(*) - count(journey_id) AS null_journey_ids FROM fact_b"))

@@ -215,15 +215,19 @@ JOURNEY_B_COLS = ["journey_date", "departure_time", "arrival_time", "actual_arri
                   "reason_for_delay"]
 
 
-def _raw_b(tickets: DataFrame) -> DataFrame:
+def renamed_dates(tickets: DataFrame) -> DataFrame:
+    """Tickets with the date columns' names of the dimensions."""
     return (tickets.withColumnRenamed("date_of_purchase", "purchase_date")
             .withColumnRenamed("date_of_journey", "journey_date"))
 
 
 def dim_time_b(tickets: DataFrame) -> DataFrame:
     """Distinct (purchase date, time) rows with calendar parts; time_id 1..K."""
-    distinct = _raw_b(tickets).select(*TIME_B_COLS).dropDuplicates()
-    ided = with_contiguous_id(distinct, [F.asc_nulls_first(c) for c in TIME_B_COLS], "time_id")
+    distinct = renamed_dates(tickets).select(*TIME_B_COLS).dropDuplicates()
+    return described_times(with_contiguous_id(distinct, [F.asc_nulls_first(c) for c in TIME_B_COLS], "time_id"))
+
+
+def described_times(ided: DataFrame) -> DataFrame:
     d = F.col("purchase_date")
     return ided.select(
         "time_id", "purchase_date", "time_of_purchase", d.alias("date"),
@@ -234,9 +238,12 @@ def dim_time_b(tickets: DataFrame) -> DataFrame:
 
 def dim_journey_b(tickets: DataFrame) -> DataFrame:
     """Distinct journey rows; journey_id 1..K."""
-    distinct = _raw_b(tickets).select(*JOURNEY_B_COLS).dropDuplicates()
-    ided = with_contiguous_id(distinct, [F.asc_nulls_first(c) for c in JOURNEY_B_COLS],
-                              "journey_id")
+    distinct = renamed_dates(tickets).select(*JOURNEY_B_COLS).dropDuplicates()
+    return described_journeys(with_contiguous_id(distinct, [F.asc_nulls_first(c) for c in JOURNEY_B_COLS],
+                                                 "journey_id"))
+
+
+def described_journeys(ided: DataFrame) -> DataFrame:
     return ided.select(
         "journey_id", *JOURNEY_B_COLS,
         composite_key(JOURNEY_B_COLS, ["NaT", "nan", "nan", "nan", "nan"]).alias("journey_key"))
@@ -254,7 +261,7 @@ def _null_safe_lookup(left: DataFrame, dim: DataFrame, cols: list[str], id_col:
 
 def fact_b(tickets: DataFrame, time_b: DataFrame, journey_b: DataFrame) -> DataFrame:
     """Fact of variant B: 8 ticket columns + time_id + journey_id; no stations, no refund."""
-    raw = _raw_b(tickets)
+    raw = renamed_dates(tickets)
     with_time = _null_safe_lookup(raw, time_b, TIME_B_COLS, "time_id")
     with_both = _null_safe_lookup(with_time, journey_b, JOURNEY_B_COLS, "journey_id")
     return with_both.select("transaction_id", "line_number", "purchase_type", "payment_method",

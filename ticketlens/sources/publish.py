@@ -37,12 +37,19 @@ def versions(spark: SparkSession, path: str) -> list[str]:
     return [n.split("-", 1)[1] for n in _manifests(spark, path)]
 
 
-def publish(tables: dict[str, tuple[DataFrame, list[str]]], path: str, spark: SparkSession) -> str:
+def publish(tables: dict[str, tuple[DataFrame, list[str]]], path: str, spark: SparkSession,
+            version: str | None = None) -> str:
     """Write ``{name: (frame, partition columns)}`` as a new version under ``path`` and make it the newest.
-    Returns the version. Of two writers at once, the one that ends last is the newest."""
-    version, root = uuid.uuid4().hex, path.rstrip("/")
+    Returns the version: a name of its own, if none is given. One that is published already stays as it is;
+    files of one that was left unfinished are replaced.
+    Of two writers at once, the one that ends last is the newest."""
+    root = path.rstrip("/")
+    if version in versions(spark, root):
+        return version
+    version = version or uuid.uuid4().hex
     for name, (df, parts) in tables.items():
-        writer = df.write.partitionBy(*parts) if parts else df.write
+        writer = df.write.mode("overwrite")
+        writer = writer.partitionBy(*parts) if parts else writer
         writer.parquet(f"{root}/{version}/{name}")
     fs, folder = _files(spark, f"{root}/_manifests")
     fs.mkdirs(folder)
@@ -73,6 +80,14 @@ def published(spark: SparkSession, path: str, version: str | None = None) -> dic
     return {n: spark.read.parquet(f"{root}/{found[-1].split('-', 1)[1]}/{n}") for n in names}
 
 
+def published_parts(spark: SparkSession, path: str, name: str) -> DataFrame | None:
+    """One table over all published versions together, where each holds a part (a batch) of it; None
+    before the first."""
+    root = path.rstrip("/")
+    found = versions(spark, root)
+    return spark.read.parquet(*[f"{root}/{v}/{name}" for v in found]) if found else None
+
+
 def drop_old(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     """Delete all but the newest ``keep`` versions, manifest first; returns the versions deleted."""
     gone = _manifests(spark, path)[:-keep] if keep > 0 else []

@@ -25,7 +25,7 @@ RIDES_COLUMNS = [
     "actual_arrival_time", "journey_status", "reason_for_delay", "refund_request",
 ]
 
-RIDE_TABLES = ["orders", "customer", "nation"]  # what rides are derived from
+RIDE_TABLES = ["orders", "customer", "nation", "lineitem"]  # what rides and their tickets are derived from
 
 # Category labels of the ticket data (field dictionary) and the binding's code maps.
 PAYMENT_BY_CODE = ["Credit Card", "Contactless", "Debit Card"]          # o_custkey % 3

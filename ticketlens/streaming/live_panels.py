@@ -3,7 +3,7 @@
 The upstream dashboard recomputes its panels from a file loaded at start-up. Here the same
 cleaning and grouping run as a Structured Streaming query over a folder of flat ride files: each
 micro-batch is partially aggregated, the running totals live in the state store (keyed by the two
-categorical columns, so state stays a handful of rows), and every trigger replaces the panel table.
+categorical columns, so state stays a handful of rows), and every trigger publishes the panel table anew.
 Checkpoint and output live in the shared checkpoint folder, so a restarted driver resumes.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ticketlens.operators.clean import notebook_clean
 from ticketlens.session import checkpoint_dir
 from ticketlens.sources.files import RIDES_SCHEMA
+from ticketlens.sources.publish import drop_old, publish, published
 
 
 def ride_stream(spark: SparkSession, source_dir: str, fmt: str = "parquet",
@@ -38,20 +39,23 @@ def status_refund_totals(rides: DataFrame) -> DataFrame:
 
 def start_status_refund_panel(spark: SparkSession, source_dir: str, out_name: str = "status_refund",
                               fmt: str = "parquet", available_now: bool = False) -> StreamingQuery:
-    """Start the stream; each trigger overwrites ``<checkpoint>/<out_name>/table`` (Parquet) with
-    the current totals, revenue as double."""
+    """Start the stream; each trigger publishes the current totals, revenue as double, as a version under
+    ``<checkpoint>/<out_name>/panel``. The last two versions stay, so that a reader of the one before isn't
+    disturbed; a batch that is run again after a failure replaces its own version."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/{out_name}"
 
-    def publish(batch: DataFrame, _epoch: int) -> None:
-        (batch.withColumn("revenue", F.col("revenue").cast("double"))
-         .write.mode("overwrite").parquet(f"{base}/table"))
+    def put(batch: DataFrame, epoch: int) -> None:
+        totals = batch.withColumn("revenue", F.col("revenue").cast("double"))
+        publish({"totals": (totals, [])}, f"{base}/panel", batch.sparkSession, version=f"epoch{epoch}")
+        drop_old(batch.sparkSession, f"{base}/panel", keep=2)
 
     w = (status_refund_totals(ride_stream(spark, source_dir, fmt)).writeStream
          .outputMode("complete").option("checkpointLocation", f"{base}/_checkpoint")
-         .foreachBatch(publish))
+         .foreachBatch(put))
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="30 seconds")
     return w.start()
 
 
-def panel_table_path(spark: SparkSession, out_name: str = "status_refund") -> str:
-    return f"{checkpoint_dir(spark).rstrip('/')}/{out_name}/table"
+def panel_table(spark: SparkSession, out_name: str = "status_refund") -> DataFrame:
+    """The newest published totals."""
+    return published(spark, f"{checkpoint_dir(spark).rstrip('/')}/{out_name}/panel")["totals"]
