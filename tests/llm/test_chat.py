@@ -69,3 +69,14 @@ def test_one_conversation_with_most_messages_and_odd_rows(spark):
     assert out[7].n_turns == n and out[7].loss_sha256 == hashlib.sha256("".join(x[5] for x in big).encode()).hexdigest()
     assert out[8].loss_chars == 0 and out[8].turns_sha256 == hashlib.sha256(b"\n\n").hexdigest()
     assert c.digest(c.parse(c.render(c.fold(spark.createDataFrame([], EVENT))))).count() == 0
+
+
+def test_very_long_texts_and_further_columns(spark):
+    from pyspark.sql import functions as F
+    long = "<|im_end|>\\" * 30_000
+    events = spark.createDataFrame([(1, 0, "message", 0, "user", "q"), (1, 1, "message", 1, "assistant", long)], EVENT)
+    events = events.withColumns({x: F.lit("own") for x in ("formatted", "loss_text", "n_turns", "state", "events")})
+    parsed = c.parse(c.render(c.fold(events)))
+    assert {r.msg: r.text for r in parsed.collect()} == {0: "q", 1: long}
+    row = c.digest(parsed).first()
+    assert (row.n_turns, row.loss_chars) == (2, len(long)) and row.loss_sha256 == hashlib.sha256(long.encode()).hexdigest()

@@ -128,3 +128,17 @@ def test_reputation_shrinks_and_blocks_only_what_is_surely_bad(spark):
          .select("host", domain.alias("d"), suffix.alias("s")).collect()}
     assert d["www.site.co.uk"] == ("site.co.uk", "co.uk") and d["10.0.0.1"] == ("10.0.0.1", "10.0.0.1")
     assert d["h1.good.org"] == ("good.org", "org")
+
+
+def test_urls_of_odd_tables(spark):
+    from pyspark.sql import functions as F
+    long_path, long_host = "/a" * 60_000, "h" * 40_000 + ".org"
+    urls = [f"http://x.net{long_path}", f"http://{long_host}/p", "http://x.net/1", "http://x.net/1"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumns(
+        {c: F.lit("own") for c in ("Host", "path", "verdict", "bad", "n", "domain", "rules", "order")})
+    rules = spark.createDataFrame([("block", f"{long_host}/p")], "verdict string, rule string")
+    rows = {r.page_id: r for r in ur.judge(pages.unionByName(pages.where("page_id = 3")), rules).collect()}
+    out = ur.judge(pages, rules)
+    assert [c.lower() for c in out.columns].count("host") == 1 and out.count() == 4 and {"bad", "n", "domain"} <= set(out.columns)
+    assert rows[0].path == long_path and rows[1].host == long_host and rows[1].verdict == "block"
+    assert rows[2].verdict == rows[3].verdict == "allow" and rows[2].n == "own"
