@@ -5,6 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from ticketlens.llm import attention_lm as a
@@ -71,7 +72,7 @@ def test_causal_and_every_id_scored_once(model):
 def test_every_id_of_long_texts_is_learnt(spark):
     sub = a.tu.subwords(tokenizer_path())
     texts = ["", "one", "the river ran past the old mill " * 300, "over the stones where children used to play " * 7]
-    ids, of = a._ids(sub, texts, sub.size)
+    ids, of = a._ids(sub, pa.array(texts), sub.size)
     rows = a._learn_pass(spark.createDataFrame([(t,) for t in texts], "text string"), tokenizer_path()).where("kind = 2")
     got = [np.frombuffer(r.window, "<u4") for r in rows.collect()]
     assert all(len(w) <= a.SPAN + 1 for w in got)

@@ -42,7 +42,7 @@ from ticketlens.session import materialise
 CLASSES = 128
 SHARED = 16  # classes of the rarer ids
 WIDTH = 16
-SPAN, STRIDE = 32, 28
+SPAN, STRIDE = 32, 24
 HOT_WORDS = 1 << 19
 ROUNDS = 3
 PRIOR = 20.0  # weight of an id's overall frequency against that after one class
@@ -192,12 +192,12 @@ class Model:
                 t -= now * (m[n] / (1 - 0.9 ** (step + 1))) / (np.sqrt(v[n] / (1 - 0.99 ** (step + 1))) + 1e-7)
 
 
-def _ids(vocabulary: tu.Subwords, texts: list[str], end: int) -> tuple[np.ndarray, np.ndarray]:
+def _ids(vocabulary: tu.Subwords, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
     """Ids of texts, each led and closed by the end id, with the first place of each plus the end."""
-    tail = np.array([end], "<u4").tobytes()
-    raw = [tail + x + tail for x in vocabulary.encode(texts)]
-    return (np.frombuffer(b"".join(raw), "<u4").astype(np.int64),
-            np.concatenate(([0], np.cumsum([len(x) // 4 for x in raw]))))
+    ids, n = vocabulary.encode_column(texts)
+    ends = np.cumsum(n)
+    ids = np.insert(ids.astype(np.int64), np.stack([ends - n, ends], 1).ravel(), end)
+    return ids, np.concatenate(([0], np.cumsum(n + 2)))
 
 
 def _training_windows(ids: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -225,7 +225,7 @@ def _learn_pass(texts: DataFrame, tokenizer_path: str) -> DataFrame:
                 if sum(map(len, pairs)) > FLUSH:
                     yield counted(3, pairs)
                 hashes.append(tu.words(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], lower=True)[0])
-                ids, of = _ids(vocabulary, b["text"].slice(lo, hi - lo).to_pylist(), vocabulary.size)
+                ids, of = _ids(vocabulary, b["text"].slice(lo, hi - lo), vocabulary.size)
                 ids_seen += np.bincount(ids, minlength=len(ids_seen))
                 pair = ids[:-1] * len(ids_seen) + ids[1:]
                 pairs.append(np.delete(pair, of[1:-1] - 1))  # not from one text to the next
@@ -385,7 +385,7 @@ def score(docs: DataFrame, learns: Column, tokenizer_path: str, text_col: str =
                 is_hot = keys[place] == h if len(keys) else np.zeros(len(h), bool)
                 sums = np.bincount(text[is_hot], logs[place[is_hot]], hi - lo).astype(np.float64)
                 rare = np.concatenate(([0], np.cumsum(np.bincount(text[~is_hot], minlength=hi - lo)))).astype(np.int32)
-                ids, id_of = _ids(sub, b[pre + "text"].slice(lo, hi - lo).to_pylist(), sub.size)
+                ids, id_of = _ids(sub, b[pre + "text"].slice(lo, hi - lo), sub.size)
                 columns = [np.arange(row, row + hi - lo), n + 1, np.bincount(text[is_hot], minlength=hi - lo), sums,
                            _score_slice(net, classes, ids, id_of)]
                 row += hi - lo
