@@ -17,6 +17,7 @@ join, and the dim side of a hot key is a single row.
 
 from __future__ import annotations
 
+import functools
 from functools import cached_property
 
 from pyspark.sql import DataFrame
@@ -250,13 +251,13 @@ def described_journeys(ided: DataFrame) -> DataFrame:
 
 
 def _null_safe_lookup(left: DataFrame, dim: DataFrame, cols: list[str], id_col: str) -> DataFrame:
-    """Left join on ``cols`` with ``<=>`` (J7/J8); the dim side has unique keys."""
-    d = dim.select(id_col, *[F.col(c).alias(f"_d_{c}") for c in cols])
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(d[f"_d_{c}"])
-        cond = e if cond is None else cond & e
-    return left.join(d, cond, "left").drop(*[f"_d_{c}" for c in cols])
+    """Left join on ``cols`` with ``<=>`` (J7/J8); the dim side has unique keys. Both sides are dealt and
+    sorted by one 64-bit hash of the columns instead of all of them with their null flags; that every column is
+    the same is checked on the rows whose hashes meet (as a count, so that it stays a check)."""
+    d = dim.select(id_col, *[F.col(c).alias(f"_d_{c}") for c in cols]).withColumn("_d_h", F.xxhash64(*[f"_d_{c}" for c in cols]))
+    own = left.withColumn("_h", F.xxhash64(*cols))
+    same = functools.reduce(lambda a, b: a + b, [own[c].eqNullSafe(d[f"_d_{c}"]).cast("int") for c in cols])
+    return own.join(d, (own["_h"] == d["_d_h"]) & (same == len(cols)), "left").drop("_h", "_d_h", *[f"_d_{c}" for c in cols])
 
 
 def fact_b(tickets: DataFrame, time_b: DataFrame, journey_b: DataFrame) -> DataFrame:
