@@ -21,8 +21,8 @@ from ticketlens.operators.ids import range_tagged, with_running_total
 from ticketlens.session import materialise
 
 QUARTILES = (0.25, 0.5, 0.75)
-HEAVY = 256  # values a column that a summary of heavy hitters proposes
-TRACKED = 1024  # counters a column in a summary
+HEAVY = 4096  # values a column that a summary of heavy hitters proposes
+TRACKED = 8192  # counters a column in a summary
 SKETCH_K = 2048  # size of a quantile sketch: a rank error of some 0.1 %
 BRACKET = 0.005  # how far above and below a rank its bracket reaches
 FREQ_ORDER = ["column_name", "exact", "approx"]

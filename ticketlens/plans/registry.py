@@ -740,8 +740,9 @@ _q("panel_delay_reasons__no_column", _without("panel_delay_reasons", "reason_for
    "SELECT CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS BIGINT) AS count WHERE false")
 # the guards on the rides: the panel without its column, next to the number of rides it was left out of
 for _name, _column, _fields in (
-        ("panel_status", "journey_status", "CAST(NULL AS VARCHAR) AS journey_status, CAST(NULL AS BIGINT) AS count, CAST(NULL AS DOUBLE) AS share_pct"),
-        ("panel_payment", "payment_method", "CAST(NULL AS VARCHAR) AS payment_method, CAST(NULL AS BIGINT) AS count, CAST(NULL AS DOUBLE) AS share_pct")):
+        ("panel_railcard", "railcard", "CAST(NULL AS VARCHAR) AS railcard_type, CAST(NULL AS BIGINT) AS number_of_transactions"),
+        ("panel_refund_count", "refund_request",
+         "CAST(NULL AS VARCHAR) AS journey_status, CAST(NULL AS VARCHAR) AS refund_request, CAST(NULL AS BIGINT) AS count")):
     _q(_name + "__guarded", (lambda n, c: lambda s, d: _guarded(s, d, n, c))(_name, _column),
        with_ctes(["denorm"], f"SELECT {_fields}, count(*) AS rides_without FROM denorm"))
 _q("panel_status__month_text", _panel_query("panel_status", PanelFilters(month="March")),
