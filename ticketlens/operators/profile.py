@@ -21,8 +21,8 @@ from ticketlens.operators.ids import range_tagged, with_running_total
 from ticketlens.session import materialise
 
 QUARTILES = (0.25, 0.5, 0.75)
-HEAVY = 4096  # values a column that a summary of heavy hitters proposes
-TRACKED = 8192  # counters a column in a summary
+HEAVY = 512  # values a column that a summary of heavy hitters proposes
+TRACKED = 2048  # counters a column in a summary
 SKETCH_K = 2048  # size of a quantile sketch: a rank error of some 0.1 %
 BRACKET = 0.005  # how far above and below a rank its bracket reaches
 FREQ_ORDER = ["column_name", "exact", "approx"]
@@ -262,8 +262,8 @@ def recount(df: DataFrame, heavy: DataFrame, cols: list[str]) -> DataFrame:
     return materialise(found.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt")), "recount")
 
 
-def categorical_summary(df: DataFrame, cols: list[str], keep: int = HEAVY,
-                        tracked: int = TRACKED) -> tuple[DataFrame, DataFrame]:
+def categorical_summary(df: DataFrame, cols: list[str], keep: int = HEAVY, tracked: int = TRACKED,
+                        stored: bool = False) -> tuple[DataFrame, DataFrame]:
     """(frequency table as text, per-column summary: total_count (all rows), unique_values,
     most_common (highest count, lowest value on ties) and most_common_count). A column without any
     value has 0 unique values and no most common one.
@@ -271,8 +271,9 @@ def categorical_summary(df: DataFrame, cols: list[str], keep: int = HEAVY,
     A summary of heavy hitters proposes values and an exact recount settles them: candidates that
     hold all non-null rows are all the values there are. A column they don't settle is counted whole, in a
     hash aggregate of such columns only, so its many values never crowd the others out of the tasks'
-    hash maps. Nothing is sorted or written value by value: the lowest of the most common values is an
-    aggregate without keys, one row a task."""
+    hash maps. Nothing is sorted value by value: the lowest of the most common values is an
+    aggregate without keys, one row a task. Nor are such counts written, unless ``stored`` asks for it because
+    the caller reads table and summary."""
     heavy = heavy_hitters(df, cols, keep, tracked)
     counted = recount(df, heavy, cols)
     held = counted.groupBy("column_name").agg(F.sum("cnt").alias("held"))
@@ -285,6 +286,7 @@ def categorical_summary(df: DataFrame, cols: list[str], keep: int = HEAVY,
     parts = [_least_of_most(freq, settled, rows)] if settled else []
     if whole:
         rest = _stack_text(df, whole).where("value is not null").groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
+        rest = materialise(rest, "counts") if stored else rest
         parts.append(_least_of_most(rest, whole, rows))
         freq = freq.unionByName(rest)
     return freq, parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
@@ -306,7 +308,7 @@ def _least_of_most(freq: DataFrame, cols: list[str], rows: dict[str, int]) -> Da
 def categorical_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     """Statistics of categorical columns (Q9): every value's count with the column's
     total rows, number of unique values and most common value."""
-    freq, summary = categorical_summary(df, cols)
+    freq, summary = categorical_summary(df, cols, stored=True)
     return (freq.join(F.broadcast(summary), "column_name")
             .select("column_name", "value", F.col("cnt").alias("count"), "total_count",
                     "unique_values", "most_common", "most_common_count")
