@@ -81,6 +81,28 @@ def test_resampling_odd_input(spark, odd_docs, no_docs):
     assert ir.resample(no_docs, odd_docs).count() == 0
 
 
+@pytest.mark.parametrize("max_n", [1, 2])
+def test_features_of_slices_of_a_column(max_n):
+    texts = ["Alpha beta gamma", "", None, "über Z z", "beta 12!", None, "d3lta", "ÉCLAIR x, y"]
+    full = [t or "z z" for t in texts]
+    for column in (pa.array(x, kind) for kind in (pa.string(), pa.large_string()) for x in ([*texts, None], [*full, ""])):
+        for lo, hi in ((0, 9), (0, 3), (3, 5), (3, 9), (4, 5), (5, 6), (6, 8), (9, 9)):  # with nulls and without
+            found, n, n_words = ir.feature_buckets(column.slice(lo, hi - lo), max_n, 1000)
+            want = [_grams(t, max_n) for t in column.to_pylist()[lo:hi]]
+            ends = [0, *n.cumsum().tolist()]
+            assert n_words.tolist() == [len(w) for w, _ in want]
+            assert [sorted(found[a:b].tolist()) for a, b in zip(ends, ends[1:])] == [
+                sorted(zlib.crc32(g.encode()) % 1000 for g in grams) for _, grams in want]
+
+
+def test_resampling_of_more_text_than_a_slice(spark):
+    rnd = random.Random(5)
+    docs = [(i, " ".join(rnd.choices(["alpha", "BETA", "gamma", "d3lta", "é"], k=9000))) for i in range(200)]  # 10 MB in one task
+    items = ["beta beta", "gamma"]
+    got = ir.resample(spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), spark.createDataFrame([(t,) for t in items], "text string"))
+    assert _tuples(got) == sorted(_resampled(docs, items, 1, 10_000, 20, (10, 100)), key=str)
+
+
 def test_crc_of_short_and_long_texts():
     texts = ["", "a", "ü" * 16, "ü" * 17, "b" * 33, "c" * 5000, "two words"]
     assert ir.crc32_of(pa.array(texts)).tolist() == [zlib.crc32(t.encode()) for t in texts]

@@ -85,7 +85,9 @@ _CRC = _crc_table()
 
 def feature_buckets(texts: pa.Array, max_n: int = MAX_N, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(bucket of every feature, text by text; features of each text; words of each text)."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    # own offsets from 0 on: after a cast, a slice keeps those of the whole column, which ``ascii_lower`` misreads
+    data, offsets = tu.text_buffer(texts)
+    texts = pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
     parts = pc.split_pattern_regex(pc.ascii_lower(texts), pattern=SEPARATORS)
     words = pc.list_flatten(parts)
     of = np.repeat(np.arange(len(texts)), pc.list_value_length(parts).to_numpy(zero_copy_only=False))
