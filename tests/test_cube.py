@@ -45,6 +45,14 @@ def test_cells_are_few_where_rides_repeat(spark):
     assert once == many
 
 
+def test_rides_are_dealt_by_the_filters_before_they_become_cells(both):
+    plan = cube.cells(both[0].base)._jdf.queryExecution().executedPlan().toString().split("Expand [")[1]
+    dealt = plan.split("hashpartitioning(")[1].split("REBALANCE_PARTITIONS_BY_COL")[0]
+    assert all(f"{c}#" in dealt for c in cube.FILTER_COLUMNS)
+    bare = both[0].base.drop(*cube.FILTER_COLUMNS)
+    assert cube.cells(bare).where("cell_set = 'ticket_class'").agg(F.sum("n")).first()[0] == bare.count()
+
+
 def test_cube_of_a_base_without_columns(both):
     base = both[0].base.drop("hour_of_day", "price", "railcard")
     lean = panels.PanelBase(base, both[0].location)
