@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF001
 from ticketlens.plans import increments, star
-from ticketlens.session import scratch_path
+from ticketlens.session import materialise, scratch_path
 from ticketlens.sources.rides import ride_tickets
 
 
@@ -38,3 +38,26 @@ def test_an_empty_batch_adds_nothing(spark):
     increments.load_batch(spark, t.limit(0), path, "none again")
     got = increments.tables(spark, path)
     assert got["fact"].count() == 50 and got["dim_time"].agg(F.min("time_id")).first()[0] == 1
+
+
+def test_a_batch_streams_its_tickets_by_the_dimensions(spark, monkeypatch):
+    """Tickets, the many and wide rows, are neither sorted nor copied; nulls and repeats are looked up as ever."""
+    t = ride_tickets(spark, SF001).select(*star.TICKET_B_COLS).withColumn(
+        "time_of_purchase", F.when(F.col("line_number") != 1, F.col("time_of_purchase")))
+    table, path = materialise(t.unionByName(t.where("line_number = 2")), "tickets"), scratch_path(spark, "batches")
+    plans, fact_b = [], star.fact_b
+    monkeypatch.setattr(star, "fact_b", lambda *a, **k: plans.append(fact_b(*a, **k)) or plans[-1])
+    labels, written = [], increments.materialise
+    monkeypatch.setattr(increments, "materialise", lambda df, label: labels.append(label) or written(df, label))
+    day = F.dayofyear("date_of_purchase")
+    for name, part in (("one", day <= 200), ("two", day > 200)):
+        assert increments.load_batch(spark, table.where(part), path, name, stored=True)
+    assert "batch" not in labels
+    for df in plans:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("ShuffledHashJoin") == 2 and "SortMergeJoin" not in plan
+    got = increments.tables(spark, path)
+    fact = got["fact"].join(got["dim_time"].select("time_id", *star.TIME_B_COLS), "time_id").join(
+        got["dim_journey"].select("journey_id", *star.JOURNEY_B_COLS), "journey_id").drop("time_id", "journey_id")
+    want = star.renamed_dates(table)
+    assert sorted(map(str, fact.select(*want.columns).collect())) == sorted(map(str, want.collect()))
