@@ -147,3 +147,22 @@ def test_guards_of_all_panels_depend_on_the_columns_only(spark):
             assert [r.number_of_transactions for r in rows] == [0] * 24
         else:
             assert not rows, name
+
+
+def test_a_panel_of_joined_tables_joins_them_once(spark):
+    """The domain of the fact's own columns comes from the fact, and an empty selection is told by the groups."""
+    fact = spark.createDataFrame([(1, "On Time", "No", 5), (2, "Delayed", None, 7), (3, None, "Yes", 1), (None, "Lost", "No", 2)],
+                                 "time_id long, journey_status string, refund_request string, p int").withColumn(
+        "price", F.col("p").cast("decimal(18,2)")).drop("p")
+    time = spark.createDataFrame([(1, 3), (2, 4), (3, 5)], "time_id long, month int")
+    base = fact.join(time, "time_id", "left")
+    pb, plain = panels.PanelBase(base, facts=fact), panels.PanelBase(base)
+    for name in ("panel_revenue_refund", "panel_refund_count", "panel_status", "panel_payment"):
+        for f in (None, PanelFilters(month=3), PanelFilters(month=5), PanelFilters(month=12)):
+            got = panels.panel(pb, name, f)
+            assert got.collect() == panels.panel(plain, name, f).collect()
+    assert panels.panel_status(pb, PanelFilters(month=12)).isEmpty()
+    listed = panels.panel_status(pb, PanelFilters(month=5)).collect()  # the only selected row has no status
+    assert [(r.journey_status, r["count"]) for r in listed] == [("Delayed", 0), ("Lost", 0), ("On Time", 0)]
+    plan = panels.panel_refund_count(pb, PanelFilters(month=3))._jdf.queryExecution().optimizedPlan().toString()
+    assert len([line for line in plan.split("\n") if "Join" in line and "time_id#" in line]) == 1 and "exists" not in plan.lower() and "subquery" not in plan
