@@ -1,5 +1,6 @@
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -45,6 +46,42 @@ def test_gradient_is_the_slope(model):
         assert g[name][at] == pytest.approx((up - down) / (2 * eps), abs=2e-4, rel=0.05), name
 
 
+def test_gradient_is_that_of_products_with_ones_and_zeros(model):
+    rng = np.random.default_rng(4)
+    w, one = rng.integers(0, 40, (a.BATCH, a.SPAN + 1)), np.eye(a.CLASSES)  # most classes have no place
+    c, y, real = w[:, :-1], w[:, 1:], rng.random((a.BATCH, a.SPAN)) < 0.9
+    t = {n: x.astype(float) for n, x in model.w.items()}
+    scores = np.einsum("nik,njk->nij", t["q"][c], t["k"][c]) / a.WIDTH**0.5 + t["back"][a._BACK]
+    s = np.exp(np.where(a._CAUSAL, scores, -np.inf))
+    s /= s.sum(2, keepdims=True)
+    got = s @ t["v"][c]
+    p = np.exp(got @ t["out"] + t["last"][c])
+    d = (p / p.sum(2, keepdims=True) - one[y]) * real[:, :, None] / real.sum()
+    da = d @ t["out"].T
+    ds = np.einsum("nik,njk->nij", da, t["v"][c])
+    ds = s * (ds - (s * ds).sum(2, keepdims=True))
+    want = {"last": np.einsum("nic,nid->cd", one[c], d), "out": np.einsum("nik,nid->kd", got, d),
+            "q": np.einsum("nic,nij,njk->ck", one[c], ds, t["k"][c], optimize=True) / a.WIDTH**0.5,
+            "k": np.einsum("njc,nij,nik->ck", one[c], ds, t["q"][c], optimize=True) / a.WIDTH**0.5,
+            "v": np.einsum("njc,nij,nik->ck", one[c], s, da, optimize=True),
+            "back": np.bincount(a._BACK[a._CAUSAL], ds.sum(0)[a._CAUSAL], a.SPAN)}
+    g = model.gradient(c, y, real)
+    assert g.keys() == want.keys()
+    for n, x in want.items():
+        assert np.allclose(g[n], x, rtol=1e-3, atol=1e-6), n
+
+
+def test_a_step_takes_little_new_memory(model):
+    rng = np.random.default_rng(5)
+    w, real = rng.integers(0, a.CLASSES, (a.BATCH, a.SPAN + 1)), np.ones((a.BATCH, a.SPAN), bool)
+    model.gradient(w[:, :-1], w[:, 1:], real)
+    tracemalloc.start()
+    model.gradient(w[:, :-1], w[:, 1:], real)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * 4 * a.BATCH * a.SPAN * a.CLASSES  # logits, one-hot classes and their slopes took more
+
+
 def test_causal_and_every_id_scored_once(model):
     rng = np.random.default_rng(3)
     counts = rng.integers(0, 50, 1000).astype(float)

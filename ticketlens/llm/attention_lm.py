@@ -48,6 +48,7 @@ ROUNDS = 3
 PRIOR = 20.0  # weight of an id's overall frequency against that after one class
 BATCH = 64  # windows of a training step
 AT_ONCE = 128  # windows scored together: their logits stay in a core's cache
+TEXT_BYTES = 1 << 20  # texts whose words are told apart together
 FLUSH = 1 << 22  # words or pairs of ids counted together in a task
 END_WORD = 1  # the key of a text's end among word hashes
 _U = np.uint64
@@ -125,71 +126,132 @@ class Model:
         return np.concatenate([self.w[n].ravel() for n, _ in Model.SHAPES])
 
     @staticmethod
-    def from_flat(values: np.ndarray) -> Model:
+    def parts(values: np.ndarray) -> dict[str, np.ndarray]:
         w, at = {}, 0
         for name, shape in Model.SHAPES:
             size = int(np.prod(shape))
-            w[name] = values[at:at + size].reshape(shape).astype(np.float32)
+            w[name] = values[at:at + size].reshape(shape)
             at += size
-        return Model(w)
+        return w
+
+    @staticmethod
+    def from_flat(values: np.ndarray) -> Model:
+        return Model(Model.parts(values.astype(np.float32)))
 
     def attend(self, c: np.ndarray, skip: int = 0) -> tuple[np.ndarray, ...]:
         """What each place of windows of classes (n, SPAN), but for the first ``skip``, gathers by
-        masked attention, and the attention's parts."""
-        q, k, v = (self.w[n][c] for n in "qkv")
-        s = np.matmul(q[:, skip:] * np.float32(WIDTH**-0.5), k.transpose(0, 2, 1))
+        masked attention, the unscaled attention and its sums."""
+        q = (self.w["q"] * np.float32(WIDTH**-0.5)).take(c[:, skip:], 0)
+        s = np.matmul(q, _columns(self.w["k"], c))
         np.minimum(s, 30, out=s)
         np.exp(s, out=s)
         s *= np.where(_CAUSAL, np.exp(np.clip(self.w["back"], -20, 20))[_BACK], 0).astype(np.float32)[skip:]
-        total = s @ np.ones((SPAN, 1), np.float32)
-        return np.matmul(s, v) / total, s, total, q, k, v
+        a = np.matmul(s, _with_one(self.w["v"]).take(c, 0))  # the one gathers the sum
+        return a[:, :, :-1] / a[:, :, -1:], s, a[:, :, -1:]
+
+    def logits(self, gathered: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """Logits of the next class after places (n, WIDTH) of class ``c``, 60 at most, in memory that the
+        next call uses again."""
+        out = np.matmul(gathered, self.w["out"], out=_room("logits", len(c)))
+        out += self.w["last"].take(c, 0, out=_room("last", len(c)), mode="clip")
+        # what is gathered is a mean of rows of v, so no logit is above this
+        if self.w["last"].max() + (np.abs(self.w["v"]).max(0) @ np.abs(self.w["out"])).max() > 59:
+            np.minimum(out, 60, out=out)
+        return out
 
     def log10_next(self, c: np.ndarray, y: np.ndarray, skip: int) -> np.ndarray:
         """log10 probability of the class ``y`` after each place but the first ``skip``."""
-        gathered = self.attend(c, skip)[0].reshape(-1, WIDTH)
-        logits = gathered @ self.w["out"]
-        logits += self.w["last"][c[:, skip:].ravel()]
-        np.minimum(logits, 60, out=logits)
+        logits = self.logits(self.attend(c, skip)[0].reshape(-1, WIDTH), c[:, skip:].ravel())
         picked = logits[np.arange(len(logits)), y[:, skip:].ravel()]
         np.exp(logits, out=logits)
         total = (logits @ np.ones((CLASSES, 1), np.float32)).ravel()
         return ((picked - np.log(total)) / np.float32(np.log(10))).reshape(len(c), -1)
 
     def gradient(self, c: np.ndarray, y: np.ndarray, real: np.ndarray) -> dict[str, np.ndarray]:
-        a, s, total, q, k, v = self.attend(c)
-        s /= total
-        one_hot = np.eye(CLASSES, dtype=np.float32)
-        logits = np.minimum(a @ self.w["out"] + self.w["last"][c], 60)
-        p = np.exp(logits)
-        p /= p.sum(2, keepdims=True)
-        d = (p - one_hot[y]) * (real[:, :, None] / max(real.sum(), 1)).astype(np.float32)
-        x = one_hot[c].reshape(-1, CLASSES)
-        da = d @ self.w["out"].T
-        ds = np.matmul(da, v.transpose(0, 2, 1))
-        ds = s * (ds - (s * ds).sum(2, keepdims=True))
+        """Slopes of the mean loss of the ``real`` places. Places are put in the order of their classes:
+        those of one class are a stretch, so what is summed by class needs no products with ones and zeros."""
+        a, s, total = self.attend(c)
+        order = np.argsort(c.ravel().astype(np.int16), kind="stable")
+        n = np.bincount(c.ravel(), minlength=CLASSES)
+        seen, ends = np.flatnonzero(n), np.cumsum(n)[n > 0]
+        begin = ends - n[seen]
+        a, y = a.reshape(-1, WIDTH).take(order, 0), y.ravel()[order]
+
+        p = self.logits(a, c.ravel()[order])  # then not divided by the row's sum: ``weight`` does that
+        np.exp(p, out=p)
+        da = _with_one(self.w["out"].T).T @ p.T  # a row for each of the vector's places; the last one sums p
+        sums = da[-1].copy()
+        p.reshape(-1)[np.arange(0, p.size, CLASSES) + y] -= sums
+        weight = (real.ravel()[order] / max(real.sum(), 1)).astype(np.float32) / sums
+        a = np.ascontiguousarray(a.T)
+        da[:-1] -= self.w["out"].take(y, 1) * sums
+        da[:-1] *= weight
+        np.negative((da[:-1] * a).sum(0), out=da[-1])
+        da /= total.ravel()[order]
+
+        d = np.empty((len(order), WIDTH + 1), np.float32)
+        d[order] = da.T
+        d = d.reshape(*c.shape, WIDTH + 1)
+        ds = np.matmul(d, _columns(_with_one(self.w["v"]), c))
+        ds *= s
         scale = np.float32(WIDTH**-0.5)
-        parts = {"q": np.matmul(ds, k) * scale, "k": np.matmul(ds.transpose(0, 2, 1), q) * scale,
-                 "v": np.matmul(s.transpose(0, 2, 1), da)}
-        g = {n: x.T @ t.reshape(-1, WIDTH) for n, t in parts.items()}
-        g["last"] = x.T @ d.reshape(-1, CLASSES)
-        g["out"] = a.reshape(-1, WIDTH).T @ d.reshape(-1, CLASSES)
+        parts = {"q": np.matmul(ds, self.w["k"].take(c, 0)) * scale,
+                 "k": np.matmul(ds.transpose(0, 2, 1), (self.w["q"] * scale).take(c, 0)),
+                 "v": np.matmul(s.transpose(0, 2, 1), d[:, :, :-1])}
+        g = {n: np.zeros_like(self.w[n]) for n in ("last", *parts)}
+        for n, t in parts.items():
+            g[n][seen] = np.add.reduceat(t.reshape(-1, WIDTH).take(order, 0), begin, axis=0)
+        for k, lo, hi in zip(seen.tolist(), begin.tolist(), ends.tolist()):
+            np.dot(weight[lo:hi], p[lo:hi], out=g["last"][k])
+        a *= weight
+        g["out"] = a @ p
         g["back"] = np.bincount(_BACK[_CAUSAL], ds.sum(0)[_CAUSAL], SPAN).astype(np.float32)
         return g
 
     def train(self, windows: np.ndarray, real: np.ndarray, rate: float, seed: int) -> None:
         """One walk over windows of SPAN + 1 classes (Adam)."""
         order = np.random.default_rng(seed).permutation(len(windows))
-        m = {n: np.zeros_like(t) for n, t in self.w.items()}
-        v = {n: np.zeros_like(t) for n, t in self.w.items()}
+        t = self.flat()
+        self.w = Model.parts(t)  # views: a step changes all weights at once
+        m, v, x = np.zeros_like(t), np.zeros_like(t), np.empty_like(t)
         steps = -(-len(order) // BATCH)
         for step in range(steps):
             of = order[step * BATCH:(step + 1) * BATCH]
-            g = self.gradient(windows[of, :-1], windows[of, 1:], real[of, 1:])
+            slopes = self.gradient(windows[of, :-1], windows[of, 1:], real[of, 1:])
+            g = np.concatenate([slopes[n].ravel() for n, _ in Model.SHAPES])
             now = rate * (1 - 0.9 * step / steps)
-            for n, t in self.w.items():
-                m[n] += 0.1 * (g[n] - m[n])
-                v[n] += 0.01 * (g[n] ** 2 - v[n])
-                t -= now * (m[n] / (1 - 0.9 ** (step + 1))) / (np.sqrt(v[n] / (1 - 0.99 ** (step + 1))) + 1e-7)
+            np.subtract(g, m, out=x)
+            x *= np.float32(0.1)
+            m += x
+            g *= g
+            g -= v
+            g *= np.float32(0.01)
+            v += g
+            np.multiply(v, np.float32(1 / (1 - 0.99 ** (step + 1))), out=x)
+            np.sqrt(x, out=x)
+            x += np.float32(1e-7)
+            np.divide(m, x, out=x)
+            x *= np.float32(now / (1 - 0.9 ** (step + 1)))
+            t -= x
+
+
+_ROOM: dict[str, np.ndarray] = {}
+
+
+def _room(name: str, rows: int) -> np.ndarray:
+    """A worker's memory for logits, kept: new memory each time costs more than what is computed in it."""
+    if name not in _ROOM or len(_ROOM[name]) < rows:
+        _ROOM[name] = np.empty((rows, CLASSES), np.float32)
+    return _ROOM[name][:rows]
+
+
+def _columns(table: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """The rows of a table for windows of classes (n, SPAN), as columns of a matrix a window."""
+    return table.T.take(c, 1).transpose(1, 0, 2)
+
+
+def _with_one(table: np.ndarray) -> np.ndarray:
+    return np.concatenate((table, np.ones((len(table), 1), np.float32)), 1)
 
 
 def _ids(vocabulary: tu.Subwords, texts: pa.Array, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -219,7 +281,7 @@ def _learn_pass(texts: DataFrame, tokenizer_path: str) -> DataFrame:
         for b in batches:
             data, offsets = tu.text_buffer(b["text"])
             hashes, pairs = [np.full(len(b), END_WORD, _U)], []
-            for lo, hi in tu.slices(offsets):
+            for lo, hi in tu.slices(offsets, TEXT_BYTES):
                 if sum(map(len, hashes)) > FLUSH:
                     yield counted(0, hashes)
                 if sum(map(len, pairs)) > FLUSH:
@@ -259,15 +321,14 @@ def _average_round(windows: DataFrame, model: Model, of: np.ndarray, rate: float
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine, seen = Model.from_flat(start), 0
         for k, b in enumerate(batches):  # a batch is some thousand windows
-            raw = b["window"].to_pylist()
-            if not raw:
+            if not len(b):
                 continue
-            ids, real = np.zeros((len(raw), SPAN + 1), np.int64), np.zeros((len(raw), SPAN + 1), bool)
-            for i, x in enumerate(raw):
-                ids[i, :len(x) // 4] = np.frombuffer(x, "<u4")
-                real[i, :len(x) // 4] = True
+            data, offsets = tu.text_buffer(b["window"].cast(pa.binary()))
+            real = np.arange(SPAN + 1) < (np.diff(offsets) // 4)[:, None]
+            ids = np.zeros(real.shape, np.int64)
+            ids[real] = np.frombuffer(data.tobytes(), "<u4")
             mine.train(of[ids], real, rate, seed + k)
-            seen += len(raw)
+            seen += len(b)
         if seen:
             values = mine.flat().astype(np.float64)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values * seen),
@@ -374,7 +435,7 @@ def score(docs: DataFrame, learns: Column, tokenizer_path: str, text_col: str =
         logs = np.log10(n_of + 1)
         for b in batches:
             data, offsets = tu.text_buffer(b[pre + "text"])
-            for lo, hi in tu.slices(offsets):
+            for lo, hi in tu.slices(offsets, TEXT_BYTES):
                 h, _, of = tu.words(data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo], lower=True)
                 n = np.diff(of)
                 ends = of[1:]  # the end is one more word of each text
